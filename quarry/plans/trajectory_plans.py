@@ -24,12 +24,6 @@ def _traj_sql(size: int, extra: str = "") -> str:
     )
 
 
-@plan("ais_ingest", sql=f"SELECT mmsi, ts, lat, lon FROM ({POSITIONS_SQL})")
-def ais_ingest(spark, sf):
-    """Position records typed as (mmsi int, ts, lat double, lon double)."""
-    return positions(spark, sf).select("mmsi", "ts", "lat", "lon")
-
-
 @plan("trajectory_build", sql=_traj_sql(TEST_SIZE))
 def trajectory_build(spark, sf):
     """Per vessel, time-sorted records cut every 25 records."""
