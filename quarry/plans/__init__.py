@@ -3,3 +3,4 @@
 from . import trajectory_plans  # noqa: F401
 from .registry import PLANS, Plan, plan  # noqa: F401
 from . import source_plans, projection_plans  # noqa: F401,E402
+from . import aggregate_plans  # noqa: F401,E402
