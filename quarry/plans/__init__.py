@@ -5,3 +5,4 @@ from .registry import PLANS, Plan, plan  # noqa: F401
 from . import source_plans, projection_plans  # noqa: F401,E402
 from . import aggregate_plans  # noqa: F401,E402
 from . import window_plans  # noqa: F401,E402
+from . import scalar_plans  # noqa: F401,E402
