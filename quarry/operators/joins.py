@@ -11,11 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .sequence import ordered_position
+
 
 def join(left: DataFrame, right: DataFrame, on: str | Sequence[str] | Column, how: str = "inner",
          num_partitions: int | None = None) -> DataFrame:
@@ -74,37 +75,33 @@ def cogroup_long(left: DataFrame, right: DataFrame, key: str, left_value: str, r
     return parts.sortWithinPartitions(key, "side", "value")
 
 
-def with_row_position(df: DataFrame, order: Sequence[str], num_partitions: int,
+def quantile_bucket(df: DataFrame, column: str, num_buckets: int, accuracy: int = 10_000) -> Column:
+    """An order-preserving bucket of ``column`` with about equal row counts per bucket.
+
+    The ``num_buckets - 1`` approximate quantiles reach the driver (a result bounded by
+    ``num_buckets``); the bucket of a value is the number of boundaries at or below it.
+    Nulls get a null bucket (ordered first, like nulls in an ascending sort).
+    """
+    probs = [i / num_buckets for i in range(1, num_buckets)]
+    qs = df.select(F.percentile_approx(column, probs, accuracy)).first()[0] or []
+    bounds = sorted({q for q in qs if q is not None})
+    if not bounds:
+        return F.when(F.col(column).isNotNull(), F.lit(0))
+    arr = F.array(*[F.lit(b) for b in bounds])
+    return F.size(F.filter(arr, lambda b: b <= F.col(column)))
+
+
+def with_row_position(df: DataFrame, order: Sequence[str], num_buckets: int,
                       name: str = "row_pos") -> DataFrame:
-    """Add a consecutive 1-based position under ``order`` (ties in unspecified order).
+    """Add a consecutive 1-based position under ascending ``order`` (ties in unspecified order).
 
-    Range-partition by ``order`` (balanced by sampling), count rows per partition
-    (a table with one row per partition - a proven bound, so it is broadcast),
-    turn counts into offsets, and number rows inside each sorted partition in an
-    Arrow pass. There is no global single-task window.
+    Rows are bucketed by quantiles of the leading order column, counted per bucket
+    (a table of at most ``num_buckets`` rows, so its running offsets are broadcast),
+    and numbered inside each bucket. No global single-task window, no dependence on
+    physical partition ids.
     """
-    ranged = df.repartitionByRange(num_partitions, *order).sortWithinPartitions(*order)
-    counts = ranged.groupBy(F.spark_partition_id().alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    schema = T.StructType(ranged.schema.fields + [T.StructField("_pid", T.IntegerType(), False),
-                                                  T.StructField("_local", T.LongType(), False)])
-
-    def local_index(batches):
-        from pyspark import TaskContext
-        pid = TaskContext.get().partitionId()
-        seen = 0
-        for b in batches:
-            n = b.num_rows
-            yield pa.RecordBatch.from_arrays(
-                list(b.columns) + [pa.array([pid] * n, pa.int32()), pa.array(range(seen, seen + n), pa.int64())],
-                schema=b.schema.append(pa.field("_pid", pa.int32(), False)).append(pa.field("_local", pa.int64(), False)))
-            seen += n
-
-    numbered = ranged.mapInArrow(local_index, schema)
-    return (numbered.join(F.broadcast(offsets), "_pid")
-            .withColumn(name, F.col("_off") + F.col("_local") + 1)
-            .drop("_pid", "_off", "_local"))
+    bucket = quantile_bucket(df, order[0], num_buckets)
+    return ordered_position(df, [], list(order), bucket, name)
 
 
 def zip_positional(a: DataFrame, b: DataFrame, order_a: Sequence[str], order_b: Sequence[str],

@@ -62,10 +62,12 @@ def aggregate(df: DataFrame, keys: Sequence[str], udaf: DecomposableAggregate,
                                             for n, t in udaf.buffer])
     buf_names = [n for n, _ in udaf.buffer]
 
+    update = udaf.update   # only the update function is shipped to the tasks
+
     def partial(batches):
         for pdf in batches:
             if len(pdf):
-                yield udaf.update(pdf, keys)[keys + buf_names]
+                yield update(pdf, keys)[keys + buf_names]
 
     partials = src.mapInPandas(partial, buf_schema)
     merged = partials.groupBy(*keys).agg(*[_MERGE[udaf.merge[n]](n).alias(n) for n in buf_names])

@@ -6,3 +6,4 @@ from . import source_plans, projection_plans  # noqa: F401,E402
 from . import aggregate_plans  # noqa: F401,E402
 from . import window_plans  # noqa: F401,E402
 from . import scalar_plans  # noqa: F401,E402
+from . import join_plans  # noqa: F401,E402
