@@ -11,9 +11,10 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def cube_vec(x: pd.Series) -> pd.Series:
     """Cube of a number, one Arrow batch at a time."""
     return x.astype("float64") ** 3
@@ -25,7 +26,7 @@ def power3(x: float | None) -> float | None:
 
 def power3_udf():
     """An existing Python function as an Arrow-optimised UDF."""
-    return F.udf(power3, "double", useArrow=True)
+    return F.udf(power3, T.DoubleType(), useArrow=True)
 
 
 def register_power3(spark: SparkSession, name: str = "power3") -> None:
@@ -38,14 +39,14 @@ def register_power3_python(spark: SparkSession, name: str = "power3_py") -> None
     spark.udf.register(name, power3_udf())
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def discount_vec(quantity: pd.Series, price: pd.Series) -> pd.Series:
     """Two-column UDF: 10 % off from 6 items on."""
     p = price.astype("float64")
     return p.where(quantity < 6, p * 0.9)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def discount_row_vec(rec: pd.DataFrame) -> pd.Series:
     """UDF over a struct of the needed columns (never the whole row)."""
     p = rec["UnitPrice"].astype("float64")
