@@ -8,3 +8,4 @@ from . import window_plans  # noqa: F401,E402
 from . import scalar_plans  # noqa: F401,E402
 from . import join_plans  # noqa: F401,E402
 from . import layout_plans, udf_plans  # noqa: F401,E402
+from . import stream_plans  # noqa: F401,E402
