@@ -111,6 +111,7 @@ def zip_positional(a: DataFrame, b: DataFrame, order_a: Sequence[str], order_b:
     pa_ = with_row_position(a, order_a, num_partitions, "_zpos")
     pb_ = with_row_position(b, order_b, num_partitions, "_zpos2")
     joined = pa_.join(pb_, pa_["_zpos"] == pb_["_zpos2"], "full")
-    check = F.when(F.col("_zpos").isNull() | F.col("_zpos2").isNull(),
-                   F.raise_error(F.lit("zip: sides differ in length"))).otherwise(F.col("_zpos"))
-    return joined.withColumn("_zpos", check).drop("_zpos", "_zpos2")
+    # a predicate, so the check cannot be pruned away with its column
+    same_length = F.when(F.col("_zpos").isNull() | F.col("_zpos2").isNull(),
+                         F.raise_error(F.lit("zip: sides differ in length"))).otherwise(F.lit(True))
+    return joined.where(same_length).drop("_zpos", "_zpos2")

@@ -68,10 +68,21 @@ def group_by_key_reduce(df: DataFrame, agg=F.sum, name: str = "value") -> DataFr
     return reduce_by_key(df, agg, name)
 
 
-def aggregate_by_key(df: DataFrame, op: str = "sum", zero: float = 0.0, name: str = "value") -> DataFrame:
-    """``aggregateByKey(zero)(op, op)`` through the decomposable-aggregate helper:
-    vectorised per-batch fold in the map task, JVM merge per key."""
-    return udaf.aggregate(df, ["key"], udaf.fold_of("value", op, zero), alias=name)
+_JVM_FOLDS = {"sum": (F.sum, lambda a, z: a + z), "min": (F.min, F.least), "max": (F.max, F.greatest)}
+
+
+def aggregate_by_key(df: DataFrame, op="sum", zero: float = 0.0, name: str = "value") -> DataFrame:
+    """``aggregateByKey(zero)(seqOp, combOp)``.
+
+    A built-in associative ``op`` ("sum", "min", "max") folds and merges in the JVM
+    (partial aggregation in the map task, merge after the shuffle); the zero is
+    applied once per key. A :class:`~quarry.operators.udaf.DecomposableAggregate`
+    runs its vectorised update in the map task and its merge in the JVM.
+    """
+    if isinstance(op, str):
+        agg, with_zero = _JVM_FOLDS[op]
+        return df.groupBy("key").agg(with_zero(agg(F.col("value").cast("double")), F.lit(float(zero))).alias(name))
+    return udaf.aggregate(df, ["key"], op, alias=name)
 
 
 def fold_by_key(df: DataFrame, op: str = "sum", zero: float = 0.0, name: str = "value") -> DataFrame:

@@ -45,18 +45,26 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> D
     return left.join(r, cond).drop(*[f"_r_{k}" for k in keys])
 
 
+def bucket_order(nulls_last: bool = False) -> Column:
+    """How buckets are ordered: ascending, with null buckets where ``order`` puts
+    null values (first for ascending sorts, last for descending ones)."""
+    return F.col(_B).asc_nulls_last() if nulls_last else F.col(_B).asc_nulls_first()
+
+
 def ordered_position(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-                     bucket: Column, name: str = "pos") -> DataFrame:
+                     bucket: Column, name: str = "pos", nulls_last: bool = False) -> DataFrame:
     """Add ``name``: 1-based position of each row in its key group under ``order``.
 
-    ``bucket`` must be monotone non-decreasing in ``order`` inside a key.
+    ``bucket`` must be monotone non-decreasing in ``order`` inside a key, with a
+    null bucket exactly for rows whose leading order value is null; set
+    ``nulls_last`` when ``order`` puts those rows last (descending sorts).
     Ties in ``order`` get distinct positions in unspecified order, as with
     ``row_number``.
     """
     keys = list(keys)
     b = df.withColumn(_B, bucket)
     counts = b.groupBy(*keys, _B).agg(F.count(F.lit(1)).alias(_N))
-    before = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*keys).orderBy(bucket_order(nulls_last)).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, _B, F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_OFF))
     joined = _null_safe_join(b, offsets, keys + [_B])
     inner = Window.partitionBy(*keys, _B).orderBy(*order)
@@ -65,13 +73,13 @@ def ordered_position(df: DataFrame, keys: Sequence[str], order: Sequence[str | C
 
 
 def ordered_previous(df: DataFrame, keys: Sequence[str], order: str, bucket: Column,
-                     cols: Sequence[str], prefix: str = "prev_") -> DataFrame:
+                     cols: Sequence[str], prefix: str = "prev_", nulls_last: bool = False) -> DataFrame:
     """Add ``prev_<c>`` for each of ``cols``: the value on the preceding row of
     the key group under ``order`` (null on the first row), as ``lag`` would."""
     keys = list(keys)
     b = df.withColumn(_B, bucket)
     last = b.groupBy(*keys, _B).agg(*[F.max_by(c, order).alias(f"_q_last_{c}") for c in cols])
-    w_keys = Window.partitionBy(*keys).orderBy(_B)
+    w_keys = Window.partitionBy(*keys).orderBy(bucket_order(nulls_last))
     carry = last.select(*keys, _B, *[F.lag(f"_q_last_{c}").over(w_keys).alias(f"_q_carry_{c}")
                                      for c in cols])
     joined = _null_safe_join(b, carry, keys + [_B])

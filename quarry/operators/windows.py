@@ -29,14 +29,16 @@ def running_window(keys: Sequence[str], order: Sequence[Column | str]):
 
 def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
                    bucket: Column, value: str, sum_name: str = "running_sum",
-                   max_name: str = "running_max") -> DataFrame:
+                   max_name: str = "running_max", nulls_last: bool = False) -> DataFrame:
     """Running sum and max of ``value`` per key in ``order`` (ROWS frame), computed per
     (key, bucket) plus carried totals of the preceding buckets. ``bucket`` must be
-    monotone non-decreasing in ``order``."""
+    monotone non-decreasing in ``order``; ``nulls_last`` places null buckets last
+    (for descending orders)."""
     keys = list(keys)
     b = df.withColumn(_B, bucket)
     per = b.groupBy(*keys, _B).agg(F.sum(value).alias("_s"), F.max(value).alias("_m"))
-    before = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    bo = F.col(_B).asc_nulls_last() if nulls_last else F.col(_B).asc_nulls_first()
+    before = Window.partitionBy(*keys).orderBy(bo).rowsBetween(Window.unboundedPreceding, -1)
     carry = per.select(*keys, _B, F.sum("_s").over(before).alias("_cs"), F.max("_m").over(before).alias("_cm"))
     j = _null_safe_join(b, carry, keys + [_B])
     inner = Window.partitionBy(*keys, _B).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
@@ -80,6 +82,7 @@ def ranks(df: DataFrame, keys: Sequence[str], order: str, descending: bool = Fal
 
 
 def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
-                bucket: Column, name: str = "row_number") -> DataFrame:
+                bucket: Column, name: str = "row_number", nulls_last: bool = False) -> DataFrame:
     """``row_number`` per key; ``bucket`` monotone in ``order`` spreads a key over tasks."""
-    return ordered_position(df, keys, order, bucket, name).withColumn(name, F.col(name).cast("int"))
+    return (ordered_position(df, keys, order, bucket, name, nulls_last)
+            .withColumn(name, F.col(name).cast("int")))

@@ -19,3 +19,17 @@ def group_sort(spark, sf):
 def trajectory_groupsort(spark, sf):
     """The whole job in the grouped-stream variant (size 500); equal to trajectory_core."""
     return trajectories_grouped(positions(spark, sf), size=TRAJECTORY_SIZE)
+
+
+@plan("partition_iterator_job", sql=_traj_sql(TEST_SIZE))
+def partition_iterator_job(spark, sf):
+    """Trajectories from a look-ahead iterator over secondary-sorted partitions (size 25)."""
+    from ..streaming.keyed_stream import trajectories_partition_iterator
+    return trajectories_partition_iterator(positions(spark, sf), size=TEST_SIZE)
+
+
+@plan("trajectory_partition_iterator", sql=_traj_sql(TRAJECTORY_SIZE))
+def trajectory_partition_iterator(spark, sf):
+    """The whole job in the hash-and-sort partition-iterator variant (size 500)."""
+    from ..streaming.keyed_stream import trajectories_partition_iterator
+    return trajectories_partition_iterator(positions(spark, sf), size=TRAJECTORY_SIZE)

@@ -37,7 +37,7 @@ def _desc_bucket():
 def window_running(spark, sf):
     """Running sum and max per (customer, day), quantity descending."""
     r = _day_frame(spark, sf)
-    out = W.running_totals(r, ["CustomerId", "date"], [F.desc("Quantity")], _desc_bucket(), "Quantity")
+    out = W.running_totals(r, ["CustomerId", "date"], [F.desc("Quantity")], _desc_bucket(), "Quantity", nulls_last=True)
     return out.select("CustomerId", "date", "Quantity", "running_sum", "running_max")
 
 
@@ -50,7 +50,7 @@ def window_extra_cols(spark, sf):
     """Window result beside columns outside the partition key (total order by tie-breakers)."""
     r = _day_frame(spark, sf, "InvoiceNo", "StockCode")
     out = W.running_totals(r, ["CustomerId", "date"], [F.desc("Quantity"), "InvoiceNo", "StockCode"],
-                           _desc_bucket(), "Quantity")
+                           _desc_bucket(), "Quantity", nulls_last=True)
     return out.select("CustomerId", "date", "InvoiceNo", "StockCode", "Quantity", "running_sum")
 
 
@@ -75,7 +75,7 @@ def window_multi(spark, sf):
     """Two different windows in one result."""
     r = _day_frame(spark, sf, "InvoiceNo", "StockCode")
     run = W.running_totals(r, ["CustomerId", "date"], [F.desc("Quantity"), "InvoiceNo", "StockCode"],
-                           _desc_bucket(), "Quantity")
+                           _desc_bucket(), "Quantity", nulls_last=True)
     both = W.range_frame_sum(run, ["date"], "Quantity", "Quantity", -3, 0, descending=True)
     return both.select("InvoiceNo", "StockCode", "CustomerId", "date", "Quantity", "running_sum", "range_sum")
 
@@ -104,7 +104,7 @@ def row_number(spark, sf):
     """Position in the window (unique tie-breakers make it deterministic)."""
     r = _day_frame(spark, sf, "InvoiceNo", "StockCode")
     out = W.row_numbers(r, ["CustomerId", "date"], [F.desc("Quantity"), "InvoiceNo", "StockCode"],
-                        _desc_bucket())
+                        _desc_bucket(), nulls_last=True)
     return out.select("CustomerId", "date", "InvoiceNo", "StockCode", "Quantity", "row_number")
 
 

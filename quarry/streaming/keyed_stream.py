@@ -38,12 +38,7 @@ def map_sorted_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     global position of the i-th row (0-based) of the slice within its key.
     """
     keys, order = list(keys), list(order)
-    b = df.withColumn(_B, bucket)
-    counts = b.groupBy(*keys, _B).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, _B, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias(_OFF))
-    offsets = offsets.withColumn(_SL, F.floor(F.col(_OFF) / F.lit(target_rows)))
-    joined = _null_safe_join(b, offsets, keys + [_B])
+    joined = _bucket_offsets(df, keys, bucket, target_rows)
 
     def per_group(pdf: pd.DataFrame) -> pd.DataFrame:
         offset = int(pdf[_OFF].min())       # the slice's first bucket starts here
@@ -53,6 +48,23 @@ def map_sorted_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     return joined.groupBy(*keys, _SL).applyInPandas(per_group, schema)
 
 
+def _cut_sorted(keys: np.ndarray, ts: np.ndarray, pos0: np.ndarray, size: int) -> pd.DataFrame:
+    """Partial trajectories of rows sorted by (key, ts): one row per run of equal
+    (key, chunk), with chunk = 0-based position // size. Runs are contiguous, so
+    start/end are the first/last times of each run."""
+    chunk = pos0 // size
+    n = len(chunk)
+    if n == 0:
+        return pd.DataFrame({"mmsi": keys[:0], "chunk": chunk, "start_time": ts[:0], "end_time": ts[:0],
+                             "record_count": chunk})
+    change = np.ones(n, dtype=bool)
+    change[1:] = (chunk[1:] != chunk[:-1]) | (keys[1:] != keys[:-1])
+    first = np.flatnonzero(change)
+    last = np.append(first[1:] - 1, n - 1)
+    return pd.DataFrame({"mmsi": keys[first], "chunk": chunk[first], "start_time": ts[first],
+                         "end_time": ts[last], "record_count": (last - first + 1).astype(np.int64)})
+
+
 def trajectories_grouped(pos: DataFrame, key: str = "mmsi", ts: str = "ts", size: int = TRAJECTORY_SIZE,
                          bucket_seconds: int = 3600) -> DataFrame:
     """Trajectory cutting on the per-key sorted stream; same result as
@@ -65,14 +77,70 @@ def trajectories_grouped(pos: DataFrame, key: str = "mmsi", ts: str = "ts", size
                            T.StructField("record_count", T.LongType())])
 
     def cut(rows: pd.DataFrame, offset: int) -> pd.DataFrame:
-        chunk = (offset + np.arange(len(rows), dtype=np.int64)) // size
-        g = rows.assign(chunk=chunk).groupby("chunk", sort=False)
-        out = g.agg(start_time=("ts", "min"), end_time=("ts", "max"), record_count=("ts", "size")).reset_index()
-        out.insert(0, "mmsi", rows["mmsi"].iloc[0])
-        return out[["mmsi", "chunk", "start_time", "end_time", "record_count"]]
+        return _cut_sorted(rows["mmsi"].to_numpy(), rows["ts"].to_numpy(),
+                           offset + np.arange(len(rows), dtype=np.int64), size)
 
     partial = map_sorted_groups(src, ["mmsi"], ["ts"], time_bucket("ts", bucket_seconds), cut, schema)
     return (partial.groupBy("mmsi", "chunk")
             .agg(F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time"),
                  F.sum("record_count").cast("int").alias("record_count"))
             .drop("chunk"))
+
+
+def _bucket_offsets(src: DataFrame, keys: Sequence[str], bucket: Column, target_rows: int) -> DataFrame:
+    """Rows with their bucket, the bucket's offset inside the key and the slice id."""
+    keys = list(keys)
+    b = src.withColumn(_B, bucket)
+    counts = b.groupBy(*keys, _B).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (counts.select(*keys, _B, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias(_OFF))
+               .withColumn(_SL, F.floor(F.col(_OFF) / F.lit(target_rows))))
+    return _null_safe_join(b, offsets, keys + [_B])
+
+
+def trajectories_partition_iterator(pos: DataFrame, key: str = "mmsi", ts: str = "ts",
+                                    size: int = TRAJECTORY_SIZE, bucket_seconds: int = 3600,
+                                    target_rows: int = 200_000, num_partitions: int | None = None) -> DataFrame:
+    """Trajectory cutting by a per-partition iterator over sorted records.
+
+    Records are hash-partitioned by (vessel, slice) and sorted within each partition
+    by (vessel, bucket, time) - a secondary sort - then one Arrow pass per batch
+    numbers the rows of each (vessel, bucket) run from the bucket's offset and emits
+    partial trajectories; a run that crosses a batch boundary carries its count.
+    The partial rows are merged per (vessel, chunk) by the JVM.
+    """
+    src = pos.select(F.col(key).alias("mmsi"), F.col(ts).alias("ts"))
+    rows = _bucket_offsets(src, ["mmsi"], time_bucket("ts", bucket_seconds), target_rows)
+    parts = (rows.repartition(num_partitions, "mmsi", _SL) if num_partitions else rows.repartition("mmsi", _SL))
+    ordered = parts.sortWithinPartitions("mmsi", _B, "ts").select("mmsi", "ts", _B, _OFF)
+    schema = T.StructType([T.StructField("mmsi", src.schema["mmsi"].dataType),
+                           T.StructField("chunk", T.LongType()),
+                           T.StructField("start_time", src.schema["ts"].dataType),
+                           T.StructField("end_time", src.schema["ts"].dataType),
+                           T.StructField("record_count", T.LongType())])
+
+    def per_partition(batches):
+        carry = None            # (key, bucket, rows already numbered in that run)
+        for pdf in batches:
+            n = len(pdf)
+            if n == 0:
+                continue
+            k = pdf["mmsi"].to_numpy()
+            bk = pdf[_B].to_numpy()
+            start = np.ones(n, dtype=bool)
+            start[1:] = (k[1:] != k[:-1]) | (bk[1:] != bk[:-1])
+            run_id = np.cumsum(start) - 1
+            run_first = np.flatnonzero(start)
+            idx = np.arange(n, dtype=np.int64) - run_first[run_id]
+            if carry is not None and carry[0] == k[0] and carry[1] == bk[0]:
+                idx[run_id == 0] += carry[2]
+            pos0 = pdf[_OFF].to_numpy().astype(np.int64) + idx
+            yield _cut_sorted(k, pdf["ts"].to_numpy(), pos0, size)
+            last_len = int(idx[-1]) + 1
+            carry = (k[-1], bk[-1], last_len)
+
+    partial = ordered.mapInPandas(per_partition, schema)
+    return (partial.groupBy("mmsi", "chunk")
+            .agg(F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time"),
+                 F.sum("record_count").cast("int").alias("record_count"))
+            .drop("chunk"))
