@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_B, _N, _OFF = "_q_bucket", "_q_n", "_q_offset"
+_B, _N, _OFF, _KB = "_q_bucket", "_q_n", "_q_offset", "_q_kb"
 
 
 def time_bucket(ts: str | Column, seconds: int = 3600) -> Column:
@@ -39,10 +39,24 @@ def value_bucket(v: str | Column, width: int) -> Column:
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
-                     *[c for c in right.columns if c not in keys])
-    cond = [left[k].eqNullSafe(r[f"_r_{k}"]) for k in keys]
-    return left.join(r, cond).drop(*[f"_r_{k}" for k in keys])
+    """Equi-join on ``keys`` where null matches null.
+
+    The keys are packed into one struct column: struct equality treats null
+    fields as equal, and the join stays a plain hash-partitioned equi-join.
+    """
+    return struct_join(left, right, keys).drop(_KB)
+
+
+def struct_join(left: DataFrame, right: DataFrame, keys: Sequence[str], name: str = _KB) -> DataFrame:
+    """Join on ``struct(keys)`` and keep that struct as column ``name``.
+
+    A window partitioned by the same struct column reuses the join's hash
+    partitioning, so the rows are shuffled once for both.
+    """
+    keys = list(keys)
+    lk = left.withColumn(name, F.struct(*keys))
+    rk = right.select(F.struct(*keys).alias(name), *[c for c in right.columns if c not in keys])
+    return lk.join(rk, name)
 
 
 def bucket_order(nulls_last: bool = False) -> Column:
@@ -66,10 +80,10 @@ def ordered_position(df: DataFrame, keys: Sequence[str], order: Sequence[str | C
     counts = b.groupBy(*keys, _B).agg(F.count(F.lit(1)).alias(_N))
     before = Window.partitionBy(*keys).orderBy(bucket_order(nulls_last)).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, _B, F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_OFF))
-    joined = _null_safe_join(b, offsets, keys + [_B])
-    inner = Window.partitionBy(*keys, _B).orderBy(*order)
+    joined = struct_join(b, offsets, keys + [_B])
+    inner = Window.partitionBy(_KB).orderBy(*order)
     return (joined.withColumn(name, F.col(_OFF) + F.row_number().over(inner))
-            .drop(_B, _OFF))
+            .drop(_B, _OFF, _KB))
 
 
 def ordered_previous(df: DataFrame, keys: Sequence[str], order: str, bucket: Column,
@@ -82,11 +96,11 @@ def ordered_previous(df: DataFrame, keys: Sequence[str], order: str, bucket: Col
     w_keys = Window.partitionBy(*keys).orderBy(bucket_order(nulls_last))
     carry = last.select(*keys, _B, *[F.lag(f"_q_last_{c}").over(w_keys).alias(f"_q_carry_{c}")
                                      for c in cols])
-    joined = _null_safe_join(b, carry, keys + [_B])
-    inner = Window.partitionBy(*keys, _B).orderBy(order)
+    joined = struct_join(b, carry, keys + [_B])
+    inner = Window.partitionBy(_KB).orderBy(order)
     first = F.row_number().over(inner) == 1
     out = joined
     for c in cols:
         out = out.withColumn(f"{prefix}{c}", F.when(first, F.col(f"_q_carry_{c}"))
                              .otherwise(F.lag(c).over(inner)))
-    return out.drop(_B, *[f"_q_carry_{c}" for c in cols])
+    return out.drop(_B, _KB, *[f"_q_carry_{c}" for c in cols])

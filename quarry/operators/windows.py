@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .sequence import _null_safe_join, ordered_position
+from .sequence import _KB, _null_safe_join, ordered_position, struct_join
 
 _B = "_w_bucket"
 
@@ -40,13 +40,13 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
     bo = F.col(_B).asc_nulls_last() if nulls_last else F.col(_B).asc_nulls_first()
     before = Window.partitionBy(*keys).orderBy(bo).rowsBetween(Window.unboundedPreceding, -1)
     carry = per.select(*keys, _B, F.sum("_s").over(before).alias("_cs"), F.max("_m").over(before).alias("_cm"))
-    j = _null_safe_join(b, carry, keys + [_B])
-    inner = Window.partitionBy(*keys, _B).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    j = struct_join(b, carry, keys + [_B])
+    inner = Window.partitionBy(_KB).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     s_in, m_in = F.sum(value).over(inner), F.max(value).over(inner)
     return (j.withColumn(sum_name, F.when(s_in.isNull(), F.col("_cs"))
                          .otherwise(F.coalesce(F.col("_cs"), F.lit(0)) + s_in))
              .withColumn(max_name, F.greatest(F.col("_cm"), m_in))
-             .drop(_B, "_cs", "_cm"))
+             .drop(_B, _KB, "_cs", "_cm"))
 
 
 def range_frame_sum(df: DataFrame, keys: Sequence[str], order: str, value: str,
