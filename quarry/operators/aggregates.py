@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _SHORT_AGGS = {
@@ -197,5 +197,5 @@ def shortest(value: str) -> Column:
     return F.min_by(value, F.struct(F.length(value), F.col(value)))
 
 
-def count_rows(spark: SparkSession, df: DataFrame) -> DataFrame:
+def count_rows(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n"))

@@ -24,10 +24,6 @@ def _month(c: str = "InvoiceDate"):
 MONTH_SQL = "CAST(date_trunc('month', InvoiceDate) AS DATE)"
 
 
-def _one(*aggs):
-    return aggs
-
-
 @plan("count_rows", sql="SELECT count(*) AS n FROM lineitem")
 def count_rows(spark, sf):
     """Row count."""

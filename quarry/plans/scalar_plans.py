@@ -311,13 +311,11 @@ def map_lookup(spark, sf):
     return _parts(spark, sf).select("p_partkey", S.word_lengths("p_name")["red"].alias("red_len"))
 
 
-@plan("explode_map", sql="SELECT unnest(list_distinct(string_split(p_name, ' '))) AS key, p_partkey FROM part")
+@plan("explode_map", sql="SELECT w AS key, length(w) AS value, p_partkey FROM "
+                         "(SELECT unnest(list_distinct(string_split(p_name, ' '))) AS w, p_partkey FROM part)")
 def explode_map(spark, sf):
-    """One row per map entry (key, value)."""
-    m = S.pair_map("p_name", "p_partkey")
-    p = _parts(spark, sf).select(F.explode(S.word_lengths("p_name")).alias("key", "len"), "p_partkey")
-    del m
-    return p.select("key", "p_partkey")
+    """One row per map entry: columns ``key`` and ``value`` (word -> length)."""
+    return _parts(spark, sf).select(F.explode(S.word_lengths("p_name")).alias("key", "value"), "p_partkey")
 
 
 @plan("explode_map_keep", sql="SELECT p_partkey, p_name, p_name AS key, p_partkey AS value FROM part")
