@@ -59,8 +59,8 @@ def join_full(spark, sf):
 
 def _conv_letters(spark, sf):
     conv = read_table(spark, sf, "conversations", "text")
-    w = conv.select(F.explode(F.split("text", r"\s+")).alias("word")).where(F.length("word") > 0)
-    return w.select(F.explode(F.split(F.lower("word"), "")).alias("key"))
+    chars = F.split(F.regexp_replace(F.lower("text"), r"\s+", ""), "")
+    return conv.select(F.explode(chars).alias("key")).where(F.length("key") > 0)
 
 
 CONV_LETTERS_SQL = ("(SELECT unnest(string_split(lower(word), '')) AS key FROM (SELECT unnest("

@@ -160,9 +160,16 @@ WORDS_SQL = (
 
 
 def letters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Key/value table (letter, 1): one row per character of every lower-cased word."""
-    w = words(spark, sf_dir)
-    return (w.select(F.explode(F.split(F.lower("word"), "")).alias("key"))
+    """Key/value table (letter, 1): one row per character of every lower-cased word.
+
+    The words of a text, concatenated, are the text without its whitespace, so
+    the characters are taken from the lower-cased text with whitespace removed:
+    one split per document instead of one per word (lower-casing the whole text
+    sees the same word boundaries as lower-casing each word).
+    """
+    docs = read_table(spark, sf_dir, "documents", "text")
+    chars = F.split(F.regexp_replace(F.lower("text"), r"\s+", ""), "")
+    return (docs.select(F.explode(chars).alias("key")).where(F.length("key") > 0)
             .select("key", F.lit(1).alias("value")))
 
 
