@@ -66,7 +66,8 @@ def bucket_order(nulls_last: bool = False) -> Column:
 
 
 def ordered_position(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-                     bucket: Column, name: str = "pos", nulls_last: bool = False) -> DataFrame:
+                     bucket: Column, name: str = "pos", nulls_last: bool = False,
+                     hot_threshold: int | None = None) -> DataFrame:
     """Add ``name``: 1-based position of each row in its key group under ``order``.
 
     ``bucket`` must be monotone non-decreasing in ``order`` inside a key, with a
@@ -74,8 +75,21 @@ def ordered_position(df: DataFrame, keys: Sequence[str], order: Sequence[str | C
     ``nulls_last`` when ``order`` puts those rows last (descending sorts).
     Ties in ``order`` get distinct positions in unspecified order, as with
     ``row_number``.
+
+    With ``hot_threshold``, keys of at most that many rows are numbered by a
+    plain per-key window and only the hot keys take the bucketed path
+    (see :mod:`.skew`); without it every key is bucketed.
     """
     keys = list(keys)
+    if hot_threshold is not None and keys:
+        from .skew import split_hot, union_parts
+        normal, hot = split_hot(df, keys, hot_threshold)
+        plain = None
+        if normal is not None:
+            w = Window.partitionBy(*keys).orderBy(*order)
+            plain = normal.withColumn(name, F.row_number().over(w).cast("long"))
+        bucketed = ordered_position(hot, keys, order, bucket, name, nulls_last) if hot is not None else None
+        return union_parts(plain, bucketed)
     b = df.withColumn(_B, bucket)
     counts = b.groupBy(*keys, _B).agg(F.count(F.lit(1)).alias(_N))
     before = Window.partitionBy(*keys).orderBy(bucket_order(nulls_last)).rowsBetween(Window.unboundedPreceding, -1)
@@ -87,10 +101,22 @@ def ordered_position(df: DataFrame, keys: Sequence[str], order: Sequence[str | C
 
 
 def ordered_previous(df: DataFrame, keys: Sequence[str], order: str, bucket: Column,
-                     cols: Sequence[str], prefix: str = "prev_", nulls_last: bool = False) -> DataFrame:
+                     cols: Sequence[str], prefix: str = "prev_", nulls_last: bool = False,
+                     hot_threshold: int | None = None) -> DataFrame:
     """Add ``prev_<c>`` for each of ``cols``: the value on the preceding row of
-    the key group under ``order`` (null on the first row), as ``lag`` would."""
+    the key group under ``order`` (null on the first row), as ``lag`` would.
+    ``hot_threshold`` as in :func:`ordered_position`."""
     keys = list(keys)
+    if hot_threshold is not None and keys:
+        from .skew import split_hot, union_parts
+        normal, hot = split_hot(df, keys, hot_threshold)
+        plain = None
+        if normal is not None:
+            w = Window.partitionBy(*keys).orderBy(order)
+            plain = normal.withColumns({f"{prefix}{c}": F.lag(c).over(w) for c in cols})
+        bucketed = (ordered_previous(hot, keys, order, bucket, cols, prefix, nulls_last)
+                    if hot is not None else None)
+        return union_parts(plain, bucketed)
     b = df.withColumn(_B, bucket)
     last = b.groupBy(*keys, _B).agg(*[F.max_by(c, order).alias(f"_q_last_{c}") for c in cols])
     w_keys = Window.partitionBy(*keys).orderBy(bucket_order(nulls_last))

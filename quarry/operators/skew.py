@@ -1,0 +1,65 @@
+"""Hot-key detection and routing.
+
+Per-key work that needs all of a key's rows in order (windows, trajectory
+cutting) runs best as a plain ``Window.partitionBy(key)`` when every key is
+small, and must be split when a key is hot. :func:`split_hot` finds the keys
+with more than ``threshold`` rows (a partial aggregation; only at most
+``max_hot`` keys reach the driver, a proven bound) and divides the rows into
+(normal, hot) with broadcast semi/anti joins on a null-safe struct key - no
+shuffle of the rows. Callers run the plain form on the normal rows and the
+bucketed form on the hot rows.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_HOT_ROWS = 2_000_000     # rows above which one key no longer goes to one task
+DEFAULT_MAX_HOT = 100_000        # hot keys broadcast at most (else every key is bucketed)
+
+_HK = "_hot_key"
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], threshold: int,
+             max_hot: int = DEFAULT_MAX_HOT) -> DataFrame | None | bool:
+    """Keys with more than ``threshold`` rows as a small DataFrame (one struct column).
+
+    Returns ``None`` when there is none and ``True`` when there are more than
+    ``max_hot`` (too many to broadcast: the caller should bucket every key).
+    """
+    keys = list(keys)
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    rows = (sizes.where(F.col("_n") > threshold).select(F.struct(*keys).alias(_HK))
+            .limit(max_hot + 1).collect())
+    if not rows:
+        return None
+    if len(rows) > max_hot:
+        return True
+    schema = df.select(F.struct(*keys).alias(_HK)).schema
+    return df.sparkSession.createDataFrame(rows, schema)
+
+
+def split_hot(df: DataFrame, keys: Sequence[str], threshold: int = DEFAULT_HOT_ROWS,
+              max_hot: int = DEFAULT_MAX_HOT) -> tuple[DataFrame | None, DataFrame | None]:
+    """``(normal_rows, hot_rows)``; either side is ``None`` when it is known to be empty."""
+    hot = hot_keys(df, keys, threshold, max_hot)
+    if hot is None:
+        return df, None
+    if hot is True:
+        return None, df
+    tagged = df.withColumn(_HK, F.struct(*keys))
+    b = F.broadcast(hot)
+    normal = tagged.join(b, _HK, "left_anti").drop(_HK)
+    hot_rows = tagged.join(b, _HK, "left_semi").drop(_HK)
+    return normal, hot_rows
+
+
+def union_parts(*parts: DataFrame | None) -> DataFrame:
+    present = [p for p in parts if p is not None]
+    out = present[0]
+    for p in present[1:]:
+        out = out.unionByName(p)
+    return out

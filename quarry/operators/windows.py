@@ -21,6 +21,22 @@ from .sequence import _KB, _null_safe_join, ordered_position, struct_join
 _B = "_w_bucket"
 
 
+def desc_bucket(value: str, *ties: str, spread: int = 0) -> Column:
+    """A bucket for ``ORDER BY value DESC [, ties...]`` that can split a hot key finely.
+
+    ``struct(-value, ties...)`` is non-decreasing along the order (null values,
+    which a descending sort puts last, get the largest first field). With no
+    tie columns, ``spread`` > 0 adds a hash sub-bucket: rows with equal value
+    are then ordered by that hash, which is a valid order of ties.
+    """
+    first = F.coalesce(-F.col(value), F.lit(2 ** 62))
+    if ties:
+        return F.struct(first.alias("v"), *[F.col(t) for t in ties])
+    if spread:
+        return F.struct(first.alias("v"), F.pmod(F.xxhash64("*"), F.lit(spread)).alias("h"))
+    return first
+
+
 def running_window(keys: Sequence[str], order: Sequence[Column | str]):
     """ROWS frame from the start of the partition to the current row."""
     return (Window.partitionBy(*keys).orderBy(*order)
@@ -29,12 +45,24 @@ def running_window(keys: Sequence[str], order: Sequence[Column | str]):
 
 def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
                    bucket: Column, value: str, sum_name: str = "running_sum",
-                   max_name: str = "running_max", nulls_last: bool = False) -> DataFrame:
+                   max_name: str = "running_max", nulls_last: bool = False,
+                   hot_threshold: int | None = None) -> DataFrame:
     """Running sum and max of ``value`` per key in ``order`` (ROWS frame), computed per
     (key, bucket) plus carried totals of the preceding buckets. ``bucket`` must be
     monotone non-decreasing in ``order``; ``nulls_last`` places null buckets last
-    (for descending orders)."""
+    (for descending orders). With ``hot_threshold`` only hot keys are bucketed;
+    the others use the plain window (see :mod:`.skew`)."""
     keys = list(keys)
+    if hot_threshold is not None and keys:
+        from .skew import split_hot, union_parts
+        normal, hot = split_hot(df, keys, hot_threshold)
+        plain = None
+        if normal is not None:
+            w = running_window(keys, order)
+            plain = normal.withColumns({sum_name: F.sum(value).over(w), max_name: F.max(value).over(w)})
+        bucketed = (running_totals(hot, keys, order, bucket, value, sum_name, max_name, nulls_last)
+                    if hot is not None else None)
+        return union_parts(plain, bucketed)
     b = df.withColumn(_B, bucket)
     per = b.groupBy(*keys, _B).agg(F.sum(value).alias("_s"), F.max(value).alias("_m"))
     bo = F.col(_B).asc_nulls_last() if nulls_last else F.col(_B).asc_nulls_first()
@@ -82,7 +110,8 @@ def ranks(df: DataFrame, keys: Sequence[str], order: str, descending: bool = Fal
 
 
 def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
-                bucket: Column, name: str = "row_number", nulls_last: bool = False) -> DataFrame:
-    """``row_number`` per key; ``bucket`` monotone in ``order`` spreads a key over tasks."""
-    return (ordered_position(df, keys, order, bucket, name, nulls_last)
+                bucket: Column, name: str = "row_number", nulls_last: bool = False,
+                hot_threshold: int | None = None) -> DataFrame:
+    """``row_number`` per key; ``bucket`` monotone in ``order`` spreads a hot key over tasks."""
+    return (ordered_position(df, keys, order, bucket, name, nulls_last, hot_threshold)
             .withColumn(name, F.col(name).cast("int")))

@@ -12,6 +12,9 @@ from .sqlutil import MS
 # Chunk size that makes cuts happen at the small scale factors (users have
 # 49-86 events at sf0.01); the reference constant 500 is used by the whole job.
 TEST_SIZE = 25
+# Vessels with more records than this take the split path; low on purpose so that
+# the test scales (49-86 events per user at sf0.01) run both the plain and the split path.
+SPLIT_DEMO = 60
 
 
 def _traj_sql(size: int, extra: str = "") -> str:
@@ -27,7 +30,7 @@ def _traj_sql(size: int, extra: str = "") -> str:
 @plan("trajectory_build", sql=_traj_sql(TEST_SIZE))
 def trajectory_build(spark, sf):
     """Per vessel, time-sorted records cut every 25 records."""
-    return T.build_trajectories(positions(spark, sf), size=TEST_SIZE)
+    return T.build_trajectories(positions(spark, sf), size=TEST_SIZE, hot_threshold=SPLIT_DEMO)
 
 
 @plan("trajectory_core", sql=_traj_sql(T.TRAJECTORY_SIZE))
@@ -59,7 +62,7 @@ def trajectory_times(spark, sf):
     f"FROM ({POSITIONS_SQL})"))
 def trajectory_time_diff(spark, sf):
     """Gap in milliseconds from the vessel's previous record."""
-    return T.time_diffs(positions(spark, sf).select("mmsi", "ts"))
+    return T.time_diffs(positions(spark, sf).select("mmsi", "ts"), hot_threshold=SPLIT_DEMO)
 
 
 @plan("trajectory_order_check", sql=(

@@ -24,9 +24,9 @@ def _day_frame(spark, sf, *extra):
     return r.withColumn("date", F.to_date("InvoiceDate")).drop("InvoiceDate")
 
 
-def _desc_bucket():
-    # buckets must be non-decreasing along "Quantity DESC": the negated quantity is
-    return -F.col("Quantity")
+# Keys with more rows than this take the split (bucketed) path; tiny on purpose,
+# so that at the test scales both the plain and the split path run.
+SPLIT_DEMO = 2
 
 
 @plan("window_running", sql=_r("CustomerId", "InvoiceDate", "Quantity") +
@@ -37,7 +37,8 @@ def _desc_bucket():
 def window_running(spark, sf):
     """Running sum and max per (customer, day), quantity descending."""
     r = _day_frame(spark, sf)
-    out = W.running_totals(r, ["CustomerId", "date"], [F.desc("Quantity")], _desc_bucket(), "Quantity", nulls_last=True)
+    out = W.running_totals(r, ["CustomerId", "date"], [F.desc("Quantity")],
+                           W.desc_bucket("Quantity", spread=16), "Quantity", hot_threshold=SPLIT_DEMO)
     return out.select("CustomerId", "date", "Quantity", "running_sum", "running_max")
 
 
@@ -50,7 +51,7 @@ def window_extra_cols(spark, sf):
     """Window result beside columns outside the partition key (total order by tie-breakers)."""
     r = _day_frame(spark, sf, "InvoiceNo", "StockCode")
     out = W.running_totals(r, ["CustomerId", "date"], [F.desc("Quantity"), "InvoiceNo", "StockCode"],
-                           _desc_bucket(), "Quantity", nulls_last=True)
+                           W.desc_bucket("Quantity", "InvoiceNo"), "Quantity", hot_threshold=SPLIT_DEMO)
     return out.select("CustomerId", "date", "InvoiceNo", "StockCode", "Quantity", "running_sum")
 
 
@@ -75,7 +76,7 @@ def window_multi(spark, sf):
     """Two different windows in one result."""
     r = _day_frame(spark, sf, "InvoiceNo", "StockCode")
     run = W.running_totals(r, ["CustomerId", "date"], [F.desc("Quantity"), "InvoiceNo", "StockCode"],
-                           _desc_bucket(), "Quantity", nulls_last=True)
+                           W.desc_bucket("Quantity", "InvoiceNo"), "Quantity")
     both = W.range_frame_sum(run, ["date"], "Quantity", "Quantity", -3, 0, descending=True)
     return both.select("InvoiceNo", "StockCode", "CustomerId", "date", "Quantity", "running_sum", "range_sum")
 
@@ -104,7 +105,7 @@ def row_number(spark, sf):
     """Position in the window (unique tie-breakers make it deterministic)."""
     r = _day_frame(spark, sf, "InvoiceNo", "StockCode")
     out = W.row_numbers(r, ["CustomerId", "date"], [F.desc("Quantity"), "InvoiceNo", "StockCode"],
-                        _desc_bucket(), nulls_last=True)
+                        W.desc_bucket("Quantity", "InvoiceNo"), hot_threshold=SPLIT_DEMO)
     return out.select("CustomerId", "date", "InvoiceNo", "StockCode", "Quantity", "row_number")
 
 

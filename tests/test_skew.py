@@ -1,0 +1,76 @@
+"""Hot-key routing: plain window for small keys, bucketed path for hot ones."""
+
+import datetime as dt
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from quarry.operators import sequence as Q
+from quarry.operators import skew
+from quarry.operators import trajectory as TR
+from quarry.operators import windows as W
+
+
+def _skewed(spark):
+    # key None is hot (a third of the rows), key 1 warm, others small
+    rows = [(None, i) for i in range(300)] + [(1, i) for i in range(120)] + \
+           [(k, i) for k in range(2, 60) for i in range(5)]
+    return spark.createDataFrame(rows, "k int, v int")
+
+
+def _sorted(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def test_split_hot_divides_rows(spark):
+    df = _skewed(spark)
+    normal, hot = skew.split_hot(df, ["k"], threshold=100)
+    assert hot is not None and normal is not None
+    assert {r.k for r in hot.select("k").distinct().collect()} == {None, 1}
+    assert normal.count() + hot.count() == df.count()
+    assert skew.split_hot(df, ["k"], threshold=10_000) == (df, None)
+    n2, h2 = skew.split_hot(df, ["k"], threshold=3, max_hot=5)   # too many hot keys
+    assert n2 is None and h2 is df
+
+
+def test_routed_position_equals_row_number(spark):
+    df = _skewed(spark)
+    want = df.withColumn("p", F.row_number().over(Window.partitionBy("k").orderBy("v")))
+    for threshold in (0, 100, 10_000):
+        got = Q.ordered_position(df, ["k"], ["v"], Q.value_bucket("v", 16), "p", hot_threshold=threshold)
+        assert _sorted(got.withColumn("p", F.col("p").cast("int"))) == _sorted(want), threshold
+
+
+def test_routed_lag_and_running_totals(spark):
+    df = _skewed(spark).withColumn("x", F.col("v") * 3)
+    w = Window.partitionBy("k").orderBy("v")
+    want = df.withColumn("prev_x", F.lag("x").over(w))
+    got = Q.ordered_previous(df, ["k"], "v", Q.value_bucket("v", 16), ["x"], hot_threshold=100)
+    assert _sorted(got) == _sorted(want)
+    rw = W.running_window(["k"], [F.desc("v")])
+    want2 = df.select("k", "v", F.sum("x").over(rw).alias("s"), F.max("x").over(rw).alias("m"))
+    got2 = W.running_totals(df, ["k"], [F.desc("v")], W.desc_bucket("v"), "x", "s", "m",
+                            hot_threshold=100).select("k", "v", "s", "m")
+    assert _sorted(got2) == _sorted(want2)
+
+
+def test_desc_bucket_with_hash_spread_keeps_multiset(spark):
+    rows = [(1, q) for q in (5, 5, 5, 3, 3, 9)] * 20
+    df = spark.createDataFrame(rows, "c int, q int")
+    rw = W.running_window(["c"], [F.desc("q")])
+    want = df.select("c", "q", F.sum("q").over(rw).alias("s"))
+    got = W.running_totals(df, ["c"], [F.desc("q")], W.desc_bucket("q", spread=8), "q", "s", "m",
+                           hot_threshold=0).select("c", "q", "s")
+    assert _sorted(got) == _sorted(want)
+
+
+def test_trajectories_with_hot_vessel(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(7, t0 + dt.timedelta(seconds=37 * i)) for i in range(2500)] + \
+           [(8, t0 + dt.timedelta(seconds=600 * i)) for i in range(30)]
+    df = spark.createDataFrame(rows, "mmsi int, ts timestamp_ntz")
+    plain = sorted(map(tuple, TR.build_trajectories_window(df, size=500).collect()))
+    for threshold in (None, 100, 10_000):
+        got = sorted(map(tuple, TR.build_trajectories(df, size=500, bucket_seconds=900,
+                                                       hot_threshold=threshold).collect()))
+        assert got == plain, threshold
