@@ -48,6 +48,26 @@ def map_sorted_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     return joined.groupBy(*keys, _SL).applyInPandas(per_group, schema)
 
 
+def map_sorted_groups_arrow(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column,
+                            fn: Callable[["pa.Table", int], "pa.Table"], schema: T.StructType | str,
+                            target_rows: int = 200_000) -> DataFrame:
+    """:func:`map_sorted_groups` with Arrow tables instead of pandas frames (less
+    conversion per call): ``fn(table_sorted_by_order, offset) -> table``."""
+    import pyarrow as pa  # noqa: F401  (type names above)
+    import pyarrow.compute as pc
+
+    keys, order = list(keys), list(order)
+    joined = _bucket_offsets(df, keys, bucket, target_rows)
+    data_cols = [c for c in df.columns]
+
+    def per_group(tbl):
+        offset = pc.min(tbl.column(_OFF)).as_py()
+        idx = pc.sort_indices(tbl, sort_keys=[(c, "ascending") for c in order])
+        return fn(tbl.select(data_cols).take(idx), int(offset))
+
+    return joined.groupBy(*keys, _SL).applyInArrow(per_group, schema)
+
+
 def _cut_sorted(keys: np.ndarray, ts: np.ndarray, pos0: np.ndarray, size: int) -> pd.DataFrame:
     """Partial trajectories of rows sorted by (key, ts): one row per run of equal
     (key, chunk), with chunk = 0-based position // size. Runs are contiguous, so
@@ -76,11 +96,13 @@ def trajectories_grouped(pos: DataFrame, key: str = "mmsi", ts: str = "ts", size
                            T.StructField("end_time", src.schema["ts"].dataType),
                            T.StructField("record_count", T.LongType())])
 
-    def cut(rows: pd.DataFrame, offset: int) -> pd.DataFrame:
-        return _cut_sorted(rows["mmsi"].to_numpy(), rows["ts"].to_numpy(),
-                           offset + np.arange(len(rows), dtype=np.int64), size)
+    def cut(rows, offset: int):
+        import pyarrow as pa
+        out = _cut_sorted(rows.column("mmsi").to_numpy(), rows.column("ts").to_numpy(),
+                          offset + np.arange(rows.num_rows, dtype=np.int64), size)
+        return pa.Table.from_pandas(out, preserve_index=False)
 
-    partial = map_sorted_groups(src, ["mmsi"], ["ts"], time_bucket("ts", bucket_seconds), cut, schema)
+    partial = map_sorted_groups_arrow(src, ["mmsi"], ["ts"], time_bucket("ts", bucket_seconds), cut, schema)
     return (partial.groupBy("mmsi", "chunk")
             .agg(F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time"),
                  F.sum("record_count").cast("int").alias("record_count"))
