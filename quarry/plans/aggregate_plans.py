@@ -212,7 +212,7 @@ def grouping_sets(spark, sf):
 
 @plan("rollup", sql=_r("InvoiceDate", "Quantity", "Country") +
       f"SELECT {MONTH_SQL} AS month, Country, CAST(sum(Quantity) AS BIGINT) AS total_qty, "
-      f"grouping({MONTH_SQL}, Country) AS gid FROM retail GROUP BY ROLLUP ({MONTH_SQL}, Country)")
+      f"CAST(grouping({MONTH_SQL}, Country) AS INTEGER) AS gid FROM retail GROUP BY ROLLUP ({MONTH_SQL}, Country)")
 def rollup(spark, sf):
     """Hierarchical subtotals month > country with the level id."""
     r = retail(spark, sf, "InvoiceDate", "Quantity", "Country").select(_month(), "Country", "Quantity")
@@ -222,7 +222,7 @@ def rollup(spark, sf):
 
 @plan("cube", sql=_r("InvoiceDate", "Quantity", "Country") +
       f"SELECT {MONTH_SQL} AS month, Country, CAST(sum(Quantity) AS BIGINT) AS total_qty, "
-      f"grouping({MONTH_SQL}, Country) AS gid FROM retail GROUP BY CUBE ({MONTH_SQL}, Country)")
+      f"CAST(grouping({MONTH_SQL}, Country) AS INTEGER) AS gid FROM retail GROUP BY CUBE ({MONTH_SQL}, Country)")
 def cube(spark, sf):
     """Subtotals for all subsets of (month, country)."""
     r = retail(spark, sf, "InvoiceDate", "Quantity", "Country").select(_month(), "Country", "Quantity")
@@ -231,7 +231,8 @@ def cube(spark, sf):
 
 
 @plan("grouping_id", sql=_r("InvoiceDate", "Country") +
-      "SELECT year(InvoiceDate) AS yr, Country, grouping(year(InvoiceDate), Country) AS level, count(*) AS n "
+      "SELECT CAST(year(InvoiceDate) AS INTEGER) AS yr, Country, "
+      "CAST(grouping(year(InvoiceDate), Country) AS INTEGER) AS level, count(*) AS n "
       "FROM retail GROUP BY CUBE (year(InvoiceDate), Country)")
 def grouping_id(spark, sf):
     """Level number of each cube row: 0 detail, 1 year total, 2 country total, 3 grand total."""

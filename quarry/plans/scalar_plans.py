@@ -122,7 +122,7 @@ def regexp_extract(spark, sf):
                                     S.extract_group(F.upper("p_name"), r"(RED|BLUE) (\w+)", 2).alias("thing"))
 
 
-@plan("length", sql=f"SELECT length(word) AS len, count(*) AS n FROM {WD_} GROUP BY 1")
+@plan("length", sql=f"SELECT CAST(length(word) AS INTEGER) AS len, count(*) AS n FROM {WD_} GROUP BY 1")
 def length(spark, sf):
     """Text length of every word (then counted per length)."""
     return words(spark, sf).groupBy(F.length("word").alias("len")).agg(F.count(F.lit(1)).alias("n"))
@@ -205,9 +205,9 @@ def unix_roundtrip(spark, sf):
     return o.select("o_orderkey", e.alias("epoch_s"), F.from_unixtime(e).alias("back"))
 
 
-@plan("datediff", sql="SELECT o_orderkey, date_diff('day', CAST(o_orderdate AS DATE), "
-                      "CAST(o_orderdate AS DATE) - 7) AS week_back, "
-                      "date_diff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) AS since FROM orders")
+@plan("datediff", sql="SELECT o_orderkey, CAST(date_diff('day', CAST(o_orderdate AS DATE), "
+                      "CAST(o_orderdate AS DATE) - 7) AS INTEGER) AS week_back, "
+                      "CAST(date_diff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) AS INTEGER) AS since FROM orders")
 def datediff(spark, sf):
     """Days between dates, end minus start."""
     d = F.to_date("o_orderdate")
@@ -249,7 +249,7 @@ def array_element(spark, sf):
     return _parts(spark, sf).select("p_partkey", S.element(arr, 1).alias("second"), S.element(arr, 5).alias("sixth"))
 
 
-@plan("array_size", sql="SELECT p_partkey, len(string_split(p_name, ' ')) AS n FROM part")
+@plan("array_size", sql="SELECT p_partkey, CAST(len(string_split(p_name, ' ')) AS INTEGER) AS n FROM part")
 def array_size(spark, sf):
     """Array length."""
     return _parts(spark, sf).select("p_partkey", F.size(F.split("p_name", " ")).alias("n"))
@@ -289,7 +289,7 @@ WL_KEYS = "list_sort(list_distinct(string_split(p_name, ' ')))"
 
 
 @plan("map_word_length", sql=f"SELECT p_partkey, {WL_KEYS} AS words, "
-                             f"list_transform({WL_KEYS}, lambda w: length(w)) AS lengths FROM part")
+                             f"list_transform({WL_KEYS}, lambda w: CAST(length(w) AS INTEGER)) AS lengths FROM part")
 def map_word_length(spark, sf):
     """Word -> length map of a text (shown as sorted keys and their values)."""
     m = S.word_lengths("p_name")
@@ -298,7 +298,7 @@ def map_word_length(spark, sf):
                                     F.transform(ks, lambda k: m[k]).alias("lengths"))
 
 
-@plan("map_size", sql="SELECT p_partkey, len(list_distinct(string_split(p_name, ' '))) AS n FROM part")
+@plan("map_size", sql="SELECT p_partkey, CAST(len(list_distinct(string_split(p_name, ' '))) AS INTEGER) AS n FROM part")
 def map_size(spark, sf):
     """Entry count of a map."""
     return _parts(spark, sf).select("p_partkey", F.size(S.word_lengths("p_name")).alias("n"))
@@ -311,7 +311,7 @@ def map_lookup(spark, sf):
     return _parts(spark, sf).select("p_partkey", S.word_lengths("p_name")["red"].alias("red_len"))
 
 
-@plan("explode_map", sql="SELECT w AS key, length(w) AS value, p_partkey FROM "
+@plan("explode_map", sql="SELECT w AS key, CAST(length(w) AS INTEGER) AS value, p_partkey FROM "
                          "(SELECT unnest(list_distinct(string_split(p_name, ' '))) AS w, p_partkey FROM part)")
 def explode_map(spark, sf):
     """One row per map entry: columns ``key`` and ``value`` (word -> length)."""

@@ -69,8 +69,8 @@ def udf_array(spark, sf):
     return p.select("p_partkey", S.zeros("p_size").alias("zeros"))
 
 
-@plan("udf_map", sql="SELECT p_partkey, len(list_distinct(string_split(p_name, ' '))) AS n, "
-                     "length(string_split(p_name, ' ')[1]) AS first_len FROM part")
+@plan("udf_map", sql="SELECT p_partkey, CAST(len(list_distinct(string_split(p_name, ' '))) AS INTEGER) AS n, "
+                     "CAST(length(string_split(p_name, ' ')[1]) AS INTEGER) AS first_len FROM part")
 def udf_map(spark, sf):
     """Map-valued function (native form): word -> length, looked up and sized."""
     p = read_table(spark, sf, "part", "p_partkey", "p_name")
@@ -143,9 +143,10 @@ def instant_ms_column(spark, sf):
     return ev.select("event_id", S.truncate_to_millis("ts").alias("instant"))
 
 
-@plan("opaque_column", sql="SELECT p_partkey, encode(p_name) AS stored, 'restored: ' || p_name AS restored FROM part")
+@plan("opaque_column", sql="SELECT p_partkey, hex(encode(p_name)) AS stored_hex, 'restored: ' || p_name AS restored "
+                          "FROM part")
 def opaque_column(spark, sf):
-    """A text object stored as bytes and restored."""
+    """A text object stored as bytes (shown as hex) and restored."""
     p = read_table(spark, sf, "part", "p_partkey", "p_name")
     stored = p.select("p_partkey", S.to_bytes("p_name").alias("stored"))
-    return stored.select("p_partkey", "stored", S.restore_text("stored").alias("restored"))
+    return stored.select("p_partkey", F.hex("stored").alias("stored_hex"), S.restore_text("stored").alias("restored"))

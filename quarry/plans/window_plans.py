@@ -84,7 +84,8 @@ def window_multi(spark, sf):
 @plan("window_plain", sql=_r("CustomerId", "InvoiceDate", "Quantity") +
       f"SELECT CustomerId, {DAY} AS date, Quantity, "
       f"CAST(sum(Quantity) OVER w AS BIGINT) AS running_sum, max(Quantity) OVER w AS running_max, "
-      f"dense_rank() OVER (PARTITION BY CustomerId, {DAY} ORDER BY Quantity DESC) AS dense_rank FROM retail "
+      f"CAST(dense_rank() OVER (PARTITION BY CustomerId, {DAY} ORDER BY Quantity DESC) AS INTEGER) AS dense_rank "
+      f"FROM retail "
       f"WINDOW w AS (PARTITION BY CustomerId, {DAY} ORDER BY Quantity DESC "
       f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
 def window_plain(spark, sf):
