@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..fixed import RESTORED_PREFIX
+
 
 def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -137,5 +139,5 @@ def to_bytes(c: str | Column, charset: str = "UTF-8") -> Column:
     return F.encode(_c(c), charset)
 
 
-def restore_text(b: str | Column, prefix: str = "restored: ", charset: str = "UTF-8") -> Column:
+def restore_text(b: str | Column, prefix: str = RESTORED_PREFIX, charset: str = "UTF-8") -> Column:
     return F.concat(F.lit(prefix), F.decode(_c(b), charset))

@@ -13,6 +13,8 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..fixed import DISCOUNT_FACTOR, DISCOUNT_MIN_QUANTITY
+
 
 @F.pandas_udf(T.DoubleType())
 def cube_vec(x: pd.Series) -> pd.Series:
@@ -43,14 +45,14 @@ def register_power3_python(spark: SparkSession, name: str = "power3_py") -> None
 def discount_vec(quantity: pd.Series, price: pd.Series) -> pd.Series:
     """Two-column UDF: 10 % off from 6 items on."""
     p = price.astype("float64")
-    return p.where(quantity < 6, p * 0.9)
+    return p.where(quantity < DISCOUNT_MIN_QUANTITY, p * DISCOUNT_FACTOR)
 
 
 @F.pandas_udf(T.DoubleType())
 def discount_row_vec(rec: pd.DataFrame) -> pd.Series:
     """UDF over a struct of the needed columns (never the whole row)."""
     p = rec["UnitPrice"].astype("float64")
-    return p.where(rec["Quantity"] < 6, p * 0.9)
+    return p.where(rec["Quantity"] < DISCOUNT_MIN_QUANTITY, p * DISCOUNT_FACTOR)
 
 
 def discount_on_struct(quantity: str = "Quantity", price: str = "UnitPrice") -> Column:

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..fixed import MISSING_CODE, TRUNCATE_MARKER, TRUNCATE_WIDTH
+
 
 def null_if(c: str | Column, value) -> Column:
     """Null where the column equals ``value`` (typed literal, no implicit text/number mix)."""
@@ -50,8 +52,8 @@ def replace_values(df: DataFrame, mapping: Mapping, subset: Sequence[str]) -> Da
     return df.replace(dict(mapping), subset=list(subset))
 
 
-def truncate_code(c: str | Column, width: int = 3, marker: str = "(trunc)",
-                  missing: str = "xxx") -> Column:
+def truncate_code(c: str | Column, width: int = TRUNCATE_WIDTH, marker: str = TRUNCATE_MARKER,
+                  missing: str = MISSING_CODE) -> Column:
     """Null -> ``missing``; longer than ``width`` -> first ``width`` characters + ``marker``."""
     col = F.col(c) if isinstance(c, str) else c
     return (F.when(col.isNull(), F.lit(missing))

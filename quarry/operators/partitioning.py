@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..fixed import PARTITION_TAG_SEPARATOR
+
 
 def num_partitions(df: DataFrame) -> int:
     return df.rdd.getNumPartitions()
@@ -77,7 +79,7 @@ def partition_counts(df: DataFrame) -> DataFrame:
     return df.select(F.lit(1).alias("_one")).mapInPandas(count, "pid int, n long")
 
 
-def tag_with_partition(c: str | Column, sep: str = " -> ") -> Column:
+def tag_with_partition(c: str | Column, sep: str = PARTITION_TAG_SEPARATOR) -> Column:
     """Prefix a value with its partition number."""
     col = F.col(c) if isinstance(c, str) else c
     return F.concat(F.spark_partition_id().cast("string"), F.lit(sep), col.cast("string"))

@@ -12,6 +12,8 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..fixed import DISCOUNT_FACTOR, DISCOUNT_MIN_QUANTITY, WRAP_MARK
+
 
 def select_names(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*names)
@@ -51,8 +53,8 @@ def cast_columns(df: DataFrame, types: Mapping[str, str], safe: bool = False) ->
                            for c, t in types.items()})
 
 
-def discounted_price(quantity: str | Column, price: str | Column, min_qty: int = 6,
-                     factor: float = 0.9) -> Column:
+def discounted_price(quantity: str | Column, price: str | Column, min_qty: int = DISCOUNT_MIN_QUANTITY,
+                     factor: float = DISCOUNT_FACTOR) -> Column:
     """Conditional value: the price, reduced by ``factor`` from ``min_qty`` items on."""
     q = F.col(quantity) if isinstance(quantity, str) else quantity
     p = F.col(price) if isinstance(price, str) else price
@@ -80,7 +82,7 @@ def unpack_struct(df: DataFrame, name: str = "record") -> DataFrame:
     return df.select(f"{name}.*")
 
 
-def wrap_text(c: str | Column, left: str = "!!", right: str = "!!") -> Column:
+def wrap_text(c: str | Column, left: str = WRAP_MARK, right: str = WRAP_MARK) -> Column:
     """Per-row map of one value: ``left + value + right``."""
     col = F.col(c) if isinstance(c, str) else c
     return F.concat(F.lit(left), col, F.lit(right))

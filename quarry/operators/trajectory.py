@@ -17,10 +17,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..fixed import TRAJECTORY_SIZE
 from .sequence import ordered_position, ordered_previous, time_bucket
 from .skew import DEFAULT_HOT_ROWS
 
-TRAJECTORY_SIZE = 500          # fixed value: records per trajectory
 TRAJECTORY_COLUMNS = ("mmsi", "start_time", "end_time", "record_count")
 
 

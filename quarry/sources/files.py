@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..fixed import POSITION_TIME_FORMAT as AIS_TIME_FORMAT
 from ..session import checkpoint_dir
 
-AIS_TIME_FORMAT = "dd/MM/yyyy HH:mm:ss"   # fixed value: position file time format
 # Full microsecond precision for timestamps in CSV (Spark's default keeps milliseconds).
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 AIS_SCHEMA = T.StructType([
