@@ -74,20 +74,37 @@ def cogroup_long(left: DataFrame, right: DataFrame, key: str, left_value: str, r
     return parts.sortWithinPartitions(key, "side", "value")
 
 
-def quantile_bucket(df: DataFrame, column: str, num_buckets: int, accuracy: int = 10_000) -> Column:
-    """An order-preserving bucket of ``column`` with about equal row counts per bucket.
-
-    The ``num_buckets - 1`` approximate quantiles reach the driver (a result bounded by
-    ``num_buckets``); the bucket of a value is the number of boundaries at or below it.
-    Nulls get a null bucket (ordered first, like nulls in an ascending sort).
-    """
+def quantile_boundaries(df: DataFrame, column: str, num_buckets: int, accuracy: int = 10_000) -> list:
+    """The distinct approximate ``1/n .. (n-1)/n`` quantiles of ``column`` (at most
+    ``num_buckets - 1`` values reach the driver)."""
     probs = [i / num_buckets for i in range(1, num_buckets)]
     qs = df.select(F.percentile_approx(column, probs, accuracy)).first()[0] or []
-    bounds = sorted({q for q in qs if q is not None})
+    return sorted({q for q in qs if q is not None})
+
+
+def with_quantile_bucket(df: DataFrame, column: str, num_buckets: int, name: str = "_zb") -> DataFrame:
+    """Add an order-preserving bucket of ``column`` with about equal row counts per bucket.
+
+    The bucket of a value is the number of boundaries at or below it; nulls get a
+    null bucket (ordered first, like nulls in an ascending sort). Numeric columns
+    are bucketed by a binary search in the JVM (``Bucketizer``); other orderable
+    types by comparing against each boundary.
+    """
+    bounds = quantile_boundaries(df, column, num_buckets)
+    c = F.col(column)
     if not bounds:
-        return F.when(F.col(column).isNotNull(), F.lit(0))
+        return df.withColumn(name, F.when(c.isNotNull(), F.lit(0)))
+    numeric = df.schema[column].dataType.typeName() in ("byte", "short", "integer", "long", "float",
+                                                         "double", "decimal")
+    if numeric:
+        from pyspark.ml.feature import Bucketizer
+        splits = [float("-inf")] + [float(b) for b in bounds] + [float("inf")]
+        splits = sorted(set(splits))
+        tmp = df.withColumn("_zq", c.cast("double"))
+        out = Bucketizer(splits=splits, inputCol="_zq", outputCol=name, handleInvalid="keep").transform(tmp)
+        return out.withColumn(name, F.when(c.isNotNull(), F.col(name).cast("int"))).drop("_zq")
     arr = F.array(*[F.lit(b) for b in bounds])
-    return F.size(F.filter(arr, lambda b: b <= F.col(column)))
+    return df.withColumn(name, F.when(c.isNotNull(), F.size(F.filter(arr, lambda b: b <= c))))
 
 
 def with_row_position(df: DataFrame, order: Sequence[str], num_buckets: int,
@@ -99,8 +116,8 @@ def with_row_position(df: DataFrame, order: Sequence[str], num_buckets: int,
     and numbered inside each bucket. No global single-task window, no dependence on
     physical partition ids.
     """
-    bucket = quantile_bucket(df, order[0], num_buckets)
-    return ordered_position(df, [], list(order), bucket, name)
+    b = with_quantile_bucket(df, order[0], num_buckets, "_zb")
+    return ordered_position(b, [], list(order), F.col("_zb"), name).drop("_zb")
 
 
 def zip_positional(a: DataFrame, b: DataFrame, order_a: Sequence[str], order_b: Sequence[str],

@@ -251,3 +251,13 @@ def test_hot_key_isolation(spark):
     hot = p.where("c = 17850").select("pid").distinct().collect()
     assert [r.pid for r in hot] == [0]
     assert {r.pid for r in p.where("c != 17850").select("pid").distinct().collect()} == {1, 2}
+
+
+def test_row_position_text_key_with_nulls(spark):
+    vals = [f"w{i:03d}" for i in range(200)] + [None, None]
+    df = spark.createDataFrame([(v,) for v in vals], "v string")
+    got = J.with_row_position(df, ["v"], 6).collect()
+    assert sorted(r.row_pos for r in got) == list(range(1, 203))
+    by_pos = {r.row_pos: r.v for r in got}
+    assert by_pos[1] is None and by_pos[2] is None          # nulls first, as in an ascending sort
+    assert [by_pos[i] for i in range(3, 203)] == sorted(v for v in vals if v is not None)
