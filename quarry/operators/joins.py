@@ -74,12 +74,29 @@ def cogroup_long(left: DataFrame, right: DataFrame, key: str, left_value: str, r
     return parts.sortWithinPartitions(key, "side", "value")
 
 
-def quantile_boundaries(df: DataFrame, column: str, num_buckets: int, accuracy: int = 10_000) -> list:
-    """The distinct approximate ``1/n .. (n-1)/n`` quantiles of ``column`` (at most
-    ``num_buckets - 1`` values reach the driver)."""
-    probs = [i / num_buckets for i in range(1, num_buckets)]
-    qs = df.select(F.percentile_approx(column, probs, accuracy)).first()[0] or []
-    return sorted({q for q in qs if q is not None})
+_NUMERIC = ("byte", "short", "integer", "long", "float", "double", "decimal")
+
+
+def quantile_boundaries(df: DataFrame, column: str, num_buckets: int, accuracy: int = 10_000,
+                        per_bucket_sample: int = 64, seed: int = 17) -> list:
+    """The distinct approximate ``1/n .. (n-1)/n`` quantiles of ``column``.
+
+    Numeric columns use ``percentile_approx`` (at most ``num_buckets - 1`` values reach
+    the driver). Other orderable types use a sample of about ``per_bucket_sample``
+    values per bucket (a bounded driver result, as Spark's range partitioner does).
+    """
+    if df.schema[column].dataType.typeName() in _NUMERIC:
+        probs = [i / num_buckets for i in range(1, num_buckets)]
+        qs = df.select(F.percentile_approx(column, probs, accuracy)).first()[0] or []
+        return sorted({q for q in qs if q is not None})
+    present = df.select(column).where(F.col(column).isNotNull())
+    target = per_bucket_sample * num_buckets
+    n = present.count()
+    frac = min(1.0, 2.0 * target / max(n, 1))
+    sample = sorted(r[0] for r in present.sample(False, frac, seed).limit(4 * target).collect())
+    if not sample:
+        return []
+    return sorted({sample[len(sample) * i // num_buckets] for i in range(1, num_buckets)})
 
 
 def with_quantile_bucket(df: DataFrame, column: str, num_buckets: int, name: str = "_zb") -> DataFrame:
@@ -94,9 +111,7 @@ def with_quantile_bucket(df: DataFrame, column: str, num_buckets: int, name: str
     c = F.col(column)
     if not bounds:
         return df.withColumn(name, F.when(c.isNotNull(), F.lit(0)))
-    numeric = df.schema[column].dataType.typeName() in ("byte", "short", "integer", "long", "float",
-                                                         "double", "decimal")
-    if numeric:
+    if df.schema[column].dataType.typeName() in _NUMERIC:
         from pyspark.ml.feature import Bucketizer
         splits = [float("-inf")] + [float(b) for b in bounds] + [float("inf")]
         splits = sorted(set(splits))
