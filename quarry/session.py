@@ -44,8 +44,9 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared checkpoint folder named by the cluster.
 
     Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only
-    when neither is set is ``fallback`` installed, which tests use with a
-    fresh scratch folder. On a cluster the setting must name shared storage.
+    when neither is set is ``fallback`` installed (tests pass a fresh scratch
+    folder), or, for a ``local`` master only, a new scratch folder. On a
+    cluster the setting must name shared storage; without it this raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -53,6 +54,10 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     chosen = conf_dir or fallback
+    if not chosen and sc.master.startswith("local"):
+        # a single-machine session (tests, smoke runs): a scratch folder is shared by definition
+        import tempfile
+        chosen = tempfile.mkdtemp(prefix="quarry-ckpt-")
     if not chosen:
         raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for checkpoints")
     sc.setCheckpointDir(chosen)
