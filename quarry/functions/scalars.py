@@ -93,19 +93,35 @@ def add_minutes_fn(minutes: int):
     return lambda c: plus_minutes(c, minutes)
 
 
+def _epoch_ntz() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def epoch_millis(c: str | Column, ntz: bool = True) -> Column:
+    """Milliseconds since the epoch, rounded down (as ``unix_millis``).
+
+    A TIMESTAMP_NTZ value is read as UTC wall-clock with NTZ arithmetic, so the
+    result does not depend on the session time zone; ``ntz=False`` for TIMESTAMP.
+    """
+    col = _c(c)
+    if not ntz:
+        return F.unix_millis(col)
+    micros = F.timestamp_diff("MICROSECOND", _epoch_ntz(), col)
+    return ((micros - F.pmod(micros, F.lit(1000))) / F.lit(1000)).cast("long")
+
+
 def diff_seconds(a: str | Column, b: str | Column) -> Column:
     return F.unix_timestamp(_c(a)) - F.unix_timestamp(_c(b))
 
 
-def diff_millis(a: str | Column, b: str | Column) -> Column:
-    """a - b in milliseconds (NTZ values read as UTC wall-clock)."""
-    return F.unix_millis(_c(a).cast("timestamp")) - F.unix_millis(_c(b).cast("timestamp"))
+def diff_millis(a: str | Column, b: str | Column, ntz: bool = True) -> Column:
+    """a - b in milliseconds (each side rounded down to whole milliseconds first)."""
+    return epoch_millis(a, ntz) - epoch_millis(b, ntz)
 
 
 def truncate_to_millis(c: str | Column) -> Column:
-    """Keep millisecond precision only (an Instant stored as epoch ms), same type."""
-    col = _c(c)
-    return F.timestamp_millis(F.unix_millis(col.cast("timestamp"))).cast("timestamp_ntz")
+    """Keep millisecond precision only (an instant stored as epoch ms) of a TIMESTAMP_NTZ."""
+    return F.timestamp_add("MILLISECOND", epoch_millis(c), _epoch_ntz())
 
 
 # --- arrays ----------------------------------------------------------------

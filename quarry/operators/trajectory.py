@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..fixed import TRAJECTORY_SIZE
+from ..functions import scalars as S
 from .sequence import ordered_position, ordered_previous, time_bucket
 from .skew import DEFAULT_HOT_ROWS
 
@@ -25,12 +26,8 @@ TRAJECTORY_COLUMNS = ("mmsi", "start_time", "end_time", "record_count")
 
 
 def epoch_millis(c: str | Column) -> Column:
-    """Milliseconds since the epoch of a TIMESTAMP or TIMESTAMP_NTZ column.
-
-    NTZ values are read as UTC wall-clock (the library pins the session zone to UTC).
-    """
-    col = F.col(c) if isinstance(c, str) else c
-    return F.unix_millis(col.cast("timestamp"))
+    """Milliseconds since the epoch of a TIMESTAMP_NTZ column (session-zone independent)."""
+    return S.epoch_millis(c)
 
 
 def minutes_to_millis(minutes: str | Column) -> Column:

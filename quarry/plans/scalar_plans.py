@@ -188,7 +188,9 @@ def date_add_sub(spark, sf):
                               "strftime(o_orderdate + INTERVAL 5 MINUTE, '%Y-%m-%d %H:%M:%S') AS plus5_text, "
                               "o_orderdate + INTERVAL 5 MINUTE AS plus5_fn FROM orders")
 def ts_plus_interval(spark, sf):
-    """Add minutes: interval literal, epoch seconds (text result), parameterised function."""
+    """Add minutes: interval literal, epoch seconds (text result), parameterised function.
+
+    The epoch-seconds spelling renders its text in the session time zone (UTC here)."""
     o = _orders(spark, sf)
     add5 = S.add_minutes_fn(5)
     return o.select("o_orderkey", (F.col("o_orderdate") + F.expr("INTERVAL 5 MINUTES")).alias("plus5"),
@@ -199,7 +201,7 @@ def ts_plus_interval(spark, sf):
 @plan("unix_roundtrip", sql="SELECT o_orderkey, epoch_us(o_orderdate) // 1000000 AS epoch_s, "
                             "strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS back FROM orders")
 def unix_roundtrip(spark, sf):
-    """Epoch seconds and back to text."""
+    """Epoch seconds and back to text (rendered in the session time zone, UTC here)."""
     o = _orders(spark, sf)
     e = F.unix_timestamp("o_orderdate")
     return o.select("o_orderkey", e.alias("epoch_s"), F.from_unixtime(e).alias("back"))
@@ -220,7 +222,8 @@ def datediff(spark, sf):
 def diff_seconds(spark, sf):
     """Difference in seconds."""
     ev = read_table(spark, sf, "events", "event_id", "ts")
-    return ev.select("event_id", S.diff_seconds("ts", F.date_trunc("day", "ts")).alias("secs"))
+    day_start = F.to_date("ts").cast("timestamp_ntz")     # zone-free for TIMESTAMP_NTZ
+    return ev.select("event_id", S.diff_seconds("ts", day_start).alias("secs"))
 
 
 _DAY_START = "date_trunc('day', ts)"
@@ -230,7 +233,8 @@ _DAY_START = "date_trunc('day', ts)"
 def diff_millis(spark, sf):
     """Difference in milliseconds."""
     ev = read_table(spark, sf, "events", "event_id", "ts")
-    return ev.select("event_id", S.diff_millis("ts", F.date_trunc("day", "ts")).alias("ms"))
+    day_start = F.to_date("ts").cast("timestamp_ntz")
+    return ev.select("event_id", S.diff_millis("ts", day_start).alias("ms"))
 
 
 # --- arrays ----------------------------------------------------------------------
