@@ -8,11 +8,14 @@ property tests instead.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import ship_package
+
 PlanFn = Callable[[SparkSession, str], DataFrame]
 
 
@@ -31,6 +34,12 @@ def plan(key: str, sql: str | None = None):
     def deco(fn: PlanFn) -> PlanFn:
         if key in PLANS:
             raise ValueError(f"duplicate plan key {key!r}")
-        PLANS[key] = Plan(key, fn, sql, (fn.__doc__ or "").strip())
+
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)          # executors import the package for Python UDFs
+            return fn(spark, sf_dir)
+
+        PLANS[key] = Plan(key, run, sql, (fn.__doc__ or "").strip())
         return fn
     return deco

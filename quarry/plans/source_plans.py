@@ -47,8 +47,7 @@ def csv_gz_scan(spark, sf):
     """Gzip CSV (one task per file) redistributed after the read."""
     path = files.write_csv(flights(spark, sf), files.scratch_path(spark, "flights-gz"), header=True,
                            compression="gzip")
-    return files.read_csv(spark, f"{path}/*.csv.gz", FLIGHTS_SCHEMA,
-                          min_partitions=spark.sparkContext.defaultParallelism)
+    return files.read_csv(spark, path, FLIGHTS_SCHEMA, min_partitions=spark.sparkContext.defaultParallelism)
 
 
 @plan("range_source", sql="SELECT row_number() OVER () - 1 AS id FROM orders")
@@ -92,7 +91,7 @@ def _position_csv(spark, sf) -> str:
 @plan("ais_ingest", sql=f"SELECT mmsi, date_trunc('second', ts) AS ts, lat, lon FROM ({POSITIONS_SQL})")
 def ais_ingest(spark, sf):
     """Position CSV (gzip, text times dd/MM/yyyy HH:mm:ss) parsed into typed records."""
-    raw = files.read_csv(spark, f"{_position_csv(spark, sf)}/*.csv.gz", files.AIS_SCHEMA,
+    raw = files.read_csv(spark, _position_csv(spark, sf), files.AIS_SCHEMA,
                          min_partitions=spark.sparkContext.defaultParallelism)
     good, _rejects = files.ingest_positions(raw)
     return good

@@ -25,6 +25,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     """Return the active session, or build one with the local defaults."""
     active = SparkSession.getActiveSession()
     if active is not None:
+        ship_package(active)
         return active
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -37,6 +38,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
@@ -66,3 +68,30 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
 
 def default_sf_dir() -> str:
     return os.environ.get("QUARRY_SF_DIR", "/root/testdata/sf0.01")
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the executors' Python workers.
+
+    Functions used by Arrow UDFs and ``mapInPandas``/``applyInArrow`` are pickled
+    by reference, so the workers need the package. It is zipped once per
+    application on the driver and added with ``addPyFile``; Spark distributes it
+    to every executor (as ``--py-files`` would).
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import pathlib
+    import tempfile
+    import zipfile
+    pkg = pathlib.Path(__file__).resolve().parent
+    out = pathlib.Path(tempfile.mkdtemp(prefix="quarry-pkg-")) / "quarry.zip"
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(pkg.rglob("*.py")):
+            z.write(f, f.relative_to(pkg.parent).as_posix())
+    sc.addPyFile(str(out))
+    _SHIPPED.add(app)
