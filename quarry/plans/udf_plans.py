@@ -104,14 +104,15 @@ def udf_null_aware(spark, sf):
     return r.select("InvoiceNo", N.truncate_code("StockCode2").alias("code"))
 
 
-@plan("udaf_columns", sql=_r("Quantity") + "SELECT round(avg(Quantity), 6) AS avg_qty, "
-                                           "round(avg(Quantity), 6) AS my_avg FROM retail")
+@plan("udaf_columns", sql=_r("Quantity") + "SELECT 'avg' AS agg, round(avg(Quantity), 6) AS value FROM retail "
+                                           "UNION ALL SELECT 'my_avg', round(avg(Quantity), 6) FROM retail")
 def udaf_columns(spark, sf):
-    """Custom mean over a column beside the built-in avg (whole table)."""
+    """Custom mean over a column beside the built-in avg (whole table), one row each."""
     r = retail(spark, sf, "Quantity")
-    mine = udaf.aggregate(r, [], udaf.mean_of("Quantity"))
-    builtin = r.agg(F.avg("Quantity").alias("avg_qty"))
-    return builtin.crossJoin(mine).select(F.round("avg_qty", 6).alias("avg_qty"), F.round("my_avg", 6).alias("my_avg"))
+    mine = udaf.aggregate(r, [], udaf.mean_of("Quantity")).select(
+        F.lit("my_avg").alias("agg"), F.round("my_avg", 6).alias("value"))
+    builtin = r.agg(F.lit("avg").alias("agg"), F.round(F.avg("Quantity"), 6).alias("value"))
+    return builtin.unionByName(mine)
 
 
 @plan("udaf_rows", sql=_r("Quantity", "UnitPrice", "Country") +
