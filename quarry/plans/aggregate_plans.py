@@ -337,3 +337,9 @@ def metric_sum_where(spark, sf):
 def metric_sum_even(spark, sf):
     """Side metric with its own rule: sum of even counts."""
     return flights(spark, sf).agg(F.sum(F.when(F.col("cnt") % 2 == 0, F.col("cnt"))).alias("metric"))
+
+
+@plan("describe_text")
+def describe_text(spark, sf):
+    """Spark's own ``describe()``: count, mean, stddev, min, max per column, as text."""
+    return retail(spark, sf, "Quantity", "UnitPrice", "Country").describe()

@@ -306,3 +306,14 @@ def filter_subtotals(spark, sf):
         "month", F.trunc(F.to_date("InvoiceDate"), "month"))
     ru = A.rollup(r, ["month", "Country"], F.sum("Quantity").alias("total_qty"))
     return FL.grouping_level(ru, 1).select("month", "Country", "total_qty", F.col("gid").cast("int").alias("gid"))
+
+
+@plan("filter_subtotals_nulls", sql=_retail_cte("InvoiceDate", "Quantity", "Country") +
+      "SELECT CAST(date_trunc('month', InvoiceDate) AS DATE) AS month, CAST(NULL AS VARCHAR) AS Country, "
+      "CAST(sum(Quantity) AS BIGINT) AS total_qty FROM retail GROUP BY 1")
+def filter_subtotals_nulls(spark, sf):
+    """The same rollup level selected by its null pattern (data nulls removed before the rollup)."""
+    r = retail(spark, sf, "InvoiceDate", "Quantity", "Country").withColumn(
+        "month", F.trunc(F.to_date("InvoiceDate"), "month"))
+    ru = A.rollup(r, ["month", "Country"], F.sum("Quantity").alias("total_qty"), gid=None)
+    return ru.where("month IS NOT NULL AND Country IS NULL").select("month", "Country", "total_qty")
