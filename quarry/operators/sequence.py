@@ -14,6 +14,9 @@ timestamp), so the expensive per-row window runs per (key, bucket):
 The result equals the global per-key numbering for any bucket expression that
 is monotone non-decreasing in the ordering. Only the count table is ever
 grouped by the key alone, and it holds one row per (key, bucket).
+
+With ``hot_threshold`` only the hot keys take this path; the others use the
+plain per-key window (one shuffle), see :mod:`.skew`.
 """
 
 from __future__ import annotations
@@ -23,6 +26,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .skew import split_hot, union_parts
+
 _B, _N, _OFF, _KB = "_q_bucket", "_q_n", "_q_offset", "_q_kb"
 
 
@@ -82,7 +87,6 @@ def ordered_position(df: DataFrame, keys: Sequence[str], order: Sequence[str | C
     """
     keys = list(keys)
     if hot_threshold is not None and keys:
-        from .skew import split_hot, union_parts
         normal, hot = split_hot(df, keys, hot_threshold)
         plain = None
         if normal is not None:
@@ -108,7 +112,6 @@ def ordered_previous(df: DataFrame, keys: Sequence[str], order: str, bucket: Col
     ``hot_threshold`` as in :func:`ordered_position`."""
     keys = list(keys)
     if hot_threshold is not None and keys:
-        from .skew import split_hot, union_parts
         normal, hot = split_hot(df, keys, hot_threshold)
         plain = None
         if normal is not None:
