@@ -40,3 +40,10 @@ def test_aggregations_are_partial_before_the_shuffle(spark, sf):
     for key in ("count_by_key", "reduce_by_key", "group_by_key", "collect_set", "value_counts"):
         p = _plan(PLANS[key].fn(spark, sf))
         assert "partial_" in p, key
+
+
+def test_flagship_common_path_shuffles_once(spark, sf):
+    # no hot vessel: one hash exchange on the vessel, the chunk aggregate reuses it
+    p = _plan(PLANS["trajectory_core"].fn(spark, sf))
+    assert p.count("Exchange") == 1 and "hashpartitioning(mmsi" in p
+    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint>" in p
