@@ -101,10 +101,10 @@ def broadcast_lookup(spark, sf):
 def zip_positional(spark, sf):
     """Row i of orders by key paired with row i of orders by price descending."""
     o = read_table(spark, sf, "orders", "o_orderkey", "o_totalprice")
-    a = o.select("o_orderkey")
-    b = o.select("o_totalprice", F.col("o_orderkey").alias("_k"))
-    b_sorted = b.select((-F.col("o_totalprice")).alias("_neg"), "o_totalprice", "_k")
-    out = J.zip_positional(a, b_sorted, ["o_orderkey"], ["_neg", "_k"], spark.sparkContext.defaultParallelism)
+    by_key = o.select("o_orderkey")
+    # descending price (ties by key) as an ascending order on the negated price
+    by_price = o.select((-F.col("o_totalprice")).alias("_neg"), "o_totalprice", F.col("o_orderkey").alias("_k"))
+    out = J.zip_positional(by_key, by_price, ["o_orderkey"], ["_neg", "_k"], spark.sparkContext.defaultParallelism)
     return out.select("o_orderkey", "o_totalprice")
 
 
