@@ -42,7 +42,8 @@ def map_sorted_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
     def per_group(pdf: pd.DataFrame) -> pd.DataFrame:
         offset = int(pdf[_OFF].min())       # the slice's first bucket starts here
-        rows = pdf.sort_values(order, kind="stable").drop(columns=[_B, _OFF, _SL]).reset_index(drop=True)
+        rows = (pdf.sort_values(order, kind="stable", na_position="first")   # Spark's ascending order
+                .drop(columns=[_B, _OFF, _SL]).reset_index(drop=True))
         return fn(rows, offset)
 
     return joined.groupBy(*keys, _SL).applyInPandas(per_group, schema)
@@ -62,7 +63,7 @@ def map_sorted_groups_arrow(df: DataFrame, keys: Sequence[str], order: Sequence[
 
     def per_group(tbl):
         offset = pc.min(tbl.column(_OFF)).as_py()
-        idx = pc.sort_indices(tbl, sort_keys=[(c, "ascending") for c in order])
+        idx = pc.sort_indices(tbl, sort_keys=[(c, "ascending") for c in order], null_placement="at_start")
         return fn(tbl.select(data_cols).take(idx), int(offset))
 
     return joined.groupBy(*keys, _SL).applyInArrow(per_group, schema)
@@ -81,7 +82,14 @@ def _cut_sorted(keys: np.ndarray, ts: np.ndarray, pos0: np.ndarray, size: int) -
     change[1:] = (chunk[1:] != chunk[:-1]) | (keys[1:] != keys[:-1])
     first = np.flatnonzero(change)
     last = np.append(first[1:] - 1, n - 1)
-    return pd.DataFrame({"mmsi": keys[first], "chunk": chunk[first], "start_time": ts[first],
+    # null times sort first; like min(), the start is the run's first non-null time
+    present = ~pd.isna(ts)
+    next_present = np.minimum.accumulate(np.where(present, np.arange(n), n)[::-1])[::-1]
+    start_idx = next_present[first]
+    has_time = start_idx <= last
+    start = ts[np.minimum(start_idx, n - 1)].copy()
+    start[~has_time] = np.datetime64("NaT")
+    return pd.DataFrame({"mmsi": keys[first], "chunk": chunk[first], "start_time": start,
                          "end_time": ts[last], "record_count": (last - first + 1).astype(np.int64)})
 
 

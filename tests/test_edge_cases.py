@@ -261,3 +261,16 @@ def test_row_position_text_key_with_nulls(spark):
     by_pos = {r.row_pos: r.v for r in got}
     assert by_pos[1] is None and by_pos[2] is None          # nulls first, as in an ascending sort
     assert [by_pos[i] for i in range(3, 203)] == sorted(v for v in vals if v is not None)
+
+
+def test_trajectory_variants_agree_with_null_times(spark):
+    rows = [(1, T0 + dt.timedelta(minutes=i)) for i in range(23)] + [(1, None), (1, None), (2, None)]
+    df = spark.createDataFrame(rows, POS)
+    want = sorted(map(tuple, TR.build_trajectories_window(df, size=10).collect()), key=repr)
+    for build in (TR.build_trajectories, KS.trajectories_grouped, KS.trajectories_partition_iterator):
+        got = sorted(map(tuple, build(df, size=10).collect()), key=repr)
+        assert got == want, build.__name__
+    grouped = KS.map_sorted_groups(df, ["mmsi"], ["ts"], Q.time_bucket("ts"),
+                                   lambda rows, off: rows.assign(first=rows["ts"].isna().iloc[0])[["mmsi", "first"]].head(1),
+                                   "mmsi int, first boolean")
+    assert {r.mmsi: r.first for r in grouped.collect()} == {1: True, 2: True}
