@@ -109,14 +109,30 @@ def foreach_partition(df: DataFrame, fn: Callable[[Iterable], None]) -> None:
 
 def pipe_partitions(df: DataFrame, column: str, command: list[str]) -> DataFrame:
     """Feed each partition's values of ``column`` (one per line) to ``command``;
-    its stdout lines become the rows of a one-column (``line``) result."""
-    spark = df.sparkSession
-
-    def run(rows):
-        data = "".join(f"{r[0]}\n" for r in rows)
-        out = subprocess.run(command, input=data.encode(), stdout=subprocess.PIPE, check=True).stdout
-        for line in out.decode().splitlines():
-            yield (line,)
-
-    rdd = df.select(F.col(column).cast("string")).rdd.mapPartitions(run)
-    return spark.createDataFrame(rdd, "line string")
+    its stdout lines become the rows of a one-column (``line``) result.
+
+    Runs once per partition, also for an empty one (as ``RDD.pipe`` does). Input is
+    written from a thread while the output is read, so neither pipe can block.
+    """
+    def run(batches):
+        import threading
+
+        import pyarrow as pa
+        proc = subprocess.Popen(command, stdin=subprocess.PIPE, stdout=subprocess.PIPE)
+
+        def feed():
+            for b in batches:
+                vals = b.column(0).to_pylist()
+                if vals:
+                    proc.stdin.write(("\n".join("" if v is None else v for v in vals) + "\n").encode())
+            proc.stdin.close()
+
+        writer = threading.Thread(target=feed)
+        writer.start()
+        out = proc.stdout.read()
+        writer.join()
+        if proc.wait() != 0:
+            raise RuntimeError(f"{command} failed with exit code {proc.returncode}")
+        yield pa.RecordBatch.from_arrays([pa.array(out.decode().splitlines(), pa.string())], names=["line"])
+
+    return df.select(F.col(column).cast("string")).mapInArrow(run, "line string")
