@@ -53,7 +53,14 @@ def _frame(parts: dict[str, pd.Series], keys: list[str]) -> pd.DataFrame:
 
 
 def aggregate(df: DataFrame, keys: Sequence[str], udaf: DecomposableAggregate,
-              alias: str | None = None) -> DataFrame:
+              alias: str | None = None, combine_rows: int = 200_000) -> DataFrame:
+    """Run ``udaf`` per group of ``keys`` (all rows when ``keys`` is empty).
+
+    Inside each map task, partial buffers of successive batches are merged with the
+    declared merge operations while at most ``combine_rows`` buffer rows are held;
+    a larger buffer table is emitted and a new one started, so memory per task stays
+    bounded and a key costs at most one buffer per flush.
+    """
     keys = list(keys)
     inputs = list(udaf.inputs)
     src = df.select(*keys, *[c for c in inputs if c not in keys])
@@ -61,13 +68,33 @@ def aggregate(df: DataFrame, keys: Sequence[str], udaf: DecomposableAggregate,
     buf_schema = T.StructType(key_fields + [T.StructField(n, T._parse_datatype_string(t), True)
                                             for n, t in udaf.buffer])
     buf_names = [n for n, _ in udaf.buffer]
+    update = udaf.update          # only these plain values are shipped to the tasks
+    merge_ops = {n: udaf.merge[n] for n in buf_names}
 
-    update = udaf.update   # only the update function is shipped to the tasks
+    def combine(frames):
+        allp = pd.concat(frames, ignore_index=True)
+        g = _group(allp, keys)
+        merged = pd.DataFrame({n: getattr(g[n], op)(min_count=1) if op == "sum" else getattr(g[n], op)()
+                               for n, op in merge_ops.items()})
+        return merged.reset_index()[keys + buf_names] if keys else merged.reset_index(drop=True)
 
     def partial(batches):
+        held, held_rows = [], 0
         for pdf in batches:
-            if len(pdf):
-                yield update(pdf, keys)[keys + buf_names]
+            if not len(pdf):
+                continue
+            part = update(pdf, keys)[keys + buf_names]
+            held.append(part)
+            held_rows += len(part)
+            if len(held) > 1 and held_rows > combine_rows:
+                merged = combine(held)
+                if len(merged) > combine_rows:
+                    yield merged
+                    held, held_rows = [], 0
+                else:
+                    held, held_rows = [merged], len(merged)
+        if held:
+            yield combine(held) if len(held) > 1 else held[0]
 
     partials = src.mapInPandas(partial, buf_schema)
     merged = partials.groupBy(*keys).agg(*[_MERGE[udaf.merge[n]](n).alias(n) for n in buf_names])

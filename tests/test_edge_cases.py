@@ -274,3 +274,18 @@ def test_trajectory_variants_agree_with_null_times(spark):
                                    lambda rows, off: rows.assign(first=rows["ts"].isna().iloc[0])[["mmsi", "first"]].head(1),
                                    "mmsi int, first boolean")
     assert {r.mmsi: r.first for r in grouped.collect()} == {1: True, 2: True}
+
+
+def test_user_aggregate_combines_and_flushes_across_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        df = spark.range(0, 5000, 1, 3).select(
+            F.when(F.col("id") % 41 == 0, F.lit(None)).otherwise(F.col("id") % 37).alias("g"),
+            F.when(F.col("id") % 13 == 0, F.lit(None)).otherwise(F.col("id") % 11).alias("v"))
+        want = {r.g: r.a for r in df.groupBy("g").agg(F.avg("v").alias("a")).collect()}
+        for rows in (5, 50, 10_000):
+            got = {r.g: r.my_avg for r in udaf.aggregate(df, ["g"], udaf.mean_of("v"), combine_rows=rows).collect()}
+            assert got.keys() == want.keys()
+            assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
