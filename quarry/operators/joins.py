@@ -136,11 +136,11 @@ def with_row_position(df: DataFrame, order: Sequence[str], num_buckets: int,
 
 
 def zip_positional(a: DataFrame, b: DataFrame, order_a: Sequence[str], order_b: Sequence[str],
-                   num_partitions: int) -> DataFrame:
+                   num_buckets: int) -> DataFrame:
     """Pair row i of ``a`` (under ``order_a``) with row i of ``b``; the query fails if
     the two sides differ in length."""
-    pa_ = with_row_position(a, order_a, num_partitions, "_zpos")
-    pb_ = with_row_position(b, order_b, num_partitions, "_zpos2")
+    pa_ = with_row_position(a, order_a, num_buckets, "_zpos")
+    pb_ = with_row_position(b, order_b, num_buckets, "_zpos2")
     joined = pa_.join(pb_, pa_["_zpos"] == pb_["_zpos2"], "full")
     # a predicate, so the check cannot be pruned away with its column
     same_length = F.when(F.col("_zpos").isNull() | F.col("_zpos2").isNull(),
