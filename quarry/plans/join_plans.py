@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import joins as J
 from ..operators import keyvalue as KV
-from ..sources.fixtures import LETTERS_SQL, WORDS_SQL, letters, words
+from ..sources.fixtures import LETTERS_SQL, WORDS_SQL, WS, letters, words
 from ..sources.tables import read_table
 from .registry import plan
 
@@ -59,12 +59,12 @@ def join_full(spark, sf):
 
 def _conv_letters(spark, sf):
     conv = read_table(spark, sf, "conversations", "text")
-    chars = F.split(F.regexp_replace(F.lower("text"), r"\s+", ""), "")
+    chars = F.split(F.regexp_replace(F.lower("text"), WS, ""), "")
     return conv.select(F.explode(chars).alias("key")).where(F.length("key") > 0)
 
 
 CONV_LETTERS_SQL = ("(SELECT unnest(string_split(lower(word), '')) AS key FROM (SELECT unnest("
-                    "regexp_split_to_array(text, '\\s+')) AS word FROM conversations) WHERE length(word) > 0)")
+                    f"regexp_split_to_array(text, '{WS}')) AS word FROM conversations) WHERE length(word) > 0)")
 
 
 @plan("cogroup", sql=f"SELECT coalesce(a.key, b.key) AS key, CASE WHEN a.n IS NULL THEN [] ELSE [a.n] END AS left_values, "
@@ -78,7 +78,7 @@ def cogroup(spark, sf):
     return J.cogroup_lists(a, b, "key", "n", "n")
 
 
-BENCH_WORDS = ("(SELECT word, count(*) AS freq FROM (SELECT unnest(regexp_split_to_array(text, '\\s+')) AS word "
+BENCH_WORDS = (f"(SELECT word, count(*) AS freq FROM (SELECT unnest(regexp_split_to_array(text, '{WS}')) AS word "
                "FROM benchmark) WHERE length(word) > 0 GROUP BY word)")
 
 
@@ -88,7 +88,7 @@ def broadcast_lookup(spark, sf):
     """Distinct document words enriched from a small checked lookup (word frequency in the
     benchmark texts), default 0, sorted by the value."""
     bench = read_table(spark, sf, "benchmark", "text")
-    lookup = (bench.select(F.explode(F.split("text", r"\s+")).alias("word")).where(F.length("word") > 0)
+    lookup = (bench.select(F.explode(F.split("text", WS)).alias("word")).where(F.length("word") > 0)
               .groupBy("word").agg(F.count(F.lit(1)).alias("freq")))
     w = words(spark, sf).select("word").distinct()
     return J.broadcast_lookup(w, lookup, "word", "freq", default=0, max_rows=1_000_000).orderBy("freq")

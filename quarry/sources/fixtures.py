@@ -146,16 +146,20 @@ POSITIONS_SQL = ("SELECT CAST(user_id AS INTEGER) AS mmsi, ts, value / 10 AS lat
 # words: every blank-separated token of every document, whole texts
 # ---------------------------------------------------------------------------
 
+# Whitespace spelled out so that Java (Spark) and RE2 (DuckDB) agree: their
+# shorthand \s differs on the vertical tab.
+WS = "[ \\t\\n\\x0B\\f\\r]+"
+
 def words(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
-    w = docs.select("doc_id", F.posexplode(F.split("text", r"\s+")).alias("pos", "word"))
+    w = docs.select("doc_id", F.posexplode(F.split("text", WS)).alias("pos", "word"))
     return w.where(F.length("word") > 0)
 
 
 WORDS_SQL = (
     "SELECT doc_id, pos, word FROM ("
     "SELECT doc_id, generate_subscripts(a, 1) - 1 AS pos, unnest(a) AS word FROM ("
-    "SELECT doc_id, regexp_split_to_array(text, '\\s+') AS a FROM documents)) WHERE length(word) > 0"
+    f"SELECT doc_id, regexp_split_to_array(text, '{WS}') AS a FROM documents)) WHERE length(word) > 0"
 )
 
 
@@ -168,7 +172,7 @@ def letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     sees the same word boundaries as lower-casing each word).
     """
     docs = read_table(spark, sf_dir, "documents", "text")
-    chars = F.split(F.regexp_replace(F.lower("text"), r"\s+", ""), "")
+    chars = F.split(F.regexp_replace(F.lower("text"), WS, ""), "")
     return (docs.select(F.explode(chars).alias("key")).where(F.length("key") > 0)
             .select("key", F.lit(1).alias("value")))
 
