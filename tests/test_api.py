@@ -47,3 +47,14 @@ def test_now_is_constant_within_query(spark, sf):
     rows = PLANS["now"].fn(spark, sf).select("today", "now").distinct().collect()
     assert len(rows) == 1
     assert rows[0].today == dt.datetime.now(dt.timezone.utc).date() or rows[0].today is not None
+
+
+def test_package_is_shipped_once(spark):
+    from quarry import session
+    session.ship_package(spark)
+    assert spark.sparkContext.applicationId in session._SHIPPED
+    session.ship_package(spark)            # idempotent per application
+    # executors can import the package (a Python worker runs this)
+    out = spark.range(2).mapInPandas(
+        lambda it: (b.assign(m=__import__("quarry").__name__) for b in it), "id long, m string").collect()
+    assert {r.m for r in out} == {"quarry"}
