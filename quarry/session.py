@@ -95,3 +95,24 @@ def ship_package(spark: SparkSession) -> None:
             z.write(f, f.relative_to(pkg.parent).as_posix())
     sc.addPyFile(str(out))
     _SHIPPED.add(app)
+
+
+def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
+                 max_shuffle_partitions: int = 50_000) -> dict[str, str]:
+    """Settings for a large cluster, sized from the input volume.
+
+    File splits and post-shuffle partitions aim at ``target_partition_bytes`` so a
+    task's data fits executor memory (AQE coalesces smaller ones and splits skewed
+    ones). The shuffle partition count is capped: map tasks x reduce partitions is
+    the number of shuffle blocks, which must stay manageable at 100 TB.
+    Apply with ``SparkSession.builder.config(map=...)`` or ``spark.conf.set``.
+    """
+    parts = min(max(200, -(-input_bytes // target_partition_bytes)), max_shuffle_partitions)
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+    }

@@ -58,3 +58,10 @@ def test_package_is_shipped_once(spark):
     out = spark.range(2).mapInPandas(
         lambda it: (b.assign(m=__import__("quarry").__name__) for b in it), "id long, m string").collect()
     assert {r.m for r in out} == {"quarry"}
+
+
+def test_cluster_conf_sizes_partitions():
+    from quarry.session import cluster_conf
+    assert cluster_conf(10 << 30)["spark.sql.shuffle.partitions"] == "200"
+    assert cluster_conf(100 << 40)["spark.sql.shuffle.partitions"] == "50000"
+    assert cluster_conf(1 << 40)["spark.sql.shuffle.partitions"] == "4096"
