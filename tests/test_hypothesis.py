@@ -50,3 +50,15 @@ def test_desc_running_totals_and_ranks_match_windows(spark, rows, hot, spread):
     want_r = df.select("k", "o", "v", F.rank().over(wr).alias("rank"), F.dense_rank().over(wr).alias("dense_rank"))
     got_r = W.ranks(df, ["k"], "o", descending=True).select("k", "o", "v", "rank", "dense_rank")
     assert _sorted(got_r) == _sorted(want_r)
+
+
+@SETTINGS
+@given(rows=rows_st, lo=st.integers(-6, 0), width=st.integers(0, 6), desc=st.booleans())
+def test_range_frame_sum_matches_range_window(spark, rows, lo, width, desc):
+    df = spark.createDataFrame(rows, "k int, o int, v int")
+    hi = lo + width
+    o = F.col("o").desc() if desc else F.col("o").asc()
+    w = Window.partitionBy("k").orderBy(o).rangeBetween(lo, hi)
+    want = df.select("k", "o", "v", F.sum("v").over(w).alias("s"))
+    got = W.range_frame_sum(df, ["k"], "o", "v", lo, hi, descending=desc, name="s").select("k", "o", "v", "s")
+    assert _sorted(got) == _sorted(want)
