@@ -94,7 +94,7 @@ def _cut_sorted(keys: np.ndarray, ts: np.ndarray, pos0: np.ndarray, size: int) -
 
 
 def trajectories_grouped(pos: DataFrame, key: str = "mmsi", ts: str = "ts", size: int = TRAJECTORY_SIZE,
-                         bucket_seconds: int = 3600) -> DataFrame:
+                         bucket_seconds: int = 3600, target_rows: int = 200_000) -> DataFrame:
     """Trajectory cutting on the per-key sorted stream; same result as
     :func:`quarry.operators.trajectory.build_trajectories`."""
     src = pos.select(F.col(key).alias("mmsi"), F.col(ts).alias("ts"))
@@ -110,7 +110,8 @@ def trajectories_grouped(pos: DataFrame, key: str = "mmsi", ts: str = "ts", size
                           offset + np.arange(rows.num_rows, dtype=np.int64), size)
         return pa.Table.from_pandas(out, preserve_index=False)
 
-    partial = map_sorted_groups_arrow(src, ["mmsi"], ["ts"], time_bucket("ts", bucket_seconds), cut, schema)
+    partial = map_sorted_groups_arrow(src, ["mmsi"], ["ts"], time_bucket("ts", bucket_seconds), cut, schema,
+                                      target_rows)
     return (partial.groupBy("mmsi", "chunk")
             .agg(F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time"),
                  F.sum("record_count").cast("int").alias("record_count"))

@@ -62,3 +62,46 @@ def test_range_frame_sum_matches_range_window(spark, rows, lo, width, desc):
     want = df.select("k", "o", "v", F.sum("v").over(w).alias("s"))
     got = W.range_frame_sum(df, ["k"], "o", "v", lo, hi, descending=desc, name="s").select("k", "o", "v", "s")
     assert _sorted(got) == _sorted(want)
+
+
+@SETTINGS
+@given(rows=rows_st)
+def test_value_counts_expand_to_collect_list(spark, rows):
+    from quarry.operators import aggregates as A
+    df = spark.createDataFrame(rows, "k int, o int, v int")
+    rle = {r.k: (r["values"], r.counts) for r in A.value_counts(df, ["k"], "o").collect()}
+    lists = {r.k: sorted(r.l) for r in df.groupBy("k").agg(F.collect_list("o").alias("l")).collect()}
+    expanded = {k: [v for v, c in zip(vs, cs) for _ in range(c)] for k, (vs, cs) in rle.items()}
+    assert expanded == {k: v for k, v in lists.items() if v}
+
+
+@SETTINGS
+@given(vals=st.lists(st.one_of(st.none(), st.integers(-20, 20)), min_size=1, max_size=80),
+       buckets=st.integers(1, 9))
+def test_row_position_is_a_sorted_numbering(spark, vals, buckets):
+    from quarry.operators import joins as J
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(vals)], "v int, i int")
+    got = J.with_row_position(df, ["v", "i"], buckets).collect()
+    assert sorted(r.row_pos for r in got) == list(range(1, len(vals) + 1))
+    by_pos = [(r.v, r.i) for r in sorted(got, key=lambda r: r.row_pos)]
+    key = lambda t: (t[0] is not None, t[0] if t[0] is not None else 0, t[1])  # noqa: E731  nulls first
+    assert by_pos == sorted(by_pos, key=key)
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(events=st.lists(st.tuples(st.integers(1, 4), st.one_of(st.none(), st.integers(0, 500))),
+                       min_size=1, max_size=120),
+       size=st.integers(1, 12), hot=st.one_of(st.none(), st.integers(0, 40)))
+def test_trajectory_variants_match_window_form(spark, events, size, hot):
+    import datetime as dt
+
+    from quarry.operators import trajectory as TR
+    from quarry.streaming import keyed_stream as KS
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(k, None if m is None else t0 + dt.timedelta(minutes=7 * m)) for k, m in events]
+    df = spark.createDataFrame(rows, "mmsi int, ts timestamp_ntz")
+    want = _sorted(TR.build_trajectories_window(df, size=size))
+    assert _sorted(TR.build_trajectories(df, size=size, bucket_seconds=1800, hot_threshold=hot)) == want
+    assert _sorted(KS.trajectories_grouped(df, size=size, bucket_seconds=1800, target_rows=7)) == want
+    assert _sorted(KS.trajectories_partition_iterator(df, size=size, bucket_seconds=1800, target_rows=7,
+                                                      num_partitions=3)) == want
