@@ -69,7 +69,24 @@ def map_sorted_groups_arrow(df: DataFrame, keys: Sequence[str], order: Sequence[
     return joined.groupBy(*keys, _SL).applyInArrow(per_group, schema)
 
 
-def _cut_sorted(keys: np.ndarray, ts: np.ndarray, pos0: np.ndarray, size: int) -> pd.DataFrame:
+def _differs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Element-wise ``a != b`` where two nulls (None/NaN/NaT) count as equal."""
+    na, nb = pd.isna(a), pd.isna(b)
+    with np.errstate(invalid="ignore"):
+        neq = np.asarray(a != b, dtype=bool)
+    return np.where(na | nb, na != nb, neq)
+
+
+_NULLABLE_INT = {"integer": "Int32", "long": "Int64", "short": "Int16", "byte": "Int8"}
+
+
+def _key_dtype(field: T.StructField) -> str | None:
+    """pandas dtype that keeps an integer key integral when it has nulls."""
+    return _NULLABLE_INT.get(field.dataType.typeName())
+
+
+def _cut_sorted(keys: np.ndarray, ts: np.ndarray, pos0: np.ndarray, size: int,
+                key_dtype: str | None = None) -> pd.DataFrame:
     """Partial trajectories of rows sorted by (key, ts): one row per run of equal
     (key, chunk), with chunk = 0-based position // size. Runs are contiguous, so
     start/end are the first/last times of each run."""
@@ -79,7 +96,7 @@ def _cut_sorted(keys: np.ndarray, ts: np.ndarray, pos0: np.ndarray, size: int) -
         return pd.DataFrame({"mmsi": keys[:0], "chunk": chunk, "start_time": ts[:0], "end_time": ts[:0],
                              "record_count": chunk})
     change = np.ones(n, dtype=bool)
-    change[1:] = (chunk[1:] != chunk[:-1]) | (keys[1:] != keys[:-1])
+    change[1:] = (chunk[1:] != chunk[:-1]) | _differs(keys[1:], keys[:-1])
     first = np.flatnonzero(change)
     last = np.append(first[1:] - 1, n - 1)
     # null times sort first; like min(), the start is the run's first non-null time
@@ -89,8 +106,11 @@ def _cut_sorted(keys: np.ndarray, ts: np.ndarray, pos0: np.ndarray, size: int) -
     has_time = start_idx <= last
     start = ts[np.minimum(start_idx, n - 1)].copy()
     start[~has_time] = np.datetime64("NaT")
-    return pd.DataFrame({"mmsi": keys[first], "chunk": chunk[first], "start_time": start,
-                         "end_time": ts[last], "record_count": (last - first + 1).astype(np.int64)})
+    out = pd.DataFrame({"mmsi": keys[first], "chunk": chunk[first], "start_time": start,
+                        "end_time": ts[last], "record_count": (last - first + 1).astype(np.int64)})
+    if key_dtype:
+        out["mmsi"] = out["mmsi"].astype(key_dtype)
+    return out
 
 
 def trajectories_grouped(pos: DataFrame, key: str = "mmsi", ts: str = "ts", size: int = TRAJECTORY_SIZE,
@@ -104,10 +124,13 @@ def trajectories_grouped(pos: DataFrame, key: str = "mmsi", ts: str = "ts", size
                            T.StructField("end_time", src.schema["ts"].dataType),
                            T.StructField("record_count", T.LongType())])
 
+    key_dtype = _key_dtype(src.schema["mmsi"])
+
     def cut(rows, offset: int):
         import pyarrow as pa
-        out = _cut_sorted(rows.column("mmsi").to_numpy(), rows.column("ts").to_numpy(),
-                          offset + np.arange(rows.num_rows, dtype=np.int64), size)
+        out = _cut_sorted(rows.column("mmsi").to_numpy(zero_copy_only=False),
+                          rows.column("ts").to_numpy(zero_copy_only=False),
+                          offset + np.arange(rows.num_rows, dtype=np.int64), size, key_dtype)
         return pa.Table.from_pandas(out, preserve_index=False)
 
     partial = map_sorted_groups_arrow(src, ["mmsi"], ["ts"], time_bucket("ts", bucket_seconds), cut, schema,
@@ -150,6 +173,8 @@ def trajectories_partition_iterator(pos: DataFrame, key: str = "mmsi", ts: str =
                            T.StructField("end_time", src.schema["ts"].dataType),
                            T.StructField("record_count", T.LongType())])
 
+    key_dtype = _key_dtype(src.schema["mmsi"])
+
     def per_partition(batches):
         carry = None            # (key, bucket, rows already numbered in that run)
         for pdf in batches:
@@ -159,14 +184,15 @@ def trajectories_partition_iterator(pos: DataFrame, key: str = "mmsi", ts: str =
             k = pdf["mmsi"].to_numpy()
             bk = pdf[_B].to_numpy()
             start = np.ones(n, dtype=bool)
-            start[1:] = (k[1:] != k[:-1]) | (bk[1:] != bk[:-1])
+            start[1:] = _differs(k[1:], k[:-1]) | _differs(bk[1:], bk[:-1])
             run_id = np.cumsum(start) - 1
             run_first = np.flatnonzero(start)
             idx = np.arange(n, dtype=np.int64) - run_first[run_id]
-            if carry is not None and carry[0] == k[0] and carry[1] == bk[0]:
+            if carry is not None and not (_differs(np.array([carry[0]]), k[:1])[0]
+                                          or _differs(np.array([carry[1]]), bk[:1])[0]):
                 idx[run_id == 0] += carry[2]
             pos0 = pdf[_OFF].to_numpy().astype(np.int64) + idx
-            yield _cut_sorted(k, pdf["ts"].to_numpy(), pos0, size)
+            yield _cut_sorted(k, pdf["ts"].to_numpy(), pos0, size, key_dtype)
             last_len = int(idx[-1]) + 1
             carry = (k[-1], bk[-1], last_len)
 

@@ -289,3 +289,11 @@ def test_user_aggregate_combines_and_flushes_across_batches(spark):
             assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_partition_iterator_null_times_and_keys(spark):
+    rows = [(1, None), (1, None), (None, None), (None, T0), (None, T0 + dt.timedelta(minutes=1)), (2, T0)]
+    df = spark.createDataFrame(rows, POS)
+    want = sorted(map(tuple, TR.build_trajectories_window(df, size=1).collect()), key=repr)
+    for build in (KS.trajectories_partition_iterator, KS.trajectories_grouped, TR.build_trajectories):
+        assert sorted(map(tuple, build(df, size=1).collect()), key=repr) == want, build.__name__
