@@ -4,7 +4,7 @@
 library imports this subpackage.
 """
 
-from . import bpe, lines  # noqa: F401
+from . import bpe, jaccard, lines  # noqa: F401
 from .common import QUERIES, SQL
 
 
