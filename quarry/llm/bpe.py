@@ -27,17 +27,17 @@ from . import duckbpe
 from .common import by_volume, query, table
 
 MULTI_50K = "byte_bpe_multi_50k.tiktoken"
-TEXT_PER_QUERY = 4 << 20   # bytes of text whose new words go to one DuckDB query
+TEXT_PER_QUERY = 1 << 20   # bytes of text whose new words go to one DuckDB query
 WORDS_PER_QUERY = 20_000
-CACHED_WORDS = 500_000     # words a worker remembers; the memory is emptied when full
-IDS_PER_QUERY = 1 << 20    # ids that one DuckDB query decodes
+CACHED_WORDS = 400_000     # words a worker remembers; the memory is emptied when full
+IDS_PER_QUERY = 1 << 19    # ids that one DuckDB query decodes
 
 _seen: dict[tuple[str, str], dict[str, bytes]] = {}
 
 
-def _word_ids(words: list[str], path: str, known: dict[str, bytes]) -> None:
+def _word_ids(words: set[str], path: str, known: dict[str, bytes]) -> None:
     """Adds the ids (little-endian int32) of words that ``known`` lacks."""
-    new = list({w for w in words if w not in known})
+    new = [w for w in words if w not in known]
     for i in range(0, len(new), WORDS_PER_QUERY):
         part = new[i:i + WORDS_PER_QUERY]
         for w, ids in zip(part, duckbpe.worker(path).encode([w.encode() for w in part]), strict=True):
@@ -53,7 +53,7 @@ def _encode_batches(batches: Iterator[pa.RecordBatch], text: str, out: str, path
         words = [find(t or "") for t in batch.column(at).to_pylist()]
         if len(known) > CACHED_WORDS:
             known.clear()
-        _word_ids([w for ws in words for w in ws], path, known)
+        _word_ids({w for ws in words for w in ws}, path, known)
         ids = [b"".join(map(known.__getitem__, ws)) for ws in words]
         offsets = np.cumsum([0] + [len(b) // 4 for b in ids], dtype=np.int32)
         column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), dtype=np.int32)))
@@ -97,9 +97,18 @@ def decode(df: DataFrame, ids: str, path: str, out: str = "decoded") -> DataFram
     return df.mapInArrow(lambda it: _decode_batches(it, ids, out, path), schema)
 
 
-def digests(encoded: DataFrame, path: str) -> DataFrame:
+def round_trip(df: DataFrame, text: str, path: str, ids: str = "ids", out: str = "decoded",
+               pattern: str = public_tokenizers.PATTERN) -> DataFrame:
+    """:func:`encode` and :func:`decode` in one pass over the Python workers: ``text`` replaced by ``ids`` and ``out``."""
+    fields = [f for f in df.schema.fields if f.name not in (text, ids, out)]
+    schema = T.StructType([*fields, T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField(out, T.BinaryType())])
+    return df.mapInArrow(
+        lambda it: _decode_batches(_encode_batches(it, text, ids, path, pattern), ids, out, path), schema)
+
+
+def digests(decoded: DataFrame) -> DataFrame:
     """Per document: number of ids, and hashes of the ids and of their decoded bytes."""
-    return decode(encoded, "ids", path).select(
+    return decoded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
@@ -109,4 +118,4 @@ def digests(encoded: DataFrame, path: str) -> DataFrame:
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole document by the multilingual 50k ranks, decoded again, as digests."""
     path = public_tokenizers.path(MULTI_50K)
-    return digests(encode(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", path), path)
+    return digests(round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", path))

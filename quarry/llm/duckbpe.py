@@ -136,7 +136,7 @@ class DuckBPE:
         self.byte_id = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         self.known = np.zeros(max(ranks.values()) + 1, dtype=bool)
         self.known[list(ranks.values())] = True
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "600MB"})
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
         merges = merge_rows(ranks)  # noqa: F841  (read by name below)
         # one character per byte (U+0000..U+00FF), so that text aggregation joins bytes
         vocab = pa.table({"id": pa.array(ranks.values(), pa.int32()),  # noqa: F841
