@@ -4,7 +4,7 @@
 library imports this subpackage.
 """
 
-from . import bpe, jaccard, lines, resampling, spherical, token_files  # noqa: F401
+from . import bpe, jaccard, lines, resampling, spherical, token_files, url_filter  # noqa: F401
 from .common import QUERIES, SQL
 
 
