@@ -12,7 +12,7 @@ their first ``n - t + 1`` (``t``: the least overlap a set of ``n`` can have with
 * The boundary is the size from which enumeration costs more than scanning, by the table of sizes and the
   list lengths that the shingle counts of the whole corpus predict.
 
-Candidates pass two exact filters (sizes, and the popcount of two parity bitmaps, which never exceeds
+Candidates pass exact filters (sizes, and the popcount of two parity bitmaps, which never exceeds
 the symmetric difference) and are then verified on whole sets. To avoid all pairs of a large group of near
 copies, every list first links its members to its smallest id; the components of the verified
 links are formed; and only lists that still span several components are joined pairwise, between
@@ -45,7 +45,7 @@ from .components import components
 SKETCH = 1 << 18
 BUCKET_SHIFT = np.uint64(64 - 18)
 LIGHT_LIMIT = 256               # sizes below this may be light
-BITMAP_WORDS = 8                # 512 parity bits
+FOLDED = 4                      # 64-bit words of the short parity bitmap
 TEXT_PER_BATCH = 8 << 20
 CACHED_WORDS = 400_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -187,8 +187,18 @@ def _keys(s: np.ndarray, rule: Rule, counts: np.ndarray, light: int) -> np.ndarr
 
 
 def _parity(s: np.ndarray) -> np.ndarray:
-    bits = np.bincount(((s >> np.uint64(8)) % np.uint64(64 * BITMAP_WORDS)).astype(np.int64), minlength=64 * BITMAP_WORDS) & 1
-    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+    """A parity bitmap of between n and 2n bits (a power of two, 256 at least) as 64-bit words: bit i tells whether an
+    odd number of the hashes are i modulo its length. Two sets' bitmaps differ in at most as many bits as the sets."""
+    size = 64 * FOLDED
+    while size < len(s):
+        size *= 2
+    bits = np.bincount(((s >> np.uint64(8)) & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def _folded(bits: np.ndarray) -> np.ndarray:
+    """The bitmap of the same set with 64 * FOLDED bits."""
+    return np.bitwise_xor.reduce(bits.reshape(-1, FOLDED), axis=0)
 
 
 def _lists(values: list[np.ndarray]) -> pa.ListArray:
@@ -200,12 +210,14 @@ def _lists(values: list[np.ndarray]) -> pa.ListArray:
 def _signature_batches(batches, rule: Rule, counts, light: int) -> Iterator[pa.RecordBatch]:
     for ids, texts in _texts(batches):
         sets = [shingles(t, rule.words) for t in texts]
+        bitmaps = [_parity(s) for s in sets]
         prints = [np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), dtype=np.int64) for s in sets]
         yield pa.RecordBatch.from_arrays(
             [pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
              pa.array([p[0] for p in prints], pa.int64()), pa.array([p[1] for p in prints], pa.int64()),
-             _lists([_keys(s, rule, counts.value, light) for s in sets]), _lists([_parity(s) for s in sets])],
-            names=["id", "n", "fp1", "fp2", "keys", "bits"])
+             _lists([_keys(s, rule, counts.value, light) for s in sets]), _lists(bitmaps),
+             _lists([_folded(b) for b in bitmaps])],
+            names=["id", "n", "fp1", "fp2", "keys", "bits", "folded"])
 
 
 def _set_batches(batches, k: int) -> Iterator[pa.RecordBatch]:
@@ -214,14 +226,30 @@ def _set_batches(batches, k: int) -> Iterator[pa.RecordBatch]:
                                          names=["rep", "members"])
 
 
+def _differ_little(rule: Rule, differ: F.Column) -> F.Column:
+    """As the common part is num/den of the union at least, the sets differ in at most (den-num)/(den+num) of both sizes."""
+    return differ * (rule.den + rule.num) <= (rule.den - rule.num) * (F.col("n_a") + F.col("n_b"))
+
+
 def _may_link(rule: Rule) -> F.Column:
-    """Exact filters on (n_a, bits_a, n_b, bits_b): a linked pair passes."""
-    large, small = F.greatest("n_a", "n_b"), F.least("n_a", "n_b")
+    """Exact filter on (n_a, folded_a, n_b, folded_b): a linked pair passes."""
     differ = functools.reduce(lambda x, y: x + y, [
-        F.bit_count(F.col("bits_a")[i].bitwiseXOR(F.col("bits_b")[i])) for i in range(BITMAP_WORDS)])
-    # num/den of the union at least: the symmetric difference is at most (den-num)/(den+num) of both sizes
-    return ((rule.num * large <= rule.den * small)
-            & (differ * (rule.den + rule.num) <= (rule.den - rule.num) * (F.col("n_a") + F.col("n_b"))))
+        F.bit_count(F.col("folded_a")[i].bitwiseXOR(F.col("folded_b")[i])) for i in range(FOLDED)])
+    return (rule.num * F.greatest("n_a", "n_b") <= rule.den * F.least("n_a", "n_b")) & _differ_little(rule, differ)
+
+
+def _may_link_by_bits(rule: Rule) -> F.Column:
+    """The same with the whole bitmaps; partners' lengths are equal or one is folded once."""
+    a, b = F.col("bits_a"), F.col("bits_b")
+
+    def half(x):
+        n = (F.size(x) / 2).cast("int")
+        return F.zip_with(F.slice(x, F.lit(1), n), F.slice(x, n + 1, n), lambda p, q: p.bitwiseXOR(q))
+
+    short_a = F.when(F.size(a) > F.size(b), half(a)).otherwise(a)
+    short_b = F.when(F.size(b) > F.size(a), half(b)).otherwise(b)
+    differ = F.aggregate(F.zip_with(short_a, short_b, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda x, y: x + y)
+    return F.when(F.size(short_a) == F.size(short_b), _differ_little(rule, differ)).otherwise(True)
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
@@ -246,20 +274,23 @@ def near_components(df: DataFrame, id_col: str = "doc_id", text: str = "text", r
     light, shared_counts = light_limit(rule, counts, sizes), spark.sparkContext.broadcast(counts)
     signed = stored(docs.mapInArrow(
         lambda it: _signature_batches(it, rule, shared_counts, light),
-        "id bigint, n bigint, fp1 bigint, fp2 bigint, keys array<bigint>, bits array<bigint>"), "signatures")
+        "id bigint, n bigint, fp1 bigint, fp2 bigint, keys array<bigint>, bits array<bigint>, folded array<bigint>"), "signatures")
 
     classes = stored(signed.where("n > 0 AND id IS NOT NULL").groupBy("fp1", "fp2", "n")
-                     .agg(F.min("id").alias("rep"), F.first("keys").alias("keys"), F.first("bits").alias("bits")), "classes")
+                     .agg(F.min("id").alias("rep"), F.first("keys").alias("keys"), F.first("bits").alias("bits"),
+                          F.first("folded").alias("folded")), "classes")
     posted = classes.select("rep", F.explode("keys").alias("key"))
     lists = posted.groupBy("key").agg(F.min("rep").alias("a"), F.max("rep").alias("last")).where("a < last").drop("last")
     met = stored(posted.join(lists, "key").select("key", "a", F.col("rep").alias("b")), "lists")
 
     def side(x):
-        return classes.select(F.col("rep").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}"))
+        return classes.select(F.col("rep").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "bits", "folded")])
+
+    def plausible(pairs):
+        return (pairs.join(side("b"), "b").join(side("a"), "a")
+                .where(_may_link(rule) & _may_link_by_bits(rule)).select("a", "b").distinct())
 
-    stars = (met.where("a <> b").select("a", "b").distinct().join(side("b"), "b").join(side("a"), "a")
-             .where(_may_link(rule)).select("a", "b").distinct())
-    first = _verified(stars, docs, rule)
+    first = _verified(plausible(met.where("a <> b").select("a", "b").distinct()), docs, rule)
     member = signed.where("id IS NOT NULL").select("id", "n", "fp1", "fp2").join(
         classes.select("fp1", "fp2", "n", "rep"), ["fp1", "fp2", "n"])
     same_id = member.groupBy("id").agg(F.min("rep").alias("v"), F.max("rep").alias("u")).where("u > v").select("u", "v")
@@ -269,15 +300,15 @@ def near_components(df: DataFrame, id_col: str = "doc_id", text: str = "text", r
               .withColumn("component", F.coalesce("component", "rep")))
     spans = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
     open_lists = stored(placed.join(spans.select("key"), "key", "left_semi")
-                        .join(classes.select("rep", "n", "bits"), "rep"), "open-lists")
+                        .join(classes.select("rep", "n", "folded"), "rep"), "open-lists")
 
     def end(x):
-        return open_lists.select("key", *[F.col(c).alias(f"{c}_{x}" if c != "rep" else x) for c in ("rep", "component", "n", "bits")])
+        return open_lists.select("key", *[F.col(c).alias(f"{c}_{x}" if c != "rep" else x) for c in ("rep", "component", "n", "folded")])
 
     across = (end("a").join(end("b"), "key")
               .where((F.col("a") < F.col("b")) & (F.col("component_a") != F.col("component_b")) & _may_link(rule))
               .select("a", "b").distinct())
-    second = _verified(across, docs, rule)
+    second = _verified(plausible(across), docs, rule)
     final = components(second.union(grown.select(F.col("node").alias("u"), F.col("component").alias("v"))))
     known = classes.select("fp1", "fp2", "n", "rep").join(final.withColumnRenamed("node", "rep"), "rep", "left") \
         .select("fp1", "fp2", "n", "rep", F.coalesce("component", "rep").alias("component"))
