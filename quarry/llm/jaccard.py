@@ -88,6 +88,17 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+def window_hashes(words: list[bytes], k: int) -> np.ndarray:
+    """A hash of every run of ``k`` words, in text order."""
+    w = np.fromiter(map(_hashes.__getitem__, words), dtype=np.uint64, count=len(words))
+    n = max(0, len(w) - k + 1)
+    total = np.zeros(n, dtype=np.uint64)
+    for j in range(k):
+        total += _mixed(w[j:j + n] ^ PLACES[j % len(PLACES)] + np.uint64(j // len(PLACES)))
+        total *= MIX
+    return _mixed(total)
+
+
 def shingles(text: bytes | None, k: int) -> np.ndarray:
     """The distinct shingle hashes of a text, ascending. ASCII letters are lower-cased, ASCII white space splits."""
     words = (text or b"").lower().split()
@@ -95,13 +106,7 @@ def shingles(text: bytes | None, k: int) -> np.ndarray:
         return np.empty(0, dtype=np.uint64)
     if len(words) < k:
         return np.array([xxhash.xxh3_64_intdigest(b"\x20".join(words), seed=len(words))], dtype=np.uint64)
-    w = np.fromiter(map(_hashes.__getitem__, words), dtype=np.uint64, count=len(words))
-    n = len(w) - k + 1
-    total = np.zeros(n, dtype=np.uint64)
-    for j in range(k):
-        total += _mixed(w[j:j + n] ^ PLACES[j % len(PLACES)] + np.uint64(j // len(PLACES)))
-        total *= MIX
-    return np.unique(_mixed(total))
+    return np.unique(window_hashes(words, k))
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
