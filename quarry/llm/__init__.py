@@ -4,7 +4,7 @@
 library imports this subpackage.
 """
 
-from . import bpe, jaccard, lines, resampling, rules, spherical, token_files, tool_calls, url_filter  # noqa: F401
+from . import bpe, jaccard, lines, mixing, resampling, rules, spherical, token_files, tool_calls, url_filter  # noqa: F401
 from .common import QUERIES, SQL
 
 
