@@ -8,7 +8,8 @@ tokens of the domains, E_d = sum(rate * tokens * posterior_d), match the targets
 
 (the gradient of the residual weighted by G^-1, in the metric of the tokens, for which the step length 1 is the reciprocal of the largest
 curvature). Every iteration is one aggregation over a small table of posteriors; the driver holds three numbers. A rate
-becomes a whole number of copies, its fraction decided by a hash of the document.
+becomes a whole number of copies, its fraction decided by a hash of the document; a rate within ``NEAR_WHOLE`` of a whole number is that
+number, so that slight doubt about a document's domain neither drops nor doubles it.
 
 The classifier is a Bernoulli naive Bayes over hashed n-grams (:mod:`quarry.llm.ngrams`), fitted on at most ``FIT_ROWS`` labelled rows, on the
 features whose rate in a domain differs from the other domains' beyond chance. All documents are scored and mixed; none is shuffled.
@@ -37,6 +38,7 @@ FIT_ROWS = 20_000
 SIGNIFICANCE = 4.5
 LEAST_EXPECTED = 3.0
 ITERATIONS = 40
+NEAR_WHOLE = 0.02
 TOLERANCE = 1e-7         # of all tokens
 
 
@@ -152,8 +154,10 @@ def mix(df: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, i
     scored = posteriors(df, labels, scores, id_col, text, fit_rows).withColumn(luck, F.xxhash64(F.col(id_col), F.col(text), F.lit(55)))
     scored = stored(scored if keep_text else scored.drop(text), "scored")
     uniform = (F.shiftrightunsigned(F.col(luck), 11) + 0.5) / F.lit(float(1 << 53))
+    whole = F.rint(rate)
+    drawn = F.when(F.abs(F.col(rate) - whole) <= NEAR_WHOLE, whole).otherwise(F.floor(F.col(rate) + uniform))
     return (scored.withColumn(rate, fit_rates(scored, scores[0], scores[1:], targets))
-            .withColumn(copies, F.floor(F.col(rate) + uniform).cast("long")).drop(luck))
+            .withColumn(copies, drawn.cast("long")).drop(luck))
 
 
 @query("op5_mixing")
