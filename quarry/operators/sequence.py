@@ -13,10 +13,9 @@ timestamp), so the expensive per-row window runs per (key, bucket):
 
 The result equals the global per-key numbering for any bucket expression that
 is monotone non-decreasing in the ordering. Only the count table is ever
-grouped by the key alone, and it holds one row per (key, bucket).
-
-With ``hot_threshold`` only the hot keys take this path; the others use the
-plain per-key window (one shuffle), see :mod:`.skew`.
+grouped by the key alone, and it holds one row per (key, bucket). The plan is
+the same for every key, whatever its size: no job runs while it is built, and
+nothing about the data goes to the driver.
 """
 
 from __future__ import annotations
@@ -25,13 +24,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-from .skew import split_hot, union_parts
+from pyspark.sql import types as T
 
 _B, _N, _OFF, _KB = "_q_bucket", "_q_n", "_q_offset", "_q_kb"
 
 
-def time_bucket(ts: str | Column, seconds: int = 3600) -> Column:
+def time_bucket(ts: str | Column, seconds: int = 60) -> Column:
     """Order-preserving bucket of a timestamp (TIMESTAMP or TIMESTAMP_NTZ)."""
     c = F.col(ts) if isinstance(ts, str) else ts
     return F.floor(F.unix_timestamp(c) / F.lit(seconds))
@@ -64,39 +62,39 @@ def struct_join(left: DataFrame, right: DataFrame, keys: Sequence[str], name: st
     return lk.join(rk, name)
 
 
-def bucket_order(nulls_last: bool = False) -> Column:
-    """How buckets are ordered: ascending, with null buckets where ``order`` puts
-    null values (first for ascending sorts, last for descending ones)."""
-    return F.col(_B).asc_nulls_last() if nulls_last else F.col(_B).asc_nulls_first()
+def bucket_order(df: DataFrame, bucket: str, nulls_last: bool = False, descending: bool = False) -> list[Column]:
+    """How buckets are ordered, so that they follow the rows' own order.
+
+    Ascending, with null buckets where ``order`` puts null values. With
+    ``descending`` the bucket is taken the other way round; of a struct bucket
+    only its first field is (``ORDER BY value DESC, ties ASC``).
+    """
+    b = F.col(bucket)
+    if descending:
+        kind = df.schema[bucket].dataType
+        if isinstance(kind, T.StructType):
+            first, *rest = kind.fieldNames()
+            return [b[first].desc_nulls_last(), *[b[f].asc_nulls_first() for f in rest]]
+        return [b.desc_nulls_last()]
+    return [b.asc_nulls_last() if nulls_last else b.asc_nulls_first()]
 
 
 def ordered_position(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
                      bucket: Column, name: str = "pos", nulls_last: bool = False,
-                     hot_threshold: int | None = None) -> DataFrame:
+                     descending: bool = False) -> DataFrame:
     """Add ``name``: 1-based position of each row in its key group under ``order``.
 
-    ``bucket`` must be monotone non-decreasing in ``order`` inside a key, with a
-    null bucket exactly for rows whose leading order value is null; set
-    ``nulls_last`` when ``order`` puts those rows last (descending sorts).
-    Ties in ``order`` get distinct positions in unspecified order, as with
-    ``row_number``.
-
-    With ``hot_threshold``, keys of at most that many rows are numbered by a
-    plain per-key window and only the hot keys take the bucketed path
-    (see :mod:`.skew`); without it every key is bucketed.
+    ``bucket`` must be monotone non-decreasing in ``order`` inside a key
+    (non-increasing with ``descending``, see :func:`bucket_order`), with a null
+    bucket exactly for rows whose leading order value is null; set
+    ``nulls_last`` when ``order`` puts those rows last. Ties in ``order`` get
+    distinct positions in unspecified order, as with ``row_number``.
     """
     keys = list(keys)
-    if hot_threshold is not None and keys:
-        normal, hot = split_hot(df, keys, hot_threshold)
-        plain = None
-        if normal is not None:
-            w = Window.partitionBy(*keys).orderBy(*order)
-            plain = normal.withColumn(name, F.row_number().over(w).cast("long"))
-        bucketed = ordered_position(hot, keys, order, bucket, name, nulls_last) if hot is not None else None
-        return union_parts(plain, bucketed)
     b = df.withColumn(_B, bucket)
     counts = b.groupBy(*keys, _B).agg(F.count(F.lit(1)).alias(_N))
-    before = Window.partitionBy(*keys).orderBy(bucket_order(nulls_last)).rowsBetween(Window.unboundedPreceding, -1)
+    before = (Window.partitionBy(*keys).orderBy(*bucket_order(b, _B, nulls_last, descending))
+              .rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select(*keys, _B, F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_OFF))
     joined = struct_join(b, offsets, keys + [_B])
     inner = Window.partitionBy(_KB).orderBy(*order)
@@ -105,31 +103,21 @@ def ordered_position(df: DataFrame, keys: Sequence[str], order: Sequence[str | C
 
 
 def ordered_previous(df: DataFrame, keys: Sequence[str], order: str, bucket: Column,
-                     cols: Sequence[str], prefix: str = "prev_", nulls_last: bool = False,
-                     hot_threshold: int | None = None) -> DataFrame:
+                     cols: Sequence[str], prefix: str = "prev_") -> DataFrame:
     """Add ``prev_<c>`` for each of ``cols``: the value on the preceding row of
-    the key group under ``order`` (null on the first row), as ``lag`` would.
-    ``hot_threshold`` as in :func:`ordered_position`."""
-    keys = list(keys)
-    if hot_threshold is not None and keys:
-        normal, hot = split_hot(df, keys, hot_threshold)
-        plain = None
-        if normal is not None:
-            w = Window.partitionBy(*keys).orderBy(order)
-            plain = normal.withColumns({f"{prefix}{c}": F.lag(c).over(w) for c in cols})
-        bucketed = (ordered_previous(hot, keys, order, bucket, cols, prefix, nulls_last)
-                    if hot is not None else None)
-        return union_parts(plain, bucketed)
+    the key group under ascending ``order``, nulls first (null on the first
+    row), as ``lag`` would. Rows with equal ``order`` are taken in the order of
+    ``cols``, inside a bucket and across its border alike."""
+    keys, cols = list(keys), list(cols)
     b = df.withColumn(_B, bucket)
-    last = b.groupBy(*keys, _B).agg(*[F.max_by(c, order).alias(f"_q_last_{c}") for c in cols])
-    w_keys = Window.partitionBy(*keys).orderBy(bucket_order(nulls_last))
-    carry = last.select(*keys, _B, *[F.lag(f"_q_last_{c}").over(w_keys).alias(f"_q_carry_{c}")
-                                     for c in cols])
+    ends = [order, *[c for c in cols if c != order]]
+    # the largest struct is the last row: null fields are smallest, as in the sort below
+    last = b.groupBy(*keys, _B).agg(F.max(F.struct(*ends)).alias("_q_last"))
+    w_keys = Window.partitionBy(*keys).orderBy(*bucket_order(b, _B))
+    carry = last.select(*keys, _B, F.lag("_q_last").over(w_keys).alias("_q_carry"))
     joined = struct_join(b, carry, keys + [_B])
-    inner = Window.partitionBy(_KB).orderBy(order)
+    inner = Window.partitionBy(_KB).orderBy(*ends)
     first = F.row_number().over(inner) == 1
-    out = joined
-    for c in cols:
-        out = out.withColumn(f"{prefix}{c}", F.when(first, F.col(f"_q_carry_{c}"))
-                             .otherwise(F.lag(c).over(inner)))
-    return out.drop(_B, _KB, *[f"_q_carry_{c}" for c in cols])
+    out = joined.withColumns({f"{prefix}{c}": F.when(first, F.col("_q_carry")[c]).otherwise(F.lag(c).over(inner))
+                              for c in cols})
+    return out.drop(_B, _KB, "_q_carry")

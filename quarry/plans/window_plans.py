@@ -24,11 +24,6 @@ def _day_frame(spark, sf, *extra):
     return r.withColumn("date", F.to_date("InvoiceDate")).drop("InvoiceDate")
 
 
-# Keys with more rows than this take the split (bucketed) path; tiny on purpose,
-# so that at the test scales both the plain and the split path run.
-SPLIT_DEMO = 2
-
-
 @plan("window_running", sql=_r("CustomerId", "InvoiceDate", "Quantity") +
       f"SELECT CustomerId, {DAY} AS date, Quantity, "
       f"CAST(sum(Quantity) OVER w AS BIGINT) AS running_sum, max(Quantity) OVER w AS running_max FROM retail "
@@ -38,7 +33,7 @@ def window_running(spark, sf):
     """Running sum and max per (customer, day), quantity descending."""
     r = _day_frame(spark, sf)
     out = W.running_totals(r, ["CustomerId", "date"], [F.desc("Quantity")],
-                           W.desc_bucket("Quantity", spread=16), "Quantity", hot_threshold=SPLIT_DEMO)
+                           W.desc_bucket("Quantity", spread=16), "Quantity", descending=True)
     return out.select("CustomerId", "date", "Quantity", "running_sum", "running_max")
 
 
@@ -51,7 +46,7 @@ def window_extra_cols(spark, sf):
     """Window result beside columns outside the partition key (total order by tie-breakers)."""
     r = _day_frame(spark, sf, "InvoiceNo", "StockCode")
     out = W.running_totals(r, ["CustomerId", "date"], [F.desc("Quantity"), "InvoiceNo", "StockCode"],
-                           W.desc_bucket("Quantity", "InvoiceNo"), "Quantity", hot_threshold=SPLIT_DEMO)
+                           W.desc_bucket("Quantity", "InvoiceNo"), "Quantity", descending=True)
     return out.select("CustomerId", "date", "InvoiceNo", "StockCode", "Quantity", "running_sum")
 
 
@@ -76,7 +71,7 @@ def window_multi(spark, sf):
     """Two different windows in one result."""
     r = _day_frame(spark, sf, "InvoiceNo", "StockCode")
     run = W.running_totals(r, ["CustomerId", "date"], [F.desc("Quantity"), "InvoiceNo", "StockCode"],
-                           W.desc_bucket("Quantity", "InvoiceNo"), "Quantity")
+                           W.desc_bucket("Quantity", "InvoiceNo"), "Quantity", descending=True)
     both = W.range_frame_sum(run, ["date"], "Quantity", "Quantity", -3, 0, descending=True)
     return both.select("InvoiceNo", "StockCode", "CustomerId", "date", "Quantity", "running_sum", "range_sum")
 
@@ -106,7 +101,7 @@ def row_number(spark, sf):
     """Position in the window (unique tie-breakers make it deterministic)."""
     r = _day_frame(spark, sf, "InvoiceNo", "StockCode")
     out = W.row_numbers(r, ["CustomerId", "date"], [F.desc("Quantity"), "InvoiceNo", "StockCode"],
-                        W.desc_bucket("Quantity", "InvoiceNo"), hot_threshold=SPLIT_DEMO)
+                        W.desc_bucket("Quantity", "InvoiceNo"), descending=True)
     return out.select("CustomerId", "date", "InvoiceNo", "StockCode", "Quantity", "row_number")
 
 

@@ -270,9 +270,9 @@ def test_trajectory_variants_agree_with_null_times(spark):
     for build in (TR.build_trajectories, KS.trajectories_grouped, KS.trajectories_partition_iterator):
         got = sorted(map(tuple, build(df, size=10).collect()), key=repr)
         assert got == want, build.__name__
-    grouped = KS.map_sorted_groups(df, ["mmsi"], ["ts"], Q.time_bucket("ts"),
-                                   lambda rows, off: rows.assign(first=rows["ts"].isna().iloc[0])[["mmsi", "first"]].head(1),
-                                   "mmsi int, first boolean")
+    grouped = KS.map_sorted_slices(df, ["mmsi"], ["ts"], Q.time_bucket("ts"),
+                                   lambda rows, off: rows.slice(0, 1).append_column("first", [[rows["ts"][0].as_py() is None]])
+                                   .select(["mmsi", "first"]), "mmsi int, first boolean")
     assert {r.mmsi: r.first for r in grouped.collect()} == {1: True, 2: True}
 
 

@@ -21,27 +21,27 @@ def _sorted(df):
 
 
 @SETTINGS
-@given(rows=rows_st, width=st.integers(1, 15), hot=st.one_of(st.none(), st.integers(0, 20)))
-def test_position_and_lag_match_windows(spark, rows, width, hot):
+@given(rows=rows_st, width=st.integers(1, 15))
+def test_position_and_lag_match_windows(spark, rows, width):
     df = spark.createDataFrame([(k, o, v, i) for i, (k, o, v) in enumerate(rows)], "k int, o int, v int, i int")
     order = ["o", "i"]                                  # total order so positions are determined
     w = Window.partitionBy("k").orderBy(*order)
-    got = Q.ordered_position(df, ["k"], order, Q.value_bucket("o", width), "p", hot_threshold=hot)
+    got = Q.ordered_position(df, ["k"], order, Q.value_bucket("o", width), "p")
     want = df.withColumn("p", F.row_number().over(w).cast("long"))
     assert _sorted(got.select("k", "o", "v", "i", "p")) == _sorted(want)
     got_lag = Q.ordered_previous(df.withColumn("oi", F.struct("o", "i")), ["k"], "oi",
-                                 Q.value_bucket("o", width), ["v"], hot_threshold=hot)
+                                 Q.value_bucket("o", width), ["v"])
     want_lag = df.withColumn("prev_v", F.lag("v").over(w))
     assert _sorted(got_lag.select("k", "o", "v", "i", "prev_v")) == _sorted(want_lag)
 
 
 @SETTINGS
-@given(rows=rows_st, hot=st.one_of(st.none(), st.integers(0, 20)), spread=st.integers(0, 4))
-def test_desc_running_totals_and_ranks_match_windows(spark, rows, hot, spread):
+@given(rows=rows_st, spread=st.integers(0, 4))
+def test_desc_running_totals_and_ranks_match_windows(spark, rows, spread):
     df = spark.createDataFrame(rows, "k int, o int, v int")
     rw = W.running_window(["k"], [F.desc("o")])
     got = W.running_totals(df, ["k"], [F.desc("o")], W.desc_bucket("o", spread=spread), "o", "s", "m",
-                           hot_threshold=hot)
+                           descending=True)
     want = df.select("k", "o", "v", F.sum("o").over(rw).alias("s"), F.max("o").over(rw).alias("m"))
     # ties make ROWS-frame values per row ambiguous, but not their multiset per (key, value)
     proj = lambda d: sorted(((r.k, r.o, r.s, r.m) for r in d.collect()), key=repr)
@@ -50,6 +50,9 @@ def test_desc_running_totals_and_ranks_match_windows(spark, rows, hot, spread):
     want_r = df.select("k", "o", "v", F.rank().over(wr).alias("rank"), F.dense_rank().over(wr).alias("dense_rank"))
     got_r = W.ranks(df, ["k"], "o", descending=True).select("k", "o", "v", "rank", "dense_rank")
     assert _sorted(got_r) == _sorted(want_r)
+    for bucket in (W.desc_bucket("o"), F.floor(F.col("o") / 4)):
+        got_s = W.ranks_spread(df, ["k"], "o", bucket, descending=True).select("k", "o", "v", "rank", "dense_rank")
+        assert _sorted(got_s) == _sorted(want_r)
 
 
 @SETTINGS
@@ -91,8 +94,8 @@ def test_row_position_is_a_sorted_numbering(spark, vals, buckets):
 @settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
 @given(events=st.lists(st.tuples(st.integers(1, 4), st.one_of(st.none(), st.integers(0, 500))),
                        min_size=1, max_size=120),
-       size=st.integers(1, 12), hot=st.one_of(st.none(), st.integers(0, 40)))
-def test_trajectory_variants_match_window_form(spark, events, size, hot):
+       size=st.integers(1, 12))
+def test_trajectory_variants_match_window_form(spark, events, size):
     import datetime as dt
 
     from quarry.operators import trajectory as TR
@@ -101,7 +104,7 @@ def test_trajectory_variants_match_window_form(spark, events, size, hot):
     rows = [(k, None if m is None else t0 + dt.timedelta(minutes=7 * m)) for k, m in events]
     df = spark.createDataFrame(rows, "mmsi int, ts timestamp_ntz")
     want = _sorted(TR.build_trajectories_window(df, size=size))
-    assert _sorted(TR.build_trajectories(df, size=size, bucket_seconds=1800, hot_threshold=hot)) == want
+    assert _sorted(TR.build_trajectories(df, size=size, bucket_seconds=1800)) == want
     assert _sorted(KS.trajectories_grouped(df, size=size, bucket_seconds=1800, target_rows=7)) == want
     assert _sorted(KS.trajectories_partition_iterator(df, size=size, bucket_seconds=1800, target_rows=7,
                                                       num_partitions=3)) == want
