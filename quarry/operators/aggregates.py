@@ -14,6 +14,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _SHORT_AGGS = {
     "count": F.count, "min": F.min, "max": F.max, "sum": F.sum, "avg": F.avg, "mean": F.avg,
@@ -107,34 +108,30 @@ def cube(df: DataFrame, cols: Sequence[str], *aggs: Column, gid: str | None = "g
     return src.cube(*cols).agg(*aggs, *extra)
 
 
-def pivot_values(df: DataFrame, column: str, max_values: int = 10_000) -> list:
-    """Distinct values of a pivot column, sorted; bounded by ``max_values``.
+def pivot(df: DataFrame, group: Sequence[str], column: str, *aggs: Column, values: Sequence) -> DataFrame:
+    """One row per group, one column per (pivot value, aggregate): ``<value>_<alias>``.
 
-    Only the distinct values reach the driver (partial aggregation), and the
-    count is checked before they are used as output columns.
+    The values make the columns, so the caller names them; where they are not
+    known, or are many, :func:`pivot_long` gives the same numbers as rows.
     """
-    vals = [r[0] for r in df.select(column).distinct().limit(max_values + 1).collect()]
-    if len(vals) > max_values:
-        raise ValueError(f"pivot column {column!r} has more than {max_values} values")
-    return sorted(v for v in vals if v is not None)
+    return df.groupBy(*group).pivot(column, list(values)).agg(*aggs)
 
 
-def pivot(df: DataFrame, group: Sequence[str], column: str, *aggs: Column,
-          values: Sequence | None = None) -> DataFrame:
-    """One row per group, one column per (pivot value, aggregate): ``<value>_<alias>``."""
-    vals = list(values) if values is not None else pivot_values(df, column)
-    return df.groupBy(*group).pivot(column, vals).agg(*aggs)
+def pivot_long(df: DataFrame, group: Sequence[str], column: str, *aggs: Column) -> DataFrame:
+    """The pivot in long form: one row per (group, pivot value present), whatever their number."""
+    return df.groupBy(*group, column).agg(*aggs)
 
 
 def describe_long(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Typed long form of ``describe``: (column, count, mean, stddev, min, max) per
     numeric column, in one aggregation pass."""
-    cols = list(cols) if cols else [f.name for f in df.schema.fields
-                                    if f.dataType.typeName() in ("integer", "long", "double", "float")]
+    cols = list(cols) if cols else [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
+    if not cols:
+        raise ValueError("no numeric column to describe")
     aggs = []
     for c in cols:
-        aggs += [F.count(c).alias(f"{c}__count"), F.avg(c).alias(f"{c}__mean"),
-                 F.stddev_samp(c).alias(f"{c}__stddev"),
+        aggs += [F.count(c).alias(f"{c}__count"), F.avg(c).cast("double").alias(f"{c}__mean"),
+                 F.stddev_samp(c).cast("double").alias(f"{c}__stddev"),
                  F.min(c).cast("double").alias(f"{c}__min"), F.max(c).cast("double").alias(f"{c}__max")]
     wide = df.agg(*aggs)
     stack = ", ".join(f"'{c}', `{c}__count`, `{c}__mean`, `{c}__stddev`, `{c}__min`, `{c}__max`" for c in cols)
@@ -146,12 +143,13 @@ def crosstab_long(df: DataFrame, a: str, b: str) -> DataFrame:
     return df.groupBy(a, b).agg(F.count(F.lit(1)).alias("count"))
 
 
-def crosstab_wide(df: DataFrame, a: str, b: str, max_values: int = 10_000) -> DataFrame:
+def crosstab_wide(df: DataFrame, a: str, b: str, values: Sequence[str]) -> DataFrame:
     """Wide contingency table like ``stat.crosstab``: first column ``a_b``, one column per
-    value of ``b`` (text; null shown as ``null``), zero where a pair is absent."""
+    value of ``b`` named (as text; null is ``null``), zero where a pair is absent.
+    :func:`crosstab_long` needs no list of values."""
     src = df.select(F.coalesce(F.col(a).cast("string"), F.lit("null")).alias(f"{a}_{b}"),
                     F.coalesce(F.col(b).cast("string"), F.lit("null")).alias("_b"))
-    out = pivot(src, [f"{a}_{b}"], "_b", F.count(F.lit(1)), values=pivot_values(src, "_b", max_values))
+    out = pivot(src, [f"{a}_{b}"], "_b", F.count(F.lit(1)), values=values)
     return out.fillna(0)
 
 

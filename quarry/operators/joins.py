@@ -3,8 +3,8 @@
 Spark picks the physical join: broadcast when a side is under
 ``spark.sql.autoBroadcastJoinThreshold`` (re-checked at runtime by AQE),
 otherwise sort-merge on hash-partitioned keys, with AQE splitting skewed
-partitions. An explicit broadcast is only added after the side's row count
-has been checked against a bound.
+partitions. Nothing here forces a broadcast or a shuffle ahead of that choice;
+:func:`salted_join` spreads keys that are hot on one side.
 """
 
 from __future__ import annotations
@@ -17,34 +17,32 @@ from pyspark.sql import functions as F
 from .sequence import ordered_position
 
 
-def join(left: DataFrame, right: DataFrame, on: str | Sequence[str] | Column, how: str = "inner",
-         num_partitions: int | None = None) -> DataFrame:
-    """Equi join; with ``num_partitions`` both sides are first hash-partitioned on the
-    key into that many partitions (the join then reuses that partitioning)."""
-    if num_partitions and not isinstance(on, Column):
-        keys = [on] if isinstance(on, str) else list(on)
-        left = left.repartition(num_partitions, *keys)
-        right = right.repartition(num_partitions, *keys)
+def join(left: DataFrame, right: DataFrame, on: str | Sequence[str] | Column, how: str = "inner") -> DataFrame:
+    """Equi join; Spark picks the physical form and the partitioning."""
     return left.join(right, on, how)
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def salted_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], salts: int, how: str = "inner") -> DataFrame:
+    """Equi join (inner, left, left_semi or left_anti) whose left keys are spread over
+    ``salts`` partitions each, by a hash of the row; every right row is repeated
+    ``salts`` times. For a left side with keys too hot for one task and a right
+    side of few rows per key."""
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"a salted {how} join would repeat rows of the right side")
+    keys = [on] if isinstance(on, str) else list(on)
+    cut = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int"))
+    spread = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return cut.join(spread, [*keys, "_salt"], how).drop("_salt")
 
 
 def broadcast_lookup(df: DataFrame, lookup: DataFrame, key: str, value: str, default=0,
-                     max_rows: int = 1_000_000, name: str | None = None) -> DataFrame:
+                     name: str | None = None) -> DataFrame:
     """Enrich rows with ``lookup[value]`` by ``key``; ``default`` where absent.
 
-    The lookup is broadcast only when its row count is proven to be at most
-    ``max_rows``; otherwise the join stays a shuffle join (AQE may still
-    broadcast it if its runtime size is small).
+    Spark broadcasts the lookup when its size in bytes, planned or measured at
+    run time, is under ``spark.sql.autoBroadcastJoinThreshold``, and shuffles otherwise.
     """
-    lk = lookup.select(key, F.col(value).alias(name or value))
-    if fits(lk, max_rows):
-        lk = F.broadcast(lk)
-    out = df.join(lk, key, "left")
+    out = df.join(lookup.select(key, F.col(value).alias(name or value)), key, "left")
     return out.withColumn(name or value, F.coalesce(F.col(name or value), F.lit(default)))
 
 
@@ -93,7 +91,7 @@ def quantile_boundaries(df: DataFrame, column: str, num_buckets: int, accuracy:
     target = per_bucket_sample * num_buckets
     n = present.count()
     frac = min(1.0, 2.0 * target / max(n, 1))
-    sample = sorted(r[0] for r in present.sample(False, frac, seed).limit(4 * target).collect())
+    sample = sorted(r[0] for r in present.sample(False, frac, seed).collect())
     if not sample:
         return []
     return sorted({sample[len(sample) * i // num_buckets] for i in range(1, num_buckets)})

@@ -71,21 +71,26 @@ def group_by_key_reduce(df: DataFrame, agg=F.sum, name: str = "value") -> DataFr
 _JVM_FOLDS = {"sum": (F.sum, lambda a, z: a + z), "min": (F.min, F.least), "max": (F.max, F.greatest)}
 
 
-def aggregate_by_key(df: DataFrame, op="sum", zero: float = 0.0, name: str = "value") -> DataFrame:
+def aggregate_by_key(df: DataFrame, op="sum", zero=None, name: str = "value") -> DataFrame:
     """``aggregateByKey(zero)(seqOp, combOp)``.
 
     A built-in associative ``op`` ("sum", "min", "max") folds and merges in the JVM
-    (partial aggregation in the map task, merge after the shuffle); the zero is
-    applied once per key. A :class:`~quarry.operators.udaf.DecomposableAggregate`
+    (partial aggregation in the map task, merge after the shuffle) in the type of
+    the values. ``zero``, if given, takes part once per key, so a key without a
+    value gives it (without ``zero``: null). A :class:`~quarry.operators.udaf.DecomposableAggregate`
     runs its vectorised update in the map task and its merge in the JVM.
     """
     if isinstance(op, str):
         agg, with_zero = _JVM_FOLDS[op]
-        return df.groupBy("key").agg(with_zero(agg(F.col("value").cast("double")), F.lit(float(zero))).alias(name))
+        folded = df.groupBy("key").agg(agg("value").alias(name))
+        if zero is None:
+            return folded
+        z = F.lit(zero).cast(folded.schema[name].dataType)
+        return folded.withColumn(name, F.when(F.col(name).isNull(), z).otherwise(with_zero(F.col(name), z)))
     return udaf.aggregate(df, ["key"], op, alias=name)
 
 
-def fold_by_key(df: DataFrame, op: str = "sum", zero: float = 0.0, name: str = "value") -> DataFrame:
+def fold_by_key(df: DataFrame, op: str = "sum", zero=None, name: str = "value") -> DataFrame:
     """``foldByKey(zero)(op)``: one function for both the fold and the merge."""
     return aggregate_by_key(df, op, zero, name)
 

@@ -24,7 +24,8 @@ def sort_within_partitions(df: DataFrame, *order: Column | str) -> DataFrame:
     return df.sortWithinPartitions(*order)
 
 
-def secondary_sort(df: DataFrame, key: str, order: Sequence[str], num_partitions: int) -> DataFrame:
+def secondary_sort(df: DataFrame, key: str, order: Sequence[str],
+                   num_partitions: int | None = None) -> DataFrame:
     """Co-locate and order records by ``(key, *order)``.
 
     Range partitioning on the composite key (sampled bounds) keeps each key's
@@ -33,7 +34,8 @@ def secondary_sort(df: DataFrame, key: str, order: Sequence[str], num_partitions
     would put a hot key into a single task.
     """
     cols = [key, *order]
-    return df.repartitionByRange(num_partitions, *cols).sortWithinPartitions(*cols)
+    parts = df.repartitionByRange(num_partitions, *cols) if num_partitions else df.repartitionByRange(*cols)
+    return parts.sortWithinPartitions(*cols)
 
 
 def union_by_position(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -7,13 +7,16 @@ lives in exactly one partition").
 
 from __future__ import annotations
 
+import contextlib
+import itertools
 import subprocess
 from collections.abc import Callable, Iterable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..fixed import PARTITION_TAG_SEPARATOR
 
@@ -59,24 +62,19 @@ def key_partition_spread(df: DataFrame, key: str | Column, name: str = "n_partit
             .groupBy(k).agg(F.count_distinct("_pid").alias(name)))
 
 
-def isolate_hot_key(df: DataFrame, key: str, hot_value, n_rest: int, spread_cols: Iterable[str]) -> DataFrame:
-    """Custom partitioning: rows with ``key == hot_value`` (null-safe) alone in partition 0,
-    all others spread by a hash of ``spread_cols`` over partitions 1..n_rest.
+def isolate_hot_key(df: DataFrame, key: str, hot_value, n_rest: int, spread_cols: Iterable[str],
+                    n_hot: int = 1) -> DataFrame:
+    """Custom partitioning: rows with ``key == hot_value`` (null-safe) alone in the first ``n_hot``
+    partitions, all others in the ``n_rest`` after them, both spread by a hash of ``spread_cols``.
     A hash instead of a random number keeps the layout stable under task retries."""
-    hot = F.col(key).eqNullSafe(F.lit(hot_value))
-    pid = F.when(hot, F.lit(0)).otherwise(F.lit(1) + F.pmod(F.xxhash64(*spread_cols), F.lit(n_rest)))
-    return df.repartitionById(n_rest + 1, pid.cast("int"))
+    hot, spread = F.col(key).eqNullSafe(F.lit(hot_value)), F.xxhash64(*spread_cols)
+    pid = F.when(hot, F.pmod(spread, F.lit(n_hot))).otherwise(F.lit(n_hot) + F.pmod(spread, F.lit(n_rest)))
+    return df.repartitionById(n_hot + n_rest, pid.cast("int"))
 
 
 def partition_counts(df: DataFrame) -> DataFrame:
-    """Rows per partition, counted inside each partition (mapPartitions); only a
-    constant column crosses to Python, so the scan reads no data columns."""
-    def count(batches):
-        from pyspark import TaskContext
-        n = sum(len(b) for b in batches)
-        yield pd.DataFrame({"pid": [TaskContext.get().partitionId()], "n": [n]})
-
-    return df.select(F.lit(1).alias("_one")).mapInPandas(count, "pid int, n long")
+    """Rows per partition that holds any."""
+    return df.groupBy(F.spark_partition_id().alias("pid")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def tag_with_partition(c: str | Column, sep: str = PARTITION_TAG_SEPARATOR) -> Column:
@@ -86,20 +84,22 @@ def tag_with_partition(c: str | Column, sep: str = PARTITION_TAG_SEPARATOR) -> C
 
 
 def glom(df: DataFrame, name: str = "rows") -> DataFrame:
-    """Each partition as one array of row structs (bounded by the partition size;
-    computed inside the partition, no shuffle)."""
-    fields = df.schema.fields
+    """Each partition as one array of row structs, computed inside the partition without a shuffle.
+
+    The array holds the whole partition by definition: give it partitions that fit a task's memory.
+    """
     schema = T.StructType([T.StructField("pid", T.IntegerType()),
-                           T.StructField(name, T.ArrayType(T.StructType(fields)))])
+                           T.StructField(name, T.ArrayType(T.StructType(df.schema.fields)))])
+    kind = to_arrow_schema(df.schema)
 
     def per_partition(batches):
         from pyspark import TaskContext
-        frames = [b for b in batches]
-        pdf = pd.concat(frames, ignore_index=True) if frames else pd.DataFrame(columns=[f.name for f in fields])
-        records = pdf.to_dict("records")
-        yield pd.DataFrame({"pid": [TaskContext.get().partitionId()], name: [records]})
+        held = [b.to_struct_array() for b in batches]
+        structs = pa.concat_arrays(held) if held else pa.array([], pa.struct(list(kind)))
+        lists = pa.ListArray.from_arrays(pa.array([0, len(structs)], pa.int32()), structs)
+        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), lists], names=["pid", name])
 
-    return df.mapInPandas(per_partition, schema)
+    return df.mapInArrow(per_partition, schema)
 
 
 def foreach_partition(df: DataFrame, fn: Callable[[Iterable], None]) -> None:
@@ -112,27 +112,37 @@ def pipe_partitions(df: DataFrame, column: str, command: list[str]) -> DataFrame
     its stdout lines become the rows of a one-column (``line``) result.
 
     Runs once per partition, also for an empty one (as ``RDD.pipe`` does). Input is
-    written from a thread while the output is read, so neither pipe can block.
+    written from a thread while the output is read in pieces, so neither pipe can
+    block and neither side is held whole; an error of either side fails the task.
     """
     def run(batches):
         import threading
-
-        import pyarrow as pa
         proc = subprocess.Popen(command, stdin=subprocess.PIPE, stdout=subprocess.PIPE)
+        failed = []
 
         def feed():
-            for b in batches:
-                vals = b.column(0).to_pylist()
-                if vals:
-                    proc.stdin.write(("\n".join("" if v is None else v for v in vals) + "\n").encode())
-            proc.stdin.close()
+            try:
+                for b in batches:
+                    vals = b.column(0).to_pylist()
+                    if vals:
+                        proc.stdin.write(("\n".join("" if v is None else v for v in vals) + "\n").encode())
+            except BrokenPipeError:      # the command stopped reading; its exit code tells why
+                pass
+            except Exception as e:  # noqa: BLE001  handed to the reading side
+                failed.append(e)
+            finally:
+                with contextlib.suppress(BrokenPipeError):
+                    proc.stdin.close()
 
         writer = threading.Thread(target=feed)
         writer.start()
-        out = proc.stdout.read()
+        lines = (ln.decode().rstrip("\n") for ln in proc.stdout)
+        while part := list(itertools.islice(lines, 10_000)):
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.string())], names=["line"])
         writer.join()
+        if failed:
+            raise failed[0]
         if proc.wait() != 0:
             raise RuntimeError(f"{command} failed with exit code {proc.returncode}")
-        yield pa.RecordBatch.from_arrays([pa.array(out.decode().splitlines(), pa.string())], names=["line"])
 
     return df.select(F.col(column).cast("string")).mapInArrow(run, "line string")

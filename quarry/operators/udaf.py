@@ -12,7 +12,7 @@ by:
   (``"sum"``, ``"min"``, ``"max"``), run as partial + final hash aggregation;
 * ``finish`` - a Column expression over the merged buffer fields.
 
-``aggregate(df, keys, udaf)`` builds ``mapInPandas`` (update) ->
+``aggregate(df, keys, udaf)`` builds ``mapInArrow`` (update) ->
 ``groupBy(keys).agg(merge)`` -> ``select(finish)``. A hot key costs one buffer
 per batch, never a whole group in memory.
 """
@@ -23,10 +23,14 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
+# integer columns keep their type beside nulls (plain pandas would turn them into floats)
+_EXACT = {pa.int8(): pd.Int8Dtype(), pa.int16(): pd.Int16Dtype(), pa.int32(): pd.Int32Dtype(), pa.int64(): pd.Int64Dtype()}
 _MERGE = {"sum": F.sum, "min": F.min, "max": F.max}
 
 
@@ -78,25 +82,34 @@ def aggregate(df: DataFrame, keys: Sequence[str], udaf: DecomposableAggregate,
                                for n, op in merge_ops.items()})
         return merged.reset_index()[keys + buf_names] if keys else merged.reset_index(drop=True)
 
+    def frame(batch):
+        table = pa.Table.from_batches([batch])
+        exact = table.select(keys).to_pandas(types_mapper=_EXACT.get)
+        return pd.concat([exact, table.select([c for c in table.column_names if c not in keys]).to_pandas()], axis=1)
+
+    def shipped(frames):
+        return pa.RecordBatch.from_pandas(frames, schema=arrow_schema, preserve_index=False)
+
     def partial(batches):
         held, held_rows = [], 0
-        for pdf in batches:
-            if not len(pdf):
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            part = update(pdf, keys)[keys + buf_names]
+            part = update(frame(batch), keys)[keys + buf_names]
             held.append(part)
             held_rows += len(part)
             if len(held) > 1 and held_rows > combine_rows:
                 merged = combine(held)
                 if len(merged) > combine_rows:
-                    yield merged
+                    yield shipped(merged)
                     held, held_rows = [], 0
                 else:
                     held, held_rows = [merged], len(merged)
         if held:
-            yield combine(held) if len(held) > 1 else held[0]
+            yield shipped(combine(held) if len(held) > 1 else held[0])
 
-    partials = src.mapInPandas(partial, buf_schema)
+    arrow_schema = to_arrow_schema(buf_schema)
+    partials = src.mapInArrow(partial, buf_schema)
     merged = partials.groupBy(*keys).agg(*[_MERGE[udaf.merge[n]](n).alias(n) for n in buf_names])
     result = udaf.finish(*[F.col(n) for n in buf_names]).cast(udaf.result_type)
     return merged.select(*keys, result.alias(alias or udaf.name))
@@ -111,7 +124,7 @@ def mean_of(column: str) -> DecomposableAggregate:
                        "count": g.count().astype("int64")}, keys)
 
     return DecomposableAggregate(
-        name="my_avg", inputs=(column,), buffer=(("sum", "double"), ("count", "long")),
+        name="mean", inputs=(column,), buffer=(("sum", "double"), ("count", "long")),
         update=update, merge={"sum": "sum", "count": "sum"},
         finish=lambda s, n: F.when(n > 0, s / n))
 

@@ -21,6 +21,7 @@ def _month(c: str = "InvoiceDate"):
     return F.trunc(F.to_date(c), "month").alias("month")
 
 
+NATIONS = [f"NATION_{i}" for i in range(25)]
 MONTH_SQL = "CAST(date_trunc('month', InvoiceDate) AS DATE)"
 
 
@@ -42,10 +43,13 @@ def count_distinct(spark, sf):
     return retail(spark, sf, "StockCode").agg(F.count_distinct("StockCode").alias("n"))
 
 
-@plan("approx_distinct")
+@plan("approx_distinct", sql=_r("StockCode") + "SELECT count(DISTINCT StockCode) AS n, true AS approx_within FROM retail")
 def approx_distinct(spark, sf):
-    """HyperLogLog distinct count with relative standard deviation 0.1 (approximate)."""
-    return retail(spark, sf, "StockCode").agg(F.approx_count_distinct("StockCode", 0.1).alias("n"))
+    """HyperLogLog distinct count with relative standard deviation 0.1, held against the exact count:
+    within three deviations."""
+    both = retail(spark, sf, "StockCode").agg(F.count_distinct("StockCode").alias("n"),
+                                              F.approx_count_distinct("StockCode", 0.1).alias("approx"))
+    return both.select("n", (F.abs(F.col("approx") - F.col("n")) <= 0.3 * F.col("n")).alias("approx_within"))
 
 
 @plan("first_last", sql=_r("StockCode", "InvoiceDate", "Country") +
@@ -242,17 +246,17 @@ def grouping_id(spark, sf):
 
 
 @plan("pivot", sql=_r("InvoiceDate", "Quantity", "Country") +
-      f"PIVOT (SELECT {MONTH_SQL} AS month, Country, Quantity FROM retail) ON Country "
-      f"USING CAST(sum(Quantity) AS BIGINT) AS total_qty, avg(Quantity) AS avg_qty GROUP BY month")
+      f"SELECT {MONTH_SQL} AS month, " + ", ".join(
+          f"CAST(sum(Quantity) FILTER (Country = '{n}') AS BIGINT) AS {n}_total_qty, "
+          f"avg(Quantity) FILTER (Country = '{n}') AS {n}_avg_qty" for n in NATIONS) + " FROM retail GROUP BY 1")
 def pivot(spark, sf):
     """One row per month, columns <Country>_total_qty and <Country>_avg_qty.
 
-    The pivot values come from the nation dimension (a bounded, checked list), so no
-    distinct pass over the fact rows is needed and the column set is fixed."""
+    The pivot values are the nation dimension's names, so no pass over the fact
+    rows is needed and the column set is fixed."""
     r = retail(spark, sf, "InvoiceDate", "Quantity", "Country").select(_month(), "Country", "Quantity")
-    countries = A.pivot_values(read_table(spark, sf, "nation", "n_name"), "n_name")
     return A.pivot(r, ["month"], "Country", F.sum("Quantity").alias("total_qty"),
-                   F.avg("Quantity").alias("avg_qty"), values=countries)
+                   F.avg("Quantity").alias("avg_qty"), values=NATIONS)
 
 
 def _describe_sql(cols):
@@ -270,11 +274,17 @@ def describe(spark, sf):
                     "min", "max")
 
 
-@plan("approx_quantile")
+@plan("approx_quantile", sql=_r("Quantity", "Country") +
+      "SELECT Country, unnest([0.25, 0.5, 0.75]) AS p, true AS rank_within FROM retail GROUP BY Country")
 def approx_quantile(spark, sf):
-    """Quartiles with relative rank error 0.05 (approximate)."""
-    r = retail(spark, sf, "Quantity", "Country")
-    return r.groupBy("Country").agg(F.percentile_approx("Quantity", [0.25, 0.5, 0.75], 20).alias("quartiles"))
+    """Quartiles with relative rank error 0.05, each held against the ranks that its value really has."""
+    r, probs = retail(spark, sf, "Quantity", "Country"), [0.25, 0.5, 0.75]
+    approx = r.groupBy("Country").agg(F.percentile_approx("Quantity", probs, 20).alias("q")).select(
+        "Country", F.explode(F.arrays_zip(F.array(*map(F.lit, probs)).alias("p"), F.col("q").alias("q"))).alias("x"))
+    ranks = approx.select("Country", "x.p", "x.q").join(r, "Country").groupBy("Country", "p").agg(
+        (F.count_if(F.col("Quantity") < F.col("q")) / F.count("Quantity")).alias("below"),
+        (F.count_if(F.col("Quantity") <= F.col("q")) / F.count("Quantity")).alias("upto"))
+    return ranks.select("Country", "p", ((F.col("below") <= F.col("p") + 0.05) & (F.col("upto") >= F.col("p") - 0.05)).alias("rank_within"))
 
 
 @plan("exact_quantile", sql=_r("Quantity", "Country") +
@@ -292,10 +302,14 @@ def crosstab(spark, sf):
     return A.crosstab_long(retail(spark, sf, "StockCode", "UnitPrice"), "StockCode", "UnitPrice")
 
 
-@plan("crosstab_wide")
+UNITS = [str(i) for i in range(1, 51)]      # the quantities that a line can have
+
+
+@plan("crosstab_wide", sql=_r("Quantity", "Country") + "SELECT Country AS \"Country_Quantity\", " + ", ".join(
+      f"count(*) FILTER (Quantity = {u}) AS \"{u}\"" for u in UNITS) + " FROM retail GROUP BY Country")
 def crosstab_wide(spark, sf):
     """Contingency table in the wide layout: first column ``Country_Quantity``."""
-    return A.crosstab_wide(retail(spark, sf, "Quantity", "Country"), "Country", "Quantity")
+    return A.crosstab_wide(retail(spark, sf, "Quantity", "Country"), "Country", "Quantity", UNITS)
 
 
 @plan("partition_max_sum", sql="SELECT round(sum(m), 2) AS result FROM "
@@ -316,11 +330,14 @@ def tree_aggregate(spark, sf):
     return out.select(F.round("result", 2).alias("result"))
 
 
-@plan("partition_max_sum_physical")
+@plan("partition_max_sum_physical", sql="SELECT max(o_totalprice) AS top, true AS between_one_and_five_tops FROM orders")
 def partition_max_sum_physical(spark, sf):
-    """Sum over physical partitions of the partition maximum (layout-dependent)."""
+    """Sum over five physical partitions of the partition maximum. It depends on the layout; by the largest value
+    it is at least that and at most five times that."""
     o = read_table(spark, sf, "orders", "o_totalprice").repartition(5)
-    return A.per_partition_then_total(o, F.spark_partition_id(), "o_totalprice")
+    parts = o.groupBy(F.spark_partition_id().alias("pid")).agg(F.max("o_totalprice").alias("part"))
+    return parts.agg(F.max("part").alias("top"), F.sum("part").alias("result")).select(
+        "top", F.col("result").between(F.col("top"), 5 * F.col("top")).alias("between_one_and_five_tops"))
 
 
 @plan("reduce_shortest", sql=f"SELECT first(word ORDER BY length(word), word) AS shortest FROM {WD_}")
@@ -329,21 +346,35 @@ def reduce_shortest(spark, sf):
     return words(spark, sf).agg(A.shortest("word").alias("shortest"))
 
 
+def _side_metric(spark, df, metric):
+    """The metric as the pass over ``df`` gathers it; the rows themselves go to a sink that drops them."""
+    observed, seen = A.observe_metrics(df, "side", metric.alias("metric"))
+    observed.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame([(seen.get["metric"],)], "metric long")
+
+
 @plan("metric_sum_where", sql=f"SELECT CAST(sum(CASE WHEN dest = 'NATION_5' OR origin = 'NATION_5' "
                               f"THEN cnt END) AS BIGINT) AS metric FROM {FL_}")
 def metric_sum_where(spark, sf):
     """Side metric: traffic from or to one nation."""
     c = (F.col("dest") == "NATION_5") | (F.col("origin") == "NATION_5")
-    return flights(spark, sf).agg(F.sum(F.when(c, F.col("cnt"))).alias("metric"))
+    return _side_metric(spark, flights(spark, sf), F.sum(F.when(c, F.col("cnt"))))
 
 
 @plan("metric_sum_even", sql=f"SELECT CAST(sum(CASE WHEN cnt % 2 = 0 THEN cnt END) AS BIGINT) AS metric FROM {FL_}")
 def metric_sum_even(spark, sf):
     """Side metric with its own rule: sum of even counts."""
-    return flights(spark, sf).agg(F.sum(F.when(F.col("cnt") % 2 == 0, F.col("cnt"))).alias("metric"))
+    return _side_metric(spark, flights(spark, sf), F.sum(F.when(F.col("cnt") % 2 == 0, F.col("cnt"))))
+
+
+_DESCRIBED = {"count": "count({c})", "mean": "avg({c})", "stddev": "stddev_samp({c})", "min": "min({c})", "max": "max({c})"}
 
 
-@plan("describe_text")
+@plan("describe_text", sql=_r("Quantity", "UnitPrice", "Country") + " UNION ALL ".join(
+      f"SELECT '{s}' AS summary, " + ", ".join(f"round(CAST({e.format(c=c)} AS DOUBLE), 6) AS {c}" for c in ("Quantity", "UnitPrice")) +
+      f", {'CAST(count(Country) AS VARCHAR)' if s == 'count' else e.format(c='Country') if s in ('min', 'max') else 'NULL'} AS Country FROM retail"
+      for s, e in _DESCRIBED.items()))
 def describe_text(spark, sf):
-    """Spark's own ``describe()``: count, mean, stddev, min, max per column, as text."""
-    return retail(spark, sf, "Quantity", "UnitPrice", "Country").describe()
+    """Spark's own ``describe()``: count, mean, stddev, min, max per column; its texts of numbers read back as numbers."""
+    d = retail(spark, sf, "Quantity", "UnitPrice", "Country").describe()
+    return d.select("summary", *[F.round(F.col(c).cast("double"), 6).alias(c) for c in ("Quantity", "UnitPrice")], "Country")

@@ -17,10 +17,10 @@ LT_ = f"({LETTERS_SQL})"
 @plan("join_inner", sql="SELECT l_orderkey, l_linenumber, o_orderstatus FROM lineitem "
                         "JOIN orders ON o_orderkey = l_orderkey")
 def join_inner(spark, sf):
-    """Inner equi join by key into a chosen number of partitions."""
+    """Inner equi join by key; Spark places the shuffle, if it needs one."""
     li = read_table(spark, sf, "lineitem", "l_orderkey", "l_linenumber")
     o = read_table(spark, sf, "orders", "o_orderkey", "o_orderstatus").withColumnRenamed("o_orderkey", "l_orderkey")
-    return J.join(li, o, "l_orderkey", "inner", num_partitions=spark.sparkContext.defaultParallelism)
+    return J.join(li, o, "l_orderkey", "inner")
 
 
 FINISHED = "(SELECT o_custkey, count(*) AS n_finished FROM orders WHERE o_orderstatus = 'F' GROUP BY o_custkey)"
@@ -85,13 +85,13 @@ BENCH_WORDS = (f"(SELECT word, count(*) AS freq FROM (SELECT unnest(regexp_split
 @plan("broadcast_lookup", sql=f"SELECT w.word, coalesce(b.freq, 0) AS freq FROM (SELECT DISTINCT word FROM {WD_}) w "
                               f"LEFT JOIN {BENCH_WORDS} b ON b.word = w.word ORDER BY freq")
 def broadcast_lookup(spark, sf):
-    """Distinct document words enriched from a small checked lookup (word frequency in the
+    """Distinct document words enriched from a lookup (word frequency in the
     benchmark texts), default 0, sorted by the value."""
     bench = read_table(spark, sf, "benchmark", "text")
     lookup = (bench.select(F.explode(F.split("text", WS)).alias("word")).where(F.length("word") > 0)
               .groupBy("word").agg(F.count(F.lit(1)).alias("freq")))
     w = words(spark, sf).select("word").distinct()
-    return J.broadcast_lookup(w, lookup, "word", "freq", default=0, max_rows=1_000_000).orderBy("freq")
+    return J.broadcast_lookup(w, lookup, "word", "freq", default=0).orderBy("freq")
 
 
 @plan("zip_positional", sql="SELECT a.o_orderkey, b.o_totalprice FROM "
@@ -104,7 +104,8 @@ def zip_positional(spark, sf):
     by_key = o.select("o_orderkey")
     # descending price (ties by key) as an ascending order on the negated price
     by_price = o.select((-F.col("o_totalprice")).alias("_neg"), "o_totalprice", F.col("o_orderkey").alias("_k"))
-    out = J.zip_positional(by_key, by_price, ["o_orderkey"], ["_neg", "_k"], spark.sparkContext.defaultParallelism)
+    out = J.zip_positional(by_key, by_price, ["o_orderkey"], ["_neg", "_k"],
+                          int(spark.conf.get("spark.sql.shuffle.partitions")))
     return out.select("o_orderkey", "o_totalprice")
 
 
@@ -128,16 +129,16 @@ def group_by_key(spark, sf):
     return KV.group_by_key_reduce(letters(spark, sf))
 
 
-@plan("aggregate_by_key", sql=f"SELECT key, CAST(sum(value) AS DOUBLE) AS value FROM {LT_} GROUP BY key")
+@plan("aggregate_by_key", sql=f"SELECT key, CAST(sum(value) AS BIGINT) AS value FROM {LT_} GROUP BY key")
 def aggregate_by_key(spark, sf):
     """Zero, within-partition fold and merge per key (user aggregate path)."""
-    return KV.aggregate_by_key(letters(spark, sf), "sum", 0.0)
+    return KV.aggregate_by_key(letters(spark, sf), "sum", 0)
 
 
-@plan("fold_by_key", sql=f"SELECT key, CAST(max(value) AS DOUBLE) AS value FROM {LT_} GROUP BY key")
+@plan("fold_by_key", sql=f"SELECT key, max(value) AS value FROM {LT_} GROUP BY key")
 def fold_by_key(spark, sf):
     """One function for fold and merge (here: max, zero 0)."""
-    return KV.fold_by_key(letters(spark, sf), "max", 0.0)
+    return KV.fold_by_key(letters(spark, sf), "max", 0)
 
 
 @plan("combine_by_key", sql=f"SELECT key, [1] AS \"values\", [count(*)] AS counts FROM {LT_} GROUP BY key")

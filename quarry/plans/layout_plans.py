@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..fixed import PARTITION_TAG_SEPARATOR
 from ..operators import partitioning as R
 from ..sources.fixtures import FLIGHTS_SQL, POSITIONS_SQL, WORDS_SQL, flights, positions, retail, retail_sql, words
 from .registry import plan
@@ -19,7 +20,7 @@ def _r(*cols):
     return f"WITH retail AS ({retail_sql(*cols)}) "
 
 
-@plan("num_partitions")
+@plan("num_partitions", sql="SELECT 5 AS n_partitions")
 def num_partitions(spark, sf):
     """Partition count after repartition(5) (layout)."""
     fl = R.repartition_n(flights(spark, sf), 5)
@@ -52,10 +53,12 @@ def coalesce_n(spark, sf):
     return R.coalesce_n(R.repartition_n(flights(spark, sf), 8), 2)
 
 
-@plan("nonempty_partitions")
+@plan("nonempty_partitions", sql=f"SELECT count(DISTINCT cnt % 10) AS n_values, true AS at_most_a_partition_each FROM {FL_}")
 def nonempty_partitions(spark, sf):
-    """Number of partitions holding rows after hash partitioning by expression (layout)."""
-    return R.nonempty_partitions(R.repartition_by(flights(spark, sf), F.col("cnt") % 10, n=200))
+    """Partitions holding rows after hash partitioning by an expression into 200: at least one, at most one for each value."""
+    fl = R.repartition_by(flights(spark, sf), F.col("cnt") % 10, n=200)
+    counts = R.with_partition_id(fl).agg(F.count_distinct(F.col("cnt") % 10).alias("n_values"), F.count_distinct("pid").alias("nonempty"))
+    return counts.select("n_values", F.col("nonempty").between(F.lit(1), F.col("n_values")).alias("at_most_a_partition_each"))
 
 
 @plan("partition_hash", sql=_r("CustomerId") +
@@ -75,13 +78,13 @@ def partition_range(spark, sf):
 
 
 @plan("partition_custom", sql=_r("InvoiceNo", "StockCode", "CustomerId") +
-      "SELECT CustomerId IS NULL AS is_hot, CASE WHEN CustomerId IS NULL THEN 0 ELSE 1 END AS min_pid, "
-      "CASE WHEN CustomerId IS NULL THEN 0 ELSE 2 END AS max_pid, count(*) AS n FROM retail GROUP BY 1")
+      "SELECT CustomerId IS NULL AS is_hot, CASE WHEN CustomerId IS NULL THEN 0 ELSE 3 END AS min_pid, "
+      "CASE WHEN CustomerId IS NULL THEN 2 ELSE 4 END AS max_pid, count(*) AS n FROM retail GROUP BY 1")
 def partition_custom(spark, sf):
-    """The hot key (the missing customer, a tenth of all rows) alone in partition 0,
-    the rest spread by a hash over partitions 1-2."""
+    """The hot key (the missing customer, a tenth of all rows) alone in partitions 0-2,
+    the rest in partitions 3-4, both spread by a hash."""
     r = retail(spark, sf, "InvoiceNo", "StockCode", "CustomerId")
-    p = R.isolate_hot_key(r, "CustomerId", None, 2, ["InvoiceNo", "StockCode"])
+    p = R.isolate_hot_key(r, "CustomerId", None, 2, ["InvoiceNo", "StockCode"], n_hot=3)
     p = p.withColumn("pid", F.spark_partition_id())
     return p.groupBy(F.col("CustomerId").isNull().alias("is_hot")).agg(
         F.min("pid").alias("min_pid"), F.max("pid").alias("max_pid"), F.count(F.lit(1)).alias("n"))
@@ -100,16 +103,22 @@ def map_partitions(spark, sf):
     return R.partition_counts(words(spark, sf)).agg(F.sum("n").alias("n"))
 
 
-@plan("map_partitions_index")
+@plan("map_partitions_index", sql=f"SELECT word, true AS numbered FROM ({WORDS_SQL})")
 def map_partitions_index(spark, sf):
-    """Each word prefixed with its partition number (layout)."""
-    return words(spark, sf).select(R.tag_with_partition("word").alias("tagged"))
+    """Each word prefixed with its partition number; the number varies with the layout, the rest is the word."""
+    tagged = words(spark, sf).select(R.tag_with_partition("word").alias("tagged"))
+    sep = PARTITION_TAG_SEPARATOR
+    at = F.instr("tagged", sep)
+    return tagged.select(F.substr("tagged", at + len(sep)).alias("word"),
+                         F.substr("tagged", F.lit(1), at - 1).rlike("^[0-9]+$").alias("numbered"))
 
 
-@plan("glom")
+@plan("glom", sql=f"SELECT origin, dest, cnt, true AS in_one_of_four FROM {FL_}")
 def glom(spark, sf):
-    """Each partition of the flights as one array (layout)."""
-    return R.glom(R.repartition_n(flights(spark, sf), 4))
+    """Each partition of the flights as one array, taken apart again."""
+    arrays = R.glom(R.repartition_n(flights(spark, sf), 4))
+    return arrays.select("pid", F.explode("rows").alias("r")).select(
+        "r.origin", "r.dest", "r.cnt", F.col("pid").between(0, 3).alias("in_one_of_four"))
 
 
 @plan("pipe_partitions", sql=f"SELECT count(*) AS n FROM ({WORDS_SQL})")

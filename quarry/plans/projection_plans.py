@@ -127,10 +127,12 @@ def generated_columns(spark, sf):
     return P.flag_columns(prod, "Description", COLORS)
 
 
-@plan("row_id")
+@plan("row_id", sql=f"SELECT dest, origin, cnt, 1 AS n_with_id FROM {FL_}")
 def row_id(spark, sf):
-    """Unique, increasing, non-consecutive id per row (layout-dependent values)."""
-    return P.with_row_id(flights(spark, sf))
+    """Unique, increasing, non-consecutive id per row: every row with the number of rows that have its id."""
+    rows = P.with_row_id(flights(spark, sf))
+    return rows.groupBy("row_id").agg(F.first("dest").alias("dest"), F.first("origin").alias("origin"), F.first("cnt").alias("cnt"),
+                                      F.count(F.lit(1)).cast("int").alias("n_with_id")).drop("row_id")
 
 
 @plan("pack_struct", sql=f"SELECT dest, origin, cnt FROM {FL_}")

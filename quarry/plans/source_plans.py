@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.trajectory import build_trajectories
-from ..sources import files
+from ..sources import files, local
 from ..sources.fixtures import FLIGHTS_SQL, POSITIONS_SQL, flights, positions
 from ..sources.materialize import checkpointed
 from ..sources.tables import read_table
@@ -47,14 +47,14 @@ def csv_gz_scan(spark, sf):
     """Gzip CSV (one task per file) redistributed after the read."""
     path = files.write_csv(flights(spark, sf), files.scratch_path(spark, "flights-gz"), header=True,
                            compression="gzip")
-    return files.read_csv(spark, path, FLIGHTS_SCHEMA, min_partitions=spark.sparkContext.defaultParallelism)
+    return files.read_csv(spark, path, FLIGHTS_SCHEMA, rebalance=True)
 
 
 @plan("range_source", sql="SELECT row_number() OVER () - 1 AS id FROM orders")
 def range_source(spark, sf):
-    """Generated id column 0..n-1 with n = the number of orders."""
-    n = read_table(spark, sf, "orders", "o_orderkey").count()
-    return spark.range(n)
+    """Generated id column 0..n-1 with n = the number of orders, counted when the query runs."""
+    n = read_table(spark, sf, "orders", "o_orderkey").agg(F.count(F.lit(1)).alias("n"))
+    return local.ids_up_to(n, "n")
 
 
 @plan("rdd_bridge", sql="SELECT o_orderkey, upper(o_orderstatus) || '-' || o_orderpriority AS tag, "
@@ -85,14 +85,13 @@ def _position_csv(spark, sf) -> str:
     pos = positions(spark, sf).select(
         "mmsi", F.date_format("ts", files.AIS_TIME_FORMAT).alias("timestamp"),
         F.col("lat").alias("latitude"), F.col("lon").alias("longitude"))
-    return files.write_csv(pos, files.scratch_path(spark, "ais"), header=True, compression="gzip")
+    return files.write_csv(pos, files.scratch_path(spark, "ais"), header=True)
 
 
 @plan("ais_ingest", sql=f"SELECT mmsi, date_trunc('second', ts) AS ts, lat, lon FROM ({POSITIONS_SQL})")
 def ais_ingest(spark, sf):
-    """Position CSV (gzip, text times dd/MM/yyyy HH:mm:ss) parsed into typed records."""
-    raw = files.read_csv(spark, _position_csv(spark, sf), files.AIS_SCHEMA,
-                         min_partitions=spark.sparkContext.defaultParallelism)
+    """Position CSV (text times dd/MM/yyyy HH:mm:ss) parsed into typed records."""
+    raw = files.read_csv(spark, _position_csv(spark, sf), files.AIS_SCHEMA)
     good, _rejects = files.ingest_positions(raw)
     return good
 

@@ -105,12 +105,12 @@ def udf_null_aware(spark, sf):
 
 
 @plan("udaf_columns", sql=_r("Quantity") + "SELECT 'avg' AS agg, round(avg(Quantity), 6) AS value FROM retail "
-                                           "UNION ALL SELECT 'my_avg', round(avg(Quantity), 6) FROM retail")
+                                           "UNION ALL SELECT 'user_mean', round(avg(Quantity), 6) FROM retail")
 def udaf_columns(spark, sf):
     """Custom mean over a column beside the built-in avg (whole table), one row each."""
     r = retail(spark, sf, "Quantity")
     mine = udaf.aggregate(r, [], udaf.mean_of("Quantity")).select(
-        F.lit("my_avg").alias("agg"), F.round("my_avg", 6).alias("value"))
+        F.lit("user_mean").alias("agg"), F.round("mean", 6).alias("value"))
     builtin = r.agg(F.lit("avg").alias("agg"), F.round(F.avg("Quantity"), 6).alias("value"))
     return builtin.unionByName(mine)
 
@@ -126,7 +126,7 @@ def udaf_rows(spark, sf):
 
 
 @plan("udaf_typed", sql=_r("Quantity", "Country") +
-      "SELECT Country, round(avg(Quantity), 6) AS avg_qty, round(avg(Quantity), 6) AS my_avg "
+      "SELECT Country, round(avg(Quantity), 6) AS avg_qty, round(avg(Quantity), 6) AS user_mean "
       "FROM retail GROUP BY Country")
 def udaf_typed(spark, sf):
     """Per country: built-in avg and the custom mean."""
@@ -134,7 +134,7 @@ def udaf_typed(spark, sf):
     mine = udaf.aggregate(r, ["Country"], udaf.mean_of("Quantity"))
     builtin = r.groupBy("Country").agg(F.avg("Quantity").alias("avg_qty"))
     return builtin.join(mine, "Country").select("Country", F.round("avg_qty", 6).alias("avg_qty"),
-                                                F.round("my_avg", 6).alias("my_avg"))
+                                                F.round("mean", 6).alias("user_mean"))
 
 
 @plan("instant_ms_column", sql=f"SELECT event_id, make_timestamp({MS('ts')} * 1000) AS instant FROM events")

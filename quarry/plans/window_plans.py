@@ -105,6 +105,27 @@ def row_number(spark, sf):
     return out.select("CustomerId", "date", "InvoiceNo", "StockCode", "Quantity", "row_number")
 
 
+@plan("customer_row_number", sql=_r("InvoiceNo", "StockCode", "CustomerId", "Quantity") +
+      "SELECT CustomerId, InvoiceNo, StockCode, Quantity, CAST(row_number() OVER "
+      "(PARTITION BY CustomerId ORDER BY Quantity DESC, InvoiceNo, StockCode) AS INTEGER) AS row_number FROM retail")
+def customer_row_number(spark, sf):
+    """Position within the customer alone; the missing customer holds a tenth of all rows and is spread."""
+    r = retail(spark, sf, "InvoiceNo", "StockCode", "CustomerId", "Quantity")
+    out = W.row_numbers(r, ["CustomerId"], [F.desc("Quantity"), "InvoiceNo", "StockCode"],
+                        W.desc_bucket("Quantity", "InvoiceNo"), descending=True)
+    return out.select("CustomerId", "InvoiceNo", "StockCode", "Quantity", "row_number")
+
+
+@plan("customer_ranks", sql=_r("CustomerId", "Quantity") +
+      "SELECT CustomerId, Quantity, CAST(rank() OVER w AS INTEGER) AS rank, CAST(dense_rank() OVER w AS INTEGER) AS dense_rank "
+      "FROM retail WINDOW w AS (PARTITION BY CustomerId ORDER BY Quantity DESC)")
+def customer_ranks(spark, sf):
+    """Rank with and without gaps within the customer alone, hot customers spread."""
+    r = retail(spark, sf, "CustomerId", "Quantity")
+    return W.ranks_spread(r, ["CustomerId"], "Quantity", W.desc_bucket("Quantity"), descending=True).select(
+        "CustomerId", "Quantity", "rank", "dense_rank")
+
+
 @plan("rank", sql=_r("CustomerId", "InvoiceDate", "Quantity") +
       f"SELECT CustomerId, {DAY} AS date, Quantity, CAST(rank() OVER (PARTITION BY CustomerId, {DAY} "
       f"ORDER BY Quantity DESC) AS INTEGER) AS rank FROM retail")
@@ -175,8 +196,7 @@ def top_k(spark, sf):
 @plan("secondary_sort", sql=f"SELECT mmsi, ts FROM ({POSITIONS_SQL})")
 def secondary_sort(spark, sf):
     """Records co-located and ordered by (vessel, time) (same rows)."""
-    return O.secondary_sort(positions(spark, sf).select("mmsi", "ts"), "mmsi", ["ts"],
-                            spark.sparkContext.defaultParallelism)
+    return O.secondary_sort(positions(spark, sf).select("mmsi", "ts"), "mmsi", ["ts"])
 
 
 # --- set operations and sampling -------------------------------------------------
@@ -201,24 +221,39 @@ def distinct(spark, sf):
     return O.distinct_rows(read_table(spark, sf, "documents", "lang", "source"))
 
 
-@plan("sample")
+def _sample_facts(part, whole, share):
+    """What any sample of a share must show: its rows are rows of the table, none twice, and about so many."""
+    both = whole.withColumn("drawn", F.lit(0)).unionByName(part.withColumn("drawn", F.lit(1)))
+    rows = both.groupBy("o_orderkey").agg(F.count_if(F.col("drawn") == 0).alias("there"), F.sum("drawn").alias("times"))
+    total, n = F.sum("there"), F.sum("times")
+    return rows.agg(total.alias("total"), (F.count_if((F.col("there") == 0) & (F.col("times") > 0)) == 0).alias("all_known"),
+                    (F.max("times") <= 1).alias("none_twice"),
+                    (F.abs(n - total * share) <= 6 * F.sqrt(total * share * (1 - share))).alias("size_fits"))
+
+
+_SAMPLE_SQL = "SELECT count(*) AS total, true AS all_known, true AS none_twice, true AS size_fits FROM orders"
+
+
+@plan("sample", sql=_SAMPLE_SQL)
 def sample(spark, sf):
-    """Bernoulli sample without replacement, 2 % (random)."""
-    return O.bernoulli_sample(read_table(spark, sf, "lineitem", "l_orderkey", "l_linenumber"), 0.02, seed=7)
+    """Bernoulli sample without replacement, 2 % (random), by what it must show."""
+    o = read_table(spark, sf, "orders", "o_orderkey")
+    return _sample_facts(O.bernoulli_sample(o, 0.02, seed=7), o, 0.02)
 
 
-@plan("hash_sample")
+@plan("hash_sample", sql=_SAMPLE_SQL)
 def hash_sample(spark, sf):
-    """Reproducible 2 % sample by row hash (independent of layout and retries)."""
-    li = read_table(spark, sf, "lineitem", "l_orderkey", "l_linenumber")
-    return O.hash_sample(li, 0.02, ["l_orderkey", "l_linenumber"])
+    """Reproducible 2 % sample by row hash (independent of layout and retries), by what it must show."""
+    o = read_table(spark, sf, "orders", "o_orderkey")
+    return _sample_facts(O.hash_sample(o, 0.02, ["o_orderkey"]), o, 0.02)
 
 
-@plan("random_split")
+@plan("random_split", sql="SELECT o_orderkey, 1 AS n_parts FROM orders")
 def random_split(spark, sf):
-    """Disjoint random split 25/75: the first part, tagged."""
-    a, b = O.random_split(read_table(spark, sf, "lineitem", "l_orderkey", "l_linenumber"), [0.25, 0.75], seed=7)
-    return a.withColumn("part", F.lit(0)).unionByName(b.withColumn("part", F.lit(1)))
+    """Disjoint random split 25/75: every row with the number of parts that hold it."""
+    a, b = O.random_split(read_table(spark, sf, "orders", "o_orderkey"), [0.25, 0.75], seed=7)
+    both = a.withColumn("part", F.lit(0)).unionByName(b.withColumn("part", F.lit(1)))
+    return both.groupBy("o_orderkey").agg(F.count_distinct("part").cast("int").alias("n_parts"))
 
 
 @plan("nulls_variant_sort", sql=(

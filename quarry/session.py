@@ -16,7 +16,6 @@ LOCAL_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.driver.memory": "16g",
 }
 
 
@@ -31,6 +30,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     if master:
         builder = builder.master(master)
     conf = dict(LOCAL_DEFAULTS)
+    if master and master.startswith("local"):
+        conf["spark.driver.memory"] = "8g"      # in local mode the driver is the only executor
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -97,17 +98,16 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
-def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
-                 max_shuffle_partitions: int = 50_000) -> dict[str, str]:
+def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings for a large cluster, sized from the input volume.
 
     File splits and post-shuffle partitions aim at ``target_partition_bytes`` so a
     task's data fits executor memory (AQE coalesces smaller ones and splits skewed
-    ones). The shuffle partition count is capped: map tasks x reduce partitions is
-    the number of shuffle blocks, which must stay manageable at 100 TB.
+    ones). There is no cap: 100 TB at 256 MB are about 400,000 partitions, and a
+    larger target is the way to fewer of them.
     Apply with ``SparkSession.builder.config(map=...)`` or ``spark.conf.set``.
     """
-    parts = min(max(200, -(-input_bytes // target_partition_bytes)), max_shuffle_partitions)
+    parts = max(200, -(-input_bytes // target_partition_bytes))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -31,12 +31,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None,
-             header: bool = True, infer: bool = False, min_partitions: int | None = None) -> DataFrame:
+             header: bool = True, infer: bool = False, rebalance: bool = False) -> DataFrame:
     """CSV with a header; an explicit schema avoids the extra inference pass over the data.
 
     ``path`` may be a glob (``dir/*.csv``) or a list. Compressed files (``.gz``) are
-    not splittable: each is read by one task, so ``min_partitions`` redistributes
-    the rows after the read.
+    not splittable: each is read by one task; ``rebalance`` deals the rows out after the
+    read, into partitions of the size that AQE advises.
     """
     reader = (spark.read.option("header", header).option("timestampNTZFormat", TS_FORMAT)
               .option("timestampFormat", TS_FORMAT))
@@ -45,7 +45,7 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType |
     elif infer:
         reader = reader.option("inferSchema", True)
     df = reader.csv(path)
-    return df.repartition(min_partitions) if min_partitions else df
+    return df.hint("rebalance") if rebalance else df
 
 
 def write_csv(df: DataFrame, path: str, header: bool = False, compression: str | None = None,

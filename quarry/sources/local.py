@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -30,3 +31,12 @@ def id_range(spark: SparkSession, start: int, end: int | None = None, num_partit
     if end is None:
         return spark.range(start) if num_partitions is None else spark.range(0, start, 1, num_partitions)
     return spark.range(start, end, 1, num_partitions)
+
+
+def ids_up_to(counted: DataFrame, n: str, chunk: int = 1 << 20) -> DataFrame:
+    """``id`` 0..n-1 with ``n`` a column of the one-row ``counted``: a lazy range. The row becomes one row
+    per chunk, which are dealt out and expanded in parallel."""
+    chunks = counted.where(F.col(n) > 0).select(F.col(n).alias("n"), F.explode(
+        F.sequence(F.lit(0).cast("long"), F.floor((F.col(n) - 1) / chunk))).alias("k"))
+    return chunks.repartition("k").select(F.explode(F.sequence(
+        F.col("k") * chunk, F.least((F.col("k") + 1) * chunk, F.col("n")) - 1)).alias("id"))

@@ -131,7 +131,7 @@ def test_running_totals_match_builtin(spark):
 
 def test_user_mean_skips_nulls_and_empty_groups(spark):
     df = spark.createDataFrame([("a", 1), ("a", None), ("a", 3), ("b", None)], "g string, v int")
-    got = {r.g: r.my_avg for r in udaf.aggregate(df, ["g"], udaf.mean_of("v")).collect()}
+    got = {r.g: r.mean for r in udaf.aggregate(df, ["g"], udaf.mean_of("v")).collect()}
     assert got == {"a": 2.0, "b": None}
     total = udaf.aggregate(df, [], udaf.mean_of("v")).first()[0]
     assert total == 2.0
@@ -176,12 +176,12 @@ def test_row_position_is_consecutive(spark):
     assert [r.v for r in got] == list(range(1000))
 
 
-def test_broadcast_lookup_checks_size(spark):
+def test_broadcast_lookup_leaves_the_form_to_spark(spark):
     words = spark.createDataFrame([("Spark",), ("Big",), ("Other",)], "word string")
     lookup = spark.createDataFrame([("Spark", 1000), ("Big", -300)], "word string, v int")
-    got = {r.word: r.v for r in J.broadcast_lookup(words, lookup, "word", "v", max_rows=10).collect()}
+    got = {r.word: r.v for r in J.broadcast_lookup(words, lookup, "word", "v").collect()}
     assert got == {"Spark": 1000, "Big": -300, "Other": 0}
-    plan = J.broadcast_lookup(words, lookup, "word", "v", max_rows=1)._jdf.queryExecution().logical().toString()
+    plan = J.broadcast_lookup(words, lookup, "word", "v")._jdf.queryExecution().logical().toString()
     assert "broadcast" not in plan.lower()
 
 
@@ -250,6 +250,9 @@ def test_hot_key_isolation(spark):
     p = R.isolate_hot_key(df, "c", 17850, 2, ["i"]).withColumn("pid", F.spark_partition_id())
     hot = p.where("c = 17850").select("pid").distinct().collect()
     assert [r.pid for r in hot] == [0]
+    q = R.isolate_hot_key(df, "c", 17850, 2, ["i"], n_hot=3).withColumn("pid", F.spark_partition_id())
+    assert {r.pid for r in q.where("c = 17850").select("pid").distinct().collect()} == {0, 1, 2}
+    assert {r.pid for r in q.where("c != 17850").select("pid").distinct().collect()} == {3, 4}
     assert {r.pid for r in p.where("c != 17850").select("pid").distinct().collect()} == {1, 2}
 
 
@@ -284,7 +287,7 @@ def test_user_aggregate_combines_and_flushes_across_batches(spark):
             F.when(F.col("id") % 13 == 0, F.lit(None)).otherwise(F.col("id") % 11).alias("v"))
         want = {r.g: r.a for r in df.groupBy("g").agg(F.avg("v").alias("a")).collect()}
         for rows in (5, 50, 10_000):
-            got = {r.g: r.my_avg for r in udaf.aggregate(df, ["g"], udaf.mean_of("v"), combine_rows=rows).collect()}
+            got = {r.g: r.mean for r in udaf.aggregate(df, ["g"], udaf.mean_of("v"), combine_rows=rows).collect()}
             assert got.keys() == want.keys()
             assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
     finally:
@@ -297,3 +300,39 @@ def test_partition_iterator_null_times_and_keys(spark):
     want = sorted(map(tuple, TR.build_trajectories_window(df, size=1).collect()), key=repr)
     for build in (KS.trajectories_partition_iterator, KS.trajectories_grouped, TR.build_trajectories):
         assert sorted(map(tuple, build(df, size=1).collect()), key=repr) == want, build.__name__
+
+
+def test_long_keys_beside_null_in_user_aggregates(spark):
+    big = 2 ** 53
+    df = spark.createDataFrame([(None, 1), (big, 1), (big + 1, 3), (big + 1, 3)], "k long, v int")
+    got = {r.k: r.mean for r in udaf.aggregate(df, ["k"], udaf.mean_of("v")).collect()}
+    assert got == {None: 1.0, big: 1.0, big + 1: 3.0}
+
+
+def test_aggregate_by_key_keeps_the_type(spark):
+    df = spark.createDataFrame([("a", 2 ** 53), ("a", 1), ("b", None)], "key string, value long")
+    assert {r.key: r.value for r in KV.aggregate_by_key(df, "sum", 0).collect()} == {"a": 2 ** 53 + 1, "b": 0}
+    assert {r.key: r.value for r in KV.aggregate_by_key(df, "sum").collect()} == {"a": 2 ** 53 + 1, "b": None}
+    text = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", None)], "key string, value string")
+    assert {r.key: r.value for r in KV.aggregate_by_key(text, "max", "").collect()} == {"a": "y", "b": ""}
+
+
+def test_describe_covers_every_numeric_type(spark):
+    df = spark.sql("SELECT cast(id AS tinyint) AS b, cast(id AS smallint) AS s, cast(id AS decimal(9, 2)) AS d, 'x' AS t FROM range(5)")
+    got = {r.column: (r["count"], r["mean"], r["max"]) for r in A.describe_long(df).collect()}
+    assert got == {c: (5, 2.0, 4.0) for c in ("b", "s", "d")}
+
+
+def test_salted_join_equals_join(spark):
+    left = spark.createDataFrame([(k, i) for i, k in enumerate([1] * 50 + [2, 3, None])], "k int, i int")
+    right = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (9, "d")], "k int, t string")
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        assert sorted(map(str, J.salted_join(left, right, "k", 4, how).collect())) == sorted(map(str, J.join(left, right, "k", how).collect()))
+
+
+def test_pipe_failure_and_large_output(spark):
+    from quarry.operators import partitioning as R
+    df = spark.range(0, 30_000, 1, 2).select(F.col("id").cast("string").alias("w"))
+    assert R.pipe_partitions(df, "w", ["cat"]).count() == 30_000
+    with pytest.raises(Exception, match="exit code"):
+        R.pipe_partitions(df, "w", ["false"]).count()

@@ -9,21 +9,6 @@ from quarry.sources.fixtures import flights, positions, retail
 from quarry.sources.tables import read_table
 
 
-def test_row_id_unique(spark, sf):
-    df = PLANS["row_id"].fn(spark, sf)
-    n, d = df.agg(F.count("*"), F.count_distinct("row_id")).first()
-    assert n == d
-
-
-def test_sample_is_subset_within_bounds(spark, sf):
-    li = read_table(spark, sf, "lineitem", "l_orderkey", "l_linenumber")
-    total = li.count()
-    s = PLANS["sample"].fn(spark, sf)
-    n = s.count()
-    assert 0 < n < total * 0.05
-    assert s.exceptAll(li).count() == 0
-
-
 def test_hash_sample_reproducible_and_layout_free(spark, sf):
     li = read_table(spark, sf, "lineitem", "l_orderkey", "l_linenumber")
     a = O.hash_sample(li, 0.1, ["l_orderkey", "l_linenumber"])
@@ -31,13 +16,6 @@ def test_hash_sample_reproducible_and_layout_free(spark, sf):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_random_split_disjoint_complete(spark, sf):
-    df = PLANS["random_split"].fn(spark, sf)
-    li = read_table(spark, sf, "lineitem", "l_orderkey", "l_linenumber")
-    assert df.count() == li.count()
-    assert df.select("l_orderkey", "l_linenumber").distinct().count() == li.distinct().count()
-
-
 def test_hash_split_disjoint_complete(spark, sf):
     li = read_table(spark, sf, "lineitem", "l_orderkey", "l_linenumber")
     parts = O.hash_split(li, [0.25, 0.75], ["l_orderkey", "l_linenumber"])
@@ -46,23 +24,6 @@ def test_hash_split_disjoint_complete(spark, sf):
     assert parts[0].intersect(parts[1]).count() == 0
 
 
-def test_approx_distinct_error_bound(spark, sf):
-    approx = PLANS["approx_distinct"].fn(spark, sf).first()[0]
-    exact = PLANS["count_distinct"].fn(spark, sf).first()[0]
-    assert abs(approx - exact) <= 0.3 * exact
-
-
-def test_approx_quantile_rank_error(spark, sf):
-    r = retail(spark, sf, "Quantity", "Country")
-    approx = {row[0]: row[1] for row in PLANS["approx_quantile"].fn(spark, sf).collect()}
-    exact = {row[0]: row[1] for row in PLANS["exact_quantile"].fn(spark, sf).collect()}
-    assert set(approx) == set(exact)
-    for k in approx:
-        for a, e in zip(approx[k], exact[k]):
-            assert abs(a - e) <= 10  # quantities span 1..50; rank error 0.05 of a group
-    assert r.count() > 0
-
-
 def test_sort_within_partitions_orders_each_partition(spark, sf):
     df = PLANS["sort_within_partitions"].fn(spark, sf).withColumn("pid", F.spark_partition_id())
     rows = df.select("pid", "cnt").collect()
@@ -88,18 +49,14 @@ def test_range_partitions_are_disjoint(spark, sf):
 
 
 def test_num_and_nonempty_partitions(spark, sf):
-    assert PLANS["num_partitions"].fn(spark, sf).first()[0] == 5
     assert R.num_partitions(R.coalesce_n(R.repartition_n(flights(spark, sf), 8), 2)) == 2
-    n = PLANS["nonempty_partitions"].fn(spark, sf).first()[0]
-    assert 1 <= n <= 10
 
 
-def test_glom_and_partition_index(spark, sf):
-    g = PLANS["glom"].fn(spark, sf)
-    total = g.select(F.sum(F.size("rows"))).first()[0]
-    assert total == flights(spark, sf).count()
-    tagged = PLANS["map_partitions_index"].fn(spark, sf).first()[0]
-    assert " -> " in tagged
+def test_glom_is_exact_beside_nulls(spark, sf):
+    rows = [(2 ** 53 + 1, "a"), (None, None), (2 ** 53, "b")]
+    g = R.glom(spark.createDataFrame(rows, "k long, t string").coalesce(1)).collect()
+    assert len(g) == 1 and [tuple(r) for r in g[0].rows] == rows
+    assert R.glom(spark.createDataFrame([], "k long").coalesce(1)).first().rows == []
 
 
 def test_crosstab_wide_matches_long(spark, sf):
@@ -110,12 +67,6 @@ def test_crosstab_wide_matches_long(spark, sf):
     assert wide.columns[0] == "Country_Quantity"
 
 
-def test_partition_max_sum_physical(spark, sf):
-    out = PLANS["partition_max_sum_physical"].fn(spark, sf).first()[0]
-    top = read_table(spark, sf, "orders", "o_totalprice").agg(F.max("o_totalprice")).first()[0]
-    assert top <= out <= 5 * top
-
-
 def test_foreach_partition_runs_per_partition(spark, sf):
     acc = spark.sparkContext.accumulator(0)
     R.foreach_partition(R.repartition_n(flights(spark, sf), 3), lambda it: acc.add(1))

@@ -31,7 +31,7 @@ def test_grouping_levels(spark):
 
 def test_pivot_column_names(spark):
     df = spark.createDataFrame([("d1", "A", 1), ("d1", "B", 2), ("d2", "A", 3)], "d string, c string, q int")
-    p = A.pivot(df, ["d"], "c", F.sum("q").alias("total_qty"), F.avg("q").alias("avg_qty"))
+    p = A.pivot(df, ["d"], "c", F.sum("q").alias("total_qty"), F.avg("q").alias("avg_qty"), values=["A", "B"])
     assert p.columns == ["d", "A_total_qty", "A_avg_qty", "B_total_qty", "B_avg_qty"]
     assert p.where("d = 'd2'").first().B_total_qty is None
 
