@@ -20,11 +20,6 @@ def _c(c: str | Column) -> Column:
 
 # --- numbers ---------------------------------------------------------------
 
-def power_plus(a: str | Column, b: str | Column, exp: float = 2, plus: float = 5) -> Column:
-    """``(a * b) ** exp + plus``."""
-    return F.pow(_c(a) * _c(b), exp) + F.lit(plus)
-
-
 def round_half_up(c: str | Column, scale: int = 0) -> Column:
     """Round half away from zero (2.25 -> 2.3, -2.25 -> -2.3 at scale 1)."""
     return F.round(_c(c), scale)

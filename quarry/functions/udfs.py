@@ -22,23 +22,23 @@ def cube_vec(x: pd.Series) -> pd.Series:
     return x.astype("float64") ** 3
 
 
-def power3(x: float | None) -> float | None:
+def cube_of(x: float | None) -> float | None:
     return None if x is None else x * x * x
 
 
-def power3_udf():
+def cube_udf():
     """An existing Python function as an Arrow-optimised UDF."""
-    return F.udf(power3, T.DoubleType(), useArrow=True)
+    return F.udf(cube_of, T.DoubleType(), useArrow=True)
 
 
-def register_power3(spark: SparkSession, name: str = "power3") -> None:
-    """Make ``power3`` callable from SQL text: a SQL function (inlined by Catalyst, no
+def register_cube(spark: SparkSession, name: str = "cube_of") -> None:
+    """Make ``cube_of`` callable from SQL text: a SQL function (inlined by Catalyst, no
     Python) rather than a Python UDF."""
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(x DOUBLE) RETURNS DOUBLE RETURN x * x * x")
 
 
-def register_power3_python(spark: SparkSession, name: str = "power3_py") -> None:
-    spark.udf.register(name, power3_udf())
+def register_cube_python(spark: SparkSession, name: str = "cube_py") -> None:
+    spark.udf.register(name, cube_udf())
 
 
 @F.pandas_udf(T.DoubleType())
@@ -51,9 +51,9 @@ def discount_vec(quantity: pd.Series, price: pd.Series) -> pd.Series:
 @F.pandas_udf(T.DoubleType())
 def discount_row_vec(rec: pd.DataFrame) -> pd.Series:
     """UDF over a struct of the needed columns (never the whole row)."""
-    p = rec["UnitPrice"].astype("float64")
-    return p.where(rec["Quantity"] < DISCOUNT_MIN_QUANTITY, p * DISCOUNT_FACTOR)
+    p = rec["p_retailprice"].astype("float64")
+    return p.where(rec["l_quantity"] < DISCOUNT_MIN_QUANTITY, p * DISCOUNT_FACTOR)
 
 
-def discount_on_struct(quantity: str = "Quantity", price: str = "UnitPrice") -> Column:
-    return discount_row_vec(F.struct(F.col(quantity).alias("Quantity"), F.col(price).alias("UnitPrice")))
+def discount_on_struct(quantity: str = "l_quantity", price: str = "p_retailprice") -> Column:
+    return discount_row_vec(F.struct(F.col(quantity).alias("l_quantity"), F.col(price).alias("p_retailprice")))

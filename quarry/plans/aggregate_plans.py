@@ -17,246 +17,246 @@ def _r(*cols: str) -> str:
     return f"WITH retail AS ({retail_sql(*cols)}) "
 
 
-def _month(c: str = "InvoiceDate"):
+def _month(c: str = "l_shipdate"):
     return F.trunc(F.to_date(c), "month").alias("month")
 
 
 NATIONS = [f"NATION_{i}" for i in range(25)]
-MONTH_SQL = "CAST(date_trunc('month', InvoiceDate) AS DATE)"
+MONTH_SQL = "CAST(date_trunc('month', l_shipdate) AS DATE)"
 
 
 @plan("count_rows", sql="SELECT count(*) AS n FROM lineitem")
 def count_rows(spark, sf):
     """Row count."""
-    return retail(spark, sf, "Quantity").agg(F.count(F.lit(1)).alias("n"))
+    return retail(spark, sf, "l_quantity").agg(F.count(F.lit(1)).alias("n"))
 
 
-@plan("count_column", sql=_r("CustomerId") + "SELECT count(CustomerId) AS n FROM retail")
+@plan("count_column", sql=_r("o_custkey") + "SELECT count(o_custkey) AS n FROM retail")
 def count_column(spark, sf):
     """Non-null count."""
-    return retail(spark, sf, "CustomerId").agg(F.count("CustomerId").alias("n"))
+    return retail(spark, sf, "o_custkey").agg(F.count("o_custkey").alias("n"))
 
 
-@plan("count_distinct", sql=_r("StockCode") + "SELECT count(DISTINCT StockCode) AS n FROM retail")
+@plan("count_distinct", sql=_r("l_partkey") + "SELECT count(DISTINCT l_partkey) AS n FROM retail")
 def count_distinct(spark, sf):
     """Exact distinct count."""
-    return retail(spark, sf, "StockCode").agg(F.count_distinct("StockCode").alias("n"))
+    return retail(spark, sf, "l_partkey").agg(F.count_distinct("l_partkey").alias("n"))
 
 
-@plan("approx_distinct", sql=_r("StockCode") + "SELECT count(DISTINCT StockCode) AS n, true AS approx_within FROM retail")
+@plan("approx_distinct", sql=_r("l_partkey") + "SELECT count(DISTINCT l_partkey) AS n, true AS approx_within FROM retail")
 def approx_distinct(spark, sf):
     """HyperLogLog distinct count with relative standard deviation 0.1, held against the exact count:
     within three deviations."""
-    both = retail(spark, sf, "StockCode").agg(F.count_distinct("StockCode").alias("n"),
-                                              F.approx_count_distinct("StockCode", 0.1).alias("approx"))
+    both = retail(spark, sf, "l_partkey").agg(F.count_distinct("l_partkey").alias("n"),
+                                              F.approx_count_distinct("l_partkey", 0.1).alias("approx"))
     return both.select("n", (F.abs(F.col("approx") - F.col("n")) <= 0.3 * F.col("n")).alias("approx_within"))
 
 
-@plan("first_last", sql=_r("StockCode", "InvoiceDate", "Country") +
-      "SELECT Country, first(StockCode ORDER BY InvoiceDate, StockCode) AS first_code, "
-      "last(StockCode ORDER BY InvoiceDate, StockCode) AS last_code FROM retail GROUP BY Country")
+@plan("first_last", sql=_r("l_partkey", "l_shipdate", "n_name") +
+      "SELECT n_name, first(l_partkey ORDER BY l_shipdate, l_partkey) AS first_code, "
+      "last(l_partkey ORDER BY l_shipdate, l_partkey) AS last_code FROM retail GROUP BY n_name")
 def first_last(spark, sf):
     """First and last value per group under an explicit order."""
-    r = retail(spark, sf, "StockCode", "InvoiceDate", "Country")
-    return r.groupBy("Country").agg(A.ordered_first("StockCode", "InvoiceDate").alias("first_code"),
-                                    A.ordered_last("StockCode", "InvoiceDate").alias("last_code"))
+    r = retail(spark, sf, "l_partkey", "l_shipdate", "n_name")
+    return r.groupBy("n_name").agg(A.ordered_first("l_partkey", "l_shipdate").alias("first_code"),
+                                    A.ordered_last("l_partkey", "l_shipdate").alias("last_code"))
 
 
-@plan("min_max", sql=_r("Quantity", "UnitPrice") +
-      "SELECT min(Quantity) AS min_qty, max(Quantity) AS max_qty, min(UnitPrice) AS min_price, "
-      "max(UnitPrice) AS max_price FROM retail")
+@plan("min_max", sql=_r("l_quantity", "p_retailprice") +
+      "SELECT min(l_quantity) AS min_qty, max(l_quantity) AS max_qty, min(p_retailprice) AS min_price, "
+      "max(p_retailprice) AS max_price FROM retail")
 def min_max(spark, sf):
     """Minimum and maximum."""
-    r = retail(spark, sf, "Quantity", "UnitPrice")
-    return r.agg(F.min("Quantity").alias("min_qty"), F.max("Quantity").alias("max_qty"),
-                 F.min("UnitPrice").alias("min_price"), F.max("UnitPrice").alias("max_price"))
+    r = retail(spark, sf, "l_quantity", "p_retailprice")
+    return r.agg(F.min("l_quantity").alias("min_qty"), F.max("l_quantity").alias("max_qty"),
+                 F.min("p_retailprice").alias("min_price"), F.max("p_retailprice").alias("max_price"))
 
 
-@plan("sum_column", sql=_r("Quantity") + "SELECT CAST(sum(Quantity) AS BIGINT) AS total FROM retail")
+@plan("sum_column", sql=_r("l_quantity") + "SELECT CAST(sum(l_quantity) AS BIGINT) AS total FROM retail")
 def sum_column(spark, sf):
     """Sum."""
-    return retail(spark, sf, "Quantity").agg(F.sum("Quantity").alias("total"))
+    return retail(spark, sf, "l_quantity").agg(F.sum("l_quantity").alias("total"))
 
 
-@plan("sum_distinct", sql=_r("Quantity") + "SELECT CAST(sum(DISTINCT Quantity) AS BIGINT) AS total FROM retail")
+@plan("sum_distinct", sql=_r("l_quantity") + "SELECT CAST(sum(DISTINCT l_quantity) AS BIGINT) AS total FROM retail")
 def sum_distinct(spark, sf):
     """Sum of distinct values."""
-    return retail(spark, sf, "Quantity").agg(F.sum_distinct("Quantity").alias("total"))
+    return retail(spark, sf, "l_quantity").agg(F.sum_distinct("l_quantity").alias("total"))
 
 
-@plan("avg_column", sql=_r("Quantity") +
-      "SELECT avg(Quantity) AS avg1, avg(Quantity) AS avg2, avg(Quantity) AS avg3 FROM retail")
+@plan("avg_column", sql=_r("l_quantity") +
+      "SELECT avg(l_quantity) AS avg1, avg(l_quantity) AS avg2, avg(l_quantity) AS avg3 FROM retail")
 def avg_column(spark, sf):
     """Mean, three spellings (Column, name, SQL text)."""
-    r = retail(spark, sf, "Quantity")
-    return r.agg(F.avg(F.col("Quantity")).alias("avg1"), F.avg("Quantity").alias("avg2"),
-                 F.expr("avg(Quantity)").alias("avg3"))
+    r = retail(spark, sf, "l_quantity")
+    return r.agg(F.avg(F.col("l_quantity")).alias("avg1"), F.avg("l_quantity").alias("avg2"),
+                 F.expr("avg(l_quantity)").alias("avg3"))
 
 
-@plan("var_samp", sql=_r("Quantity") + "SELECT round(var_samp(Quantity), 6) AS v FROM retail")
+@plan("var_samp", sql=_r("l_quantity") + "SELECT round(var_samp(l_quantity), 6) AS v FROM retail")
 def var_samp(spark, sf):
     """Sample variance."""
-    return retail(spark, sf, "Quantity").agg(F.round(F.var_samp("Quantity"), 6).alias("v"))
+    return retail(spark, sf, "l_quantity").agg(F.round(F.var_samp("l_quantity"), 6).alias("v"))
 
 
-@plan("var_pop", sql=_r("Quantity") + "SELECT round(var_pop(Quantity), 6) AS v FROM retail")
+@plan("var_pop", sql=_r("l_quantity") + "SELECT round(var_pop(l_quantity), 6) AS v FROM retail")
 def var_pop(spark, sf):
     """Population variance."""
-    return retail(spark, sf, "Quantity").agg(F.round(F.var_pop("Quantity"), 6).alias("v"))
+    return retail(spark, sf, "l_quantity").agg(F.round(F.var_pop("l_quantity"), 6).alias("v"))
 
 
-@plan("skewness", sql=_r("Quantity") +
-      "SELECT round((avg(power(Quantity, 3)) - 3 * avg(Quantity) * avg(power(Quantity, 2)) "
-      "+ 2 * power(avg(Quantity), 3)) / power(var_pop(Quantity), 1.5), 6) AS skew FROM retail")
+@plan("skewness", sql=_r("l_quantity") +
+      "SELECT round((avg(power(l_quantity, 3)) - 3 * avg(l_quantity) * avg(power(l_quantity, 2)) "
+      "+ 2 * power(avg(l_quantity), 3)) / power(var_pop(l_quantity), 1.5), 6) AS skew FROM retail")
 def skewness(spark, sf):
     """Population skewness."""
-    return retail(spark, sf, "Quantity").agg(F.round(F.skewness("Quantity"), 6).alias("skew"))
+    return retail(spark, sf, "l_quantity").agg(F.round(F.skewness("l_quantity"), 6).alias("skew"))
 
 
-@plan("kurtosis", sql=_r("Quantity") + "SELECT round(kurtosis_pop(Quantity), 6) AS kurt FROM retail")
+@plan("kurtosis", sql=_r("l_quantity") + "SELECT round(kurtosis_pop(l_quantity), 6) AS kurt FROM retail")
 def kurtosis(spark, sf):
     """Population excess kurtosis."""
-    return retail(spark, sf, "Quantity").agg(F.round(F.kurtosis("Quantity"), 6).alias("kurt"))
+    return retail(spark, sf, "l_quantity").agg(F.round(F.kurtosis("l_quantity"), 6).alias("kurt"))
 
 
-@plan("corr", sql=_r("Quantity", "UnitPrice") +
-      "SELECT round(corr(Quantity, UnitPrice), 6) AS c1, round(corr(Quantity, UnitPrice), 6) AS c2 FROM retail")
+@plan("corr", sql=_r("l_quantity", "p_retailprice") +
+      "SELECT round(corr(l_quantity, p_retailprice), 6) AS c1, round(corr(l_quantity, p_retailprice), 6) AS c2 FROM retail")
 def corr(spark, sf):
     """Pearson correlation, two spellings (function and stat accessor form)."""
-    r = retail(spark, sf, "Quantity", "UnitPrice")
-    return r.agg(F.round(F.corr("Quantity", "UnitPrice"), 6).alias("c1"),
-                 F.round(F.expr("corr(Quantity, UnitPrice)"), 6).alias("c2"))
+    r = retail(spark, sf, "l_quantity", "p_retailprice")
+    return r.agg(F.round(F.corr("l_quantity", "p_retailprice"), 6).alias("c1"),
+                 F.round(F.expr("corr(l_quantity, p_retailprice)"), 6).alias("c2"))
 
 
-@plan("covariance", sql=_r("Quantity", "UnitPrice") +
-      "SELECT round(covar_samp(Quantity, UnitPrice), 4) AS cov_samp, "
-      "round(covar_pop(Quantity, UnitPrice), 4) AS cov_pop FROM retail")
+@plan("covariance", sql=_r("l_quantity", "p_retailprice") +
+      "SELECT round(covar_samp(l_quantity, p_retailprice), 4) AS cov_samp, "
+      "round(covar_pop(l_quantity, p_retailprice), 4) AS cov_pop FROM retail")
 def covariance(spark, sf):
     """Sample and population covariance."""
-    r = retail(spark, sf, "Quantity", "UnitPrice")
-    return r.agg(F.round(F.covar_samp("Quantity", "UnitPrice"), 4).alias("cov_samp"),
-                 F.round(F.covar_pop("Quantity", "UnitPrice"), 4).alias("cov_pop"))
+    r = retail(spark, sf, "l_quantity", "p_retailprice")
+    return r.agg(F.round(F.covar_samp("l_quantity", "p_retailprice"), 4).alias("cov_samp"),
+                 F.round(F.covar_pop("l_quantity", "p_retailprice"), 4).alias("cov_pop"))
 
 
-@plan("collect_list", sql=_r("InvoiceNo", "Quantity") +
-      "SELECT InvoiceNo, list_sort(list(Quantity)) AS quantities FROM retail GROUP BY InvoiceNo")
+@plan("collect_list", sql=_r("l_orderkey", "l_quantity") +
+      "SELECT l_orderkey, list_sort(list(l_quantity)) AS quantities FROM retail GROUP BY l_orderkey")
 def collect_list(spark, sf):
     """All values per invoice as a sorted list (an invoice's lines are bounded)."""
-    r = retail(spark, sf, "InvoiceNo", "Quantity")
-    return r.groupBy("InvoiceNo").agg(A.sorted_list("Quantity").alias("quantities"))
+    r = retail(spark, sf, "l_orderkey", "l_quantity")
+    return r.groupBy("l_orderkey").agg(A.sorted_list("l_quantity").alias("quantities"))
 
 
-@plan("collect_set", sql=_r("Quantity", "Country") +
-      "SELECT Country, list_sort(list(DISTINCT Quantity)) AS quantities FROM retail GROUP BY Country")
+@plan("collect_set", sql=_r("l_quantity", "n_name") +
+      "SELECT n_name, list_sort(list(DISTINCT l_quantity)) AS quantities FROM retail GROUP BY n_name")
 def collect_set(spark, sf):
     """Distinct values per country as a sorted set (bounded by the value domain)."""
-    r = retail(spark, sf, "Quantity", "Country")
-    return r.groupBy("Country").agg(A.sorted_set("Quantity").alias("quantities"))
+    r = retail(spark, sf, "l_quantity", "n_name")
+    return r.groupBy("n_name").agg(A.sorted_set("l_quantity").alias("quantities"))
 
 
-@plan("value_counts", sql=_r("Quantity", "Country") +
-      "SELECT Country, list(Quantity ORDER BY Quantity) AS \"values\", list(n ORDER BY Quantity) AS counts "
-      "FROM (SELECT Country, Quantity, count(*) AS n FROM retail WHERE Quantity IS NOT NULL GROUP BY 1, 2) "
-      "GROUP BY Country")
+@plan("value_counts", sql=_r("l_quantity", "n_name") +
+      "SELECT n_name, list(l_quantity ORDER BY l_quantity) AS \"values\", list(n ORDER BY l_quantity) AS counts "
+      "FROM (SELECT n_name, l_quantity, count(*) AS n FROM retail WHERE l_quantity IS NOT NULL GROUP BY 1, 2) "
+      "GROUP BY n_name")
 def value_counts(spark, sf):
     """Run-length form of a per-group value list (bounded by distinct values)."""
-    return A.value_counts(retail(spark, sf, "Quantity", "Country"), ["Country"], "Quantity")
+    return A.value_counts(retail(spark, sf, "l_quantity", "n_name"), ["n_name"], "l_quantity")
 
 
-@plan("group_count", sql=_r("InvoiceNo") + "SELECT InvoiceNo, count(*) AS count FROM retail GROUP BY InvoiceNo")
+@plan("group_count", sql=_r("l_orderkey") + "SELECT l_orderkey, count(*) AS count FROM retail GROUP BY l_orderkey")
 def group_count(spark, sf):
     """Rows per group."""
-    return retail(spark, sf, "InvoiceNo").groupBy("InvoiceNo").count()
+    return retail(spark, sf, "l_orderkey").groupBy("l_orderkey").count()
 
 
-@plan("group_min_max_mean", sql=_r("Quantity", "UnitPrice", "Country") +
-      "SELECT Country, min(Quantity) AS min_Quantity, max(Quantity) AS max_Quantity, "
-      "round(avg(Quantity), 6) AS avg_Quantity, min(UnitPrice) AS min_UnitPrice, max(UnitPrice) AS max_UnitPrice, "
-      "round(avg(UnitPrice), 6) AS avg_UnitPrice FROM retail GROUP BY Country")
+@plan("group_min_max_mean", sql=_r("l_quantity", "p_retailprice", "n_name") +
+      "SELECT n_name, min(l_quantity) AS min_l_quantity, max(l_quantity) AS max_l_quantity, "
+      "round(avg(l_quantity), 6) AS avg_l_quantity, min(p_retailprice) AS min_p_retailprice, max(p_retailprice) AS max_p_retailprice, "
+      "round(avg(p_retailprice), 6) AS avg_p_retailprice FROM retail GROUP BY n_name")
 def group_min_max_mean(spark, sf):
     """Short-hand min/max/mean over every numeric column per group."""
-    s = A.numeric_summary(retail(spark, sf, "Quantity", "UnitPrice", "Country"), ["Country"])
-    return s.select("Country", *[F.round(c, 6).alias(c) if c.startswith("avg_") else F.col(c)
-                                 for c in s.columns if c != "Country"])
+    s = A.numeric_summary(retail(spark, sf, "l_quantity", "p_retailprice", "n_name"), ["n_name"])
+    return s.select("n_name", *[F.round(c, 6).alias(c) if c.startswith("avg_") else F.col(c)
+                                 for c in s.columns if c != "n_name"])
 
 
-@plan("group_multi_agg", sql=_r("StockCode", "Quantity", "Country") +
-      "SELECT Country, count(DISTINCT StockCode) AS n_codes, min(Quantity) AS min_qty, max(Quantity) AS max_qty, "
-      "list_sort(list(DISTINCT Quantity)) AS quantities FROM retail GROUP BY Country")
+@plan("group_multi_agg", sql=_r("l_partkey", "l_quantity", "n_name") +
+      "SELECT n_name, count(DISTINCT l_partkey) AS n_codes, min(l_quantity) AS min_qty, max(l_quantity) AS max_qty, "
+      "list_sort(list(DISTINCT l_quantity)) AS quantities FROM retail GROUP BY n_name")
 def group_multi_agg(spark, sf):
     """Several aggregates per group, including a distinct count and a set."""
-    r = retail(spark, sf, "StockCode", "Quantity", "Country")
-    return r.groupBy("Country").agg(F.count_distinct("StockCode").alias("n_codes"),
-                                    F.min("Quantity").alias("min_qty"), F.max("Quantity").alias("max_qty"),
-                                    A.sorted_set("Quantity").alias("quantities"))
+    r = retail(spark, sf, "l_partkey", "l_quantity", "n_name")
+    return r.groupBy("n_name").agg(F.count_distinct("l_partkey").alias("n_codes"),
+                                    F.min("l_quantity").alias("min_qty"), F.max("l_quantity").alias("max_qty"),
+                                    A.sorted_set("l_quantity").alias("quantities"))
 
 
-@plan("group_pair_agg", sql=_r("InvoiceNo", "StockCode", "Quantity") +
-      "SELECT InvoiceNo, count(Quantity) AS count_Quantity, min(Quantity) AS min_Quantity, "
-      "list_sort(list(DISTINCT StockCode)) AS collect_set_StockCode FROM retail GROUP BY InvoiceNo")
+@plan("group_pair_agg", sql=_r("l_orderkey", "l_partkey", "l_quantity") +
+      "SELECT l_orderkey, count(l_quantity) AS count_l_quantity, min(l_quantity) AS min_l_quantity, "
+      "list_sort(list(DISTINCT l_partkey)) AS collect_set_l_partkey FROM retail GROUP BY l_orderkey")
 def group_pair_agg(spark, sf):
     """Aggregates given as (column, function) pairs with a repeated column."""
-    r = retail(spark, sf, "InvoiceNo", "StockCode", "Quantity")
-    return A.pair_aggregates(r, ["InvoiceNo"], [("Quantity", "count"), ("Quantity", "min"),
-                                                ("StockCode", "collect_set")])
+    r = retail(spark, sf, "l_orderkey", "l_partkey", "l_quantity")
+    return A.pair_aggregates(r, ["l_orderkey"], [("l_quantity", "count"), ("l_quantity", "min"),
+                                                ("l_partkey", "collect_set")])
 
 
-@plan("grouping_sets", sql=_r("StockCode", "Quantity", "CustomerId") +
-      "SELECT CustomerId, StockCode, CAST(sum(Quantity) AS BIGINT) AS total_qty FROM retail "
-      "WHERE CustomerId IS NOT NULL AND StockCode IS NOT NULL "
-      "GROUP BY GROUPING SETS ((CustomerId, StockCode), (StockCode)) ORDER BY CustomerId DESC, StockCode DESC")
+@plan("grouping_sets", sql=_r("l_partkey", "l_quantity", "o_custkey") +
+      "SELECT o_custkey, l_partkey, CAST(sum(l_quantity) AS BIGINT) AS total_qty FROM retail "
+      "WHERE o_custkey IS NOT NULL AND l_partkey IS NOT NULL "
+      "GROUP BY GROUPING SETS ((o_custkey, l_partkey), (l_partkey)) ORDER BY o_custkey DESC, l_partkey DESC")
 def grouping_sets(spark, sf):
     """Sums for (customer, stock) and (stock) in one pass, nulls removed first, SQL text."""
-    r = retail(spark, sf, "StockCode", "Quantity", "CustomerId").dropna(subset=["CustomerId", "StockCode"])
+    r = retail(spark, sf, "l_partkey", "l_quantity", "o_custkey").dropna(subset=["o_custkey", "l_partkey"])
     return spark.sql(
-        "SELECT CustomerId, StockCode, sum(Quantity) AS total_qty FROM {r} "
-        "GROUP BY CustomerId, StockCode GROUPING SETS ((CustomerId, StockCode), (StockCode)) "
-        "ORDER BY CustomerId DESC, StockCode DESC", r=r)
+        "SELECT o_custkey, l_partkey, sum(l_quantity) AS total_qty FROM {r} "
+        "GROUP BY o_custkey, l_partkey GROUPING SETS ((o_custkey, l_partkey), (l_partkey)) "
+        "ORDER BY o_custkey DESC, l_partkey DESC", r=r)
 
 
-@plan("rollup", sql=_r("InvoiceDate", "Quantity", "Country") +
-      f"SELECT {MONTH_SQL} AS month, Country, CAST(sum(Quantity) AS BIGINT) AS total_qty, "
-      f"CAST(grouping({MONTH_SQL}, Country) AS INTEGER) AS gid FROM retail GROUP BY ROLLUP ({MONTH_SQL}, Country)")
+@plan("rollup", sql=_r("l_shipdate", "l_quantity", "n_name") +
+      f"SELECT {MONTH_SQL} AS month, n_name, CAST(sum(l_quantity) AS BIGINT) AS total_qty, "
+      f"CAST(grouping({MONTH_SQL}, n_name) AS INTEGER) AS gid FROM retail GROUP BY ROLLUP ({MONTH_SQL}, n_name)")
 def rollup(spark, sf):
     """Hierarchical subtotals month > country with the level id."""
-    r = retail(spark, sf, "InvoiceDate", "Quantity", "Country").select(_month(), "Country", "Quantity")
-    out = A.rollup(r, ["month", "Country"], F.sum("Quantity").alias("total_qty"))
+    r = retail(spark, sf, "l_shipdate", "l_quantity", "n_name").select(_month(), "n_name", "l_quantity")
+    out = A.rollup(r, ["month", "n_name"], F.sum("l_quantity").alias("total_qty"))
     return out.withColumn("gid", F.col("gid").cast("int"))
 
 
-@plan("cube", sql=_r("InvoiceDate", "Quantity", "Country") +
-      f"SELECT {MONTH_SQL} AS month, Country, CAST(sum(Quantity) AS BIGINT) AS total_qty, "
-      f"CAST(grouping({MONTH_SQL}, Country) AS INTEGER) AS gid FROM retail GROUP BY CUBE ({MONTH_SQL}, Country)")
+@plan("cube", sql=_r("l_shipdate", "l_quantity", "n_name") +
+      f"SELECT {MONTH_SQL} AS month, n_name, CAST(sum(l_quantity) AS BIGINT) AS total_qty, "
+      f"CAST(grouping({MONTH_SQL}, n_name) AS INTEGER) AS gid FROM retail GROUP BY CUBE ({MONTH_SQL}, n_name)")
 def cube(spark, sf):
     """Subtotals for all subsets of (month, country)."""
-    r = retail(spark, sf, "InvoiceDate", "Quantity", "Country").select(_month(), "Country", "Quantity")
-    out = A.cube(r, ["month", "Country"], F.sum("Quantity").alias("total_qty"))
+    r = retail(spark, sf, "l_shipdate", "l_quantity", "n_name").select(_month(), "n_name", "l_quantity")
+    out = A.cube(r, ["month", "n_name"], F.sum("l_quantity").alias("total_qty"))
     return out.withColumn("gid", F.col("gid").cast("int"))
 
 
-@plan("grouping_id", sql=_r("InvoiceDate", "Country") +
-      "SELECT CAST(year(InvoiceDate) AS INTEGER) AS yr, Country, "
-      "CAST(grouping(year(InvoiceDate), Country) AS INTEGER) AS level, count(*) AS n "
-      "FROM retail GROUP BY CUBE (year(InvoiceDate), Country)")
+@plan("grouping_id", sql=_r("l_shipdate", "n_name") +
+      "SELECT CAST(year(l_shipdate) AS INTEGER) AS yr, n_name, "
+      "CAST(grouping(year(l_shipdate), n_name) AS INTEGER) AS level, count(*) AS n "
+      "FROM retail GROUP BY CUBE (year(l_shipdate), n_name)")
 def grouping_id(spark, sf):
     """Level number of each cube row: 0 detail, 1 year total, 2 country total, 3 grand total."""
-    r = retail(spark, sf, "InvoiceDate", "Country").select(F.year("InvoiceDate").alias("yr"), "Country")
-    return r.cube("yr", "Country").agg(F.grouping_id().cast("int").alias("level"),
+    r = retail(spark, sf, "l_shipdate", "n_name").select(F.year("l_shipdate").alias("yr"), "n_name")
+    return r.cube("yr", "n_name").agg(F.grouping_id().cast("int").alias("level"),
                                        F.count(F.lit(1)).alias("n"))
 
 
-@plan("pivot", sql=_r("InvoiceDate", "Quantity", "Country") +
+@plan("pivot", sql=_r("l_shipdate", "l_quantity", "n_name") +
       f"SELECT {MONTH_SQL} AS month, " + ", ".join(
-          f"CAST(sum(Quantity) FILTER (Country = '{n}') AS BIGINT) AS {n}_total_qty, "
-          f"avg(Quantity) FILTER (Country = '{n}') AS {n}_avg_qty" for n in NATIONS) + " FROM retail GROUP BY 1")
+          f"CAST(sum(l_quantity) FILTER (n_name = '{n}') AS BIGINT) AS {n}_total_qty, "
+          f"avg(l_quantity) FILTER (n_name = '{n}') AS {n}_avg_qty" for n in NATIONS) + " FROM retail GROUP BY 1")
 def pivot(spark, sf):
-    """One row per month, columns <Country>_total_qty and <Country>_avg_qty.
+    """One row per month, columns <n_name>_total_qty and <n_name>_avg_qty.
 
     The pivot values are the nation dimension's names, so no pass over the fact
     rows is needed and the column set is fixed."""
-    r = retail(spark, sf, "InvoiceDate", "Quantity", "Country").select(_month(), "Country", "Quantity")
-    return A.pivot(r, ["month"], "Country", F.sum("Quantity").alias("total_qty"),
-                   F.avg("Quantity").alias("avg_qty"), values=NATIONS)
+    r = retail(spark, sf, "l_shipdate", "l_quantity", "n_name").select(_month(), "n_name", "l_quantity")
+    return A.pivot(r, ["month"], "n_name", F.sum("l_quantity").alias("total_qty"),
+                   F.avg("l_quantity").alias("avg_qty"), values=NATIONS)
 
 
 def _describe_sql(cols):
@@ -266,50 +266,50 @@ def _describe_sql(cols):
     return " UNION ALL ".join(parts)
 
 
-@plan("describe", sql=_r("Quantity", "UnitPrice") + _describe_sql(["Quantity", "UnitPrice"]))
+@plan("describe", sql=_r("l_quantity", "p_retailprice") + _describe_sql(["l_quantity", "p_retailprice"]))
 def describe(spark, sf):
     """count, mean, stddev, min, max per numeric column (typed long form)."""
-    d = A.describe_long(retail(spark, sf, "Quantity", "UnitPrice"))
+    d = A.describe_long(retail(spark, sf, "l_quantity", "p_retailprice"))
     return d.select("column", "count", F.round("mean", 6).alias("mean"), F.round("stddev", 6).alias("stddev"),
                     "min", "max")
 
 
-@plan("approx_quantile", sql=_r("Quantity", "Country") +
-      "SELECT Country, unnest([0.25, 0.5, 0.75]) AS p, true AS rank_within FROM retail GROUP BY Country")
+@plan("approx_quantile", sql=_r("l_quantity", "n_name") +
+      "SELECT n_name, unnest([0.25, 0.5, 0.75]) AS p, true AS rank_within FROM retail GROUP BY n_name")
 def approx_quantile(spark, sf):
     """Quartiles with relative rank error 0.05, each held against the ranks that its value really has."""
-    r, probs = retail(spark, sf, "Quantity", "Country"), [0.25, 0.5, 0.75]
-    approx = r.groupBy("Country").agg(F.percentile_approx("Quantity", probs, 20).alias("q")).select(
-        "Country", F.explode(F.arrays_zip(F.array(*map(F.lit, probs)).alias("p"), F.col("q").alias("q"))).alias("x"))
-    ranks = approx.select("Country", "x.p", "x.q").join(r, "Country").groupBy("Country", "p").agg(
-        (F.count_if(F.col("Quantity") < F.col("q")) / F.count("Quantity")).alias("below"),
-        (F.count_if(F.col("Quantity") <= F.col("q")) / F.count("Quantity")).alias("upto"))
-    return ranks.select("Country", "p", ((F.col("below") <= F.col("p") + 0.05) & (F.col("upto") >= F.col("p") - 0.05)).alias("rank_within"))
+    r, probs = retail(spark, sf, "l_quantity", "n_name"), [0.25, 0.5, 0.75]
+    approx = r.groupBy("n_name").agg(F.percentile_approx("l_quantity", probs, 20).alias("q")).select(
+        "n_name", F.explode(F.arrays_zip(F.array(*map(F.lit, probs)).alias("p"), F.col("q").alias("q"))).alias("x"))
+    ranks = approx.select("n_name", "x.p", "x.q").join(r, "n_name").groupBy("n_name", "p").agg(
+        (F.count_if(F.col("l_quantity") < F.col("q")) / F.count("l_quantity")).alias("below"),
+        (F.count_if(F.col("l_quantity") <= F.col("q")) / F.count("l_quantity")).alias("upto"))
+    return ranks.select("n_name", "p", ((F.col("below") <= F.col("p") + 0.05) & (F.col("upto") >= F.col("p") - 0.05)).alias("rank_within"))
 
 
-@plan("exact_quantile", sql=_r("Quantity", "Country") +
-      "SELECT Country, quantile_cont(Quantity, [0.25, 0.5, 0.75]) AS quartiles FROM retail GROUP BY Country")
+@plan("exact_quantile", sql=_r("l_quantity", "n_name") +
+      "SELECT n_name, quantile_cont(l_quantity, [0.25, 0.5, 0.75]) AS quartiles FROM retail GROUP BY n_name")
 def exact_quantile(spark, sf):
     """Exact quartiles (linear interpolation)."""
-    r = retail(spark, sf, "Quantity", "Country")
-    return r.groupBy("Country").agg(F.percentile("Quantity", [0.25, 0.5, 0.75]).alias("quartiles"))
+    r = retail(spark, sf, "l_quantity", "n_name")
+    return r.groupBy("n_name").agg(F.percentile("l_quantity", [0.25, 0.5, 0.75]).alias("quartiles"))
 
 
-@plan("crosstab", sql=_r("StockCode", "UnitPrice") +
-      "SELECT StockCode, UnitPrice, count(*) AS count FROM retail GROUP BY StockCode, UnitPrice")
+@plan("crosstab", sql=_r("l_partkey", "p_retailprice") +
+      "SELECT l_partkey, p_retailprice, count(*) AS count FROM retail GROUP BY l_partkey, p_retailprice")
 def crosstab(spark, sf):
     """Contingency table of two columns (long form)."""
-    return A.crosstab_long(retail(spark, sf, "StockCode", "UnitPrice"), "StockCode", "UnitPrice")
+    return A.crosstab_long(retail(spark, sf, "l_partkey", "p_retailprice"), "l_partkey", "p_retailprice")
 
 
 UNITS = [str(i) for i in range(1, 51)]      # the quantities that a line can have
 
 
-@plan("crosstab_wide", sql=_r("Quantity", "Country") + "SELECT Country AS \"Country_Quantity\", " + ", ".join(
-      f"count(*) FILTER (Quantity = {u}) AS \"{u}\"" for u in UNITS) + " FROM retail GROUP BY Country")
+@plan("crosstab_wide", sql=_r("l_quantity", "n_name") + "SELECT n_name AS \"n_name_l_quantity\", " + ", ".join(
+      f"count(*) FILTER (l_quantity = {u}) AS \"{u}\"" for u in UNITS) + " FROM retail GROUP BY n_name")
 def crosstab_wide(spark, sf):
-    """Contingency table in the wide layout: first column ``Country_Quantity``."""
-    return A.crosstab_wide(retail(spark, sf, "Quantity", "Country"), "Country", "Quantity", UNITS)
+    """Contingency table in the wide layout: first column ``n_name_l_quantity``."""
+    return A.crosstab_wide(retail(spark, sf, "l_quantity", "n_name"), "n_name", "l_quantity", UNITS)
 
 
 @plan("partition_max_sum", sql="SELECT round(sum(m), 2) AS result FROM "
@@ -370,11 +370,11 @@ def metric_sum_even(spark, sf):
 _DESCRIBED = {"count": "count({c})", "mean": "avg({c})", "stddev": "stddev_samp({c})", "min": "min({c})", "max": "max({c})"}
 
 
-@plan("describe_text", sql=_r("Quantity", "UnitPrice", "Country") + " UNION ALL ".join(
-      f"SELECT '{s}' AS summary, " + ", ".join(f"round(CAST({e.format(c=c)} AS DOUBLE), 6) AS {c}" for c in ("Quantity", "UnitPrice")) +
-      f", {'CAST(count(Country) AS VARCHAR)' if s == 'count' else e.format(c='Country') if s in ('min', 'max') else 'NULL'} AS Country FROM retail"
+@plan("describe_text", sql=_r("l_quantity", "p_retailprice", "n_name") + " UNION ALL ".join(
+      f"SELECT '{s}' AS summary, " + ", ".join(f"round(CAST({e.format(c=c)} AS DOUBLE), 6) AS {c}" for c in ("l_quantity", "p_retailprice")) +
+      f", {'CAST(count(n_name) AS VARCHAR)' if s == 'count' else e.format(c='n_name') if s in ('min', 'max') else 'NULL'} AS n_name FROM retail"
       for s, e in _DESCRIBED.items()))
 def describe_text(spark, sf):
     """Spark's own ``describe()``: count, mean, stddev, min, max per column; its texts of numbers read back as numbers."""
-    d = retail(spark, sf, "Quantity", "UnitPrice", "Country").describe()
-    return d.select("summary", *[F.round(F.col(c).cast("double"), 6).alias(c) for c in ("Quantity", "UnitPrice")], "Country")
+    d = retail(spark, sf, "l_quantity", "p_retailprice", "n_name").describe()
+    return d.select("summary", *[F.round(F.col(c).cast("double"), 6).alias(c) for c in ("l_quantity", "p_retailprice")], "n_name")

@@ -61,32 +61,32 @@ def nonempty_partitions(spark, sf):
     return counts.select("n_values", F.col("nonempty").between(F.lit(1), F.col("n_values")).alias("at_most_a_partition_each"))
 
 
-@plan("partition_hash", sql=_r("CustomerId") +
-      "SELECT CustomerId, 1 AS n_partitions FROM retail GROUP BY CustomerId")
+@plan("partition_hash", sql=_r("o_custkey") +
+      "SELECT o_custkey, 1 AS n_partitions FROM retail GROUP BY o_custkey")
 def partition_hash(spark, sf):
     """Hash partitioning by customer into 10: every customer in exactly one partition."""
-    r = R.repartition_by(retail(spark, sf, "CustomerId"), "CustomerId", n=10)
-    return R.key_partition_spread(r, "CustomerId").withColumn("n_partitions", F.col("n_partitions").cast("int"))
+    r = R.repartition_by(retail(spark, sf, "o_custkey"), "o_custkey", n=10)
+    return R.key_partition_spread(r, "o_custkey").withColumn("n_partitions", F.col("n_partitions").cast("int"))
 
 
-@plan("partition_range", sql=_r("CustomerId") +
-      "SELECT CustomerId, 1 AS n_partitions FROM retail GROUP BY CustomerId")
+@plan("partition_range", sql=_r("o_custkey") +
+      "SELECT o_custkey, 1 AS n_partitions FROM retail GROUP BY o_custkey")
 def partition_range(spark, sf):
     """Range partitioning by customer into 10 (sampled bounds): one partition per customer."""
-    r = R.repartition_by_range(retail(spark, sf, "CustomerId"), 10, F.asc("CustomerId"))
-    return R.key_partition_spread(r, "CustomerId").withColumn("n_partitions", F.col("n_partitions").cast("int"))
+    r = R.repartition_by_range(retail(spark, sf, "o_custkey"), 10, F.asc("o_custkey"))
+    return R.key_partition_spread(r, "o_custkey").withColumn("n_partitions", F.col("n_partitions").cast("int"))
 
 
-@plan("partition_custom", sql=_r("InvoiceNo", "StockCode", "CustomerId") +
-      "SELECT CustomerId IS NULL AS is_hot, CASE WHEN CustomerId IS NULL THEN 0 ELSE 3 END AS min_pid, "
-      "CASE WHEN CustomerId IS NULL THEN 2 ELSE 4 END AS max_pid, count(*) AS n FROM retail GROUP BY 1")
+@plan("partition_custom", sql=_r("l_orderkey", "l_partkey", "o_custkey") +
+      "SELECT o_custkey IS NULL AS is_hot, CASE WHEN o_custkey IS NULL THEN 0 ELSE 3 END AS min_pid, "
+      "CASE WHEN o_custkey IS NULL THEN 2 ELSE 4 END AS max_pid, count(*) AS n FROM retail GROUP BY 1")
 def partition_custom(spark, sf):
     """The hot key (the missing customer, a tenth of all rows) alone in partitions 0-2,
     the rest in partitions 3-4, both spread by a hash."""
-    r = retail(spark, sf, "InvoiceNo", "StockCode", "CustomerId")
-    p = R.isolate_hot_key(r, "CustomerId", None, 2, ["InvoiceNo", "StockCode"], n_hot=3)
+    r = retail(spark, sf, "l_orderkey", "l_partkey", "o_custkey")
+    p = R.isolate_hot_key(r, "o_custkey", None, 2, ["l_orderkey", "l_partkey"], n_hot=3)
     p = p.withColumn("pid", F.spark_partition_id())
-    return p.groupBy(F.col("CustomerId").isNull().alias("is_hot")).agg(
+    return p.groupBy(F.col("o_custkey").isNull().alias("is_hot")).agg(
         F.min("pid").alias("min_pid"), F.max("pid").alias("max_pid"), F.count(F.lit(1)).alias("n"))
 
 

@@ -7,12 +7,11 @@ from pyspark.sql import functions as F
 from ..operators import aggregates as A
 from ..operators import filters as FL
 from ..operators import project as P
-from ..sources.fixtures import (FLIGHTS_SQL, WORDS_SQL, flights, retail, retail_sql, retail_variants,
-                                retail_variants_sql, words)
+from ..sources.fixtures import WORDS_SQL, retail, retail_sql, retail_variants, retail_variants_sql, words
 from ..sources.tables import read_table
 from .registry import plan
+from .sqlutil import discount_sql
 
-FL_ = f"({FLIGHTS_SQL})"
 WD_ = f"({WORDS_SQL})"
 
 
@@ -20,7 +19,7 @@ def _retail_cte(*cols: str) -> str:
     return f"WITH retail AS ({retail_sql(*cols)}) "
 
 
-def _variants_cte(*cols: str, variants=("StockCode", "Quantity", "UnitPrice", "InvoiceDate")) -> str:
+def _variants_cte(*cols: str, variants=("l_partkey", "l_quantity", "p_retailprice", "l_shipdate")) -> str:
     have = [v for v in variants if v in cols]
     return (f"WITH base AS ({retail_sql(*cols)}), "
             f"retail AS (SELECT *, {retail_variants_sql(have)} FROM base) ")
@@ -28,124 +27,129 @@ def _variants_cte(*cols: str, variants=("StockCode", "Quantity", "UnitPrice", "I
 
 # --- projections -------------------------------------------------------------
 
-@plan("select_names", sql=f"SELECT dest, origin FROM {FL_}")
+def _orders(spark, sf):
+    return read_table(spark, sf, "orders", "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+
+
+O_ = "(SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders)"
+
+
+@plan("select_names", sql="SELECT o_orderkey, o_orderpriority FROM orders")
 def select_names(spark, sf):
     """Project by name."""
-    return P.select_names(flights(spark, sf), "dest", "origin")
+    return P.select_names(_orders(spark, sf), "o_orderkey", "o_orderpriority")
 
 
-@plan("select_column", sql=f"SELECT cnt FROM {FL_}")
+@plan("select_column", sql="SELECT o_custkey FROM orders")
 def select_column(spark, sf):
     """Project by Column object."""
-    return P.select_columns(flights(spark, sf), F.col("cnt"))
+    return P.select_columns(_orders(spark, sf), F.col("o_custkey"))
 
 
-@plan("select_computed", sql=f"SELECT cnt * 3 AS cnt_x3 FROM {FL_}")
+@plan("select_computed", sql="SELECT o_orderkey % 8 AS shard FROM orders")
 def select_computed(spark, sf):
     """Project an arithmetic expression."""
-    return P.select_columns(flights(spark, sf), (F.col("cnt") * 3).alias("cnt_x3"))
+    return P.select_columns(_orders(spark, sf), (F.col("o_orderkey") % 8).alias("shard"))
 
 
-@plan("select_expr", sql=f"SELECT cnt * 3 AS my_count, dest AS destination FROM {FL_}")
+@plan("select_expr", sql="SELECT o_orderkey % 8 AS shard, o_orderpriority AS urgency FROM orders")
 def select_expr(spark, sf):
     """Project SQL text expressions with aliases."""
-    return P.select_exprs(flights(spark, sf), "cnt * 3 AS my_count", "dest AS destination")
+    return P.select_exprs(_orders(spark, sf), "o_orderkey % 8 AS shard", "o_orderpriority AS urgency")
 
 
-@plan("select_star_plus", sql=f"SELECT *, cnt * 3 AS my_count FROM {FL_}")
+@plan("select_star_plus", sql=f"SELECT *, round(o_totalprice / 1000, 1) AS thousands FROM {O_}")
 def select_star_plus(spark, sf):
     """All columns plus a computed one."""
-    return P.select_star_plus(flights(spark, sf), my_count="cnt * 3")
+    return P.select_star_plus(_orders(spark, sf), thousands="round(o_totalprice / 1000, 1)")
 
 
-@plan("select_literal", sql=(f"SELECT dest, '1' AS one, 2 AS two, TIMESTAMP '2020-04-28 18:30:00' AS t, "
-                             f"[1, 2, 3] AS arr, CAST(NULL AS VARCHAR) AS nothing FROM {FL_}"))
+@plan("select_literal", sql="SELECT o_orderkey, 'order' AS kind, 0.25 AS rate, TIMESTAMP '1997-11-05 06:07:08' AS loaded_at, "
+                            "['a', 'b'] AS tags, CAST(NULL AS INTEGER) AS unset FROM orders")
 def select_literal(spark, sf):
-    """Constant columns: text, int, timestamp, array, null."""
-    return flights(spark, sf).select(
-        "dest", F.lit("1").alias("one"), F.expr("2 AS two"),
-        F.lit("2020-04-28 18:30:00").cast("timestamp_ntz").alias("t"),
-        F.lit([1, 2, 3]).alias("arr"), F.lit(None).cast("string").alias("nothing"))
+    """Constant columns: text, number, timestamp, array, null."""
+    return _orders(spark, sf).select(
+        "o_orderkey", F.lit("order").alias("kind"), F.expr("0.25D AS rate"),
+        F.lit("1997-11-05 06:07:08").cast("timestamp_ntz").alias("loaded_at"),
+        F.lit(["a", "b"]).alias("tags"), F.lit(None).cast("int").alias("unset"))
 
 
-@plan("with_column", sql=f"SELECT *, 1 AS one, cnt + 3 AS cnt_plus3 FROM {FL_}")
+@plan("with_column", sql=f"SELECT *, 'open' AS state, o_custkey + 100 AS account FROM {O_}")
 def with_column(spark, sf):
     """Add columns."""
-    return P.with_columns(flights(spark, sf), {"one": F.lit(1), "cnt_plus3": F.col("cnt") + 3})
+    return P.with_columns(_orders(spark, sf), {"state": F.lit("open"), "account": F.col("o_custkey") + 100})
 
 
-@plan("replace_column", sql=f"SELECT dest, origin, cnt * 2 AS cnt FROM {FL_}")
+@plan("replace_column", sql="SELECT o_orderkey, o_custkey, round(o_totalprice) AS o_totalprice, o_orderpriority FROM orders")
 def replace_column(spark, sf):
     """Overwrite a column of the same name."""
-    return P.with_columns(flights(spark, sf), {"cnt": F.col("cnt") * 2})
+    return P.with_columns(_orders(spark, sf), {"o_totalprice": F.round("o_totalprice")})
 
 
-@plan("rename_column", sql=f"SELECT dest, origin, cnt AS new_count FROM {FL_}")
+@plan("rename_column", sql="SELECT o_orderkey, o_custkey AS buyer, o_totalprice, o_orderpriority FROM orders")
 def rename_column(spark, sf):
     """Rename."""
-    return P.rename_columns(flights(spark, sf), {"cnt": "new_count"})
+    return P.rename_columns(_orders(spark, sf), {"o_custkey": "buyer"})
 
 
-@plan("drop_column", sql=f"SELECT dest, origin FROM {FL_}")
+@plan("drop_column", sql="SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
 def drop_column(spark, sf):
     """Remove a column."""
-    return P.drop_columns(flights(spark, sf), "cnt")
+    return P.drop_columns(_orders(spark, sf), "o_orderpriority")
 
 
-@plan("cast_column", sql=f"SELECT dest, origin, CAST(cnt AS DOUBLE) AS cnt FROM {FL_}")
+@plan("cast_column", sql="SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders")
 def cast_column(spark, sf):
     """Change a type."""
-    return P.cast_columns(flights(spark, sf), {"cnt": "double"})
+    return P.cast_columns(_orders(spark, sf), {"o_orderkey": "string"})
 
 
-@plan("alias_column", sql=f"SELECT dest AS destination, cnt AS n FROM {FL_}")
+@plan("alias_column", sql="SELECT o_orderkey AS id, o_totalprice AS amount FROM orders")
 def alias_column(spark, sf):
     """Name expressions."""
-    return flights(spark, sf).select(F.col("dest").alias("destination"), F.col("cnt").alias("n"))
+    return _orders(spark, sf).select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("amount"))
 
 
-@plan("case_when", sql=_retail_cte("InvoiceNo", "StockCode", "Quantity", "UnitPrice") +
-      "SELECT InvoiceNo, StockCode, Quantity, "
-      "round(CASE WHEN Quantity < 6 THEN UnitPrice ELSE UnitPrice * 0.9 END, 6) AS price FROM retail")
+@plan("case_when", sql=_retail_cte("l_orderkey", "l_partkey", "l_quantity", "p_retailprice") +
+      "SELECT l_orderkey, l_partkey, l_quantity, "
+      f"round({discount_sql('l_quantity', 'p_retailprice')}, 6) AS price FROM retail")
 def case_when(spark, sf):
-    """10 % discount from 6 items on."""
-    r = retail(spark, sf, "InvoiceNo", "StockCode", "Quantity", "UnitPrice")
-    return r.select("InvoiceNo", "StockCode", "Quantity",
-                    F.round(P.discounted_price("Quantity", "UnitPrice"), 6).alias("price"))
+    """A discount from some number of items on."""
+    r = retail(spark, sf, "l_orderkey", "l_partkey", "l_quantity", "p_retailprice")
+    return r.select("l_orderkey", "l_partkey", "l_quantity",
+                    F.round(P.discounted_price("l_quantity", "p_retailprice"), 6).alias("price"))
 
 
-COLORS = ("red", "blue", "hot", "cold")   # words of the product names
+MARKS = ("large", "small", "old")   # words looked for in the part names
 
 
-@plan("generated_columns", sql=(
-    "SELECT " + ", ".join(f"contains(Description, '{c.upper()}') AS is_{c}" for c in COLORS) +
-    ", * FROM (SELECT CAST(p_partkey AS VARCHAR) AS StockCode, upper(p_name) AS Description FROM part)"))
+@plan("generated_columns", sql=("SELECT " + ", ".join(f"contains(p_name, '{m.upper()}') AS has_{m}" for m in MARKS) +
+                                ", * FROM (SELECT p_partkey, upper(p_name) AS p_name FROM part)"))
 def generated_columns(spark, sf):
-    """One flag column per color word, followed by all columns."""
-    prod = read_table(spark, sf, "part", "p_partkey", "p_name").select(
-        F.col("p_partkey").cast("string").alias("StockCode"), F.upper("p_name").alias("Description"))
-    return P.flag_columns(prod, "Description", COLORS)
+    """One flag column per word, followed by all columns."""
+    prod = read_table(spark, sf, "part", "p_partkey", "p_name").select("p_partkey", F.upper("p_name").alias("p_name"))
+    return P.flag_columns(prod, "p_name", MARKS, prefix="has_")
 
 
-@plan("row_id", sql=f"SELECT dest, origin, cnt, 1 AS n_with_id FROM {FL_}")
+@plan("row_id", sql=f"SELECT *, 1 AS n_with_id FROM {O_}")
 def row_id(spark, sf):
     """Unique, increasing, non-consecutive id per row: every row with the number of rows that have its id."""
-    rows = P.with_row_id(flights(spark, sf))
-    return rows.groupBy("row_id").agg(F.first("dest").alias("dest"), F.first("origin").alias("origin"), F.first("cnt").alias("cnt"),
-                                      F.count(F.lit(1)).cast("int").alias("n_with_id")).drop("row_id")
+    rows = P.with_row_id(_orders(spark, sf))
+    names = [c for c in rows.columns if c != "row_id"]
+    return rows.groupBy("row_id").agg(*[F.first(c).alias(c) for c in names], F.count(F.lit(1)).cast("int").alias("n_with_id")).drop("row_id")
 
 
-@plan("pack_struct", sql=f"SELECT dest, origin, cnt FROM {FL_}")
+@plan("pack_struct", sql=f"SELECT * FROM {O_}")
 def pack_struct(spark, sf):
     """Whole row packed into one struct and read back through its fields."""
-    return P.unpack_struct(P.pack_struct(flights(spark, sf), "rec"), "rec")
+    return P.unpack_struct(P.pack_struct(_orders(spark, sf), "rec"), "rec")
 
 
-@plan("column_binding", sql=f"SELECT dest, cnt * 5 >= cnt + 100 AS big FROM {FL_}")
+@plan("column_binding", sql="SELECT o_orderkey, o_totalprice / 100 > o_custkey AS rich FROM orders")
 def column_binding(spark, sf):
     """Frame-bound and late-bound column references in one expression."""
-    fl = flights(spark, sf)
-    return fl.select(fl["dest"], (fl["cnt"] * 5 >= F.col("cnt") + 100).alias("big"))
+    o = _orders(spark, sf)
+    return o.select(o["o_orderkey"], (o["o_totalprice"] / 100 > F.col("o_custkey")).alias("rich"))
 
 
 @plan("map_rows", sql=f"SELECT '!!' || word || '!!' AS wrapped, count(*) AS n FROM {WD_} GROUP BY 1")
@@ -164,100 +168,99 @@ def flat_map_rows(spark, sf):
 
 # --- filters -------------------------------------------------------------------
 
-@plan("where_sql", sql=f"SELECT * FROM {FL_} WHERE cnt < 100")
+@plan("where_sql", sql=f"SELECT * FROM {O_} WHERE o_totalprice < 150000")
 def where_sql(spark, sf):
     """SQL text predicate."""
-    return FL.where_sql(flights(spark, sf), "cnt < 100")
+    return FL.where_sql(_orders(spark, sf), "o_totalprice < 150000")
 
 
-@plan("where_eq", sql=f"SELECT * FROM {FL_} WHERE dest = 'NATION_1' AND origin <> 'NATION_2'")
+@plan("where_eq", sql=f"SELECT * FROM {O_} WHERE o_orderpriority = '1-URGENT' AND o_custkey <> 7")
 def where_eq(spark, sf):
     """Equality and inequality."""
-    fl = flights(spark, sf)
-    return fl.where((F.col("dest") == "NATION_1") & (F.col("origin") != "NATION_2"))
+    return _orders(spark, sf).where((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_custkey") != 7))
 
 
-@plan("filter_column", sql=f"SELECT * FROM {FL_} WHERE cnt < 100")
+@plan("filter_column", sql=f"SELECT * FROM {O_} WHERE o_totalprice >= 150000")
 def filter_column(spark, sf):
     """Column predicate."""
-    return flights(spark, sf).filter(F.col("cnt") < 100)
+    return _orders(spark, sf).filter(F.col("o_totalprice") >= 150000)
 
 
-@plan("filter_lambda", sql=f"SELECT * FROM {FL_} WHERE cnt < 100")
+@plan("filter_lambda", sql=f"SELECT * FROM {O_} WHERE o_custkey % 3 = 1")
 def filter_lambda(spark, sf):
     """Host-language predicate, vectorised over Arrow batches."""
-    return FL.filter_vectorized(flights(spark, sf), lambda c: c < 100, "cnt")
+    return FL.filter_vectorized(_orders(spark, sf), lambda c: c % 3 == 1, "o_custkey")
 
 
-@plan("where_or", sql=f"SELECT * FROM {FL_} WHERE cnt > 200 OR cnt < 50")
+@plan("where_or", sql=f"SELECT * FROM {O_} WHERE o_totalprice > 300000 OR o_totalprice < 50000")
 def where_or(spark, sf):
     """Disjunction."""
-    return FL.where_any(flights(spark, sf), F.col("cnt") > 200, F.col("cnt") < 50)
+    return FL.where_any(_orders(spark, sf), F.col("o_totalprice") > 300000, F.col("o_totalprice") < 50000)
 
 
-@plan("where_chain", sql=f"SELECT * FROM {FL_} WHERE cnt < 200 AND dest <> origin")
+@plan("where_chain", sql=f"SELECT * FROM {O_} WHERE o_totalprice < 200000 AND o_orderpriority <> '5-LOW'")
 def where_chain(spark, sf):
     """Conjunction by chaining (one Filter after optimisation)."""
-    return FL.where_all(flights(spark, sf), F.col("cnt") < 200, F.col("dest") != F.col("origin"))
+    return FL.where_all(_orders(spark, sf), F.col("o_totalprice") < 200000, F.col("o_orderpriority") != "5-LOW")
 
 
-@plan("named_predicate", sql=_retail_cte("InvoiceNo", "StockCode", "Quantity", "Country") +
-      "SELECT InvoiceNo, StockCode, Quantity FROM retail WHERE Country = 'NATION_3'")
+@plan("named_predicate", sql=_retail_cte("l_orderkey", "l_partkey", "l_quantity", "n_name") +
+      "SELECT l_orderkey, l_partkey, l_quantity FROM retail WHERE n_name = 'NATION_3'")
 def named_predicate(spark, sf):
     """Predicate held in a variable."""
-    in_country = F.col("Country") == "NATION_3"
-    return retail(spark, sf, "InvoiceNo", "StockCode", "Quantity", "Country").where(in_country) \
-        .select("InvoiceNo", "StockCode", "Quantity")
+    in_country = F.col("n_name") == "NATION_3"
+    return retail(spark, sf, "l_orderkey", "l_partkey", "l_quantity", "n_name").where(in_country) \
+        .select("l_orderkey", "l_partkey", "l_quantity")
 
 
-@plan("bool_column", sql="SELECT p_partkey, p_retailprice, p_retailprice > 950 AS pricey_item FROM part")
+@plan("bool_column", sql="SELECT p_partkey, p_size, p_size > 25 AS bulky FROM part")
 def bool_column(spark, sf):
     """Predicate as a column."""
-    part = read_table(spark, sf, "part", "p_partkey", "p_retailprice")
-    return part.withColumn("pricey_item", F.col("p_retailprice") > 950)
+    part = read_table(spark, sf, "part", "p_partkey", "p_size")
+    return part.withColumn("bulky", F.col("p_size") > 25)
 
 
-@plan("eq_null_safe", sql=_variants_cte("StockCode", "Quantity") +
-      "SELECT (StockCode2 IS NOT DISTINCT FROM '17') AS null_safe, (StockCode2 = '17') AS plain, "
+@plan("eq_null_safe", sql=_variants_cte("l_partkey", "l_quantity") +
+      "SELECT (l_partkey_opt IS NOT DISTINCT FROM '17') AS null_safe, (l_partkey_opt = '17') AS plain, "
       "count(*) AS n FROM retail GROUP BY 1, 2")
 def eq_null_safe(spark, sf):
     """Null-safe against ordinary equality on a column with nulls."""
-    r = retail_variants(retail(spark, sf, "StockCode", "Quantity"))
-    return r.groupBy(F.col("StockCode2").eqNullSafe("17").alias("null_safe"),
-                     (F.col("StockCode2") == "17").alias("plain")).agg(F.count(F.lit(1)).alias("n"))
+    r = retail_variants(retail(spark, sf, "l_partkey", "l_quantity"))
+    return r.groupBy(F.col("l_partkey_opt").eqNullSafe("17").alias("null_safe"),
+                     (F.col("l_partkey_opt") == "17").alias("plain")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@plan("eq_three_valued", sql=_variants_cte("InvoiceNo", "StockCode", "Quantity") +
-      "SELECT InvoiceNo, StockCode2 FROM retail WHERE StockCode2 = '17'")
+@plan("eq_three_valued", sql=_variants_cte("l_orderkey", "l_partkey", "l_quantity") +
+      "SELECT l_orderkey, l_partkey_opt FROM retail WHERE l_partkey_opt = '17'")
 def eq_three_valued(spark, sf):
     """Ordinary equality: rows where the comparison is null are dropped."""
-    r = retail_variants(retail(spark, sf, "InvoiceNo", "StockCode", "Quantity"))
-    return r.where(F.col("StockCode2") == "17").select("InvoiceNo", "StockCode2")
+    r = retail_variants(retail(spark, sf, "l_orderkey", "l_partkey", "l_quantity"))
+    return r.where(F.col("l_partkey_opt") == "17").select("l_orderkey", "l_partkey_opt")
 
 
-@plan("is_null", sql=_variants_cte("StockCode", "Quantity") +
-      "SELECT InvoiceNo_n AS n FROM (SELECT count(*) AS InvoiceNo_n FROM retail WHERE StockCode2 IS NULL)")
+@plan("is_null", sql=_variants_cte("l_partkey", "l_quantity") +
+      "SELECT l_orderkey_n AS n FROM (SELECT count(*) AS l_orderkey_n FROM retail WHERE l_partkey_opt IS NULL)")
 def is_null(spark, sf):
     """Rows whose value is null."""
-    r = retail_variants(retail(spark, sf, "StockCode", "Quantity"))
-    return r.where(F.col("StockCode2").isNull()).agg(F.count(F.lit(1)).alias("n"))
+    r = retail_variants(retail(spark, sf, "l_partkey", "l_quantity"))
+    return r.where(F.col("l_partkey_opt").isNull()).agg(F.count(F.lit(1)).alias("n"))
 
 
-@plan("is_not_null", sql=_variants_cte("InvoiceNo", "StockCode", "Quantity") +
-      "SELECT InvoiceNo, StockCode2 FROM retail WHERE StockCode2 IS NOT NULL")
+@plan("is_not_null", sql=_variants_cte("l_orderkey", "l_partkey", "l_quantity") +
+      "SELECT l_orderkey, l_partkey_opt FROM retail WHERE l_partkey_opt IS NOT NULL")
 def is_not_null(spark, sf):
     """Rows whose value is present."""
-    r = retail_variants(retail(spark, sf, "InvoiceNo", "StockCode", "Quantity"))
-    return r.where(F.col("StockCode2").isNotNull()).select("InvoiceNo", "StockCode2")
+    r = retail_variants(retail(spark, sf, "l_orderkey", "l_partkey", "l_quantity"))
+    return r.where(F.col("l_partkey_opt").isNotNull()).select("l_orderkey", "l_partkey_opt")
 
 
-@plan("contains", sql="SELECT p_partkey, upper(p_name) AS Description FROM part "
+@plan("contains", sql="SELECT p_partkey, upper(p_name) AS p_name FROM part "
                       "WHERE contains(upper(p_name), 'RED')")
 def contains(spark, sf):
     """Substring predicate."""
     part = read_table(spark, sf, "part", "p_partkey", "p_name")
-    d = part.select("p_partkey", F.upper("p_name").alias("Description"))
-    return d.where(F.col("Description").contains("RED"))
+    d = part.select("p_partkey", F.upper("p_name").alias("p_name"))
+    return d.where(F.col("p_name").contains("RED"))
 
 
 @plan("starts_with", sql=f"SELECT word, count(*) AS n FROM {WD_} WHERE starts_with(word, 'f') GROUP BY word")
@@ -268,54 +271,54 @@ def starts_with(spark, sf):
 
 
 @plan("length_filter", sql=(
-    "SELECT p_partkey, regexp_extract(upper(p_name), 'RED (\\w+)', 1) AS Extracted FROM part "
+    "SELECT p_partkey, regexp_extract(upper(p_name), 'RED (\\w+)', 1) AS thing FROM part "
     "WHERE length(regexp_extract(upper(p_name), 'RED (\\w+)', 1)) > 0"))
 def length_filter(spark, sf):
     """Keep rows with a non-empty extract."""
     part = read_table(spark, sf, "part", "p_partkey", "p_name")
-    x = part.select("p_partkey", F.regexp_extract(F.upper("p_name"), r"RED (\w+)", 1).alias("Extracted"))
-    return x.where(F.length("Extracted") > 0)
+    x = part.select("p_partkey", F.regexp_extract(F.upper("p_name"), r"RED (\w+)", 1).alias("thing"))
+    return x.where(F.length("thing") > 0)
 
 
-@plan("date_compare", sql=_retail_cte("InvoiceDate") +
-      "SELECT CAST(InvoiceDate AS DATE) > DATE '1995-06-17' AS after, "
-      "CAST(InvoiceDate AS DATE) >= DATE '1995-06-17' AS from_day, "
-      "CAST(InvoiceDate AS DATE) = DATE '1995-06-17' AS on_day, "
-      "CAST(InvoiceDate AS DATE) <> DATE '1995-06-17' AS not_on_day, count(*) AS n FROM retail GROUP BY 1, 2, 3, 4")
+@plan("date_compare", sql=_retail_cte("l_shipdate") +
+      "SELECT CAST(l_shipdate AS DATE) > DATE '1995-06-17' AS after, "
+      "CAST(l_shipdate AS DATE) >= DATE '1995-06-17' AS from_day, "
+      "CAST(l_shipdate AS DATE) = DATE '1995-06-17' AS on_day, "
+      "CAST(l_shipdate AS DATE) <> DATE '1995-06-17' AS not_on_day, count(*) AS n FROM retail GROUP BY 1, 2, 3, 4")
 def date_compare(spark, sf):
     """Dates compared with >, >=, =, <>."""
-    d = F.to_date("InvoiceDate")
+    d = F.to_date("l_shipdate")
     day = F.lit("1995-06-17").cast("date")
-    return retail(spark, sf, "InvoiceDate").groupBy(
+    return retail(spark, sf, "l_shipdate").groupBy(
         (d > day).alias("after"), (d >= day).alias("from_day"), (d == day).alias("on_day"),
         (d != day).alias("not_on_day")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@plan("ts_literal_compare", sql=_retail_cte("InvoiceNo", "StockCode", "InvoiceDate") +
-      "SELECT InvoiceNo, StockCode, InvoiceDate FROM retail WHERE InvoiceDate < TIMESTAMP '1996-01-01 00:00:00'")
+@plan("ts_literal_compare", sql=_retail_cte("l_orderkey", "l_partkey", "l_shipdate") +
+      "SELECT l_orderkey, l_partkey, l_shipdate FROM retail WHERE l_shipdate < TIMESTAMP '1996-01-01 00:00:00'")
 def ts_literal_compare(spark, sf):
     """Timestamp filtered against a text literal (pushed into the Parquet scan)."""
-    r = retail(spark, sf, "InvoiceNo", "StockCode", "InvoiceDate")
-    return r.where(F.col("InvoiceDate") < FL.ts_literal("1996-01-01 00:00:00"))
+    r = retail(spark, sf, "l_orderkey", "l_partkey", "l_shipdate")
+    return r.where(F.col("l_shipdate") < FL.ts_literal("1996-01-01 00:00:00"))
 
 
-@plan("filter_subtotals", sql=_retail_cte("InvoiceDate", "Quantity", "Country") +
-      "SELECT CAST(date_trunc('month', InvoiceDate) AS DATE) AS month, CAST(NULL AS VARCHAR) AS Country, "
-      "CAST(sum(Quantity) AS BIGINT) AS total_qty, 1 AS gid FROM retail GROUP BY 1")
+@plan("filter_subtotals", sql=_retail_cte("l_shipdate", "l_quantity", "n_name") +
+      "SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month, CAST(NULL AS VARCHAR) AS n_name, "
+      "CAST(sum(l_quantity) AS BIGINT) AS total_qty, 1 AS gid FROM retail GROUP BY 1")
 def filter_subtotals(spark, sf):
     """One level of a rollup (per-month subtotals) selected by grouping id."""
-    r = retail(spark, sf, "InvoiceDate", "Quantity", "Country").withColumn(
-        "month", F.trunc(F.to_date("InvoiceDate"), "month"))
-    ru = A.rollup(r, ["month", "Country"], F.sum("Quantity").alias("total_qty"))
-    return FL.grouping_level(ru, 1).select("month", "Country", "total_qty", F.col("gid").cast("int").alias("gid"))
+    r = retail(spark, sf, "l_shipdate", "l_quantity", "n_name").withColumn(
+        "month", F.trunc(F.to_date("l_shipdate"), "month"))
+    ru = A.rollup(r, ["month", "n_name"], F.sum("l_quantity").alias("total_qty"))
+    return FL.grouping_level(ru, 1).select("month", "n_name", "total_qty", F.col("gid").cast("int").alias("gid"))
 
 
-@plan("filter_subtotals_nulls", sql=_retail_cte("InvoiceDate", "Quantity", "Country") +
-      "SELECT CAST(date_trunc('month', InvoiceDate) AS DATE) AS month, CAST(NULL AS VARCHAR) AS Country, "
-      "CAST(sum(Quantity) AS BIGINT) AS total_qty FROM retail GROUP BY 1")
+@plan("filter_subtotals_nulls", sql=_retail_cte("l_shipdate", "l_quantity", "n_name") +
+      "SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month, CAST(NULL AS VARCHAR) AS n_name, "
+      "CAST(sum(l_quantity) AS BIGINT) AS total_qty FROM retail GROUP BY 1")
 def filter_subtotals_nulls(spark, sf):
     """The same rollup level selected by its null pattern (data nulls removed before the rollup)."""
-    r = retail(spark, sf, "InvoiceDate", "Quantity", "Country").withColumn(
-        "month", F.trunc(F.to_date("InvoiceDate"), "month"))
-    ru = A.rollup(r, ["month", "Country"], F.sum("Quantity").alias("total_qty"), gid=None)
-    return ru.where("month IS NOT NULL AND Country IS NULL").select("month", "Country", "total_qty")
+    r = retail(spark, sf, "l_shipdate", "l_quantity", "n_name").withColumn(
+        "month", F.trunc(F.to_date("l_shipdate"), "month"))
+    ru = A.rollup(r, ["month", "n_name"], F.sum("l_quantity").alias("total_qty"), gid=None)
+    return ru.where("month IS NOT NULL AND n_name IS NULL").select("month", "n_name", "total_qty")

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..operators import keyvalue as KV
 from ..operators import nulls as N
-from ..sources.fixtures import FLIGHTS_SQL, WORDS_SQL, flights, retail, retail_sql, retail_variants, words
+from ..sources.fixtures import FLIGHTS_SQL, WORDS_SQL, flights, retail, retail_sql, retail_variants, retail_variants_sql, words
 from ..sources.tables import read_table
 from .registry import plan
-from .sqlutil import MS
+from .sqlutil import MS, truncate_sql
 
 FL_ = f"({FLIGHTS_SQL})"
 WD_ = f"({WORDS_SQL})"
@@ -29,30 +29,26 @@ def _variants(spark, sf, *cols):
 
 
 def _vsql(cols, variants) -> str:
-    vs = ", ".join(f"CASE WHEN Quantity < 6 THEN {v} END AS {v}2" for v in variants)
-    return f"WITH base AS ({retail_sql(*cols)}), retail AS (SELECT *, {vs} FROM base) "
+    return f"WITH base AS ({retail_sql(*cols)}), retail AS (SELECT *, {retail_variants_sql(variants)} FROM base) "
 
 
 # --- math ----------------------------------------------------------------------
 
-@plan("arithmetic", sql=f"SELECT dest, origin, cnt * 3 AS times3, cnt + 3 AS plus3, cnt % 10 AS mod10, "
-                        f"(cnt * -1) + 5 AS neg_plus5 FROM {FL_}")
+@plan("arithmetic", sql="SELECT p_partkey, p_size * 2 AS twice, p_size + 7 AS more, p_size % 4 AS rest, "
+                        "100 - p_size AS short_of_hundred FROM part")
 def arithmetic(spark, sf):
     """+ - * % on columns."""
-    c = F.col("cnt")
-    return flights(spark, sf).select("dest", "origin", (c * 3).alias("times3"), (c + 3).alias("plus3"),
-                                     (c % 10).alias("mod10"), (c * -1 + 5).alias("neg_plus5"))
+    size = F.col("p_size")
+    return _parts(spark, sf).select("p_partkey", (size * 2).alias("twice"), (size + 7).alias("more"),
+                                    (size % 4).alias("rest"), (100 - size).alias("short_of_hundred"))
 
 
-@plan("power", sql=f"WITH retail AS ({retail_sql('InvoiceNo', 'StockCode', 'Quantity', 'UnitPrice')}) "
-                   "SELECT InvoiceNo, StockCode, round(power(Quantity * UnitPrice, 2) + 5, 2) AS real_qty, "
-                   "round(power(Quantity * UnitPrice, 2) + 5, 2) AS real_qty_sql FROM retail")
+@plan("power", sql="SELECT p_partkey, round(power(p_retailprice / 1000, 3), 6) AS cubed, "
+                   "round(power(p_size, 0.5), 6) AS root FROM part")
 def power(spark, sf):
     """Power, Column and SQL spelling."""
-    r = retail(spark, sf, "InvoiceNo", "StockCode", "Quantity", "UnitPrice")
-    return r.select("InvoiceNo", "StockCode",
-                    F.round(S.power_plus("Quantity", "UnitPrice"), 2).alias("real_qty"),
-                    F.round(F.expr("POWER(Quantity * UnitPrice, 2) + 5"), 2).alias("real_qty_sql"))
+    return _parts(spark, sf).select("p_partkey", F.round(F.pow(F.col("p_retailprice") / 1000, 3), 6).alias("cubed"),
+                                    F.round(F.expr("POWER(p_size, 0.5)"), 6).alias("root"))
 
 
 @plan("round_half_up", sql="SELECT p_partkey, round(p_retailprice, 1) AS r1, round(-p_retailprice, 1) AS r1_neg, "
@@ -134,14 +130,13 @@ def split(spark, sf):
     return _parts(spark, sf).select("p_partkey", S.words_of(F.upper("p_name")).alias("arr"))
 
 
-@plan("truncate_code", sql=_vsql(("InvoiceNo", "StockCode", "Quantity"), ["StockCode"]) +
-      "SELECT InvoiceNo, StockCode2, CASE WHEN StockCode2 IS NULL THEN 'xxx' "
-      "WHEN length(StockCode2) > 3 THEN substring(StockCode2, 1, 3) || '(trunc)' ELSE StockCode2 END AS code "
+@plan("truncate_code", sql=_vsql(("l_orderkey", "l_partkey", "l_quantity"), ["l_partkey"]) +
+      "SELECT l_orderkey, l_partkey_opt, " + truncate_sql("l_partkey_opt") + " AS code "
       "FROM retail")
 def truncate_code(spark, sf):
-    """Null -> 'xxx'; longer than three characters -> first three + '(trunc)'."""
-    r = _variants(spark, sf, "InvoiceNo", "StockCode", "Quantity")
-    return r.select("InvoiceNo", "StockCode2", N.truncate_code("StockCode2").alias("code"))
+    """A code for the missing, a marker behind the first characters of the long."""
+    r = _variants(spark, sf, "l_orderkey", "l_partkey", "l_quantity")
+    return r.select("l_orderkey", "l_partkey_opt", N.truncate_code("l_partkey_opt").alias("code"))
 
 
 # --- dates and times ---------------------------------------------------------------
@@ -333,94 +328,94 @@ def explode_map_keep(spark, sf):
 
 # --- missing data ----------------------------------------------------------------
 
-@plan("nullif", sql=_vsql(("InvoiceNo", "StockCode", "Quantity"), ["StockCode"]) +
-      "SELECT InvoiceNo, nullif(StockCode2, '17') AS code FROM retail")
+@plan("nullif", sql=_vsql(("l_orderkey", "l_partkey", "l_quantity"), ["l_partkey"]) +
+      "SELECT l_orderkey, nullif(l_partkey_opt, '17') AS code FROM retail")
 def nullif(spark, sf):
     """A value turned into null."""
-    r = _variants(spark, sf, "InvoiceNo", "StockCode", "Quantity")
-    return r.select("InvoiceNo", N.null_if("StockCode2", "17").alias("code"))
+    r = _variants(spark, sf, "l_orderkey", "l_partkey", "l_quantity")
+    return r.select("l_orderkey", N.null_if("l_partkey_opt", "17").alias("code"))
 
 
-_NV = ("InvoiceNo", "StockCode", "Quantity", "UnitPrice", "InvoiceDate")
-_NVV = ["StockCode", "Quantity", "UnitPrice", "InvoiceDate"]
+_NV = ("l_orderkey", "l_partkey", "l_quantity", "p_retailprice", "l_shipdate")
+_NVV = ["l_partkey", "l_quantity", "p_retailprice", "l_shipdate"]
 
 
 @plan("drop_any", sql=_vsql(_NV, _NVV) +
-      "SELECT InvoiceNo, StockCode2, Quantity2, UnitPrice2, InvoiceDate2 FROM retail "
-      "WHERE StockCode2 IS NOT NULL AND Quantity2 IS NOT NULL AND UnitPrice2 IS NOT NULL "
-      "AND InvoiceDate2 IS NOT NULL")
+      "SELECT l_orderkey, l_partkey_opt, l_quantity_opt, p_retailprice_opt, l_shipdate_opt FROM retail "
+      "WHERE l_partkey_opt IS NOT NULL AND l_quantity_opt IS NOT NULL AND p_retailprice_opt IS NOT NULL "
+      "AND l_shipdate_opt IS NOT NULL")
 def drop_any(spark, sf):
     """Drop rows with any null."""
-    r = _variants(spark, sf, *_NV).select("InvoiceNo", "StockCode2", "Quantity2", "UnitPrice2", "InvoiceDate2")
+    r = _variants(spark, sf, *_NV).select("l_orderkey", "l_partkey_opt", "l_quantity_opt", "p_retailprice_opt", "l_shipdate_opt")
     return N.drop_rows(r, "any")
 
 
 @plan("drop_all", sql=_vsql(_NV, _NVV) +
-      "SELECT InvoiceNo, StockCode2, UnitPrice2 FROM retail WHERE StockCode2 IS NOT NULL OR UnitPrice2 IS NOT NULL")
+      "SELECT l_orderkey, l_partkey_opt, p_retailprice_opt FROM retail WHERE l_partkey_opt IS NOT NULL OR p_retailprice_opt IS NOT NULL")
 def drop_all(spark, sf):
     """Drop rows where all of the named columns are null."""
-    r = _variants(spark, sf, *_NV).select("InvoiceNo", "StockCode2", "UnitPrice2")
-    return N.drop_rows(r, "all", ["StockCode2", "UnitPrice2"])
+    r = _variants(spark, sf, *_NV).select("l_orderkey", "l_partkey_opt", "p_retailprice_opt")
+    return N.drop_rows(r, "all", ["l_partkey_opt", "p_retailprice_opt"])
 
 
 @plan("coalesce_columns", sql=_vsql(_NV, _NVV) +
-      "SELECT InvoiceNo, coalesce(StockCode2, CAST(Quantity AS VARCHAR)) AS first_present, "
-      "coalesce(StockCode2, 'missing') AS with_default FROM retail")
+      "SELECT l_orderkey, coalesce(l_partkey_opt, CAST(l_quantity AS VARCHAR)) AS first_present, "
+      "coalesce(l_partkey_opt, 'none given') AS with_default FROM retail")
 def coalesce_columns(spark, sf):
     """First non-null of columns, or a constant."""
     r = _variants(spark, sf, *_NV)
-    return r.select("InvoiceNo", N.first_non_null("StockCode2", "Quantity").alias("first_present"),
-                    N.first_non_null("StockCode2", default="missing").alias("with_default"))
+    return r.select("l_orderkey", N.first_non_null("l_partkey_opt", "l_quantity").alias("first_present"),
+                    N.first_non_null("l_partkey_opt", default="none given").alias("with_default"))
 
 
 @plan("fill_string", sql=_vsql(_NV, _NVV) +
-      "SELECT InvoiceNo, coalesce(StockCode2, 'missing') AS StockCode2, Quantity2 FROM retail")
+      "SELECT l_orderkey, coalesce(l_partkey_opt, 'none given') AS l_partkey_opt, l_quantity_opt FROM retail")
 def fill_string(spark, sf):
     """Fill all text columns."""
-    r = _variants(spark, sf, *_NV).select("InvoiceNo", "StockCode2", "Quantity2")
-    return N.fill(r, "missing")
+    r = _variants(spark, sf, *_NV).select("l_orderkey", "l_partkey_opt", "l_quantity_opt")
+    return N.fill(r, "none given")
 
 
 @plan("fill_numeric", sql=_vsql(_NV, _NVV) +
-      "SELECT InvoiceNo, StockCode2, coalesce(Quantity2, 5) AS Quantity2, coalesce(UnitPrice2, 5.5) AS UnitPrice2 "
+      "SELECT l_orderkey, l_partkey_opt, coalesce(l_quantity_opt, 2) AS l_quantity_opt, coalesce(p_retailprice_opt, 2.75) AS p_retailprice_opt "
       "FROM retail")
 def fill_numeric(spark, sf):
-    """Fill all numeric columns (5.5 becomes 5 in integer columns)."""
-    r = _variants(spark, sf, *_NV).select("InvoiceNo", "StockCode2", "Quantity2", "UnitPrice2")
-    return N.fill(r, 5.5)
+    """Fill all numeric columns (2.75 becomes 2 in integer columns)."""
+    r = _variants(spark, sf, *_NV).select("l_orderkey", "l_partkey_opt", "l_quantity_opt", "p_retailprice_opt")
+    return N.fill(r, 2.75)
 
 
 @plan("fill_subset", sql=_vsql(_NV, _NVV) +
-      "SELECT InvoiceNo, Quantity2, coalesce(UnitPrice2, 5.5) AS UnitPrice2 FROM retail")
+      "SELECT l_orderkey, l_quantity_opt, coalesce(p_retailprice_opt, 2.75) AS p_retailprice_opt FROM retail")
 def fill_subset(spark, sf):
     """Fill named columns only."""
-    r = _variants(spark, sf, *_NV).select("InvoiceNo", "Quantity2", "UnitPrice2")
-    return N.fill(r, 5.5, ["UnitPrice2"])
+    r = _variants(spark, sf, *_NV).select("l_orderkey", "l_quantity_opt", "p_retailprice_opt")
+    return N.fill(r, 2.75, ["p_retailprice_opt"])
 
 
 @plan("fill_map", sql=_vsql(_NV, _NVV) +
-      "SELECT InvoiceNo, coalesce(StockCode2, 'missing') AS StockCode2, coalesce(UnitPrice2, 7.0) AS UnitPrice2 "
+      "SELECT l_orderkey, coalesce(l_partkey_opt, 'none given') AS l_partkey_opt, coalesce(p_retailprice_opt, 0.5) AS p_retailprice_opt "
       "FROM retail")
 def fill_map(spark, sf):
     """Per-column fill values."""
-    r = _variants(spark, sf, *_NV).select("InvoiceNo", "StockCode2", "UnitPrice2")
-    return N.fill(r, {"StockCode2": "missing", "UnitPrice2": 7.0})
+    r = _variants(spark, sf, *_NV).select("l_orderkey", "l_partkey_opt", "p_retailprice_opt")
+    return N.fill(r, {"l_partkey_opt": "none given", "p_retailprice_opt": 0.5})
 
 
 @plan("fill_timestamp", sql=_vsql(_NV, _NVV) +
-      "SELECT InvoiceNo, coalesce(InvoiceDate2, TIMESTAMP '2000-01-01 00:00:00') AS InvoiceDate2 FROM retail")
+      "SELECT l_orderkey, coalesce(l_shipdate_opt, TIMESTAMP '2000-01-01 00:00:00') AS l_shipdate_opt FROM retail")
 def fill_timestamp(spark, sf):
     """Impute a timestamp column."""
-    r = _variants(spark, sf, *_NV).select("InvoiceNo", "InvoiceDate2")
-    return N.fill_timestamp(r, "InvoiceDate2", "2000-01-01 00:00:00")
+    r = _variants(spark, sf, *_NV).select("l_orderkey", "l_shipdate_opt")
+    return N.fill_timestamp(r, "l_shipdate_opt", "2000-01-01 00:00:00")
 
 
 @plan("replace_values", sql=_vsql(_NV, _NVV) +
-      "SELECT InvoiceNo, CASE WHEN StockCode2 = '17' THEN 'nope' ELSE StockCode2 END AS StockCode2 FROM retail")
+      "SELECT l_orderkey, CASE WHEN l_partkey_opt = '17' THEN 'replaced' ELSE l_partkey_opt END AS l_partkey_opt FROM retail")
 def replace_values(spark, sf):
     """Value -> value replacement in a column."""
-    r = _variants(spark, sf, *_NV).select("InvoiceNo", "StockCode2")
-    return N.replace_values(r, {"17": "nope"}, ["StockCode2"])
+    r = _variants(spark, sf, *_NV).select("l_orderkey", "l_partkey_opt")
+    return N.replace_values(r, {"17": "replaced"}, ["l_partkey_opt"])
 
 
 # --- key/value ---------------------------------------------------------------------

@@ -11,7 +11,7 @@ from ..operators import udaf
 from ..sources.fixtures import retail, retail_sql, retail_variants
 from ..sources.tables import read_table
 from .registry import plan
-from .sqlutil import MS
+from .sqlutil import MS, discount_sql, truncate_sql
 
 
 def _r(*cols):
@@ -29,37 +29,37 @@ def udf_scalar(spark, sf):
 def udf_named(spark, sf):
     """An existing Python function used as an (Arrow-optimised) UDF."""
     p = read_table(spark, sf, "part", "p_partkey", "p_retailprice")
-    return p.select("p_partkey", F.round(U.power3_udf()(F.col("p_retailprice")), 2).alias("cubed"))
+    return p.select("p_partkey", F.round(U.cube_udf()(F.col("p_retailprice")), 2).alias("cubed"))
 
 
 @plan("udf_sql", sql="SELECT p_partkey, round(p_retailprice * p_retailprice * p_retailprice, 2) AS cubed, "
                      "round(p_retailprice * p_retailprice * p_retailprice, 2) AS cubed_py FROM part")
 def udf_sql(spark, sf):
     """A function registered for SQL text: as a SQL function and as a Python UDF."""
-    U.register_power3(spark)
-    U.register_power3_python(spark)
+    U.register_cube(spark)
+    U.register_cube_python(spark)
     p = read_table(spark, sf, "part", "p_partkey", "p_retailprice")
-    return spark.sql("SELECT p_partkey, round(power3(p_retailprice), 2) AS cubed, "
-                     "round(power3_py(p_retailprice), 2) AS cubed_py FROM {p}", p=p)
+    return spark.sql("SELECT p_partkey, round(cube_of(p_retailprice), 2) AS cubed, "
+                     "round(cube_py(p_retailprice), 2) AS cubed_py FROM {p}", p=p)
 
 
-DISCOUNT_SQL = "round(CASE WHEN Quantity < 6 THEN UnitPrice ELSE UnitPrice * 0.9 END, 6)"
+DISCOUNT_SQL = f"round({discount_sql('l_quantity', 'p_retailprice')}, 6)"
 
 
-@plan("udf_two_args", sql=_r("InvoiceNo", "StockCode", "Quantity", "UnitPrice") +
-      f"SELECT InvoiceNo, StockCode, {DISCOUNT_SQL} AS price FROM retail")
+@plan("udf_two_args", sql=_r("l_orderkey", "l_partkey", "l_quantity", "p_retailprice") +
+      f"SELECT l_orderkey, l_partkey, {DISCOUNT_SQL} AS price FROM retail")
 def udf_two_args(spark, sf):
     """Discount from two columns through a vectorised UDF."""
-    r = retail(spark, sf, "InvoiceNo", "StockCode", "Quantity", "UnitPrice")
-    return r.select("InvoiceNo", "StockCode", F.round(U.discount_vec("Quantity", "UnitPrice"), 6).alias("price"))
+    r = retail(spark, sf, "l_orderkey", "l_partkey", "l_quantity", "p_retailprice")
+    return r.select("l_orderkey", "l_partkey", F.round(U.discount_vec("l_quantity", "p_retailprice"), 6).alias("price"))
 
 
-@plan("udf_row", sql=_r("InvoiceNo", "StockCode", "Quantity", "UnitPrice") +
-      f"SELECT InvoiceNo, StockCode, {DISCOUNT_SQL} AS price FROM retail")
+@plan("udf_row", sql=_r("l_orderkey", "l_partkey", "l_quantity", "p_retailprice") +
+      f"SELECT l_orderkey, l_partkey, {DISCOUNT_SQL} AS price FROM retail")
 def udf_row(spark, sf):
     """Discount from a struct of the needed columns (never the whole row)."""
-    r = retail(spark, sf, "InvoiceNo", "StockCode", "Quantity", "UnitPrice")
-    return r.select("InvoiceNo", "StockCode", F.round(U.discount_on_struct(), 6).alias("price"))
+    r = retail(spark, sf, "l_orderkey", "l_partkey", "l_quantity", "p_retailprice")
+    return r.select("l_orderkey", "l_partkey", F.round(U.discount_on_struct(), 6).alias("price"))
 
 
 @plan("udf_array", sql="SELECT p_partkey, list_transform(range(p_size), lambda x: 0) AS zeros FROM part")
@@ -94,46 +94,45 @@ def udf_timestamp(spark, sf):
 
 
 @plan("udf_null_aware", sql=(
-    f"WITH base AS ({retail_sql('InvoiceNo', 'StockCode', 'Quantity')}), "
-    "retail AS (SELECT *, CASE WHEN Quantity < 6 THEN StockCode END AS StockCode2 FROM base) "
-    "SELECT InvoiceNo, CASE WHEN StockCode2 IS NULL THEN 'xxx' WHEN length(StockCode2) > 3 "
-    "THEN substring(StockCode2, 1, 3) || '(trunc)' ELSE StockCode2 END AS code FROM retail"))
+    f"WITH base AS ({retail_sql('l_orderkey', 'l_partkey', 'l_quantity')}), "
+    "retail AS (SELECT *, CASE WHEN l_quantity % 4 <> 0 THEN l_partkey END AS l_partkey_opt FROM base) "
+    f"SELECT l_orderkey, {truncate_sql('l_partkey_opt')} AS code FROM retail"))
 def udf_null_aware(spark, sf):
     """A function that handles null itself."""
-    r = retail_variants(retail(spark, sf, "InvoiceNo", "StockCode", "Quantity"))
-    return r.select("InvoiceNo", N.truncate_code("StockCode2").alias("code"))
+    r = retail_variants(retail(spark, sf, "l_orderkey", "l_partkey", "l_quantity"))
+    return r.select("l_orderkey", N.truncate_code("l_partkey_opt").alias("code"))
 
 
-@plan("udaf_columns", sql=_r("Quantity") + "SELECT 'avg' AS agg, round(avg(Quantity), 6) AS value FROM retail "
-                                           "UNION ALL SELECT 'user_mean', round(avg(Quantity), 6) FROM retail")
+@plan("udaf_columns", sql=_r("l_quantity") + "SELECT 'avg' AS agg, round(avg(l_quantity), 6) AS value FROM retail "
+                                           "UNION ALL SELECT 'user_mean', round(avg(l_quantity), 6) FROM retail")
 def udaf_columns(spark, sf):
     """Custom mean over a column beside the built-in avg (whole table), one row each."""
-    r = retail(spark, sf, "Quantity")
-    mine = udaf.aggregate(r, [], udaf.mean_of("Quantity")).select(
+    r = retail(spark, sf, "l_quantity")
+    mine = udaf.aggregate(r, [], udaf.mean_of("l_quantity")).select(
         F.lit("user_mean").alias("agg"), F.round("mean", 6).alias("value"))
-    builtin = r.agg(F.lit("avg").alias("agg"), F.round(F.avg("Quantity"), 6).alias("value"))
+    builtin = r.agg(F.lit("avg").alias("agg"), F.round(F.avg("l_quantity"), 6).alias("value"))
     return builtin.unionByName(mine)
 
 
-@plan("udaf_rows", sql=_r("Quantity", "UnitPrice", "Country") +
-      "SELECT Country, round(sum(UnitPrice * Quantity) / sum(Quantity), 6) AS weighted_avg "
-      "FROM retail GROUP BY Country")
+@plan("udaf_rows", sql=_r("l_quantity", "p_retailprice", "n_name") +
+      "SELECT n_name, round(sum(p_retailprice * l_quantity) / sum(l_quantity), 6) AS weighted_avg "
+      "FROM retail GROUP BY n_name")
 def udaf_rows(spark, sf):
     """A user aggregate over several input columns of each row (weighted mean price)."""
-    r = retail(spark, sf, "Quantity", "UnitPrice", "Country")
-    out = udaf.aggregate(r, ["Country"], udaf.weighted_mean_of("UnitPrice", "Quantity"))
-    return out.select("Country", F.round("weighted_avg", 6).alias("weighted_avg"))
+    r = retail(spark, sf, "l_quantity", "p_retailprice", "n_name")
+    out = udaf.aggregate(r, ["n_name"], udaf.weighted_mean_of("p_retailprice", "l_quantity"))
+    return out.select("n_name", F.round("weighted_avg", 6).alias("weighted_avg"))
 
 
-@plan("udaf_typed", sql=_r("Quantity", "Country") +
-      "SELECT Country, round(avg(Quantity), 6) AS avg_qty, round(avg(Quantity), 6) AS user_mean "
-      "FROM retail GROUP BY Country")
+@plan("udaf_typed", sql=_r("l_quantity", "n_name") +
+      "SELECT n_name, round(avg(l_quantity), 6) AS avg_qty, round(avg(l_quantity), 6) AS user_mean "
+      "FROM retail GROUP BY n_name")
 def udaf_typed(spark, sf):
     """Per country: built-in avg and the custom mean."""
-    r = retail(spark, sf, "Quantity", "Country")
-    mine = udaf.aggregate(r, ["Country"], udaf.mean_of("Quantity"))
-    builtin = r.groupBy("Country").agg(F.avg("Quantity").alias("avg_qty"))
-    return builtin.join(mine, "Country").select("Country", F.round("avg_qty", 6).alias("avg_qty"),
+    r = retail(spark, sf, "l_quantity", "n_name")
+    mine = udaf.aggregate(r, ["n_name"], udaf.mean_of("l_quantity"))
+    builtin = r.groupBy("n_name").agg(F.avg("l_quantity").alias("avg_qty"))
+    return builtin.join(mine, "n_name").select("n_name", F.round("avg_qty", 6).alias("avg_qty"),
                                                 F.round("mean", 6).alias("user_mean"))
 
 

@@ -12,7 +12,7 @@ from ..sources.tables import read_table
 from .registry import plan
 
 FL_ = f"({FLIGHTS_SQL})"
-DAY = "CAST(InvoiceDate AS DATE)"
+DAY = "CAST(l_shipdate AS DATE)"
 
 
 def _r(*cols: str) -> str:
@@ -20,130 +20,130 @@ def _r(*cols: str) -> str:
 
 
 def _day_frame(spark, sf, *extra):
-    r = retail(spark, sf, "CustomerId", "InvoiceDate", "Quantity", *extra)
-    return r.withColumn("date", F.to_date("InvoiceDate")).drop("InvoiceDate")
+    r = retail(spark, sf, "o_custkey", "l_shipdate", "l_quantity", *extra)
+    return r.withColumn("date", F.to_date("l_shipdate")).drop("l_shipdate")
 
 
-@plan("window_running", sql=_r("CustomerId", "InvoiceDate", "Quantity") +
-      f"SELECT CustomerId, {DAY} AS date, Quantity, "
-      f"CAST(sum(Quantity) OVER w AS BIGINT) AS running_sum, max(Quantity) OVER w AS running_max FROM retail "
-      f"WINDOW w AS (PARTITION BY CustomerId, {DAY} ORDER BY Quantity DESC "
+@plan("window_running", sql=_r("o_custkey", "l_shipdate", "l_quantity") +
+      f"SELECT o_custkey, {DAY} AS date, l_quantity, "
+      f"CAST(sum(l_quantity) OVER w AS BIGINT) AS running_sum, max(l_quantity) OVER w AS running_max FROM retail "
+      f"WINDOW w AS (PARTITION BY o_custkey, {DAY} ORDER BY l_quantity DESC "
       f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
 def window_running(spark, sf):
     """Running sum and max per (customer, day), quantity descending."""
     r = _day_frame(spark, sf)
-    out = W.running_totals(r, ["CustomerId", "date"], [F.desc("Quantity")],
-                           W.desc_bucket("Quantity", spread=16), "Quantity", descending=True)
-    return out.select("CustomerId", "date", "Quantity", "running_sum", "running_max")
+    out = W.running_totals(r, ["o_custkey", "date"], [F.desc("l_quantity")],
+                           W.desc_bucket("l_quantity", spread=16), "l_quantity", descending=True)
+    return out.select("o_custkey", "date", "l_quantity", "running_sum", "running_max")
 
 
-@plan("window_extra_cols", sql=_r("InvoiceNo", "StockCode", "CustomerId", "InvoiceDate", "Quantity") +
-      f"SELECT CustomerId, {DAY} AS date, InvoiceNo, StockCode, Quantity, "
-      f"CAST(sum(Quantity) OVER w AS BIGINT) AS running_sum FROM retail "
-      f"WINDOW w AS (PARTITION BY CustomerId, {DAY} ORDER BY Quantity DESC, InvoiceNo, StockCode "
+@plan("window_extra_cols", sql=_r("l_orderkey", "l_partkey", "o_custkey", "l_shipdate", "l_quantity") +
+      f"SELECT o_custkey, {DAY} AS date, l_orderkey, l_partkey, l_quantity, "
+      f"CAST(sum(l_quantity) OVER w AS BIGINT) AS running_sum FROM retail "
+      f"WINDOW w AS (PARTITION BY o_custkey, {DAY} ORDER BY l_quantity DESC, l_orderkey, l_partkey "
       f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
 def window_extra_cols(spark, sf):
     """Window result beside columns outside the partition key (total order by tie-breakers)."""
-    r = _day_frame(spark, sf, "InvoiceNo", "StockCode")
-    out = W.running_totals(r, ["CustomerId", "date"], [F.desc("Quantity"), "InvoiceNo", "StockCode"],
-                           W.desc_bucket("Quantity", "InvoiceNo"), "Quantity", descending=True)
-    return out.select("CustomerId", "date", "InvoiceNo", "StockCode", "Quantity", "running_sum")
+    r = _day_frame(spark, sf, "l_orderkey", "l_partkey")
+    out = W.running_totals(r, ["o_custkey", "date"], [F.desc("l_quantity"), "l_orderkey", "l_partkey"],
+                           W.desc_bucket("l_quantity", "l_orderkey"), "l_quantity", descending=True)
+    return out.select("o_custkey", "date", "l_orderkey", "l_partkey", "l_quantity", "running_sum")
 
 
-@plan("window_range", sql=_r("InvoiceNo", "StockCode", "InvoiceDate", "Quantity") +
-      f"SELECT InvoiceNo, StockCode, {DAY} AS date, Quantity, CAST(sum(Quantity) OVER (PARTITION BY {DAY} "
-      f"ORDER BY Quantity DESC RANGE BETWEEN 3 PRECEDING AND CURRENT ROW) AS BIGINT) AS range_sum FROM retail")
+@plan("window_range", sql=_r("l_orderkey", "l_partkey", "l_shipdate", "l_quantity") +
+      f"SELECT l_orderkey, l_partkey, {DAY} AS date, l_quantity, CAST(sum(l_quantity) OVER (PARTITION BY {DAY} "
+      f"ORDER BY l_quantity DESC RANGE BETWEEN 3 PRECEDING AND CURRENT ROW) AS BIGINT) AS range_sum FROM retail")
 def window_range(spark, sf):
     """Value-range frame -3..0 on a descending key: quantities in [q, q + 3] of the same day."""
-    r = retail(spark, sf, "InvoiceNo", "StockCode", "InvoiceDate", "Quantity").withColumn(
-        "date", F.to_date("InvoiceDate")).drop("InvoiceDate")
-    out = W.range_frame_sum(r, ["date"], "Quantity", "Quantity", -3, 0, descending=True)
-    return out.select("InvoiceNo", "StockCode", "date", "Quantity", "range_sum")
+    r = retail(spark, sf, "l_orderkey", "l_partkey", "l_shipdate", "l_quantity").withColumn(
+        "date", F.to_date("l_shipdate")).drop("l_shipdate")
+    out = W.range_frame_sum(r, ["date"], "l_quantity", "l_quantity", -3, 0, descending=True)
+    return out.select("l_orderkey", "l_partkey", "date", "l_quantity", "range_sum")
 
 
-@plan("window_multi", sql=_r("InvoiceNo", "StockCode", "CustomerId", "InvoiceDate", "Quantity") +
-      f"SELECT InvoiceNo, StockCode, CustomerId, {DAY} AS date, Quantity, "
-      f"CAST(sum(Quantity) OVER (PARTITION BY CustomerId, {DAY} ORDER BY Quantity DESC, InvoiceNo, StockCode "
+@plan("window_multi", sql=_r("l_orderkey", "l_partkey", "o_custkey", "l_shipdate", "l_quantity") +
+      f"SELECT l_orderkey, l_partkey, o_custkey, {DAY} AS date, l_quantity, "
+      f"CAST(sum(l_quantity) OVER (PARTITION BY o_custkey, {DAY} ORDER BY l_quantity DESC, l_orderkey, l_partkey "
       f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running_sum, "
-      f"CAST(sum(Quantity) OVER (PARTITION BY {DAY} ORDER BY Quantity DESC "
+      f"CAST(sum(l_quantity) OVER (PARTITION BY {DAY} ORDER BY l_quantity DESC "
       f"RANGE BETWEEN 3 PRECEDING AND CURRENT ROW) AS BIGINT) AS range_sum FROM retail")
 def window_multi(spark, sf):
     """Two different windows in one result."""
-    r = _day_frame(spark, sf, "InvoiceNo", "StockCode")
-    run = W.running_totals(r, ["CustomerId", "date"], [F.desc("Quantity"), "InvoiceNo", "StockCode"],
-                           W.desc_bucket("Quantity", "InvoiceNo"), "Quantity", descending=True)
-    both = W.range_frame_sum(run, ["date"], "Quantity", "Quantity", -3, 0, descending=True)
-    return both.select("InvoiceNo", "StockCode", "CustomerId", "date", "Quantity", "running_sum", "range_sum")
+    r = _day_frame(spark, sf, "l_orderkey", "l_partkey")
+    run = W.running_totals(r, ["o_custkey", "date"], [F.desc("l_quantity"), "l_orderkey", "l_partkey"],
+                           W.desc_bucket("l_quantity", "l_orderkey"), "l_quantity", descending=True)
+    both = W.range_frame_sum(run, ["date"], "l_quantity", "l_quantity", -3, 0, descending=True)
+    return both.select("l_orderkey", "l_partkey", "o_custkey", "date", "l_quantity", "running_sum", "range_sum")
 
 
-@plan("window_plain", sql=_r("CustomerId", "InvoiceDate", "Quantity") +
-      f"SELECT CustomerId, {DAY} AS date, Quantity, "
-      f"CAST(sum(Quantity) OVER w AS BIGINT) AS running_sum, max(Quantity) OVER w AS running_max, "
-      f"CAST(dense_rank() OVER (PARTITION BY CustomerId, {DAY} ORDER BY Quantity DESC) AS INTEGER) AS dense_rank "
+@plan("window_plain", sql=_r("o_custkey", "l_shipdate", "l_quantity") +
+      f"SELECT o_custkey, {DAY} AS date, l_quantity, "
+      f"CAST(sum(l_quantity) OVER w AS BIGINT) AS running_sum, max(l_quantity) OVER w AS running_max, "
+      f"CAST(dense_rank() OVER (PARTITION BY o_custkey, {DAY} ORDER BY l_quantity DESC) AS INTEGER) AS dense_rank "
       f"FROM retail "
-      f"WINDOW w AS (PARTITION BY CustomerId, {DAY} ORDER BY Quantity DESC "
+      f"WINDOW w AS (PARTITION BY o_custkey, {DAY} ORDER BY l_quantity DESC "
       f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
 def window_plain(spark, sf):
     """The same window written directly with ``Window`` (for groups known to be small)."""
     r = _day_frame(spark, sf)
-    w = Window.partitionBy("CustomerId", "date").orderBy(F.desc("Quantity"))
+    w = Window.partitionBy("o_custkey", "date").orderBy(F.desc("l_quantity"))
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return r.select("CustomerId", "date", "Quantity", F.sum("Quantity").over(run).alias("running_sum"),
-                    F.max("Quantity").over(run).alias("running_max"),
+    return r.select("o_custkey", "date", "l_quantity", F.sum("l_quantity").over(run).alias("running_sum"),
+                    F.max("l_quantity").over(run).alias("running_max"),
                     F.dense_rank().over(w).alias("dense_rank"))
 
 
-@plan("row_number", sql=_r("InvoiceNo", "StockCode", "CustomerId", "InvoiceDate", "Quantity") +
-      f"SELECT CustomerId, {DAY} AS date, InvoiceNo, StockCode, Quantity, CAST(row_number() OVER "
-      f"(PARTITION BY CustomerId, {DAY} ORDER BY Quantity DESC, InvoiceNo, StockCode) AS INTEGER) AS row_number "
+@plan("row_number", sql=_r("l_orderkey", "l_partkey", "o_custkey", "l_shipdate", "l_quantity") +
+      f"SELECT o_custkey, {DAY} AS date, l_orderkey, l_partkey, l_quantity, CAST(row_number() OVER "
+      f"(PARTITION BY o_custkey, {DAY} ORDER BY l_quantity DESC, l_orderkey, l_partkey) AS INTEGER) AS row_number "
       f"FROM retail")
 def row_number(spark, sf):
     """Position in the window (unique tie-breakers make it deterministic)."""
-    r = _day_frame(spark, sf, "InvoiceNo", "StockCode")
-    out = W.row_numbers(r, ["CustomerId", "date"], [F.desc("Quantity"), "InvoiceNo", "StockCode"],
-                        W.desc_bucket("Quantity", "InvoiceNo"), descending=True)
-    return out.select("CustomerId", "date", "InvoiceNo", "StockCode", "Quantity", "row_number")
+    r = _day_frame(spark, sf, "l_orderkey", "l_partkey")
+    out = W.row_numbers(r, ["o_custkey", "date"], [F.desc("l_quantity"), "l_orderkey", "l_partkey"],
+                        W.desc_bucket("l_quantity", "l_orderkey"), descending=True)
+    return out.select("o_custkey", "date", "l_orderkey", "l_partkey", "l_quantity", "row_number")
 
 
-@plan("customer_row_number", sql=_r("InvoiceNo", "StockCode", "CustomerId", "Quantity") +
-      "SELECT CustomerId, InvoiceNo, StockCode, Quantity, CAST(row_number() OVER "
-      "(PARTITION BY CustomerId ORDER BY Quantity DESC, InvoiceNo, StockCode) AS INTEGER) AS row_number FROM retail")
+@plan("customer_row_number", sql=_r("l_orderkey", "l_partkey", "o_custkey", "l_quantity") +
+      "SELECT o_custkey, l_orderkey, l_partkey, l_quantity, CAST(row_number() OVER "
+      "(PARTITION BY o_custkey ORDER BY l_quantity DESC, l_orderkey, l_partkey) AS INTEGER) AS row_number FROM retail")
 def customer_row_number(spark, sf):
     """Position within the customer alone; the missing customer holds a tenth of all rows and is spread."""
-    r = retail(spark, sf, "InvoiceNo", "StockCode", "CustomerId", "Quantity")
-    out = W.row_numbers(r, ["CustomerId"], [F.desc("Quantity"), "InvoiceNo", "StockCode"],
-                        W.desc_bucket("Quantity", "InvoiceNo"), descending=True)
-    return out.select("CustomerId", "InvoiceNo", "StockCode", "Quantity", "row_number")
+    r = retail(spark, sf, "l_orderkey", "l_partkey", "o_custkey", "l_quantity")
+    out = W.row_numbers(r, ["o_custkey"], [F.desc("l_quantity"), "l_orderkey", "l_partkey"],
+                        W.desc_bucket("l_quantity", "l_orderkey"), descending=True)
+    return out.select("o_custkey", "l_orderkey", "l_partkey", "l_quantity", "row_number")
 
 
-@plan("customer_ranks", sql=_r("CustomerId", "Quantity") +
-      "SELECT CustomerId, Quantity, CAST(rank() OVER w AS INTEGER) AS rank, CAST(dense_rank() OVER w AS INTEGER) AS dense_rank "
-      "FROM retail WINDOW w AS (PARTITION BY CustomerId ORDER BY Quantity DESC)")
+@plan("customer_ranks", sql=_r("o_custkey", "l_quantity") +
+      "SELECT o_custkey, l_quantity, CAST(rank() OVER w AS INTEGER) AS rank, CAST(dense_rank() OVER w AS INTEGER) AS dense_rank "
+      "FROM retail WINDOW w AS (PARTITION BY o_custkey ORDER BY l_quantity DESC)")
 def customer_ranks(spark, sf):
     """Rank with and without gaps within the customer alone, hot customers spread."""
-    r = retail(spark, sf, "CustomerId", "Quantity")
-    return W.ranks_spread(r, ["CustomerId"], "Quantity", W.desc_bucket("Quantity"), descending=True).select(
-        "CustomerId", "Quantity", "rank", "dense_rank")
+    r = retail(spark, sf, "o_custkey", "l_quantity")
+    return W.ranks_spread(r, ["o_custkey"], "l_quantity", W.desc_bucket("l_quantity"), descending=True).select(
+        "o_custkey", "l_quantity", "rank", "dense_rank")
 
 
-@plan("rank", sql=_r("CustomerId", "InvoiceDate", "Quantity") +
-      f"SELECT CustomerId, {DAY} AS date, Quantity, CAST(rank() OVER (PARTITION BY CustomerId, {DAY} "
-      f"ORDER BY Quantity DESC) AS INTEGER) AS rank FROM retail")
+@plan("rank", sql=_r("o_custkey", "l_shipdate", "l_quantity") +
+      f"SELECT o_custkey, {DAY} AS date, l_quantity, CAST(rank() OVER (PARTITION BY o_custkey, {DAY} "
+      f"ORDER BY l_quantity DESC) AS INTEGER) AS rank FROM retail")
 def rank(spark, sf):
     """Rank with gaps."""
     r = _day_frame(spark, sf)
-    return W.ranks(r, ["CustomerId", "date"], "Quantity", descending=True).select(
-        "CustomerId", "date", "Quantity", "rank")
+    return W.ranks(r, ["o_custkey", "date"], "l_quantity", descending=True).select(
+        "o_custkey", "date", "l_quantity", "rank")
 
 
-@plan("dense_rank", sql=_r("CustomerId", "InvoiceDate", "Quantity") +
-      f"SELECT CustomerId, {DAY} AS date, Quantity, CAST(dense_rank() OVER (PARTITION BY CustomerId, {DAY} "
-      f"ORDER BY Quantity DESC) AS INTEGER) AS dense_rank FROM retail")
+@plan("dense_rank", sql=_r("o_custkey", "l_shipdate", "l_quantity") +
+      f"SELECT o_custkey, {DAY} AS date, l_quantity, CAST(dense_rank() OVER (PARTITION BY o_custkey, {DAY} "
+      f"ORDER BY l_quantity DESC) AS INTEGER) AS dense_rank FROM retail")
 def dense_rank(spark, sf):
     """Rank without gaps."""
     r = _day_frame(spark, sf)
-    return W.ranks(r, ["CustomerId", "date"], "Quantity", descending=True).select(
-        "CustomerId", "date", "Quantity", F.col("dense_rank").cast("int").alias("dense_rank"))
+    return W.ranks(r, ["o_custkey", "date"], "l_quantity", descending=True).select(
+        "o_custkey", "date", "l_quantity", F.col("dense_rank").cast("int").alias("dense_rank"))
 
 
 # --- sorting --------------------------------------------------------------------
@@ -154,10 +154,10 @@ def sort_asc(spark, sf):
     return O.sort(flights(spark, sf), "cnt")
 
 
-@plan("sort_expr", sql=f"SELECT * FROM {FL_} ORDER BY (cnt * -1) + 5")
+@plan("sort_expr", sql=f"SELECT * FROM {FL_} ORDER BY 1000 - cnt")
 def sort_expr(spark, sf):
     """Sort by an expression."""
-    return O.sort(flights(spark, sf), F.expr("(cnt * -1) + 5"))
+    return O.sort(flights(spark, sf), F.expr("1000 - cnt"))
 
 
 @plan("sort_desc", sql=f"SELECT * FROM {FL_} ORDER BY cnt DESC")
@@ -257,10 +257,10 @@ def random_split(spark, sf):
 
 
 @plan("nulls_variant_sort", sql=(
-    f"WITH retail AS ({retail_sql('InvoiceNo', 'StockCode', 'Quantity')}) "
-    "SELECT InvoiceNo, StockCode, CASE WHEN Quantity < 6 THEN Quantity END AS Quantity2 FROM retail "
-    "ORDER BY Quantity2 ASC NULLS FIRST"))
+    f"WITH retail AS ({retail_sql('l_orderkey', 'l_partkey', 'l_quantity')}) "
+    "SELECT l_orderkey, l_partkey, CASE WHEN l_quantity % 4 <> 0 THEN l_quantity END AS l_quantity_opt FROM retail "
+    "ORDER BY l_quantity_opt ASC NULLS FIRST"))
 def nulls_variant_sort(spark, sf):
     """Retail rows sorted with the missing quantities first."""
-    r = retail_variants(retail(spark, sf, "InvoiceNo", "StockCode", "Quantity"))
-    return O.sort(r.select("InvoiceNo", "StockCode", "Quantity2"), F.asc_nulls_first("Quantity2"))
+    r = retail_variants(retail(spark, sf, "l_orderkey", "l_partkey", "l_quantity"))
+    return O.sort(r.select("l_orderkey", "l_partkey", "l_quantity_opt"), F.asc_nulls_first("l_quantity_opt"))

@@ -23,16 +23,16 @@ from .tables import read_table
 
 # column -> (group of tables it needs, Spark expression factory, SQL expression)
 _RETAIL = {
-    "InvoiceNo": ("l", lambda: F.col("l_orderkey").cast("string"), "CAST(l_orderkey AS VARCHAR)"),
-    "StockCode": ("l", lambda: F.col("l_partkey").cast("string"), "CAST(l_partkey AS VARCHAR)"),
-    "Description": ("p", lambda: F.upper("p_name"), "upper(p_name)"),
-    "Quantity": ("l", lambda: F.col("l_quantity").cast("int"), "CAST(l_quantity AS INTEGER)"),
-    "InvoiceDate": ("l", lambda: F.col("l_shipdate"), "l_shipdate"),
-    "UnitPrice": ("p", lambda: F.col("p_retailprice"), "p_retailprice"),
-    "CustomerId": ("o", lambda: F.when(F.col("o_custkey") % 10 == 0, F.lit(None).cast("double"))
+    "l_orderkey": ("l", lambda: F.col("l_orderkey").cast("string"), "CAST(l_orderkey AS VARCHAR)"),
+    "l_partkey": ("l", lambda: F.col("l_partkey").cast("string"), "CAST(l_partkey AS VARCHAR)"),
+    "p_name": ("p", lambda: F.upper("p_name"), "upper(p_name)"),
+    "l_quantity": ("l", lambda: F.col("l_quantity").cast("int"), "CAST(l_quantity AS INTEGER)"),
+    "l_shipdate": ("l", lambda: F.col("l_shipdate"), "l_shipdate"),
+    "p_retailprice": ("p", lambda: F.col("p_retailprice"), "p_retailprice"),
+    "o_custkey": ("o", lambda: F.when(F.col("o_custkey") % 10 == 0, F.lit(None).cast("double"))
                    .otherwise(F.col("o_custkey").cast("double")),
                    "CASE WHEN o_custkey % 10 = 0 THEN NULL ELSE CAST(o_custkey AS DOUBLE) END"),
-    "Country": ("c", lambda: F.col("n_name"), "n_name"),
+    "n_name": ("c", lambda: F.col("n_name"), "n_name"),
 }
 RETAIL_COLUMNS = tuple(_RETAIL)
 
@@ -81,18 +81,18 @@ def retail_sql(*cols: str) -> str:
 
 
 def retail_variants(df: DataFrame) -> DataFrame:
-    """Add ``StockCode2``/``Quantity2``/``UnitPrice2``/``InvoiceDate2``: the value when
-    Quantity < 6, else null (the missing-data fixture)."""
-    small = F.col("Quantity") < 6
+    """Add ``l_partkey_opt``/``l_quantity_opt``/``p_retailprice_opt``/``l_shipdate_opt``: the value when
+    l_quantity is no multiple of four, else null (the missing-data fixture)."""
+    present = F.col("l_quantity") % 4 != 0
     out = df
-    for c in ("StockCode", "Quantity", "UnitPrice", "InvoiceDate"):
+    for c in ("l_partkey", "l_quantity", "p_retailprice", "l_shipdate"):
         if c in df.columns:
-            out = out.withColumn(f"{c}2", F.when(small, F.col(c)))
+            out = out.withColumn(f"{c}_opt", F.when(present, F.col(c)))
     return out
 
 
 def retail_variants_sql(cols) -> str:
-    return ", ".join(f"CASE WHEN Quantity < 6 THEN {c} END AS {c}2" for c in cols)
+    return ", ".join(f"CASE WHEN l_quantity % 4 <> 0 THEN {c} END AS {c}_opt" for c in cols)
 
 
 # ---------------------------------------------------------------------------

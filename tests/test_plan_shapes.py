@@ -1,5 +1,7 @@
 """Physical-plan checks: shuffles, pushdown, broadcasts and Python boundaries."""
 
+import pytest
+
 from quarry.plans import PLANS
 
 
@@ -57,3 +59,22 @@ def test_aggregations_are_partial_before_the_shuffle(spark, sf):
 def test_flagship_reads_two_columns(spark, sf):
     p = _plan(PLANS["trajectory_core"].fn(spark, sf))
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint>" in p
+
+
+FILTERS = {"where_sql": "orders", "where_eq": "orders", "filter_column": "orders", "filter_lambda": "orders", "where_or": "orders",
+           "where_chain": "orders", "named_predicate": "lineitem", "eq_three_valued": "lineitem", "is_not_null": "lineitem",
+           "contains": "part", "length_filter": "part", "ts_literal_compare": "lineitem"}
+
+
+@pytest.mark.parametrize("sf_dir", ["/root/testdata/sf0.001", "/root/testdata/sf0.1"])
+def test_filters_keep_a_part_of_the_rows_at_every_scale(spark, sf_dir):
+    for key, name in FILTERS.items():
+        kept, all_ = PLANS[key].fn(spark, sf_dir).count(), spark.read.parquet(f"{sf_dir}/{name}.parquet").count()
+        assert 0 < kept < all_, (key, kept, all_)
+
+
+def test_filters_are_pushed_into_the_scan(spark, sf):
+    for key, pushed in (("where_sql", "LessThan(o_totalprice,150000.0)"), ("filter_column", "GreaterThanOrEqual(o_totalprice,150000.0)"),
+                        ("where_or", "Or(GreaterThan(o_totalprice,300000.0),LessThan(o_totalprice,50000.0))"),
+                        ("where_eq", "EqualTo(o_orderpriority,1-URGENT)"), ("where_chain", "LessThan(o_totalprice,200000.0)")):
+        assert pushed in _plan(PLANS[key].fn(spark, sf)), key

@@ -54,7 +54,7 @@ def test_udf_double_on_integer_input_is_cast(spark):
     df = spark.createDataFrame([(2,), (3,)], "n int")
     vals = [r[0] for r in df.select(U.cube_vec(F.col("n").cast("double"))).collect()]
     assert vals == [8.0, 27.0]
-    assert [r[0] for r in df.select(U.power3_udf()(F.col("n").cast("double"))).collect()] == [8.0, 27.0]
+    assert [r[0] for r in df.select(U.cube_udf()(F.col("n").cast("double"))).collect()] == [8.0, 27.0]
 
 
 def test_minutes_to_millis_has_no_32_bit_overflow(spark):
