@@ -7,7 +7,7 @@ writes a file of another name and only the manifest of the attempt that Spark ke
 speculative copies leave whole results.
 
 White space never reaches a token of the tokenizer, so a text's ids are those of its pieces between
-blanks; a worker remembers the ids of pieces it has met (a bounded number).
+blanks; a worker encodes each piece it has not met with the tokenizers library and remembers a bounded number.
 
 Edge cases: a null or empty text is the end id alone; a null id comes first; repeated rows each have their place;
 rows of one id are spread by their text's hash; other columns are left out; an empty table gives no file and no row.
@@ -16,6 +16,7 @@ rows of one id are spread by their text's hash; other columns are left out; an e
 from __future__ import annotations
 
 import functools
+import json
 import os
 import re
 import uuid
@@ -29,16 +30,19 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import frames
-from .common import by_volume, query, shared_path, stored, table
+from .common import by_volume, claim, query, shared_path, stored, table
 
 WORD_BPE = "word_bpe_49k.json"
 END_ID = 1
 FRAME_BYTES = 1 << 18          # a frame is closed when it holds this much; a longer document is a frame of its own
 TEXT_PER_BATCH = 2 << 20
 CACHED_PIECES = 800_000
+PIECES_PER_TEXT, WORDS_PER_TEXT = 500, 20_000
 MANIFEST = ("shard int, file string, frame int, doc_ids array<bigint>, counts array<bigint>, start_in_shard bigint")
 
+_odd_blank = re.compile("[\x1c-\x1f]")     # white space to Python, not to Unicode or the tokenizer
 _blank = re.compile(r"[ \n\r\t]+")
+_tail = re.compile("(?<=[a-zß-öø-ÿ])[,.]+(?=\\n|\\Z)")
 
 
 @functools.lru_cache(maxsize=2)
@@ -51,16 +55,99 @@ def _tokenizer(path: str):
 _pieces: dict[str, dict[str, bytes]] = {}
 
 
+def _piece_ids(pieces: list[str], path: str) -> list[bytes]:
+    """The ids of each piece. Pieces are encoded many at a time with a special token between them, which the tokenizer
+    takes out of a text before anything else; pieces that hold it are encoded on their own."""
+    tokenizer, mark, mark_id = _tokenizer(path), *_separator(path)
+    alone = [p for p in pieces if mark is None or mark in p]
+    known = dict(zip(alone, (np.array(e.ids, dtype="<u4").tobytes() for e in tokenizer.encode_batch_fast(alone, add_special_tokens=False)),
+                     strict=True))
+    rest = [p for p in pieces if p not in known]
+    for i in range(0, len(rest), PIECES_PER_TEXT):
+        part = rest[i:i + PIECES_PER_TEXT]
+        (joined,) = tokenizer.encode_batch_fast([mark.join(part)], add_special_tokens=False)
+        ids = np.array(joined.ids, dtype="<u4")
+        ends = np.append(np.nonzero(ids == mark_id)[0], len(ids))
+        if len(ends) != len(part):
+            raise ValueError("a piece holds a special token")
+        raw, start = ids.tobytes(), 0
+        for p, end in zip(part, ends.tolist(), strict=True):
+            known[p] = raw[4 * start:4 * end]
+            start = end + 1
+    return [known[p] for p in pieces]
+
+
+@functools.lru_cache(maxsize=2)
+def _separator(path: str) -> tuple[str | None, int]:
+    """A special token that is taken out of texts as it stands, and its id."""
+    for token_id, token in _tokenizer(path).get_added_tokens_decoder().items():
+        if token.special and not (token.normalized or token.lstrip or token.rstrip or token.single_word):
+            return token.content, token_id
+    return None, -1
+
+
+@functools.lru_cache(maxsize=2)
+def _letters(path: str):
+    """The tokenizer cut down to words of small Latin-1 letters, and which ids end a word; (None, None) where that would not be
+    exact.
+
+    On such words the normalisers that are allowed here change nothing, the word is one match of the pattern, and its last token, and
+    no other, has the end-of-word suffix.
+    """
+    with open(path, "rb") as f:
+        spec = json.load(f)
+    model, norms = spec["model"], (spec["normalizer"] or {}).get("normalizers", [spec["normalizer"]])
+    splits = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
+    harmless = all(n is None or n["type"] in ("NFC", "Lowercase") or
+                   n["type"] == "Replace" and n["pattern"] == {"Regex": r"\s+"} and n["content"] == " " for n in norms)
+    words = [x["type"] for x in splits] == ["Split", "ByteLevel"] and r"|[\p{L}]+|" in splits[0]["pattern"].get("Regex", "") \
+        and splits[0]["behavior"] == "Removed" and splits[0]["invert"] and not splits[1]["use_regex"]
+    if not (harmless and words and model["type"] == "BPE" and model["end_of_word_suffix"]):
+        return None, None
+    from tokenizers import Tokenizer, normalizers, pre_tokenizers
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.normalizer = normalizers.Sequence([])
+    tokenizer.pre_tokenizer = pre_tokenizers.Sequence(
+        [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    ends = np.zeros(max(model["vocab"].values()) + 1, dtype=bool)
+    ends[[i for t, i in model["vocab"].items() if t.endswith(model["end_of_word_suffix"])]] = True
+    return tokenizer, ends
+
+
+def _learn(new: list[str], known: dict[str, bytes], path: str) -> None:
+    """Adds the ids of new pieces. Pieces in Latin-1 go in lower case and without commas and full stops after a letter (tokens of their
+    own); what is then a word of letters is encoded with the other words of the batch as one text."""
+    tokenizer, ends = _letters(path)
+    plain = [p for p in new if p.isascii() or max(p) <= "\xff"] if tokenizer else []
+    cores = _tail.sub("", "\n".join(plain).lower()).split("\n") if plain else []
+    words = list({c for c in cores if c not in known and c.isalpha()})
+    for i in range(0, len(words), WORDS_PER_TEXT):
+        part = words[i:i + WORDS_PER_TEXT]
+        (joined,) = tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)
+        ids = np.array(joined.ids, dtype="<u4")
+        stops = (np.nonzero(ends[ids])[0] + 1).tolist()
+        if len(stops) != len(part) or stops[-1] != len(ids):
+            raise ValueError("the tokens of a text do not end with its words")
+        raw = ids.tobytes()
+        known.update(zip(part, [raw[4 * a:4 * b] for a, b in zip([0, *stops], stops, strict=False)], strict=True))
+    tails = {p[len(c):] for p, c in zip(plain, cores, strict=True) if len(c) < len(p)}
+    rest = [p for p in {*set(new).difference(plain), *tails, *cores} if p not in known]
+    known.update(zip(rest, _piece_ids(rest, path), strict=True))
+    for p, c in zip(plain, cores, strict=True):
+        if p not in known:
+            known[p] = known[c] if len(c) == len(p) else known[c] + known[p[len(c):]]
+
+
 def encode_texts(texts: list[str | None], path: str) -> list[bytes]:
     """The ids of each whole text as little-endian unsigned 32-bit integers, without special tokens added."""
-    known = _pieces.setdefault(path, {})
-    split = [_blank.split(t) if t else [] for t in texts]
+    known = claim(_pieces.setdefault(path, {}))
+    split = [(_blank.split(t) if _odd_blank.search(t) else t.split()) if t else [] for t in texts]
     if len(known) > CACHED_PIECES:
         known.clear()
     known[""] = b""
-    new = [p for p in {p for ps in split for p in ps} if p not in known]
-    for p, e in zip(new, _tokenizer(path).encode_batch(new, add_special_tokens=False), strict=True):
-        known[p] = np.array(e.ids, dtype="<u4").tobytes()
+    new = [p for p in set().union(*split) if p not in known]
+    if new:
+        _learn(new, known, path)
     return [b"".join(map(known.__getitem__, ps)) for ps in split]
 
 

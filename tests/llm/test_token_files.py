@@ -7,6 +7,8 @@ import zlib
 import public_tokenizers
 import pytest
 import zstandard
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from quarry.llm import frames, token_files
@@ -88,3 +90,10 @@ def test_shard_is_plain_zstandard(tmp_path):
     (tmp_path / "a" / "y.zst").write_bytes(data[:-1])
     with pytest.raises(ValueError):
         frames.ShardReader(str(tmp_path / "a" / "y.zst"))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.one_of(st.sampled_from("ab c.,'\n\x1c\x85\xa0éÉßµªΣİ!9"), st.characters(max_codepoint=0x24F)), max_size=60))
+def test_texts_encode_as_the_library(text):
+    whole = token_files._tokenizer(PATH).encode(text, add_special_tokens=False).ids
+    assert token_files.encode_texts([text], PATH) == [struct.pack(f"<{len(whole)}I", *whole)]
