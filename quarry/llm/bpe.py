@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import duckbpe
-from .common import by_volume, query, table
+from .common import by_volume, claim, query, table
 
 MULTI_50K = "byte_bpe_multi_50k.tiktoken"
 TEXT_PER_QUERY = 1 << 20   # bytes of text whose new words go to one DuckDB query
@@ -47,7 +47,7 @@ def _word_ids(words: set[str], path: str, known: dict[str, bytes]) -> None:
 def _encode_batches(batches: Iterator[pa.RecordBatch], text: str, out: str, path: str,
                     pattern: str) -> Iterator[pa.RecordBatch]:
     find = regex.compile(pattern).findall
-    known: dict[str, bytes] = _seen.setdefault((path, pattern), {})
+    known: dict[str, bytes] = claim(_seen.setdefault((path, pattern), {}))
     for batch in by_volume(batches, text, TEXT_PER_QUERY):
         at = batch.schema.get_field_index(text)
         words = [find(t or "") for t in batch.column(at).to_pylist()]

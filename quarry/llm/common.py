@@ -81,6 +81,18 @@ def by_volume(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Ite
             yield batch.slice(start)
 
 
+_filled: list[dict] = []
+
+
+def claim(cache: dict) -> dict:
+    """Makes ``cache`` the only filled cache of this worker process, which Spark keeps from stage to stage."""
+    for other in _filled:
+        if other is not cache:
+            other.clear()
+    _filled[:] = [cache]
+    return cache
+
+
 def words_of(text) -> F.Column:
     """The words of a text column, ASCII white space cut; null gives an empty array."""
     text = F.col(text) if isinstance(text, str) else text

@@ -39,15 +39,15 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_volume, query, stored, table
+from .common import by_volume, claim, query, stored, table
 from .components import components
 
 SKETCH = 1 << 18
 BUCKET_SHIFT = np.uint64(64 - 18)
 LIGHT_LIMIT = 256               # sizes below this may be light
 FOLDED = 4                      # 64-bit words of the short parity bitmap
-TEXT_PER_BATCH = 8 << 20
-CACHED_WORDS = 400_000
+TEXT_PER_BATCH = 4 << 20
+CACHED_WORDS = 200_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 PLACES = np.array([0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3, 0x1D8E4E27C47D124F],
                   dtype=np.uint64)
@@ -111,6 +111,7 @@ def shingles(text: bytes | None, k: int) -> np.ndarray:
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
     """(ids, texts as bytes) of bounded batches with the columns id, text."""
+    claim(_hashes)
     for batch in by_volume(batches, "text", TEXT_PER_BATCH):
         yield batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()
 

@@ -29,8 +29,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_volume, query, stored, table
-from .jaccard import window_hashes
+from .common import by_volume, claim, query, stored, table
+from .jaccard import _hashes, window_hashes
 
 TEXT_PER_BATCH = 4 << 20
 BLANKS = " \t\n\x0b\x0c\r"
@@ -72,6 +72,7 @@ def text_counts(text: str | None) -> tuple[int, ...]:
 
 
 def _count_batches(batches) -> Iterator[pa.RecordBatch]:
+    claim(_hashes)
     for b in by_volume(batches, "text", TEXT_PER_BATCH):
         counts = np.array([text_counts(t) for t in b.column(0).to_pylist()], dtype=np.int64).reshape(-1, len(COUNTS))
         yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), *map(pa.array, counts.T)], names=["id", "stratum", *COUNTS])
