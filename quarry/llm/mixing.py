@@ -12,7 +12,8 @@ becomes a whole number of copies, its fraction decided by a hash of the document
 number, so that slight doubt about a document's domain neither drops nor doubles it.
 
 The classifier is a Bernoulli naive Bayes over hashed n-grams (:mod:`quarry.llm.ngrams`), fitted on at most ``FIT_ROWS`` labelled rows, on the
-features whose rate in a domain differs from the other domains' beyond chance. All documents are scored and mixed; none is shuffled.
+features that junk or toxic text shows more often than all text, beyond chance, and at least twice as often as plain text (what marks plain
+text, its common words, would only measure length). All documents are scored and mixed; none is shuffled.
 
 Edge cases: a null or empty text has no tokens, the posteriors of a text without features and its rate like any; without labels
 everything is plain; a domain that no document has cannot be matched and stays a residual; repeated rows (same id and text) get the same
@@ -37,6 +38,7 @@ TARGETS = {"plain": 0.90, "junk": 0.06, "toxic": 0.04}
 FIT_ROWS = 20_000
 SIGNIFICANCE = 4.5
 LEAST_EXPECTED = 3.0
+LEAST_RATIO = 2.0        # of a feature's rates in a domain and in plain text
 ITERATIONS = 40
 NEAR_WHOLE = 0.02
 TOLERANCE = 1e-7         # of all tokens
@@ -47,6 +49,7 @@ def _domain() -> Column:
 
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    ngrams.new_task()
     counts = np.zeros((len(DOMAINS), ngrams.BUCKETS), dtype=np.int64)
     for batch in by_volume(batches, "text", ngrams.TEXT_PER_BATCH):
         for text, domain in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -65,12 +68,13 @@ def fit_posteriors(counts: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np
     if total:
         every = counts.sum(axis=0)
         chosen = np.zeros(counts.shape[1], dtype=bool)
-        for d in range(len(rows)):
+        rate = (counts + 0.5) / (rows[:, None] + 1.0)
+        for d in range(1, len(rows)):
             share = rows[d] / total
             expected = every * share
             z = (counts[d] - expected) / np.sqrt(np.maximum(expected * (1 - share), 1e-9))
-            chosen |= (np.abs(z) >= SIGNIFICANCE) & (np.maximum(expected, every - expected) >= LEAST_EXPECTED) & (share > 0) & (share < 1)
-        p = (counts[:, chosen] + 0.5) / (rows[:, None] + 1.0)
+            chosen |= (z >= SIGNIFICANCE) & (every - expected >= LEAST_EXPECTED) & (rate[d] >= LEAST_RATIO * rate[0])
+        p = rate[:, chosen]
         absent = np.log1p(-p)
         weights[:, chosen] = np.log(p) - absent
         base = base + absent.sum(axis=1)
@@ -78,6 +82,7 @@ def fit_posteriors(counts: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np
 
 
 def _score_batches(batches, text: str, base: np.ndarray, weights, names: list[str]) -> Iterator[pa.RecordBatch]:
+    ngrams.new_task()
     w = np.ascontiguousarray(weights.value.T)
     for batch in by_volume(batches, text, ngrams.TEXT_PER_BATCH):
         out = np.empty((batch.num_rows, len(DOMAINS) + 1))

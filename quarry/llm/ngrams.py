@@ -2,7 +2,7 @@
 
 A text's features are the distinct buckets of: its word parts (runs of letters and digits, lower-cased), their first
 five characters where they are longer, its runs of other signs, a mark for words in capitals and a mark for a word said
-three times in a row (the 3-gram ``w w w``). Presence is what counts, not frequency, so repeated passages and long
+five times in a row (the 5-gram ``w w w w w``). Presence is what counts, not frequency, so repeated passages and long
 texts weigh no more than others.
 """
 
@@ -16,11 +16,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import claim
+
 BUCKETS = 1 << 18
 SHIFT = 64 - 18
 PART = 1 << 14           # counts travel in parts of this many buckets
 STEM = 5
-CACHED_WORDS = 250_000
+CACHED_WORDS = 200_000
 TEXT_PER_BATCH = 4 << 20
 
 _piece = re.compile(r"\w+|[^\w\s]+")
@@ -30,7 +32,12 @@ def bucket(feature: str) -> int:
     return xxhash.xxh3_64_intdigest(feature) >> SHIFT
 
 
-CAPITALS, THREE_TIMES = bucket("\x00capitals"), bucket("\x00same same same")
+CAPITALS, FIVE_TIMES = bucket("\x00capitals"), bucket("\x00five times the same")
+
+
+def new_task() -> None:
+    """At the start of a task: other operators' caches go."""
+    claim(_words)
 
 
 class _Words(dict):
@@ -60,8 +67,9 @@ def features(text: bytes | None) -> tuple[np.ndarray, int]:
     found: set[int] = set()
     for buckets in map(_words.__getitem__, set(words)):
         found.update(buckets)
-    if any(a == b and b == c for a, b, c in zip(words, words[1:], words[2:], strict=False)):
-        found.add(THREE_TIMES)
+    if any(a == b and a == c and words[i:i + 5] == [a] * 5
+           for i, (a, b, c) in enumerate(zip(words, words[1:], words[2:], strict=False))):
+        found.add(FIVE_TIMES)
     return np.fromiter(found, dtype=np.int64, count=len(found)), len(words)
 
 

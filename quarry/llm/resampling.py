@@ -34,12 +34,13 @@ SIGNIFICANCE = 4.5       # standard errors
 LEAST_EXPECTED = 4.0     # target rows with a feature that chance would give
 LEAST_RATIO = 0.5        # of the log rates
 TEMPERATURE = 0.25
-MISS = 0.005
+MISS = 0.01
 SCALE = 1 << 20          # weights are whole multiples of 1/SCALE, so that sums do not depend on the order
 BINS = 4096
 
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    ngrams.new_task()
     raw, target = np.zeros(ngrams.BUCKETS, dtype=np.int64), np.zeros(ngrams.BUCKETS, dtype=np.int64)
     for batch in by_volume(batches, "text", ngrams.TEXT_PER_BATCH):
         for text, is_target in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -67,6 +68,7 @@ def fit_weights(raw: np.ndarray, target: np.ndarray, n_raw: int, n_target: int)
 
 
 def _weigh_batches(batches, text: str, out: str, weights, base: int) -> Iterator[pa.RecordBatch]:
+    ngrams.new_task()
     w = weights.value
     for batch in by_volume(batches, text, ngrams.TEXT_PER_BATCH):
         values = []
