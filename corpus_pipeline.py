@@ -12,6 +12,8 @@ and reads it back as the next stage's documents. All stages but the last return
 
 from __future__ import annotations
 
+import functools
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +27,16 @@ MIX = {"plain": 0.99, "junk": 0.01, "toxic": 0.0}
 HAS_WORD = r"[^\x20\x09-\x0D]"
 
 
+def _stage(fn):
+    """The stage with the package sent to the executors first, so that it can be called on its own."""
+    @functools.wraps(fn)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return fn(spark, docs, sf_dir)
+    return run_stage
+
+
+@_stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 8: the documents drawn by importance resampling; a text without words is not drawn."""
     kept, weight = fresh(docs, "kept"), fresh(docs, "log_weight")
@@ -32,6 +44,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drawn.where(F.col(kept)).select(docs.columns)
 
 
+@_stage
 def clean_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 3: texts without cross-site boilerplate; documents that lose all their words go."""
     removed = fresh(docs, "n_removed")
@@ -40,18 +53,22 @@ def clean_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return cut.withColumn("n_chars", n_chars).select(docs.columns)
 
 
+@_stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: one document of each group, its smallest id. Of several rows with one id the first in
     order of their values stays; rows without id stay."""
     found = stored(jaccard.near_components(docs, rule=jaccard.Rule(5, 80, 100)).select("doc_id", "component_id"), "groups")
     gone = found.where("doc_id <> component_id").select("doc_id").distinct()
     again = found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    rest = docs.join(gone, "doc_id", "left_anti")
+    rest = docs.join(gone.hint("merge"), "doc_id", "left_anti")      # one plan, and one shuffle of the texts, at every size
+    if again.isEmpty():
+        return rest.select(docs.columns)
     others = [c for c in docs.columns if c != "doc_id"]
     repeated = rest.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*others)).alias("row")).select("doc_id", "row.*")
     return rest.join(again, "doc_id", "left_anti").select(docs.columns).unionByName(repeated.select(docs.columns))
 
 
+@_stage
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 5: every document as often as its rate says."""
     rated = mixing.mix(docs, table(spark, sf_dir, "labels"), MIX)
@@ -59,6 +76,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rated.where(n_copies > 0).withColumn(fresh(rated, "copy"), F.explode(F.sequence(F.lit(1), n_copies))).select(docs.columns)
 
 
+@_stage
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 1: ids and their digests."""
     path = public_tokenizers.path(bpe.MULTI_50K)
@@ -74,7 +92,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
-    ship_package(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
