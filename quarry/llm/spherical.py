@@ -112,8 +112,18 @@ def _units(vectors: list) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def _packed(values: np.ndarray, short: type) -> bytes:
+    """The values' bytes, in the short type where it holds them exactly; :func:`_unpacked` tells by the length."""
+    small = values.astype(short)
+    return (small if np.array_equal(small.astype(values.dtype), values) else values).tobytes()
+
+
+def _unpacked(raw: bytes, n: int, long: type, short: type) -> np.ndarray:
+    return np.frombuffer(raw, dtype=long if len(raw) == n * np.dtype(long).itemsize else short).astype(long)
+
+
 def _decode_batches(batches, n_vectors: int) -> Iterator[pa.RecordBatch]:
-    """(rep, size, vector, sign) to a row per filter: (d, filter, rep, size, unit, filters, sign)."""
+    """(rep, size, vector, sign) to a row per filter: (d, filter, rep, size, vector, n_filters, filters, sign)."""
     for whole in batches:
         for lo in range(0, whole.num_rows, DECODED):
             batch = whole.slice(lo, DECODED)
@@ -122,22 +132,22 @@ def _decode_batches(batches, n_vectors: int) -> Iterator[pa.RecordBatch]:
             for k, v in enumerate(vectors):
                 by_length.setdefault(len(v), []).append(k)
             for d, own in by_length.items():
-                units = _units([vectors[k] for k in own])
-                lists = _code(d, n_vectors).decode(units)
+                lists = _code(d, n_vectors).decode(_units([vectors[k] for k in own]))
                 times = np.array([len(x) for x in lists])
                 rows = np.repeat(np.arange(len(own)), times)
-                raw, packed = [u.tobytes() for u in units], [x.tobytes() for x in lists]
+                raw = [_packed(np.array(vectors[k], dtype=np.float64), np.float32) for k in own]
+                packed = [_packed(x, np.uint32) for x in lists]
                 for s in range(0, len(rows), 4096):
                     part = rows[s:s + 4096]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(part), d, dtype=np.int32)), pa.array(np.concatenate(lists)[s:s + 4096]),
                          pa.array([reps[own[r]] for r in part], pa.int64()), pa.array([sizes[own[r]] for r in part], pa.int64()),
-                         pa.array([raw[r] for r in part], pa.binary()), pa.array([packed[r] for r in part], pa.binary()),
-                         pa.array([signs[own[r]] for r in part], pa.int64())],
-                        names=["d", "filter", "rep", "size", "unit", "filters", "sign"])
+                         pa.array([raw[r] for r in part], pa.binary()), pa.array(times[part], pa.int32()),
+                         pa.array([packed[r] for r in part], pa.binary()), pa.array([signs[own[r]] for r in part], pa.int64())],
+                        names=["d", "filter", "rep", "size", "vector", "n_filters", "filters", "sign"])
 
 
-DECODED_SCHEMA = "d int, filter bigint, rep bigint, size bigint, unit binary, filters binary, sign bigint"
+DECODED_SCHEMA = "d int, filter bigint, rep bigint, size bigint, vector binary, n_filters int, filters binary, sign bigint"
 FOUND_SCHEMA = "rep bigint, sign bigint, links bigint, v bigint"
 
 
@@ -163,19 +173,19 @@ def _shared_before(left: list[np.ndarray], right: list[np.ndarray], i: np.ndarra
 
 def _compare(key, rows: list[tuple], cosine: float) -> Iterator[pa.RecordBatch]:
     """One list, or one pair of its blocks: link counts of its vectors and a spanning star of its links."""
-    filter_no, lo, hi = key
+    d, filter_no, lo, hi = key
     left = [r for r in rows if r[0] == lo]
     right = left if lo == hi else [r for r in rows if r[0] == hi]
     if not left or not right or (lo == hi and len(left) < 2):
         return
-    x, y = (np.stack([np.frombuffer(r[3]) for r in side]) for side in (left, right))
+    x, y = (_units([_unpacked(r[3], d, np.float64, np.float32) for r in side]) for side in (left, right))
     linked = x @ y.T >= cosine
     if lo == hi:
         linked = np.triu(linked, 1)
     i, j = np.nonzero(linked)
     if not len(i):
         return
-    lists = [[np.frombuffer(r[4], dtype=np.int64) for r in side] for side in (left, right)]
+    lists = [[_unpacked(r[5], r[4], np.int64, np.uint32) for r in side] for side in (left, right)]
     first = ~_shared_before(lists[0], lists[1], i, j, filter_no)
     ids = [np.array([r[1] for r in side], dtype=np.int64) for side in (left, right)]
     sizes = [np.array([r[2] for r in side], dtype=np.int64) for side in (left, right)]
@@ -199,22 +209,22 @@ def _compare(key, rows: list[tuple], cosine: float) -> Iterator[pa.RecordBatch]:
     for k, side in enumerate((left,) if lo == hi else (left, right)):
         at = np.unique(np.concatenate([i, j]) if lo == hi else (i, j)[k])
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids[k][at]), pa.array([side[r][5] for r in at], pa.int64()), pa.array(totals[k][at]),
+            [pa.array(ids[k][at]), pa.array([side[r][6] for r in at], pa.int64()), pa.array(totals[k][at]),
              pa.array([root(int(v)) for v in ids[k][at]], pa.int64())], names=["rep", "sign", "links", "v"])
 
 
 def _compare_batches(batches, cosine: float) -> Iterator[pa.RecordBatch]:
-    """Rows (d, filter, lo, hi, block, rep, size, unit, filters, sign), those of one (d, filter, lo, hi) together."""
+    """Rows (d, filter, lo, hi, block, rep, size, vector, n_filters, filters, sign), those of one (d, filter, lo, hi) together."""
     key, held = None, []
     for batch in batches:
         for d, filter_no, lo, hi, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if (d, filter_no, lo, hi) != key:
                 if key is not None:
-                    yield from _compare(key[1:], held, cosine)
+                    yield from _compare(key, held, cosine)
                 key, held = (d, filter_no, lo, hi), []
             held.append(tuple(row))
     if key is not None:
-        yield from _compare(key[1:], held, cosine)
+        yield from _compare(key, held, cosine)
 
 
 def near_vectors(df: DataFrame, id_col: str = "vec_id", vector: str = "embedding", cosine: float = COSINE) -> DataFrame:
@@ -229,12 +239,13 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vector: str = "embedding
     n_vectors = 1 << max(0, classes.count() - 1).bit_length()     # a power of two: one code for tables of like size
     entries = classes.mapInArrow(lambda it: _decode_batches(it, n_vectors), DECODED_SCHEMA)
     entries = stored(entries, "filters")
-    lists = entries.groupBy("d", "filter").agg(F.count(F.lit(1)).alias("n")).where("n > 1").withColumn(
-        "blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-    block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    own = entries.join(lists, ["d", "filter"]).withColumn("block", block)
+    # only lists above BLOCK have an entry here, so the join is a small one as a rule
+    long_lists = entries.groupBy("d", "filter").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BLOCK).select(
+        "d", "filter", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    own = (entries.join(long_lists, ["d", "filter"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+           .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")))
     dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "d", "filter", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "rep", "size", "unit", "filters", "sign")
+        "d", "filter", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "rep", "size", "vector", "n_filters", "filters", "sign")
     key = ["d", "filter", "lo", "hi"]
     found = stored(dealt.repartition(*key).sortWithinPartitions(*key)
                    .mapInArrow(lambda it: _compare_batches(it, cosine), FOUND_SCHEMA), "found")
