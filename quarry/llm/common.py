@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import functools
 import uuid
 from collections.abc import Callable, Iterator
@@ -84,12 +86,21 @@ def by_volume(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Ite
 _filled: list[dict] = []
 
 
+def _give_back() -> None:
+    """Memory that this process has freed goes back to the system (Arrow's pool, and glibc's heap where there is one)."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def claim(cache: dict) -> dict:
-    """Makes ``cache`` the only filled cache of this worker process, which Spark keeps from stage to stage."""
+    """At the start of a task: makes ``cache`` the only filled cache of this worker process, which Spark keeps from
+    stage to stage, and gives back what earlier tasks have freed."""
     for other in _filled:
         if other is not cache:
             other.clear()
     _filled[:] = [cache]
+    _give_back()
     return cache
 
 

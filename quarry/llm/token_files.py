@@ -140,7 +140,7 @@ def _learn(new: list[str], known: dict[str, bytes], path: str) -> None:
 
 def encode_texts(texts: list[str | None], path: str) -> list[bytes]:
     """The ids of each whole text as little-endian unsigned 32-bit integers, without special tokens added."""
-    known = claim(_pieces.setdefault(path, {}))
+    known = _pieces.setdefault(path, {})
     split = [(_blank.split(t) if _odd_blank.search(t) else t.split()) if t else [] for t in texts]
     if len(known) > CACHED_PIECES:
         known.clear()
@@ -152,6 +152,7 @@ def encode_texts(texts: list[str | None], path: str) -> list[bytes]:
 
 
 def _write_batches(batches: Iterator[pa.RecordBatch], folder: str, path: str, end_id: int) -> Iterator[pa.RecordBatch]:
+    claim(_pieces.setdefault(path, {}))
     shard, end = TaskContext.get().partitionId(), np.array([end_id], dtype="<u4").tobytes()
     writer, name, start = None, f"{folder}/shard-{shard:06d}-{uuid.uuid4().hex}.ids.zst", 0
     held, ids, size = [], [], 0
