@@ -13,7 +13,8 @@ number, so that slight doubt about a document's domain neither drops nor doubles
 
 The classifier is a Bernoulli naive Bayes over hashed n-grams (:mod:`quarry.llm.ngrams`), fitted on at most ``FIT_ROWS`` labelled rows, on the
 features that junk or toxic text shows more often than all text, beyond chance, and at least twice as often as plain text (what marks plain
-text, its common words, would only measure length). All documents are scored and mixed; none is shuffled.
+text, its common words, would only measure length). Pairs of tokens count where they are present, and half
+(:func:`quarry.llm.ngrams.weigh_pairs`). All documents are scored and mixed; none is shuffled.
 
 Edge cases: a null or empty text has no tokens, the posteriors of a text without features and its rate like any; without labels
 everything is plain; a domain that no document has cannot be matched and stays a residual; repeated rows (same id and text) get the same
@@ -76,14 +77,18 @@ def fit_posteriors(counts: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np
             chosen |= (z >= SIGNIFICANCE) & (every - expected >= LEAST_EXPECTED) & (rate[d] >= LEAST_RATIO * rate[0])
         p = rate[:, chosen]
         absent = np.log1p(-p)
+        absent[:, np.flatnonzero(chosen) >= ngrams.TOKENS] = 0.0    # a text lacks nearly all pairs: that says nothing
         weights[:, chosen] = np.log(p) - absent
+        weights[:, chosen] -= weights[0, chosen]                     # beside plain text; unchosen features have ratio one
         base = base + absent.sum(axis=1)
+        base -= base[0]
+        weights = ngrams.weigh_pairs(weights)
     return base, weights
 
 
 def _score_batches(batches, text: str, base: np.ndarray, weights, names: list[str]) -> Iterator[pa.RecordBatch]:
     ngrams.new_task()
-    w = np.ascontiguousarray(weights.value.T)
+    w = weights.value
     for batch in by_volume(batches, text, ngrams.TEXT_PER_BATCH):
         out = np.empty((batch.num_rows, len(DOMAINS) + 1))
         for k, t in enumerate(batch.column(batch.schema.get_field_index(text)).cast(pa.binary()).to_pylist()):
@@ -106,7 +111,7 @@ def posteriors(df: DataFrame, labels: DataFrame, names: list[str], id_col: str =
     seen = {r.domain: r["count"] for r in known.groupBy("domain").count().collect()}
     rows = np.array([seen.get(d, 0) for d in range(len(DOMAINS))], dtype=np.float64)
     base, weights = fit_posteriors(counts, rows)
-    shared = df.sparkSession.sparkContext.broadcast(weights)
+    shared = df.sparkSession.sparkContext.broadcast(np.ascontiguousarray(weights.T))
     schema = T.StructType([*df.schema.fields, T.StructField(names[0], T.LongType()), *[T.StructField(n, T.DoubleType()) for n in names[1:]]])
     return df.mapInArrow(lambda it: _score_batches(it, text, base, shared, names), schema)
 

@@ -1,14 +1,16 @@
 """Hashed n-gram features of a text, for the two operators that fit generative models on them.
 
-A text's features are the distinct buckets of: its word parts (runs of letters and digits, lower-cased), their first
-five characters where they are longer, its runs of other signs, a mark for words in capitals and a mark for a word said
-five times in a row (the 5-gram ``w w w w w``). Presence is what counts, not frequency, so repeated passages and long
-texts weigh no more than others.
+A text's tokens are its word parts (runs of letters and digits) and its runs of other signs, lower-cased. Its features are the
+distinct buckets of: all tokens, all pairs of adjacent tokens of the whole text, the first five characters of longer tokens, a mark for
+words in capitals and, for each of ``ECHOES``, how many of its pairs are said again that many places on and no nearer, in powers of two (``w w w``
+says the pair ``w w`` again one place on, ``a b a b`` the pair ``a b`` two). Presence is what counts, not frequency, so repeated passages
+and long texts weigh no more than others. Pairs have buckets of their own, so that their number does not drown the tokens.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -18,21 +20,36 @@ from pyspark.sql import functions as F
 
 from .common import claim
 
-BUCKETS = 1 << 18
-SHIFT = 64 - 18
+TOKEN_BITS, PAIR_BITS = 18, 20      # tokens have the first buckets, pairs the rest: a long text has thousands of rare pairs
+TOKENS = 1 << TOKEN_BITS
+BUCKETS = TOKENS + (1 << PAIR_BITS)
+SHIFT, PAIR_SHIFT = 64 - TOKEN_BITS, 64 - PAIR_BITS
 PART = 1 << 14           # counts travel in parts of this many buckets
 STEM = 5
+ECHOES = (1, 2, 3)
+ODD = 0x9E3779B97F4A7C15      # a pair hashes to ODD * first + second
 CACHED_WORDS = 200_000
 TEXT_PER_BATCH = 4 << 20
 
 _piece = re.compile(r"\w+|[^\w\s]+")
 
 
+def _hash(feature: str) -> int:
+    return xxhash.xxh3_64_intdigest(feature)
+
+
 def bucket(feature: str) -> int:
-    return xxhash.xxh3_64_intdigest(feature) >> SHIFT
+    return _hash(feature) >> SHIFT
+
+
+def pair_bucket(first: int, second: int) -> int:
+    """Of the hashes of two adjacent tokens; orders differ."""
+    return TOKENS + (((ODD * first + second) & (1 << 64) - 1) >> PAIR_SHIFT)
 
 
-CAPITALS, FIVE_TIMES = bucket("\x00capitals"), bucket("\x00five times the same")
+CAPITALS = bucket("\x00capitals")
+#: by distance and number of binary digits of how many pairs are said again
+ECHO = {k: np.array([bucket(f"\x00echo {k} {power}") for power in range(64)]) for k in ECHOES}
 
 
 def new_task() -> None:
@@ -41,36 +58,76 @@ def new_task() -> None:
 
 
 class _Words(dict):
-    """The buckets of a white-space word; at most CACHED_WORDS are remembered."""
+    """White-space words by number; under a word's number stand the buckets inside it (``own``, up to ``ends``) and the
+    hashes of its first and last token. Between texts, more than CACHED_WORDS are forgotten."""
 
-    def __missing__(self, word: bytes) -> tuple[int, ...]:
-        found = set()
+    def __init__(self):
+        super().__init__()
+        self.clear()
+
+    def clear(self) -> None:
+        super().clear()
+        self.own, self.ends, self.first, self.last, self.blank = array("q"), array("q"), array("Q"), array("Q"), set()
+
+    def __missing__(self, word: bytes) -> int:
+        found, hashes = set(), []
         for p in _piece.findall(word.decode("utf-8", "replace")):
             low = p.lower()
-            found.add(bucket(low))
+            hashes.append(_hash(low))
+            found.add(hashes[-1] >> SHIFT)
             if len(low) > STEM:
                 found.add(bucket("\x00" + low[:STEM]))
             if len(p) > 1 and p.isupper():
                 found.add(CAPITALS)
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        value = self[word] = tuple(found)
-        return value
+        found.update(map(pair_bucket, hashes, hashes[1:]))
+        number = self[word] = len(self)
+        if not hashes:                                     # signs of white space beyond ASCII
+            self.blank.add(number)
+        self.own.extend(found)
+        self.ends.append(len(self.own))
+        self.first.append(hashes[0] if hashes else 0)
+        self.last.append(hashes[-1] if hashes else 0)
+        return number
 
 
 _words = _Words()
 
 
 def features(text: bytes | None) -> tuple[np.ndarray, int]:
-    """(distinct buckets, number of words) of a text in UTF-8."""
+    """(distinct buckets in order, number of words) of a text in UTF-8."""
     words = (text or b"").split()
-    found: set[int] = set()
-    for buckets in map(_words.__getitem__, set(words)):
-        found.update(buckets)
-    if any(a == b and a == c and words[i:i + 5] == [a] * 5
-           for i, (a, b, c) in enumerate(zip(words, words[1:], words[2:], strict=False))):
-        found.add(FIVE_TIMES)
-    return np.fromiter(found, dtype=np.int64, count=len(found)), len(words)
+    n = len(words)
+    if not n:
+        return np.empty(0, dtype=np.int64), 0
+    if len(_words) > CACHED_WORDS:
+        _words.clear()
+    at = np.fromiter(map(_words.__getitem__, words), dtype=np.int64, count=n)
+    if _words.blank:
+        at = at[~np.isin(at, list(_words.blank))]
+    ends = np.frombuffer(_words.ends, dtype=np.int64)
+    start = np.where(at > 0, ends[at - 1], 0)
+    size = ends[at] - start
+    own = np.arange(size.sum()) + np.repeat(start - np.cumsum(size) + size, size)
+    pairs = np.uint64(ODD) * np.frombuffer(_words.last, dtype=np.uint64)[at[:-1]] + np.frombuffer(_words.first, dtype=np.uint64)[at[1:]]
+    found = [np.frombuffer(_words.own, dtype=np.int64)[own], (pairs >> np.uint64(PAIR_SHIFT)).astype(np.int64) + TOKENS]
+    nearer = np.zeros(len(pairs), dtype=bool)
+    for k in ECHOES:
+        again = (pairs[k:] == pairs[:-k]) & ~nearer[k:]
+        nearer[k:] |= again
+        echoes = int(np.count_nonzero(again))
+        found.append(ECHO[k][echoes.bit_length():][:echoes > 0])
+    every = np.sort(np.concatenate(found))
+    return every[np.diff(every, prepend=-1) > 0], n
+
+
+def weigh_pairs(weights: np.ndarray) -> np.ndarray:
+    """``weights`` (buckets last) with those of the pairs centred and halved.
+
+    Centred, the pairs of a long text that meet others in their buckets add nothing on average, however many they are; halved, since
+    every token stands in two pairs, a token's pairs weigh as much as one n-gram.
+    """
+    pairs = weights[..., TOKENS:]
+    return np.concatenate([weights[..., :TOKENS], (pairs - pairs.mean(axis=-1, keepdims=True)) / 2], axis=-1)
 
 
 def label_sample(labels: DataFrame, rows: int) -> DataFrame:
@@ -115,6 +172,6 @@ def summed(counted: DataFrame, arrays: int) -> list[np.ndarray]:
     """The sums over all tasks of what :func:`count_rows` gave; ``arrays`` * BUCKETS numbers whatever the corpus."""
     n = arrays * BUCKETS // PART
     rows = {r.part: np.array(r.counts, dtype=np.int64)
-            for r in counted.repartition(n, "part").mapInArrow(_sum_parts, COUNT_SCHEMA).collect()}
+            for r in counted.repartition(-(-n // 4), "part").mapInArrow(_sum_parts, COUNT_SCHEMA).collect()}
     flat = np.concatenate([rows.get(k, np.zeros(PART, dtype=np.int64)) for k in range(n)])
     return np.split(flat, arrays)

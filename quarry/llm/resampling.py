@@ -3,7 +3,8 @@
 Two generative models over hashed n-grams (:mod:`quarry.llm.ngrams`), each feature present with its own probability: one of
 target text (labelled: good quality, not toxic), one of raw text (all documents). A text's log importance weight is the
 log ratio of its probability under the two. Only features whose two rates differ beyond chance and by a
-factor count; the rest have ratio one. Documents are then drawn without replacement by Gumbel top-k: the k largest
+factor count; the rest have ratio one. The features are tokens and all pairs of adjacent tokens; pairs weigh half
+(:func:`quarry.llm.ngrams.weigh_pairs`). Documents are then drawn without replacement by Gumbel top-k: the k largest
 of log weight / temperature + Gumbel noise, the noise a hash of id and text. ``k`` is the number of documents that weigh as much
 as all but ``miss`` of the held-out target rows, so the draw keeps target-like text and leaves the rest.
 
@@ -53,9 +54,8 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def fit_weights(raw: np.ndarray, target: np.ndarray, n_raw: int, n_target: int) -> tuple[np.ndarray, int]:
     """(weight of each present feature, weight of a text without any), as multiples of 1/SCALE."""
-    weights = np.zeros(len(raw), dtype=np.int64)
     if not n_target or not n_raw:
-        return weights, 0
+        return np.zeros(len(raw), dtype=np.int64), 0
     share = min(n_target / n_raw, 1.0)
     expected = raw * share
     z = (target - expected) / np.sqrt(np.maximum(expected * max(1 - share, 1e-9), 1e-9))
@@ -63,8 +63,9 @@ def fit_weights(raw: np.ndarray, target: np.ndarray, n_raw: int, n_target: int)
     ratio = np.log(p_target / p_raw)
     chosen = (np.abs(z) >= SIGNIFICANCE) & (expected >= LEAST_EXPECTED) & (np.abs(ratio) >= LEAST_RATIO)
     absent = np.log1p(-np.minimum(p_target[chosen], 0.999)) - np.log1p(-np.minimum(p_raw[chosen], 0.999))
-    weights[chosen] = np.rint((ratio[chosen] - absent) * SCALE).astype(np.int64)
-    return weights, int(np.rint(absent.sum() * SCALE))
+    weights = np.zeros(len(raw))
+    weights[chosen] = ratio[chosen] - absent
+    return np.rint(ngrams.weigh_pairs(weights) * SCALE).astype(np.int64), int(np.rint(absent.sum() * SCALE))
 
 
 def _weigh_batches(batches, text: str, out: str, weights, base: int) -> Iterator[pa.RecordBatch]:

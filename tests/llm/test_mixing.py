@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quarry.llm import mixing
-from tests.llm.test_resampling import LABELS, corpus
+from tests.llm.test_resampling import LABELS, corpus, ordered_corpus
 
 
 def brute_rates(tokens, p, goal, rounds=4000):
@@ -82,3 +82,10 @@ def test_odd_rows_and_tables(spark):
 def test_query_covers_all_documents(spark, sf, documents):
     got = {r.doc_id: r.n_tokens for r in mixing.op5_mixing(spark, sf).collect()}
     assert got == {d[0]: len((d[1] or "").encode().split()) for d in documents}
+
+
+def test_word_order_tells(spark):
+    rows, labels = ordered_corpus()
+    df, lab = spark.createDataFrame(rows, "doc_id long, text string, kind string"), spark.createDataFrame(labels, LABELS)
+    p = {r.kind: r.p for r in mixing.mix(df, lab).where("doc_id % 3 = 0").groupBy("kind").agg(F.avg("p_plain").alias("p")).collect()}
+    assert p["good"] > 0.75 and p["bad"] < 0.05, p          # four fifths of the labels are plain; a missing pair says nothing

@@ -93,3 +93,46 @@ def test_odd_rows_and_tables(spark):
 def test_query_covers_all_documents(spark, sf, documents):
     got = resampling.op8_quality_resampling(spark, sf).collect()
     assert sorted(r.doc_id for r in got) == sorted(d[0] for d in documents)
+
+
+def ordered_corpus(n=3000, seed=5):
+    """Good and bad texts of the same words: only their order tells."""
+    rng, rows, labels = random.Random(seed), [], []
+    vocab = [f"word{i}" for i in range(300)]
+    for i in range(n):
+        words, bad = [rng.choice(vocab) for _ in range(40)], i % 5 == 0
+        phrases = (["put", "the", "lights", "out"], ["end", "of", "it", "all"])
+        for at, phrase in zip((3, 20), phrases, strict=True):
+            words[at:at + 4] = phrase[::-1] if bad else phrase
+        rows.append((i, " ".join(words), "bad" if bad else "good"))
+        if i % 3:
+            labels.append((i, int(not bad), 0))
+    return rows, labels
+
+
+def test_word_order_tells(spark):
+    rows, labels = ordered_corpus()
+    df, lab = spark.createDataFrame(rows, "doc_id long, text string, kind string"), spark.createDataFrame(labels, LABELS)
+    got = {r.kind: r.share for r in resampling.resample(df, lab).where("doc_id % 3 = 0").groupBy("kind").agg(
+        F.avg(F.col("kept").cast("int")).alias("share")).collect()}
+    assert got["good"] > 0.97 and got["bad"] < 0.05, got
+
+
+def test_features_are_tokens_and_all_adjacent_pairs():
+    def pairs(text):
+        found = ngrams.features(text.encode())[0]
+        return set(found[found >= ngrams.TOKENS].tolist())
+
+    def expected(*tokens):
+        hashes = [ngrams._hash(t) for t in tokens]
+        return {ngrams.pair_bucket(a, b) for a, b in zip(hashes, hashes[1:], strict=False)}
+
+    assert pairs("Stop it,  now\nstop") == expected("stop", "it", ",", "now", "stop")
+    assert pairs("a \u3000 b\u00a0c (d)") == expected("a", "b", "c", "(", "d", ")")
+    assert pairs("a b") != pairs("b a") and pairs("one") == pairs("") == set()
+    for text, same in (("a b a b a b", "a b b a"), ("w w w w", "w w")):      # the same tokens, said in turns or not
+        assert len(ngrams.features(text.encode())[0]) > len(ngrams.features(same.encode())[0]), text
+    for k in range(3):                                     # whatever stands in the cache
+        ngrams._words.clear()
+        again = [ngrams.features(t.encode())[0].tolist() for t in ("x y z", "y x", "z")[k:]]
+        assert again == [ngrams.features(t.encode())[0].tolist() for t in ("x y z", "y x", "z")[k:]]
