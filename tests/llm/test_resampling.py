@@ -130,7 +130,7 @@ def test_features_are_tokens_and_all_adjacent_pairs():
     assert pairs("Stop it,  now\nstop") == expected("stop", "it", ",", "now", "stop")
     assert pairs("a \u3000 b\u00a0c (d)") == expected("a", "b", "c", "(", "d", ")")
     assert pairs("a b") != pairs("b a") and pairs("one") == pairs("") == set()
-    for text, same in (("a b a b a b", "a b b a"), ("w w w w", "w w")):      # the same tokens, said in turns or not
+    for text, same in (("a b a b a b", "a b a"), ("w w w w", "w w")):      # the same tokens and pairs, said again or not
         assert len(ngrams.features(text.encode())[0]) > len(ngrams.features(same.encode())[0]), text
     for k in range(3):                                     # whatever stands in the cache
         ngrams._words.clear()
