@@ -4,7 +4,19 @@
 library imports this subpackage.
 """
 
-from . import bpe, jaccard, lines, mixing, resampling, rules, spherical, token_files, tool_calls, url_filter  # noqa: F401
+from . import (  # noqa: F401
+    bpe,
+    jaccard,
+    lines,
+    mixing,
+    resampling,
+    rules,
+    spherical,
+    target_draw,
+    token_files,
+    tool_calls,
+    url_filter,
+)
 from .common import QUERIES, SQL
 
 
