@@ -9,6 +9,7 @@ from . import (  # noqa: F401
     jaccard,
     lines,
     mixing,
+    phrases,
     resampling,
     rules,
     spherical,
