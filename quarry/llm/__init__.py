@@ -16,6 +16,7 @@ from . import (  # noqa: F401
     target_draw,
     token_files,
     tool_calls,
+    toxic_spans,
     url_filter,
 )
 from .common import QUERIES, SQL
