@@ -16,10 +16,12 @@ rows of one id are spread by their text's hash; other columns are left out; an e
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import os
 import re
 import uuid
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,9 +54,6 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-_pieces: dict[str, dict[str, bytes]] = {}
-
-
 def _piece_ids(pieces: list[str], path: str) -> list[bytes]:
     """The ids of each piece. Pieces are encoded many at a time with a special token between them, which the tokenizer
     takes out of a text before anything else; pieces that hold it are encoded on their own."""
@@ -114,13 +113,17 @@ def _letters(path: str):
     return tokenizer, ends
 
 
-def _learn(new: list[str], known: dict[str, bytes], path: str) -> None:
-    """Adds the ids of new pieces. Pieces in Latin-1 go in lower case and without commas and full stops after a letter (tokens of their
-    own); what is then a word of letters is encoded with the other words of the batch as one text."""
+def _learn(new: list[str], path: str, known) -> list[bytes]:
+    """The ids of each piece. A piece of small Latin-1 letters, with or without commas and full stops behind (tokens of their own), goes the
+    fast way: its letters, if not among the ``known`` pieces, with those of the other pieces as one text. All others are encoded as they stand."""
     tokenizer, ends = _letters(path)
-    plain = [p for p in new if p.isascii() or max(p) <= "\xff"] if tokenizer else []
-    cores = _tail.sub("", "\n".join(plain).lower()).split("\n") if plain else []
-    words = list({c for c in cores if c not in known and c.isalpha()})
+    cores = _tail.sub("", "\n".join(new)).split("\n") if tokenizer else [""] * len(new)
+    wanted, ids_of = {c for c in cores if c.isalpha() and c.islower() and _small(c)}, {}
+    words = []
+    for c in wanted:
+        ids_of[c] = known.found(c)
+        if ids_of[c] is None:
+            words.append(c)
     for i in range(0, len(words), WORDS_PER_TEXT):
         part = words[i:i + WORDS_PER_TEXT]
         (joined,) = tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)
@@ -129,30 +132,80 @@ def _learn(new: list[str], known: dict[str, bytes], path: str) -> None:
         if len(stops) != len(part) or stops[-1] != len(ids):
             raise ValueError("the tokens of a text do not end with its words")
         raw = ids.tobytes()
-        known.update(zip(part, [raw[4 * a:4 * b] for a, b in zip([0, *stops], stops, strict=False)], strict=True))
-    tails = {p[len(c):] for p, c in zip(plain, cores, strict=True) if len(c) < len(p)}
-    rest = [p for p in {*set(new).difference(plain), *tails, *cores} if p not in known]
-    known.update(zip(rest, _piece_ids(rest, path), strict=True))
-    for p, c in zip(plain, cores, strict=True):
-        if p not in known:
-            known[p] = known[c] if len(c) == len(p) else known[c] + known[p[len(c):]]
+        ids_of.update(zip(part, [raw[4 * a:4 * b] for a, b in zip([0, *stops], stops, strict=False)], strict=True))
+    tails = {p[len(c):] for p, c in zip(new, cores, strict=True) if len(c) < len(p) and c in wanted}
+    rest = list(tails.union(p for p, c in zip(new, cores, strict=True) if c not in wanted))
+    others = dict(zip(rest, _piece_ids(rest, path), strict=True))
+    return [others[p] if c not in wanted else ids_of[c] if len(c) == len(p) else ids_of[c] + others[p[len(c):]]
+            for p, c in zip(new, cores, strict=True)]
+
+
+def _small(word: str) -> bool:
+    return word.isascii() or max(word) <= "\xff"
+
+
+def _lowered(text: str, path: str) -> str:
+    """The text in lower case where that leaves its ids as they are: in Latin-1, without anything like a special token."""
+    if _letters(path)[0] is None or "<|" in text:
+        return text
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text
+    return text.lower()
+
+
+class _Pieces(dict):
+    """Pieces by number, and the ids of all of them one after the other; ``new`` are those whose ids are still to be found."""
+
+    def __init__(self):
+        super().__init__()
+        self.clear()
+
+    def clear(self) -> None:
+        super().clear()
+        self.new, self.ids, self.ends = [], array("I"), array("q", [0])
+
+    def __missing__(self, piece: str) -> int:
+        number = self[piece] = len(self) + 1
+        self.new.append(piece)
+        return number
+
+    def found(self, piece: str) -> bytes | None:
+        """The ids of a piece, if they are known."""
+        number = self.get(piece, len(self.ends))
+        return self.ids[self.ends[number - 1]:self.ends[number]].tobytes() if number < len(self.ends) else None
+
+    def learn(self, path: str) -> None:
+        if self.new:
+            found = _learn(self.new, path, self)
+            self.ids.frombytes(b"".join(found))
+            self.ends.extend((self.ends[-1] + np.cumsum([len(f) // 4 for f in found])).tolist())
+            self.new = []
+
+
+_pieces: dict[str, _Pieces] = {}
 
 
 def encode_texts(texts: list[str | None], path: str) -> list[bytes]:
     """The ids of each whole text as little-endian unsigned 32-bit integers, without special tokens added."""
-    known = _pieces.setdefault(path, {})
-    split = [(_blank.split(t) if _odd_blank.search(t) else t.split()) if t else [] for t in texts]
+    known = _pieces.setdefault(path, _Pieces())
+    low = [_lowered(t, path) if t else "" for t in texts]
+    split = [_blank.split(t) if _odd_blank.search(t) else t.split() for t in low]
     if len(known) > CACHED_PIECES:
         known.clear()
-    known[""] = b""
-    new = [p for p in set().union(*split) if p not in known]
-    if new:
-        _learn(new, known, path)
-    return [b"".join(map(known.__getitem__, ps)) for ps in split]
+    at = np.fromiter(itertools.chain.from_iterable(map(known.__getitem__, ps) for ps in split), dtype=np.int64, count=sum(map(len, split)))
+    known.learn(path)
+    ends = np.frombuffer(known.ends, dtype=np.int64)
+    start, size = ends[at - 1], ends[at] - ends[at - 1]
+    upto = np.cumsum(size)
+    ids = np.frombuffer(known.ids, dtype=np.uint32)[np.arange(upto[-1] if len(at) else 0) + np.repeat(start - upto + size, size)].astype("<u4")
+    bounds = np.concatenate([[0], upto])[np.cumsum([0, *map(len, split)])].tolist()
+    return [ids[a:b].tobytes() for a, b in itertools.pairwise(bounds)]
 
 
 def _write_batches(batches: Iterator[pa.RecordBatch], folder: str, path: str, end_id: int) -> Iterator[pa.RecordBatch]:
-    claim(_pieces.setdefault(path, {}))
+    claim(_pieces.setdefault(path, _Pieces()))
     shard, end = TaskContext.get().partitionId(), np.array([end_id], dtype="<u4").tobytes()
     writer, name, start = None, f"{folder}/shard-{shard:06d}-{uuid.uuid4().hex}.ids.zst", 0
     held, ids, size = [], [], 0

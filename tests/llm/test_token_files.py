@@ -42,7 +42,8 @@ def run(spark, rows, folder):
 
 def test_odd_texts(spark, tmp_path, tokenizer):
     texts = ["Hello  World's end", None, "", " \n\t ", "<|endoftext|> and<|startoftext|>x", "é é Σας ΣΑΣ İ", "x" * 5000,
-             "a b c\x1cd\x85e\x0bf\x0cg", "日本語 한국어", "don't 12345 !!!", "ﬁ Å Å", "word " * 90_000, " ́x", "­ a‍b"]
+             "a b c\x1cd\x85e\x0bf\x0cg", "日本語 한국어", "don't 12345 !!!", "ﬁ Å Å", "word " * 90_000, " ́x", "­ a‍b",
+             "<|ENDOFTEXT|>", "<|EndOfText|> x", "a<|STARTOFTEXT|>b", "<|endoftext|>.", "A<|endoftext|>B,", "word., Word,. WORD... ª º µ ÿ ß,", ", . ,."]
     rows = [(7 * k, t, 0, 0) for k, t in enumerate(texts)]
     got, _ = run(spark, rows[::-1], tmp_path)
     assert got == expected([r[:2] for r in rows], tokenizer)
@@ -93,7 +94,8 @@ def test_shard_is_plain_zstandard(tmp_path):
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.text(alphabet=st.one_of(st.sampled_from("ab c.,'\n\x1c\x85\xa0éÉßµªΣİ!9"), st.characters(max_codepoint=0x24F)), max_size=60))
+@given(st.lists(st.one_of(st.sampled_from(["<|endoftext|>", "<|ENDOFTEXT|>", "<|EndOfText|>", "<|StartOfText|>", *"ab c.,'\n\x1c\x85\xa0éÉßµªΣİ!9"]),
+                         st.characters(max_codepoint=0x24F)), max_size=60).map("".join))
 def test_texts_encode_as_the_library(text):
     whole = token_files._tokenizer(PATH).encode(text, add_special_tokens=False).ids
     assert token_files.encode_texts([text], PATH) == [struct.pack(f"<{len(whole)}I", *whole)]
