@@ -15,8 +15,11 @@ their first ``n - t + 1`` (``t``: the least overlap a set of ``n`` can have with
 Candidates pass exact filters (sizes, and the popcount of two parity bitmaps, which never exceeds
 the symmetric difference) and are then verified on whole sets. To avoid all pairs of a large group of near
 copies, every list first links its members to its smallest id; the components of the verified
-links are formed; and only lists that still span several components are joined pairwise, between
-components. No link is lost: a pair that stays unverified is in one component already.
+links are formed; and only the members of lists that still span several components are looked at again, between
+components. A long list of texts that have little but a passage in common is not joined with itself: sets of similar sizes are cut by
+a hash into one part more than the elements in which two linked ones can differ (:func:`levels`), so that linked ones have a part in common as
+a whole, and members meet where such a part is the same. A part that is empty counts within one list only. No
+link is lost: a pair that stays unverified is in one component already.
 
 The shingle counts are one row of a count-min sketch of fixed width (``SKETCH`` integers, its size never grows
 with the corpus). They only set the order; any order gives the same result.
@@ -232,6 +235,50 @@ def _set_batches(batches, k: int) -> Iterator[pa.RecordBatch]:
                                          names=["rep", "members"])
 
 
+def levels(rule: Rule, n: int) -> list[tuple[int, int]]:
+    """(level, parts) of a set of ``n``. Two sets that link have a level in common and, at the lower set's, fewer different elements than parts.
+
+    Levels are ranges of sizes such that a set's larger partners are in its own level or the next; a set counts at its own and the one below.
+    """
+    number, low = 0, 1
+    while n > rule.den * low // rule.num:
+        number, low = number + 1, rule.den * low // rule.num + 1
+    out = []
+    for level, least in ((number, low), (number - 1, None)):
+        if level < 0:
+            continue
+        if least is None:                                  # the level below: its largest size is one less than this level's least
+            most = low - 1
+        else:
+            most = rule.den * low // rule.num
+        differ = (rule.den - rule.num) * (most + rule.den * most // rule.num) // (rule.den + rule.num)
+        out.append((level, differ + 1))
+    return out
+
+
+def _parts(s: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
+    """(keys of the parts of a set, keys of those that are empty), at each of its levels."""
+    full, empty = [], []
+    for level, parts in levels(rule, len(s)):
+        seed = np.uint64((level * 0x9E3779B97F4A7C15 + 0xD1B54A32D192ED03) & (1 << 64) - 1)
+        mixed = _mixed(s ^ seed)
+        place = ((mixed >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(place, kind="stable")
+        there, start = np.unique(place[order], return_index=True)
+        sums = np.add.reduceat(_mixed(mixed[order] + PLACES[0]), start)
+        full.append(_mixed(sums ^ _mixed(there.astype(np.uint64) + seed)))
+        gone = np.setdiff1d(np.arange(parts), there)
+        empty.append(_mixed(_mixed(gone.astype(np.uint64) + seed) + PLACES[1]))
+    return np.concatenate(full), np.concatenate(empty)
+
+
+def _part_batches(batches, rule: Rule) -> Iterator[pa.RecordBatch]:
+    for ids, texts in _texts(batches):
+        found = [_parts(shingles(t, rule.words), rule) for t in texts]
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), _lists([f for f, _ in found]), _lists([e for _, e in found])],
+                                         names=["rep", "full", "empty"])
+
+
 def _differ_little(rule: Rule, differ: F.Column) -> F.Column:
     """As the common part is num/den of the union at least, the sets differ in at most (den-num)/(den+num) of both sizes."""
     return differ * (rule.den + rule.num) <= (rule.den - rule.num) * (F.col("n_a") + F.col("n_b"))
@@ -305,13 +352,21 @@ def near_components(df: DataFrame, id_col: str = "doc_id", text: str = "text", r
     placed = (met.select("key", F.col("b").alias("rep")).join(grown.withColumnRenamed("node", "rep"), "rep", "left")
               .withColumn("component", F.coalesce("component", "rep")))
     spans = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    open_lists = stored(placed.join(spans.select("key"), "key", "left_semi")
-                        .join(classes.select("rep", "n", "folded"), "rep"), "open-lists")
+    open_lists = stored(placed.join(spans.select("key"), "key", "left_semi"), "open-lists")
+    places = open_lists.select("rep", "component").distinct()
+    parts = stored(docs.join(places.select(F.col("rep").alias("id")), "id", "left_semi")
+                   .mapInArrow(lambda it: _part_batches(it, rule), "rep bigint, full array<bigint>, empty array<bigint>"), "parts")
+    empty = parts.select("rep", F.explode("empty").alias("part")).distinct().join(open_lists.select("rep", "key"), "rep") \
+        .select("rep", F.xxhash64("key", "part").alias("part"))
+    members = stored(parts.select("rep", F.explode("full").alias("part")).union(empty).distinct().join(places, "rep"), "part-members")
+    shared = members.groupBy("part").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+    again = stored(members.join(shared.select("part"), "part", "left_semi")
+                   .join(classes.select("rep", "n", "folded"), "rep"), "shared-parts")
 
     def end(x):
-        return open_lists.select("key", *[F.col(c).alias(f"{c}_{x}" if c != "rep" else x) for c in ("rep", "component", "n", "folded")])
+        return again.select("part", *[F.col(c).alias(f"{c}_{x}" if c != "rep" else x) for c in ("rep", "component", "n", "folded")])
 
-    across = (end("a").join(end("b"), "key")
+    across = (end("a").join(end("b"), "part")
               .where((F.col("a") < F.col("b")) & (F.col("component_a") != F.col("component_b")) & _may_link(rule))
               .select("a", "b").distinct())
     second = _verified(plausible(across), docs, rule)

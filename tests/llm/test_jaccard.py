@@ -1,14 +1,17 @@
 """Operator 10 against brute force over all pairs."""
 
+import itertools
 import random
 import re
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from quarry.llm import jaccard
 from quarry.llm.components import components
+from quarry.llm.jaccard import Rule
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -104,3 +107,53 @@ def test_components_are_the_smallest_reachable(spark, links):
 def test_components_of_a_long_chain(spark):
     links = spark.range(1, 400).selectExpr("id AS u", "id - 1 AS v")
     assert components(links).where("component = 0").count() == 400
+
+
+@pytest.mark.parametrize("rule", [Rule(5, 80, 100), Rule(4, 85, 100), Rule(1, 50, 100)])
+def test_linked_sets_have_a_part_in_common(rule):
+    rng = np.random.default_rng(4)
+    for _ in range(1500):
+        n = int(rng.integers(1, 120))
+        a = rng.integers(0, 1 << 63, n).astype(np.uint64)
+        cut, more = rng.integers(0, n // 3 + 1), rng.integers(0, n // 3 + 1)
+        a, b = np.unique(a), np.unique(np.concatenate([a[cut:], rng.integers(0, 1 << 63, more).astype(np.uint64)]))
+        common = len(np.intersect1d(a, b))
+        if len(b) and rule.den * common >= rule.num * (len(a) + len(b) - common):
+            (fa, ea), (fb, eb) = jaccard._parts(a, rule), jaccard._parts(b, rule)
+            assert len(np.intersect1d(fa, fb)) + len(np.intersect1d(ea, eb)), (len(a), len(b), common)
+
+
+def test_levels_hold_all_partners():
+    for rule in (Rule(5, 80, 100), Rule(4, 85, 100), Rule(1, 50, 100)):
+        for n in range(1, 400):
+            for m in range(n, rule.den * n // rule.num + 1):
+                low, high = dict(jaccard.levels(rule, n)), dict(jaccard.levels(rule, m))
+                common = max(k for k in low if k in high)
+                least = -(-rule.num * (n + m) // (rule.num + rule.den))      # overlap of a link
+                assert n + m - 2 * least < low[common] == high[common]
+
+
+def test_texts_around_one_passage(spark):
+    """Many texts that share only a passage, near copies among them: components equal those of all pairs."""
+    rng = random.Random(8)
+    passage = " ".join(f"p{i}" for i in range(40))
+    rows = []
+    for i in range(250):
+        own = " ".join(f"w{rng.randint(0, 10**6)}" for _ in range(rng.randint(0, 60)))
+        for k in range(rng.choice((1, 1, 1, 3))):
+            rows.append((len(rows), f"{own} {passage} tail{k % 2} {' '.join(f'x{rng.randint(0, 10**6)}' for _ in range(k))}"))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    rule = Rule(4, 85, 100)
+    sets = {i: set(jaccard.shingles(t.encode(), 4).tolist()) for i, t in rows}
+    group = {i: i for i in sets}
+
+    def top(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+    for i, j in itertools.combinations(sets, 2):
+        common = len(sets[i] & sets[j])
+        if 100 * common >= 85 * (len(sets[i]) + len(sets[j]) - common):
+            a, b = sorted((top(i), top(j)))
+            group[b] = a
+    assert {r.doc_id: r.component_id for r in jaccard.near_components(df, rule=rule).collect()} == {i: top(i) for i in sets}
