@@ -7,9 +7,9 @@ tokens of the domains, E_d = sum(rate * tokens * posterior_d), match the targets
     rate <- max(0, rate - posterior . step),   step = G^-1 (E - target),   G = sum(tokens * posterior posterior^T)
 
 (the gradient of the residual weighted by G^-1, in the metric of the tokens, for which the step length 1 is the reciprocal of the largest
-curvature). Every iteration is one aggregation over a small table of posteriors; the driver holds three numbers. A rate
-becomes a whole number of copies, its fraction decided by a hash of the document; a rate within ``NEAR_WHOLE`` of a whole number is that
-number, so that slight doubt about a document's domain neither drops nor doubles it.
+curvature), with momentum that starts anew when the weighted loss rises. Every step is a job over the stored posteriors that goes
+through the steps so far; the driver holds three numbers. A rate becomes a whole number of copies, its fraction decided by a hash of the document, so
+expected copies are the rates.
 
 The classifier is a Bernoulli naive Bayes over hashed n-grams (:mod:`quarry.llm.ngrams`), fitted on at most ``FIT_ROWS`` labelled rows, on the
 features that junk or toxic text shows more often than all text, beyond chance, and at least twice as often as plain text (what marks plain
@@ -40,9 +40,9 @@ FIT_ROWS = 20_000
 SIGNIFICANCE = 4.5
 LEAST_EXPECTED = 3.0
 LEAST_RATIO = 2.0        # of a feature's rates in a domain and in plain text
-ITERATIONS = 40
-NEAR_WHOLE = 0.02
-TOLERANCE = 1e-7         # of all tokens
+ITERATIONS = 120
+PATIENCE, TOLERANCE = 5, 1e-3
+LEAST_LOSS = 1e-13       # of all tokens
 
 
 def _domain() -> Column:
@@ -51,7 +51,7 @@ def _domain() -> Column:
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ngrams.new_task()
-    counts = np.zeros((len(DOMAINS), ngrams.BUCKETS), dtype=np.int64)
+    counts = np.zeros((len(DOMAINS), ngrams.BUCKETS), dtype=np.int32)
     for batch in by_volume(batches, "text", ngrams.TEXT_PER_BATCH):
         for text, domain in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist(), strict=True):
             counts[domain, ngrams.features(text)[0]] += 1
@@ -94,7 +94,8 @@ def _score_batches(batches, text: str, base: np.ndarray, weights, names: list[st
         for k, t in enumerate(batch.column(batch.schema.get_field_index(text)).cast(pa.binary()).to_pylist()):
             found, n = ngrams.features(t)
             found.sort()                                   # sums in one order
-            s = base + w[found].sum(axis=0)
+            s = base.copy()
+            s[1:] += w[found].sum(axis=0)
             e = np.exp(s - s.max())
             out[k, 0], out[k, 1:] = n, e / e.sum()
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out[:, 0].astype(np.int64)), *map(pa.array, out[:, 1:].T)],
@@ -111,26 +112,46 @@ def posteriors(df: DataFrame, labels: DataFrame, names: list[str], id_col: str =
     seen = {r.domain: r["count"] for r in known.groupBy("domain").count().collect()}
     rows = np.array([seen.get(d, 0) for d in range(len(DOMAINS))], dtype=np.float64)
     base, weights = fit_posteriors(counts, rows)
-    shared = df.sparkSession.sparkContext.broadcast(np.ascontiguousarray(weights.T))
+    shared = df.sparkSession.sparkContext.broadcast(np.ascontiguousarray(weights[1:].T))      # those of plain text are 0
     schema = T.StructType([*df.schema.fields, T.StructField(names[0], T.LongType()), *[T.StructField(n, T.DoubleType()) for n in names[1:]]])
     return df.mapInArrow(lambda it: _score_batches(it, text, base, shared, names), schema)
 
 
-def _rate(steps: list[np.ndarray], shares: list[str]) -> Column:
-    """The rate after the steps, from 1."""
-    rate = F.lit(1.0)
+def _rate(steps: list[tuple[np.ndarray, float]], shares: list[str]) -> Column:
+    """The rate after the steps (step, momentum), from 1, as a column."""
     if not steps:
-        return rate
-    taken = F.array(*[F.array(*[F.lit(float(x)) for x in s]) for s in steps])
-    return F.aggregate(taken, rate, lambda r, s: F.greatest(
-        F.lit(0.0), r - sum((s[d] * F.col(n) for d, n in enumerate(shares)), F.lit(0.0))))
+        return F.lit(1.0)
+    taken = F.array(*[F.struct(F.array(*[F.lit(float(x)) for x in s]).alias("s"), F.lit(float(m)).alias("m")) for s, m in steps])
+
+    def move(state, step):
+        moved = state["now"] + step["m"] * (state["now"] - state["last"]) - sum((step["s"][d] * F.col(n) for d, n in enumerate(shares)), F.lit(0.0))
+        return F.struct(F.greatest(F.lit(0.0), moved).alias("now"), state["now"].alias("last"))
+    return F.aggregate(taken, F.struct(F.lit(1.0).alias("now"), F.lit(1.0).alias("last")), move, lambda state: state["now"])
+
+
+def rates(p: np.ndarray, steps: list[tuple[np.ndarray, float]]) -> np.ndarray:
+    """The same for an array of posteriors."""
+    now = last = np.ones(len(p))
+    for s, m in steps:
+        now, last = np.maximum(0.0, now + m * (now - last) - p @ s), now
+    return now
+
+
+def _expected(batches: Iterator[pa.RecordBatch], steps: list) -> Iterator[pa.RecordBatch]:
+    """The expected tokens of each domain after the steps, over a task's rows (tokens, posteriors)."""
+    total = np.zeros(len(DOMAINS))
+    for batch in batches:
+        tokens, *p = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+        p = np.column_stack(p)
+        total += (rates(p, steps) * tokens) @ p
+    yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], names=["total"])
 
 
 def fit_rates(scored: DataFrame, tokens: str, shares: list[str], targets: dict[str, float]) -> Column:
     """The rate column that matches the targets over ``scored``.
 
     The targets are weights; their total is such that the plain domain keeps its expected tokens (or, where it has no weight, all
-    tokens are kept).
+    tokens are kept). Stops when the last ``PATIENCE`` steps together have lowered the weighted loss by less than ``TOLERANCE`` of it.
     """
     t = F.col(tokens)
     sums = scored.agg(F.sum(t), *[F.sum(t * F.col(a)) for a in shares], *[F.sum(t * F.col(a) * F.col(b)) for a in shares for b in shares]).first()
@@ -139,16 +160,25 @@ def fit_rates(scored: DataFrame, tokens: str, shares: list[str], targets: dict[s
     weights = np.array([targets[d] for d in DOMAINS], dtype=np.float64)
     weights /= weights.sum()
     goal = weights * (now[0] / weights[0] if weights[0] > 0 and now[0] > 0 else total)
-    inverse, steps, before = np.linalg.pinv(gram, rcond=1e-9), [], np.inf
-    while total and len(steps) < ITERATIONS:
-        residual = now - goal
-        size = float(np.abs(residual).sum())
-        if size <= TOLERANCE * total or size >= before * (1 - 1e-4):
+    inverse = np.linalg.pinv(gram, rcond=1e-9)
+    rows = scored.select(t.cast("double"), *shares)
+
+    def loss(expected: np.ndarray) -> float:
+        return float((expected - goal) @ inverse @ (expected - goal))
+    steps: list[tuple[np.ndarray, float]] = []
+    before, speed, losses = now, 1.0, [loss(now)]
+    while total and len(steps) < ITERATIONS and losses[-1] > LEAST_LOSS * total:
+        if len(losses) > PATIENCE and losses[-1 - PATIENCE] - losses[-1] <= TOLERANCE * losses[-1]:
             break
-        before = size
-        steps.append(inverse @ residual)
-        rate = _rate(steps, shares)
-        now = np.array([x or 0.0 for x in scored.agg(*[F.sum(rate * t * F.col(a)) for a in shares]).first()])
+        faster = (1 + np.sqrt(1 + 4 * speed * speed)) / 2
+        momentum = (speed - 1) / faster
+        ahead = now + momentum * (now - before)            # the expectation is linear in the rates
+        steps.append((inverse @ (ahead - goal), momentum))
+        parts = rows.mapInArrow(lambda it, taken=list(steps): _expected(it, taken), "total array<double>").collect()   # a row a task
+        before, now, speed = now, np.sum([r.total for r in parts], axis=0), faster
+        losses.append(loss(now))
+        if losses[-1] > losses[-2]:
+            speed = 1.0                                    # momentum starts anew
     return _rate(steps, shares)
 
 
@@ -164,8 +194,7 @@ def mix(df: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, i
     scored = posteriors(df, labels, scores, id_col, text, fit_rows).withColumn(luck, F.xxhash64(F.col(id_col), F.col(text), F.lit(55)))
     scored = stored(scored if keep_text else scored.drop(text), "scored")
     uniform = (F.shiftrightunsigned(F.col(luck), 11) + 0.5) / F.lit(float(1 << 53))
-    whole = F.rint(rate)
-    drawn = F.when(F.abs(F.col(rate) - whole) <= NEAR_WHOLE, whole).otherwise(F.floor(F.col(rate) + uniform))
+    drawn = F.floor(F.col(rate) + uniform)
     return (scored.withColumn(rate, fit_rates(scored, scores[0], scores[1:], targets))
             .withColumn(copies, drawn.cast("long")).drop(luck))
 

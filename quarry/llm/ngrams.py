@@ -28,14 +28,16 @@ PART = 1 << 14           # counts travel in parts of this many buckets
 STEM = 5
 ECHOES = (1, 2, 3)
 ODD = 0x9E3779B97F4A7C15      # a pair hashes to ODD * first + second
-CACHED_WORDS = 200_000
+NONE = -1
+CACHED_TOKENS = 250_000
 TEXT_PER_BATCH = 4 << 20
 
 _piece = re.compile(r"\w+|[^\w\s]+")
+_digest = xxhash.xxh3_64_intdigest
 
 
 def _hash(feature: str) -> int:
-    return xxhash.xxh3_64_intdigest(feature)
+    return _digest(feature)
 
 
 def bucket(feature: str) -> int:
@@ -54,62 +56,56 @@ ECHO = {k: np.array([bucket(f"\x00echo {k} {power}") for power in range(64)]) fo
 
 def new_task() -> None:
     """At the start of a task: other operators' caches go."""
-    claim(_words)
+    claim(_tokens)
 
 
-class _Words(dict):
-    """White-space words by number; under a word's number stand the buckets inside it (``own``, up to ``ends``) and the
-    hashes of its first and last token. Between texts, more than CACHED_WORDS are forgotten."""
+class _Tokens(dict):
+    """Tokens as they stand in texts, by number; under a number stand the token's hash in lower case, its bucket, its stem's (NONE if it has
+    none) and whether it is in capitals. Between texts, more than CACHED_TOKENS are forgotten."""
 
     def __init__(self):
         super().__init__()
+        self.stems = _Stems()
         self.clear()
 
     def clear(self) -> None:
         super().clear()
-        self.own, self.ends, self.first, self.last, self.blank = array("q"), array("q"), array("Q"), array("Q"), set()
-
-    def __missing__(self, word: bytes) -> int:
-        found, hashes = set(), []
-        for p in _piece.findall(word.decode("utf-8", "replace")):
-            low = p.lower()
-            hashes.append(_hash(low))
-            found.add(hashes[-1] >> SHIFT)
-            if len(low) > STEM:
-                found.add(bucket("\x00" + low[:STEM]))
-            if len(p) > 1 and p.isupper():
-                found.add(CAPITALS)
-        found.update(map(pair_bucket, hashes, hashes[1:]))
-        number = self[word] = len(self)
-        if not hashes:                                     # signs of white space beyond ASCII
-            self.blank.add(number)
-        self.own.extend(found)
-        self.ends.append(len(self.own))
-        self.first.append(hashes[0] if hashes else 0)
-        self.last.append(hashes[-1] if hashes else 0)
+        self.stems.clear()
+        self.hashes, self.stem, self.capitals = array("Q"), array("i"), array("b")
+
+    def __missing__(self, token: str) -> int:
+        low = token.lower()
+        number = self[token] = len(self)
+        self.hashes.append(_digest(low))
+        self.stem.append(self.stems[low[:STEM]] if len(low) > STEM else NONE)
+        self.capitals.append(len(token) > 1 and token.isupper())
         return number
 
 
-_words = _Words()
+class _Stems(dict):
+    def __missing__(self, stem: str) -> int:
+        found = self[stem] = bucket("\x00" + stem)
+        return found
+
+
+_tokens = _Tokens()
 
 
 def features(text: bytes | None) -> tuple[np.ndarray, int]:
     """(distinct buckets in order, number of words) of a text in UTF-8."""
-    words = (text or b"").split()
-    n = len(words)
-    if not n:
-        return np.empty(0, dtype=np.int64), 0
-    if len(_words) > CACHED_WORDS:
-        _words.clear()
-    at = np.fromiter(map(_words.__getitem__, words), dtype=np.int64, count=n)
-    if _words.blank:
-        at = at[~np.isin(at, list(_words.blank))]
-    ends = np.frombuffer(_words.ends, dtype=np.int64)
-    start = np.where(at > 0, ends[at - 1], 0)
-    size = ends[at] - start
-    own = np.arange(size.sum()) + np.repeat(start - np.cumsum(size) + size, size)
-    pairs = np.uint64(ODD) * np.frombuffer(_words.last, dtype=np.uint64)[at[:-1]] + np.frombuffer(_words.first, dtype=np.uint64)[at[1:]]
-    found = [np.frombuffer(_words.own, dtype=np.int64)[own], (pairs >> np.uint64(PAIR_SHIFT)).astype(np.int64) + TOKENS]
+    n = len((text or b"").split())
+    tokens = _piece.findall(text.decode("utf-8", "replace")) if n else []
+    if not tokens:
+        return np.empty(0, dtype=np.int64), n
+    if len(_tokens) > CACHED_TOKENS:
+        _tokens.clear()
+    at = np.fromiter(map(_tokens.__getitem__, tokens), dtype=np.int64, count=len(tokens))
+    hashes, stems = np.frombuffer(_tokens.hashes, dtype=np.uint64)[at], np.frombuffer(_tokens.stem, dtype=np.int32)[at]
+    pairs = np.uint64(ODD) * hashes[:-1] + hashes[1:]
+    found = [(hashes >> np.uint64(SHIFT)).astype(np.int64), stems[stems != NONE].astype(np.int64),
+             (pairs >> np.uint64(PAIR_SHIFT)).astype(np.int64) + TOKENS]
+    if np.frombuffer(_tokens.capitals, dtype=np.int8)[at].any():
+        found.append([CAPITALS])
     nearer = np.zeros(len(pairs), dtype=bool)
     for k in ECHOES:
         again = (pairs[k:] == pairs[:-k]) & ~nearer[k:]
@@ -145,7 +141,7 @@ def label_sample(labels: DataFrame, rows: int) -> DataFrame:
 
 def count_rows(arrays: list[np.ndarray]) -> pa.RecordBatch:
     """Arrays of BUCKETS counts, stacked, in parts: (part, counts)."""
-    flat = np.concatenate(arrays)
+    flat = np.concatenate(arrays, dtype=np.int64)
     parts = [flat[i:i + PART] for i in range(0, len(flat), PART)]
     return pa.RecordBatch.from_arrays(
         [pa.array(range(len(parts)), pa.int32()),

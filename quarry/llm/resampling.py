@@ -42,7 +42,7 @@ BINS = 4096
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ngrams.new_task()
-    raw, target = np.zeros(ngrams.BUCKETS, dtype=np.int64), np.zeros(ngrams.BUCKETS, dtype=np.int64)
+    raw, target = np.zeros(ngrams.BUCKETS, dtype=np.int32), np.zeros(ngrams.BUCKETS, dtype=np.int32)
     for batch in by_volume(batches, "text", ngrams.TEXT_PER_BATCH):
         for text, is_target in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist(), strict=True):
             found, _ = ngrams.features(text)
@@ -75,14 +75,14 @@ def _weigh_batches(batches, text: str, out: str, weights, base: int) -> Iterator
         values = []
         for t in batch.column(batch.schema.get_field_index(text)).cast(pa.binary()).to_pylist():
             found, n = ngrams.features(t)
-            values.append((base + int(w[found].sum())) / SCALE if n else None)
+            values.append((base + int(w[found].sum(dtype=np.int64))) / SCALE if n else None)
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, pa.float64())],
                                          names=[*batch.schema.names, out])
 
 
 def log_weights(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text",
                 out: str = "log_weight", fit_rows: int = FIT_ROWS) -> DataFrame:
-    """``df`` with its log importance weights in ``out``."""
+    """``df`` with its log importance weights in ``out``, which it must not have."""
     sample = ngrams.label_sample(labels, fit_rows)
     known = df.select(F.col(text).alias("text"), F.col(id_col).alias("own_id")).join(
         F.broadcast(sample), F.col("own_id") == F.col("label_id"), "left")   # at most fit_rows rows
@@ -91,10 +91,9 @@ def log_weights(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text:
     raw, target = ngrams.summed(rows.mapInArrow(_count_batches, ngrams.COUNT_SCHEMA), 2)
     n_raw, n_target = rows.agg(F.count(F.lit(1)), F.count_if("is_target")).first()
     weights, base = fit_weights(raw, target, n_raw, n_target)
-    shared = df.sparkSession.sparkContext.broadcast(weights)
-    plain = df.drop(out) if out in df.columns else df
-    schema = T.StructType([*plain.schema.fields, T.StructField(out, T.DoubleType())])
-    return plain.mapInArrow(lambda it: _weigh_batches(it, text, out, shared, base), schema)
+    shared = df.sparkSession.sparkContext.broadcast(weights.astype(np.int32))     # far below 2**31: logarithms times SCALE
+    schema = T.StructType([*df.schema.fields, T.StructField(out, T.DoubleType())])
+    return df.mapInArrow(lambda it: _weigh_batches(it, text, out, shared, base), schema)
 
 
 def kth_largest(df: DataFrame, key: str, k: int) -> float | None:
@@ -130,8 +129,8 @@ def gumbel(*columns) -> F.Column:
 def resample(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text",
              kept: str = "kept", weight: str = "log_weight", temperature: float = TEMPERATURE, miss: float = MISS,
              fit_rows: int = FIT_ROWS, keep_text: bool = True) -> DataFrame:
-    """``df`` with ``weight`` and ``kept`` (drawn); the texts are left out unless ``keep_text``."""
-    key = fresh(df, "draw_key")
+    """``df`` with ``weight`` and ``kept`` (drawn), under fresh names where ``df`` has them; the texts are left out unless ``keep_text``."""
+    weight, kept, key = fresh(df, weight), fresh(df, kept), fresh(df, "draw_key")
     weighed = log_weights(df, labels, id_col, text, weight, fit_rows)
     keyed = weighed.withColumn(key, F.col(weight) / temperature + gumbel(F.col(id_col), F.col(text)))
     keyed = stored(keyed if keep_text else keyed.drop(text), "weighed")
@@ -141,7 +140,7 @@ def resample(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
     drawable = keyed.where(F.col(key).isNotNull()).select(key, weight)
     k = drawable.count() if least is None else drawable.where(F.col(weight) >= least).count()
     cut = kth_largest(drawable, key, k)
-    return keyed.drop(kept).withColumn(
+    return keyed.withColumn(
         kept, F.coalesce(F.col(key) >= F.lit(cut), F.lit(False)) if cut is not None else F.lit(False)).drop(key)
 
 

@@ -82,12 +82,15 @@ def test_odd_rows_and_tables(spark):
     rows = [(1, "a b", *rest), (1, "a b", *rest), (2, None, *rest), (3, "", *rest), (4, " \n", *rest), (None, "c", *rest),
             (5, "x" * 300_000, *rest)]
     got = resampling.resample(spark.createDataFrame(rows, schema), lab)
-    assert got.columns == ["doc_id", "text", "label_id", "quality", "holdout", "draw_key", "log_weight", "kept"]
-    assert sorted((str(r.doc_id), r.kept, r.log_weight, r.draw_key) for r in got.collect()) == sorted(
+    assert got.columns == ["doc_id", "text", "label_id", "quality", "holdout", "kept", "draw_key", "log_weight", "_kept"]
+    assert {r.kept for r in got.collect()} == {"k"}
+    assert sorted((str(r.doc_id), r["_kept"], r.log_weight, r.draw_key) for r in got.collect()) == sorted(
         [("1", True, 0.0, 9)] * 2 + [("2", False, None, 9), ("3", False, None, 9), ("4", False, None, 9), ("None", True, 0.0, 9),
                                      ("5", True, 0.0, 9)])
     assert resampling.resample(spark.createDataFrame([], schema), lab).count() == 0
-    assert resampling.resample(spark.createDataFrame(rows, schema), spark.createDataFrame([], LABELS)).where("kept").count() == 4
+    assert resampling.resample(spark.createDataFrame(rows, schema), spark.createDataFrame([], LABELS)).where("_kept").count() == 4
+    other_case = resampling.resample(spark.createDataFrame([(1, "a", 2.0)], "doc_id long, text string, LOG_WEIGHT double"), lab)
+    assert other_case.columns == ["doc_id", "text", "LOG_WEIGHT", "_log_weight", "kept"] and other_case.first().LOG_WEIGHT == 2.0
 
 
 def test_query_covers_all_documents(spark, sf, documents):
@@ -133,6 +136,6 @@ def test_features_are_tokens_and_all_adjacent_pairs():
     for text, same in (("a b a b a b", "a b a"), ("w w w w", "w w")):      # the same tokens and pairs, said again or not
         assert len(ngrams.features(text.encode())[0]) > len(ngrams.features(same.encode())[0]), text
     for k in range(3):                                     # whatever stands in the cache
-        ngrams._words.clear()
+        ngrams._tokens.clear()
         again = [ngrams.features(t.encode())[0].tolist() for t in ("x y z", "y x", "z")[k:]]
         assert again == [ngrams.features(t.encode())[0].tolist() for t in ("x y z", "y x", "z")[k:]]
