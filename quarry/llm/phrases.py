@@ -43,9 +43,9 @@ UNKNOWN = "und"
 
 STEPS = (500_000, 60_000, 0)         # scores; the last must be 0
 WORD_BITS, PAIR_BITS = 20, 22
-TEXT_PER_BLOCK = 6 << 20
-CACHED_WORDS = 400_000
-HELD = 1_000_000                     # distinct phrases a task holds before it gives them on
+TEXT_PER_BLOCK = 4 << 20
+CACHED_WORDS = 250_000               # of all languages, kept from block to block
+HELD = 400_000                       # distinct words a task holds before it gives them on
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 BREAK = b"\xff"                      # not a byte of UTF-8
@@ -94,7 +94,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = held.setdefault(lang, Counter())
         counts.update(tokens)
         counts.pop(BREAK, None)
-        if sum(map(len, held.values())) > HELD // 2:
+        if sum(map(len, held.values())) > HELD:
             for one, found in held.items():
                 yield _rows(one, 1, list(found), list(found.values()))
             held.clear()
@@ -161,38 +161,16 @@ class _Words(dict):
         return number
 
 
-class _Held:
-    """Counts of distinct rows of numbers that each fit 64 bits, merged now and then."""
-
-    def __init__(self):
-        self.parts, self.size = [], 0
-
-    def add(self, keys: np.ndarray) -> None:
-        self.parts.append(np.unique(keys, return_counts=True))
-        self.size += len(self.parts[-1][0])
-        if self.size > 2 * HELD:
-            self.parts, self.size = [self.merged()], 0
-            self.size = len(self.parts[0][0])
-
-    def merged(self) -> tuple[np.ndarray, np.ndarray]:
-        if not self.parts:
-            return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
-        keys, at = np.unique(np.concatenate([k for k, _ in self.parts]), return_inverse=True)
-        sums = np.zeros(len(keys), dtype=np.int64)
-        np.add.at(sums, at, np.concatenate([c for _, c in self.parts]))
-        return keys, sums
-
-
 def _scan(batches: Iterator[pa.RecordBatch], found_in) -> Iterator[pa.RecordBatch]:
-    """Partial counts: ``found_in(words, ids, hashes)`` gives (size, matrix of word numbers) of the occurrences that a block has."""
+    """Partial counts: ``found_in(ids, hashes)`` gives (size, word numbers by place) of the occurrences that a block has."""
     claim({})
     known: dict[str, _Words] = {}
     for lang, tokens in _by_lang(batches):
-        words = known.get(lang)
-        if words is None or len(words) > CACHED_WORDS:
-            if words is None and len(known) > 16:
-                known.clear()
-            words = known[lang] = _Words(lang)
+        if sum(map(len, known.values())) > CACHED_WORDS:
+            known.clear()
+        if lang not in known:
+            known[lang] = _Words(lang)
+        words = known[lang]
         ids = np.fromiter(map(words.__getitem__, tokens), dtype=np.int64, count=len(tokens))
         hashes = np.array(words.hashes, dtype=np.uint64)[ids]
         hashes[ids == 0] = 0
