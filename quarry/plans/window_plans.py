@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import ordering as O
+from ..operators import slices as S
 from ..operators import windows as W
 from ..sources.fixtures import FLIGHTS_SQL, POSITIONS_SQL, flights, positions, retail, retail_sql, retail_variants
 from ..sources.tables import read_table
@@ -32,8 +33,8 @@ def _day_frame(spark, sf, *extra):
 def window_running(spark, sf):
     """Running sum and max per (customer, day), quantity descending."""
     r = _day_frame(spark, sf)
-    out = W.running_totals(r, ["o_custkey", "date"], [F.desc("l_quantity")],
-                           W.desc_bucket("l_quantity", spread=16), "l_quantity", descending=True)
+    out = S.running(r, ["o_custkey", "date"], [F.desc("l_quantity")],
+                    [("sum", "l_quantity", "running_sum"), ("max", "l_quantity", "running_max")])
     return out.select("o_custkey", "date", "l_quantity", "running_sum", "running_max")
 
 
@@ -45,8 +46,7 @@ def window_running(spark, sf):
 def window_extra_cols(spark, sf):
     """Window result beside columns outside the partition key (total order by tie-breakers)."""
     r = _day_frame(spark, sf, "l_orderkey", "l_partkey")
-    out = W.running_totals(r, ["o_custkey", "date"], [F.desc("l_quantity"), "l_orderkey", "l_partkey"],
-                           W.desc_bucket("l_quantity", "l_orderkey"), "l_quantity", descending=True)
+    out = S.running(r, ["o_custkey", "date"], [F.desc("l_quantity"), "l_orderkey", "l_partkey"], [("sum", "l_quantity", "running_sum")])
     return out.select("o_custkey", "date", "l_orderkey", "l_partkey", "l_quantity", "running_sum")
 
 
@@ -57,7 +57,7 @@ def window_range(spark, sf):
     """Value-range frame -3..0 on a descending key: quantities in [q, q + 3] of the same day."""
     r = retail(spark, sf, "l_orderkey", "l_partkey", "l_shipdate", "l_quantity").withColumn(
         "date", F.to_date("l_shipdate")).drop("l_shipdate")
-    out = W.range_frame_sum(r, ["date"], "l_quantity", "l_quantity", -3, 0, descending=True)
+    out = S.range_frame_sum(r, ["date"], "l_quantity", "l_quantity", -3, 0, descending=True)
     return out.select("l_orderkey", "l_partkey", "date", "l_quantity", "range_sum")
 
 
@@ -70,9 +70,8 @@ def window_range(spark, sf):
 def window_multi(spark, sf):
     """Two different windows in one result."""
     r = _day_frame(spark, sf, "l_orderkey", "l_partkey")
-    run = W.running_totals(r, ["o_custkey", "date"], [F.desc("l_quantity"), "l_orderkey", "l_partkey"],
-                           W.desc_bucket("l_quantity", "l_orderkey"), "l_quantity", descending=True)
-    both = W.range_frame_sum(run, ["date"], "l_quantity", "l_quantity", -3, 0, descending=True)
+    run = S.running(r, ["o_custkey", "date"], [F.desc("l_quantity"), "l_orderkey", "l_partkey"], [("sum", "l_quantity", "running_sum")])
+    both = S.range_frame_sum(run, ["date"], "l_quantity", "l_quantity", -3, 0, descending=True)
     return both.select("l_orderkey", "l_partkey", "o_custkey", "date", "l_quantity", "running_sum", "range_sum")
 
 
@@ -100,9 +99,8 @@ def window_plain(spark, sf):
 def row_number(spark, sf):
     """Position in the window (unique tie-breakers make it deterministic)."""
     r = _day_frame(spark, sf, "l_orderkey", "l_partkey")
-    out = W.row_numbers(r, ["o_custkey", "date"], [F.desc("l_quantity"), "l_orderkey", "l_partkey"],
-                        W.desc_bucket("l_quantity", "l_orderkey"), descending=True)
-    return out.select("o_custkey", "date", "l_orderkey", "l_partkey", "l_quantity", "row_number")
+    out = S.running(r, ["o_custkey", "date"], [F.desc("l_quantity"), "l_orderkey", "l_partkey"], [("count", None, "row_number")])
+    return out.withColumn("row_number", F.col("row_number").cast("int")).select("o_custkey", "date", "l_orderkey", "l_partkey", "l_quantity", "row_number")
 
 
 @plan("customer_row_number", sql=_r("l_orderkey", "l_partkey", "o_custkey", "l_quantity") +
@@ -111,9 +109,8 @@ def row_number(spark, sf):
 def customer_row_number(spark, sf):
     """Position within the customer alone; the missing customer holds a tenth of all rows and is spread."""
     r = retail(spark, sf, "l_orderkey", "l_partkey", "o_custkey", "l_quantity")
-    out = W.row_numbers(r, ["o_custkey"], [F.desc("l_quantity"), "l_orderkey", "l_partkey"],
-                        W.desc_bucket("l_quantity", "l_orderkey"), descending=True)
-    return out.select("o_custkey", "l_orderkey", "l_partkey", "l_quantity", "row_number")
+    out = S.running(r, ["o_custkey"], [F.desc("l_quantity"), "l_orderkey", "l_partkey"], [("count", None, "row_number")])
+    return out.withColumn("row_number", F.col("row_number").cast("int")).select("o_custkey", "l_orderkey", "l_partkey", "l_quantity", "row_number")
 
 
 @plan("customer_ranks", sql=_r("o_custkey", "l_quantity") +
@@ -175,10 +172,18 @@ def sort_nulls_first(spark, sf):
     return O.sort(p, F.asc_nulls_first("size2"))
 
 
-@plan("sort_within_partitions", sql=f"SELECT * FROM {FL_}")
+def _steps_back(df, order, *columns):
+    """The rows with whether they lie before their predecessor in the partition, by ``order`` (a struct column)."""
+    place = F.monotonically_increasing_id()
+    placed = df.select(*columns, order.alias("o"), F.spark_partition_id().alias("p"), place.alias("i"))
+    return placed.withColumn("back", F.coalesce(F.col("o") < F.lag("o").over(Window.partitionBy("p").orderBy("i")), F.lit(False))).drop("o", "p", "i")
+
+
+@plan("sort_within_partitions", sql=f"SELECT *, false AS back FROM {FL_}")
 def sort_within_partitions(spark, sf):
-    """Each partition sorted, no shuffle (same rows)."""
-    return O.sort_within_partitions(flights(spark, sf), "cnt")
+    """Each partition sorted, no shuffle: all rows, none of them smaller than the row before it in its partition."""
+    columns = ("origin", "dest", "cnt")
+    return _steps_back(O.sort_within_partitions(flights(spark, sf), "cnt"), F.struct("cnt"), *columns)
 
 
 @plan("limit_n", sql=f"SELECT * FROM {FL_} ORDER BY dest, origin LIMIT 5")
@@ -193,10 +198,13 @@ def top_k(spark, sf):
     return O.top_k(flights(spark, sf), 10, F.desc("cnt"), "dest", "origin")
 
 
-@plan("secondary_sort", sql=f"SELECT mmsi, ts FROM ({POSITIONS_SQL})")
+@plan("secondary_sort", sql=f"SELECT mmsi, count(*) AS n_records, 1 AS n_partitions, 0 AS n_back FROM ({POSITIONS_SQL}) GROUP BY mmsi")
 def secondary_sort(spark, sf):
-    """Records co-located and ordered by (vessel, time) (same rows)."""
-    return O.secondary_sort(positions(spark, sf).select("mmsi", "ts"), "mmsi", ["ts"])
+    """Records co-located and ordered by (vessel, time): per vessel its records, the partitions that hold them and steps back in them."""
+    found = O.secondary_sort(positions(spark, sf).select("mmsi", "ts"), "mmsi", ["ts"])
+    back = _steps_back(found, F.struct("mmsi", "ts"), "mmsi", F.spark_partition_id().alias("part"))
+    return back.groupBy("mmsi").agg(F.count(F.lit(1)).alias("n_records"), F.countDistinct("part").cast("int").alias("n_partitions"),
+                                    F.count_if("back").cast("int").alias("n_back"))
 
 
 # --- set operations and sampling -------------------------------------------------
