@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def sort(df: DataFrame, *order: Column | str) -> DataFrame:
@@ -83,3 +87,25 @@ def hash_split(df: DataFrame, weights: Sequence[float], id_cols: Sequence[str],
         bounds.append((lo, acc))
     bounds[-1] = (bounds[-1][0], 1.0 + 1e-9)
     return [df.where((u >= F.lit(lo)) & (u < F.lit(hi))) for lo, hi in bounds]
+
+
+def mark_steps_back(df: DataFrame, columns: Sequence[str], name: str = "back") -> DataFrame:
+    """``df`` with ``name``: whether a row lies before its predecessor in its partition by ``columns`` ascending, nulls first. Partitions stay as they are."""
+    columns = list(columns)
+
+    def run(batches):
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            here = pa.Table.from_batches([batch]).select(columns)
+            before = pa.concat_tables([last if last is not None else here.slice(0, 1), here.slice(0, here.num_rows - 1)])
+            back, same = np.zeros(here.num_rows, dtype=bool), np.ones(here.num_rows, dtype=bool)
+            for c in columns:
+                now, prior = here.column(c), before.column(c)
+                no_now, no_prior = now.is_null().to_numpy(), prior.is_null().to_numpy()
+                back |= same & (pc.fill_null(pc.less(now, prior), False).to_numpy() | no_now & ~no_prior)
+                same &= pc.fill_null(pc.equal(now, prior), False).to_numpy() | no_now & no_prior
+            last = here.slice(here.num_rows - 1)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(back)], names=[*batch.schema.names, name])
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(name, T.BooleanType())]))

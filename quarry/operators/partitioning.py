@@ -10,7 +10,7 @@ from __future__ import annotations
 import contextlib
 import itertools
 import subprocess
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -146,3 +146,15 @@ def pipe_partitions(df: DataFrame, column: str, command: list[str]) -> DataFrame
             raise RuntimeError(f"{command} failed with exit code {proc.returncode}")
 
     return df.select(F.col(column).cast("string")).mapInArrow(run, "line string")
+
+
+def map_partitions(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[tuple]], schema: str) -> DataFrame:
+    """``fn`` over the iterator of a partition's Arrow batches, once a partition, empty ones included; the tuples that it yields are the result's rows."""
+    fields = T._parse_datatype_string(schema)
+    arrow = to_arrow_schema(fields)
+
+    def run(batches):
+        rows = fn(batches)
+        while part := list(itertools.islice(rows, 10_000)):
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*part, strict=True), arrow, strict=True)], schema=arrow)
+    return df.mapInArrow(run, fields)

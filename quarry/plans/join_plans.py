@@ -8,6 +8,7 @@ from ..operators import joins as J
 from ..operators import keyvalue as KV
 from ..sources.fixtures import LETTERS_SQL, WORDS_SQL, WS, letters, words
 from ..sources.tables import read_table
+from ..streaming.cogroup import cogroup_streams as streams
 from .registry import plan
 
 WD_ = f"({WORDS_SQL})"
@@ -78,6 +79,26 @@ def cogroup(spark, sf):
     return J.cogroup_lists(a, b, "key", "n", "n")
 
 
+@plan("cogroup_streams", sql=(
+    "WITH f AS (SELECT o_custkey, count(*) AS n_finished, max(o_totalprice) AS largest FROM orders WHERE o_orderstatus = 'F' GROUP BY 1) "
+    "SELECT o.o_custkey, o_orderkey, CAST(row_number() OVER (PARTITION BY o.o_custkey ORDER BY o_orderkey) AS BIGINT) AS place, "
+    "coalesce(n_finished, 0) AS n_finished, o_totalprice > largest AS above_finished "
+    "FROM orders o LEFT JOIN f ON f.o_custkey = o.o_custkey WHERE o_orderstatus = 'O'"))
+def cogroup_streams(spark, sf):
+    """Per customer, the stream of finished orders and that of open ones, handed to user code: every open order beside what the finished ones showed."""
+    def beside(key, finished, open_orders):
+        n, largest = 0, None
+        for row in finished:
+            n, largest = n + 1, row["o_totalprice"] if largest is None else max(largest, row["o_totalprice"])
+        for place, row in enumerate(open_orders, 1):
+            yield (*key, row["o_orderkey"], place, n, None if largest is None else row["o_totalprice"] > largest)
+
+    orders = read_table(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    finished, open_orders = (orders.where(F.col("o_orderstatus") == s).drop("o_orderstatus") for s in "FO")
+    return streams(finished, open_orders, ["o_custkey"], beside, "o_custkey long, o_orderkey long, place long, n_finished long, above_finished boolean",
+                   ["o_orderkey"], ["o_orderkey"])
+
+
 BENCH_WORDS = (f"(SELECT word, count(*) AS freq FROM (SELECT unnest(regexp_split_to_array(text, '{WS}')) AS word "
                "FROM benchmark) WHERE length(word) > 0 GROUP BY word)")
 

@@ -6,10 +6,12 @@ the layout (e.g. "every key lies in exactly one partition") next to the rows.
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..fixed import PARTITION_TAG_SEPARATOR
 from ..operators import partitioning as R
+from ..operators import slices as S
 from ..sources.fixtures import FLIGHTS_SQL, POSITIONS_SQL, WORDS_SQL, flights, positions, retail, retail_sql, words
 from .registry import plan
 
@@ -27,16 +29,21 @@ def num_partitions(spark, sf):
     return fl.select(F.spark_partition_id().alias("pid")).distinct().agg(F.count(F.lit(1)).alias("n_partitions"))
 
 
-@plan("repartition_n", sql=f"SELECT * FROM {FL_}")
+@plan("repartition_n", sql=_r("l_orderkey") + "SELECT count(*) AS n_rows, 5 AS n_partitions, true AS even FROM retail")
 def repartition_n(spark, sf):
-    """Round-robin into 5 partitions (same rows)."""
-    return R.repartition_n(flights(spark, sf), 5)
+    """Round-robin into 5 partitions: all rows, five partitions, each within a fifth of its even share."""
+    sizes = R.with_partition_id(R.repartition_n(retail(spark, sf, "l_orderkey"), 5)).groupBy("pid").agg(F.count(F.lit(1)).alias("n"))
+    share = F.sum("n") / 5
+    return sizes.agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).cast("int").alias("n_partitions"),
+                     ((F.min("n") >= 0.8 * share) & (F.max("n") <= 1.2 * share)).alias("even"))
 
 
-@plan("repartition_expr", sql=f"SELECT * FROM {FL_}")
+@plan("repartition_expr", sql=f"SELECT cnt % 10 AS bucket, count(*) AS n_rows, 1 AS n_partitions FROM {FL_} GROUP BY 1")
 def repartition_expr(spark, sf):
-    """Hash partition by an expression, default partition count (same rows)."""
-    return R.repartition_by(flights(spark, sf), F.col("cnt") % 10)
+    """Hash partition by an expression, default partition count: the rows of each value, all in one partition."""
+    fl = R.with_partition_id(R.repartition_by(flights(spark, sf), F.col("cnt") % 10))
+    return fl.groupBy((F.col("cnt") % 10).alias("bucket")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("pid").cast("int").alias("n_partitions"))
 
 
 @plan("repartition_n_expr", sql=f"SELECT cnt % 10 AS bucket, 1 AS n_partitions FROM {FL_} GROUP BY 1")
@@ -47,10 +54,13 @@ def repartition_n_expr(spark, sf):
         "n_partitions", F.col("n_partitions").cast("int"))
 
 
-@plan("coalesce_n", sql=f"SELECT * FROM {FL_}")
+@plan("coalesce_n", sql=_r("l_orderkey") + "SELECT count(*) AS n_rows, 2 AS n_partitions, 0 AS torn FROM retail")
 def coalesce_n(spark, sf):
-    """Merge 8 partitions into 2 without a full shuffle (same rows)."""
-    return R.coalesce_n(R.repartition_n(flights(spark, sf), 8), 2)
+    """Merge 8 partitions into 2 without a full shuffle: all rows, two partitions, and none of the eight torn apart."""
+    eight = R.with_partition_id(R.repartition_n(retail(spark, sf, "l_orderkey"), 8), "was")
+    moved = R.with_partition_id(R.coalesce_n(eight, 2)).groupBy("was").agg(F.count(F.lit(1)).alias("n"), F.collect_set("pid").alias("pids"))
+    return moved.agg(F.sum("n").alias("n_rows"), F.size(F.array_distinct(F.flatten(F.collect_list("pids")))).alias("n_partitions"),
+                     F.count_if(F.size("pids") > 1).cast("int").alias("torn"))
 
 
 @plan("nonempty_partitions", sql=f"SELECT count(DISTINCT cnt % 10) AS n_values, true AS at_most_a_partition_each FROM {FL_}")
@@ -77,6 +87,18 @@ def partition_range(spark, sf):
     return R.key_partition_spread(r, "o_custkey").withColumn("n_partitions", F.col("n_partitions").cast("int"))
 
 
+@plan("partition_range_balanced", sql=_r("o_custkey") + "SELECT count(*) AS n_rows, true AS in_order, true AS balanced FROM retail")
+def partition_range_balanced(spark, sf):
+    """Range partitioning by (customer, order, part) into 10, the sampled bounds cutting through the hot customer: every partition's
+    last customer is at or before the next one's first, and none holds more than twice its even share."""
+    cut = S.ordered_slices(retail(spark, sf, "o_custkey", "l_orderkey", "l_partkey"), ["o_custkey"], ["l_orderkey", "l_partkey"], 10)
+    first, last = F.struct(F.coalesce("o_custkey", F.lit(-1.0)).alias("k")), F.struct(F.coalesce("o_custkey", F.lit(-1.0)).alias("k"))
+    parts = cut.groupBy("_r_slice").agg(F.min(first).alias("lo"), F.max(last).alias("hi"), F.count(F.lit(1)).alias("n"))
+    after = F.lead("lo").over(Window.orderBy("_r_slice"))          # a row a partition
+    return parts.withColumn("fits", F.coalesce(F.col("hi") <= after, F.lit(True))).agg(
+        F.sum("n").alias("n_rows"), F.bool_and("fits").alias("in_order"), (F.max("n") <= 2 * F.sum("n") / 10).alias("balanced"))
+
+
 @plan("partition_custom", sql=_r("l_orderkey", "l_partkey", "o_custkey") +
       "SELECT o_custkey IS NULL AS is_hot, CASE WHEN o_custkey IS NULL THEN 0 ELSE 3 END AS min_pid, "
       "CASE WHEN o_custkey IS NULL THEN 2 ELSE 4 END AS max_pid, count(*) AS n FROM retail GROUP BY 1")
@@ -99,8 +121,10 @@ def partition_subkey(spark, sf):
 
 @plan("map_partitions", sql=f"SELECT count(*) AS n FROM ({WORDS_SQL})")
 def map_partitions(spark, sf):
-    """Records counted inside each partition, then summed."""
-    return R.partition_counts(words(spark, sf)).agg(F.sum("n").alias("n"))
+    """A function over each partition's iterator of records, here one that counts them; its results summed."""
+    def count(batches):
+        yield (sum(b.num_rows for b in batches),)
+    return R.map_partitions(words(spark, sf), count, "n long").agg(F.sum("n").alias("n"))
 
 
 @plan("map_partitions_index", sql=f"SELECT word, true AS numbered FROM ({WORDS_SQL})")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..functions import udfs as U
+from ..operators import merging as M
 from ..operators import nulls as N
 from ..operators import udaf
 from ..sources.fixtures import retail, retail_sql, retail_variants
@@ -124,6 +125,15 @@ def udaf_rows(spark, sf):
     return out.select("n_name", F.round("weighted_avg", 6).alias("weighted_avg"))
 
 
+@plan("udaf_merged_top", sql=_r("l_orderkey", "l_partkey", "l_quantity", "n_name") +
+      "SELECT n_name, list(l_quantity || '|' || l_orderkey || '|' || l_partkey ORDER BY l_quantity DESC, l_orderkey, l_partkey)[1:5] AS top "
+      "FROM retail GROUP BY n_name")
+def udaf_merged_top(spark, sf):
+    """A user aggregate with an opaque state and its own merge, in three levels: per country the five largest line items."""
+    r = retail(spark, sf, "l_orderkey", "l_partkey", "l_quantity", "n_name")
+    return M.merge_aggregate(r, ["n_name"], M.TopK(5, "l_quantity", "l_orderkey", "l_partkey"), "top", depth=3)
+
+
 @plan("udaf_typed", sql=_r("l_quantity", "n_name") +
       "SELECT n_name, round(avg(l_quantity), 6) AS avg_qty, round(avg(l_quantity), 6) AS user_mean "
       "FROM retail GROUP BY n_name")

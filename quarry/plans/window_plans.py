@@ -129,7 +129,7 @@ def customer_ranks(spark, sf):
 def rank(spark, sf):
     """Rank with gaps."""
     r = _day_frame(spark, sf)
-    return W.ranks(r, ["o_custkey", "date"], "l_quantity", descending=True).select(
+    return W.ranks_spread(r, ["o_custkey", "date"], "l_quantity", W.desc_bucket("l_quantity"), descending=True).select(
         "o_custkey", "date", "l_quantity", "rank")
 
 
@@ -139,8 +139,8 @@ def rank(spark, sf):
 def dense_rank(spark, sf):
     """Rank without gaps."""
     r = _day_frame(spark, sf)
-    return W.ranks(r, ["o_custkey", "date"], "l_quantity", descending=True).select(
-        "o_custkey", "date", "l_quantity", F.col("dense_rank").cast("int").alias("dense_rank"))
+    return W.ranks_spread(r, ["o_custkey", "date"], "l_quantity", W.desc_bucket("l_quantity"), descending=True).select(
+        "o_custkey", "date", "l_quantity", "dense_rank")
 
 
 # --- sorting --------------------------------------------------------------------
@@ -172,18 +172,10 @@ def sort_nulls_first(spark, sf):
     return O.sort(p, F.asc_nulls_first("size2"))
 
 
-def _steps_back(df, order, *columns):
-    """The rows with whether they lie before their predecessor in the partition, by ``order`` (a struct column)."""
-    place = F.monotonically_increasing_id()
-    placed = df.select(*columns, order.alias("o"), F.spark_partition_id().alias("p"), place.alias("i"))
-    return placed.withColumn("back", F.coalesce(F.col("o") < F.lag("o").over(Window.partitionBy("p").orderBy("i")), F.lit(False))).drop("o", "p", "i")
-
-
 @plan("sort_within_partitions", sql=f"SELECT *, false AS back FROM {FL_}")
 def sort_within_partitions(spark, sf):
     """Each partition sorted, no shuffle: all rows, none of them smaller than the row before it in its partition."""
-    columns = ("origin", "dest", "cnt")
-    return _steps_back(O.sort_within_partitions(flights(spark, sf), "cnt"), F.struct("cnt"), *columns)
+    return O.mark_steps_back(O.sort_within_partitions(flights(spark, sf), "cnt"), ["cnt"])
 
 
 @plan("limit_n", sql=f"SELECT * FROM {FL_} ORDER BY dest, origin LIMIT 5")
@@ -202,7 +194,7 @@ def top_k(spark, sf):
 def secondary_sort(spark, sf):
     """Records co-located and ordered by (vessel, time): per vessel its records, the partitions that hold them and steps back in them."""
     found = O.secondary_sort(positions(spark, sf).select("mmsi", "ts"), "mmsi", ["ts"])
-    back = _steps_back(found, F.struct("mmsi", "ts"), "mmsi", F.spark_partition_id().alias("part"))
+    back = O.mark_steps_back(found, ["mmsi", "ts"]).withColumn("part", F.spark_partition_id())
     return back.groupBy("mmsi").agg(F.count(F.lit(1)).alias("n_records"), F.countDistinct("part").cast("int").alias("n_partitions"),
                                     F.count_if("back").cast("int").alias("n_back"))
 
