@@ -2,7 +2,8 @@
 
 A line's spread is the number of distinct sites it stands on. One HyperLogLog sketch per line hash,
 merged by partial aggregation, estimates it; lines whose estimate lies within three standard errors
-of the threshold get an exact distinct count. A line on ``min_sites`` sites or more is
+of the threshold get an exact distinct count. A line on as many sites as its length asks for (``SITES``: a long line
+that repeats on a few sites is no accident, a short one may be) is
 boilerplate: it stays at its first place (smallest id, then line number) and goes everywhere else.
 
 Scale: the texts are read twice and shuffled once (to meet their line numbers to drop, and not at
@@ -10,62 +11,70 @@ all while those fit Spark's broadcast limit); what the statistics shuffle is
 a fixed few bytes a line. A hot line is aggregated before its shuffle, and meets its verdict in
 a sort-merge join that AQE may split.
 
-Edge cases: lines are trimmed of ASCII white space before comparison; lines of fewer than
-``min_words`` words are never dropped; a null text has no lines and stays null; a null site counts
+Edge cases: lines are trimmed of ASCII white space before comparison; lines without a word are never dropped; a null text has no lines and stays null; a null site counts
 as no site; rows with the same id and text count once and get the same result; a null id is
 ordered first. Other columns pass through.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import fresh, query, stored, table
 
-MIN_SITES = 10
-MIN_WORDS = 3
+SITES = ((40, 5), (12, 10), (1, 15))     # (least characters of a trimmed line, sites from which it is boilerplate)
 LG_K = 10                         # 2^10 registers: 3.3 % standard error once the sketch is dense
 STANDARD_ERROR = 1.04 / 2 ** (LG_K / 2)
 BLANKS = " \t\n\x0b\x0c\r"
-#: from its start, a line of at least ``n`` words (possessive: one pass whatever the length)
-HAS_WORDS = r"^[\x20\x09-\x0D]*+(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]++){%d}[^\x20\x09-\x0D]"
 
 
-def line_places(df: DataFrame, id_col: str, text: str, site: str, min_words: int) -> DataFrame:
-    """One row per line that can be boilerplate: (id, text_hash, site, line_no, line)."""
+def sites_needed(line: Column, sites: Sequence[tuple[int, int]] = SITES) -> Column:
+    """The sites from which a trimmed line is boilerplate, by its length; null for one shorter than all of ``sites``."""
+    rules = sorted(sites, reverse=True)
+    found = F.when(F.length(line) >= rules[0][0], F.lit(rules[0][1]))
+    for chars, n in rules[1:]:
+        found = found.when(F.length(line) >= chars, F.lit(n))
+    return found
+
+
+def line_places(df: DataFrame, id_col: str, text: str, site: str, sites: Sequence[tuple[int, int]] = SITES) -> DataFrame:
+    """One row per line that can be boilerplate: (id, text_hash, site, line_no, line, need)."""
     return (df.where(F.col(text).isNotNull())
             .select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), F.col(site).alias("site"),
                     F.posexplode(F.split(text, "\n")).alias("line_no", "content"))
-            .where(F.col("content").rlike(HAS_WORDS % (min_words - 1)))
-            .select("id", "text_hash", "site", "line_no",
-                    F.xxhash64(F.btrim("content", F.lit(BLANKS))).alias("line")))
+            .withColumn("content", F.btrim("content", F.lit(BLANKS)))
+            .select("id", "text_hash", "site", "line_no", F.xxhash64("content").alias("line"),
+                    sites_needed(F.col("content"), sites).cast("int").alias("need"))
+            .where("need IS NOT NULL"))
 
 
-def boilerplate(places: DataFrame, min_sites: int) -> DataFrame:
-    """The lines on at least ``min_sites`` sites, each with its first place."""
-    spread = places.groupBy("line").agg(
+def boilerplate(places: DataFrame) -> DataFrame:
+    """The lines on at least as many sites as they need, each with its first place."""
+    spread = places.groupBy("line", "need").agg(
         F.hll_sketch_agg("site", F.lit(LG_K)).alias("sketch"),
         F.min(F.struct("id", "text_hash", "line_no")).alias("first"))
-    lines = stored(spread.select("line", "first", F.hll_sketch_estimate("sketch").alias("sites"))
-                   .where(F.col("sites") >= min_sites * (1 - 3 * STANDARD_ERROR)), "line-spread")
-    sure = F.col("sites") > min_sites * (1 + 3 * STANDARD_ERROR)
+    lines = stored(spread.select("line", "need", "first", F.hll_sketch_estimate("sketch").alias("sites"))
+                   .where(F.col("sites") >= F.col("need") * (1 - 3 * STANDARD_ERROR)), "line-spread")
+    sure = F.col("sites") > F.col("need") * (1 + 3 * STANDARD_ERROR)
     near = lines.where(~sure)
     exact = (places.join(near.select("line"), "line", "left_semi")
-             .select("line", "site").distinct()
-             .groupBy("line").agg(F.count("site").alias("exact_sites"))
-             .where(F.col("exact_sites") >= min_sites))
+             .select("line", "need", "site").distinct()
+             .groupBy("line", "need").agg(F.count("site").alias("exact_sites"))
+             .where(F.col("exact_sites") >= F.col("need")))
     return (lines.where(sure).select("line", "first")
             .unionByName(near.join(exact, "line", "left_semi").select("line", "first")))
 
 
 def dedup_lines(df: DataFrame, id_col: str = "doc_id", text: str = "text", site: str = "source",
-                min_sites: int = MIN_SITES, min_words: int = MIN_WORDS,
+                min_sites: int | None = None, sites: Sequence[tuple[int, int]] = SITES,
                 removed: str = "n_removed") -> DataFrame:
-    """``df`` with boilerplate lines cut from ``text``, and ``removed``, the number of lines cut."""
-    places = stored(line_places(df, id_col, text, site, min_words), "line-places")
-    bad = boilerplate(places, min_sites)
-    drop = (places.join(bad, "line")
+    """``df`` with boilerplate lines cut from ``text``, and ``removed``, the number of lines cut. ``min_sites``: one threshold for all lengths."""
+    places = stored(line_places(df, id_col, text, site, sites if min_sites is None else ((1, min_sites),)), "line-places")
+    bad = boilerplate(places)
+    drop = (places.drop("need").join(bad, "line")
             .where(F.struct("id", "text_hash", "line_no") != F.col("first"))
             .groupBy("id", "text_hash").agg(F.collect_set("line_no").alias("drop")))
     names = {c: fresh(df, c) for c in ("id", "text_hash", "drop")}
@@ -83,15 +92,14 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text: str = "text", site:
         F.coalesce(F.size(F.coalesce(cut, F.array().cast("array<int>"))), F.lit(0)).cast("long").alias(removed))
 
 
-OP3_SQL = f"""
+OP3_SQL = """
 WITH lines AS (
     SELECT doc_id, source, k AS line_no, content, trim(content, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS line
     FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS content,
                  generate_subscripts(string_split(text, chr(10)), 1) AS k FROM documents)
 ), bad AS (
     SELECT line, min((doc_id, line_no)) AS first FROM lines
-    WHERE regexp_matches(content, '^[\\x20\\x09-\\x0D]*([^\\x20\\x09-\\x0D]+[\\x20\\x09-\\x0D]+){{{MIN_WORDS - 1}}}[^\\x20\\x09-\\x0D]')
-    GROUP BY line HAVING count(DISTINCT source) >= {MIN_SITES}
+    WHERE line <> '' GROUP BY line HAVING count(DISTINCT source) >= CASE WHEN length(line) >= 40 THEN 5 WHEN length(line) >= 12 THEN 10 ELSE 15 END
 ), marked AS (
     SELECT doc_id, line_no, content, bad.line IS NOT NULL AND (doc_id, line_no) <> bad.first AS gone
     FROM lines LEFT JOIN bad USING (line)

@@ -10,12 +10,19 @@ from tools.oracle_check import digest
 NAV = "home about contact us"
 
 
-def brute(rows, min_sites, min_words=3):
+BLANKS = " \t\n\x0b\x0c\r"
+
+
+def needed(line):
+    return 5 if len(line) >= 40 else 10 if len(line) >= 12 else 15
+
+
+def brute(rows, min_sites=None):
     sites, first = defaultdict(set), {}
     for i, text, site in rows:
         for k, ln in enumerate((text or "").split("\n")):
-            if text is not None and len(ln.split(" ")) >= min_words:
-                key = ln.strip(" ")
+            key = ln.strip(BLANKS)
+            if key:
                 if site is not None:
                     sites[key].add(site)
                 first[key] = min(first.get(key, (i, k)), (i, k))
@@ -24,8 +31,8 @@ def brute(rows, min_sites, min_words=3):
         if text is None:
             out.append((i, None, 0))
             continue
-        keep = [ln for k, ln in enumerate(text.split("\n"))
-                if len(sites[ln.strip(" ")]) < min_sites or first[ln.strip(" ")] == (i, k)]
+        keep = [ln for k, ln in enumerate(text.split("\n")) if not (key := ln.strip(BLANKS))
+                or len(sites[key]) < (min_sites or needed(key)) or first[key] == (i, k)]
         out.append((i, "\n".join(keep), len(text.split("\n")) - len(keep)))
     return sorted(out)
 
@@ -78,3 +85,20 @@ def test_query_equals_sql(spark, sf_dir):
     assert df.where("n_removed > 0").count() > 0
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_sites_by_length(spark):
+    """Long lines are boilerplate on few sites, short ones on many; none is exempt."""
+    rows, i = [], 0
+    for line, sites in (("a long line that stands on five sites of many", 5), ("another long line that stands on four sites only", 4),
+                        ("ten sites ok", 10), ("nine sites..", 9), ("Menu", 15), ("Top", 14)):
+        for k in range(sites):
+            rows.append((i, f"own text {i}\n {line}\t", f"s{k}"))
+            i += 1
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    cut = {r.doc_id for r in lines.dedup_lines(df).where("n_removed = 1").collect()}
+    first, want = 0, set()
+    for n, bad in ((5, True), (4, False), (10, True), (9, False), (15, True), (14, False)):
+        want |= set(range(first + 1, first + n)) if bad else set()
+        first += n
+    assert cut == want

@@ -56,7 +56,7 @@ def test_quality_equals_brute_force(spark, steps):
 
 def test_lines_equal_brute_force(steps):
     before, after = steps[1], steps[2]
-    expect = {i: t for i, t, n in lines_brute(list(zip(before.doc_id, before.text, before.source, strict=True)), lines.MIN_SITES)
+    expect = {i: t for i, t, n in lines_brute(list(zip(before.doc_id, before.text, before.source, strict=True)))
               if n == 0 or t.split()}
     assert dict(zip(after.doc_id, after.text, strict=True)) == expect
     assert (after.n_chars == after.text.str.len()).all()
