@@ -147,11 +147,13 @@ def _expected(batches: Iterator[pa.RecordBatch], steps: list) -> Iterator[pa.Rec
     yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], names=["total"])
 
 
-def fit_rates(scored: DataFrame, tokens: str, shares: list[str], targets: dict[str, float]) -> Column:
+def fit_rates(scored: DataFrame, tokens: str, shares: list[str], targets: dict[str, float], plain_once: bool = False) -> Column:
     """The rate column that matches the targets over ``scored``.
 
     The targets are weights; their total is such that the plain domain keeps its expected tokens (or, where it has no weight, all
-    tokens are kept). Stops when the last ``PATIENCE`` steps together have lowered the weighted loss by less than ``TOLERANCE`` of it.
+    tokens are kept). With ``plain_once`` the rates are then divided by that of a wholly plain document: the shares of the domains stay as
+    fitted, and plain documents are not repeated to make up for those that go.
+    Stops when the last ``PATIENCE`` steps together have lowered the weighted loss by less than ``TOLERANCE`` of it.
     """
     t = F.col(tokens)
     sums = scored.agg(F.sum(t), *[F.sum(t * F.col(a)) for a in shares], *[F.sum(t * F.col(a) * F.col(b)) for a in shares for b in shares]).first()
@@ -179,11 +181,12 @@ def fit_rates(scored: DataFrame, tokens: str, shares: list[str], targets: dict[s
         losses.append(loss(now))
         if losses[-1] > losses[-2]:
             speed = 1.0                                    # momentum starts anew
-    return _rate(steps, shares)
+    plain = float(rates(np.eye(1, len(DOMAINS)), steps)[0]) if plain_once else 1.0
+    return _rate(steps, shares) / F.lit(plain or 1.0)
 
 
 def mix(df: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, id_col: str = "doc_id", text: str = "text",
-        fit_rows: int = FIT_ROWS, keep_text: bool = True) -> DataFrame:
+        fit_rows: int = FIT_ROWS, keep_text: bool = True, plain_once: bool = False) -> DataFrame:
     """``df`` with n_tokens, p_plain, p_junk, p_toxic, ``rate`` and ``n_copies`` (under fresh names where ``df`` has them)."""
     plain = df
     names = []
@@ -195,7 +198,7 @@ def mix(df: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, i
     scored = stored(scored if keep_text else scored.drop(text), "scored")
     uniform = (F.shiftrightunsigned(F.col(luck), 11) + 0.5) / F.lit(float(1 << 53))
     drawn = F.floor(F.col(rate) + uniform)
-    return (scored.withColumn(rate, fit_rates(scored, scores[0], scores[1:], targets))
+    return (scored.withColumn(rate, fit_rates(scored, scores[0], scores[1:], targets, plain_once))
             .withColumn(copies, drawn.cast("long")).drop(luck))
 
 
