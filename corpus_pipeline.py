@@ -6,7 +6,8 @@ and reads it back as the next stage's documents. All stages but the last return
 * ``quality``: importance resampling against the labels; documents that are not drawn go.
 * ``lines``: boilerplate lines go from all documents but their first; a document left without a word goes.
 * ``near_duplicates``: of each group of near duplicates (five-word shingles, Jaccard 0.8), the smallest id stays.
-* ``mixing``: documents get the rates that bring low-quality and toxic text down to its target; each stands there as often as its copies.
+* ``mixing``: documents get the rates that bring low-quality and toxic text down to its share, wholly plain ones 1; each stands there as often
+  as its copies.
 * ``encode``: ids of every whole text, decoded again as a check, one row per document and copy.
 """
 
@@ -71,7 +72,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 @_stage
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 5: every document as often as its rate says."""
-    rated = mixing.mix(docs, table(spark, sf_dir, "labels"), MIX)
+    rated = mixing.mix(docs, table(spark, sf_dir, "labels"), MIX, plain_once=True)
     n_copies = F.col(rated.columns[-1]).cast("int")
     return rated.where(n_copies > 0).withColumn(fresh(rated, "copy"), F.explode(F.sequence(F.lit(1), n_copies))).select(docs.columns)
 
