@@ -16,8 +16,9 @@ Candidates pass exact filters (sizes, and the popcount of two parity bitmaps, wh
 the symmetric difference) and are then verified on whole sets. To avoid all pairs of a large group of near
 copies, every list first links its members to its smallest id; the components of the verified
 links are formed; and only the members of lists that still span several components are looked at again, between
-components. A long list of texts that have little but a passage in common is not joined with itself: sets of similar sizes are cut by
-a hash into one part more than the elements in which two linked ones can differ (:func:`levels`), so that linked ones have a part in common as
+components. Lists of at most ``SHORT_LIST`` members are joined with themselves, so what they cost grows with the members. A longer list, of
+texts that have little but a passage in common, is not: its sets are cut by
+a hash into one part more than the elements in which two linked ones of their sizes can differ (:func:`levels`), so that linked ones have a part in common as
 a whole, and members meet where such a part is the same. A part that is empty counts within one list only. No
 link is lost: a pair that stays unverified is in one component already.
 
@@ -48,6 +49,7 @@ from .components import components
 SKETCH = 1 << 18
 BUCKET_SHIFT = np.uint64(64 - 18)
 LIGHT_LIMIT = 256               # sizes below this may be light
+SHORT_LIST = 32                 # members of an open list that is joined with itself
 FOLDED = 4                      # 64-bit words of the short parity bitmap
 TEXT_PER_BATCH = 4 << 20
 CACHED_WORDS = 200_000
@@ -351,17 +353,20 @@ def near_components(df: DataFrame, id_col: str = "doc_id", text: str = "text", r
 
     placed = (met.select("key", F.col("b").alias("rep")).join(grown.withColumnRenamed("node", "rep"), "rep", "left")
               .withColumn("component", F.coalesce("component", "rep")))
-    spans = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    open_lists = stored(placed.join(spans.select("key"), "key", "left_semi"), "open-lists")
-    places = open_lists.select("rep", "component").distinct()
+    spans = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("members")) \
+        .where("lo < hi").select("key", (F.col("members") > SHORT_LIST).alias("long"))
+    open_lists = stored(placed.join(spans, "key"), "open-lists")
+    long_lists = open_lists.where("long")
+    places = long_lists.select("rep", "component").distinct()
     parts = stored(docs.join(places.select(F.col("rep").alias("id")), "id", "left_semi")
                    .mapInArrow(lambda it: _part_batches(it, rule), "rep bigint, full array<bigint>, empty array<bigint>"), "parts")
-    empty = parts.select("rep", F.explode("empty").alias("part")).distinct().join(open_lists.select("rep", "key"), "rep") \
+    empty = parts.select("rep", F.explode("empty").alias("part")).distinct().join(long_lists.select("rep", "key"), "rep") \
         .select("rep", F.xxhash64("key", "part").alias("part"))
-    members = stored(parts.select("rep", F.explode("full").alias("part")).union(empty).distinct().join(places, "rep"), "part-members")
+    members = parts.select("rep", F.explode("full").alias("part")).union(empty).distinct().join(places, "rep")
     shared = members.groupBy("part").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    again = stored(members.join(shared.select("part"), "part", "left_semi")
-                   .join(classes.select("rep", "n", "folded"), "rep"), "shared-parts")
+    meeting = members.join(shared.select("part"), "part", "left_semi").select("part", "rep", "component") \
+        .union(open_lists.where("NOT long").select("key", "rep", "component"))
+    again = stored(meeting.join(classes.select("rep", "n", "folded"), "rep"), "meeting")
 
     def end(x):
         return again.select("part", *[F.col(c).alias(f"{c}_{x}" if c != "rep" else x) for c in ("rep", "component", "n", "folded")])
