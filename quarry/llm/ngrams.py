@@ -29,7 +29,7 @@ STEM = 5
 ECHOES = (1, 2, 3)
 ODD = 0x9E3779B97F4A7C15      # a pair hashes to ODD * first + second
 NONE = -1
-CACHED_TOKENS = 250_000
+CACHED_TOKENS = 300_000
 TEXT_PER_BATCH = 4 << 20
 
 _piece = re.compile(r"\w+|[^\w\s]+")
@@ -96,24 +96,27 @@ def features(text: bytes | None) -> tuple[np.ndarray, int]:
     n = len((text or b"").split())
     tokens = _piece.findall(text.decode("utf-8", "replace")) if n else []
     if not tokens:
-        return np.empty(0, dtype=np.int64), n
+        return np.empty(0, dtype=np.int32), n
     if len(_tokens) > CACHED_TOKENS:
         _tokens.clear()
     at = np.fromiter(map(_tokens.__getitem__, tokens), dtype=np.int64, count=len(tokens))
     hashes, stems = np.frombuffer(_tokens.hashes, dtype=np.uint64)[at], np.frombuffer(_tokens.stem, dtype=np.int32)[at]
     pairs = np.uint64(ODD) * hashes[:-1] + hashes[1:]
-    found = [(hashes >> np.uint64(SHIFT)).astype(np.int64), stems[stems != NONE].astype(np.int64),
-             (pairs >> np.uint64(PAIR_SHIFT)).astype(np.int64) + TOKENS]
+    found = [(hashes >> np.uint64(SHIFT)).astype(np.int32), stems[stems != NONE],
+             (pairs >> np.uint64(PAIR_SHIFT)).astype(np.int32) + np.int32(TOKENS)]
     if np.frombuffer(_tokens.capitals, dtype=np.int8)[at].any():
-        found.append([CAPITALS])
+        found.append(np.array([CAPITALS], dtype=np.int32))
     nearer = np.zeros(len(pairs), dtype=bool)
     for k in ECHOES:
         again = (pairs[k:] == pairs[:-k]) & ~nearer[k:]
         nearer[k:] |= again
         echoes = int(np.count_nonzero(again))
         found.append(ECHO[k][echoes.bit_length():][:echoes > 0])
-    every = np.sort(np.concatenate(found))
-    return every[np.diff(every, prepend=-1) > 0], n
+    every = np.concatenate(found, dtype=np.int32)
+    every.sort()
+    new = np.empty(len(every), dtype=bool)
+    new[0], new[1:] = True, every[1:] != every[:-1]
+    return every[new], n
 
 
 def weigh_pairs(weights: np.ndarray) -> np.ndarray:
