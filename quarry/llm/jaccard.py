@@ -16,9 +16,10 @@ Candidates pass exact filters (sizes, and the popcount of two parity bitmaps, wh
 the symmetric difference) and are then verified on whole sets. To avoid all pairs of a large group of near
 copies, every list first links its members to its smallest id; the components of the verified
 links are formed; and only the members of lists that still span several components are looked at again, between
-components. Lists of at most ``SHORT_LIST`` members are joined with themselves, so what they cost grows with the members. A longer list, of
+components. Such a list is first cut by ranges of sizes (:func:`levels`): a set stands at its own level and, as a guest, at the one below,
+so that linked sets have a level in common, and what spans one component only or holds only guests is settled. Lists of at most ``SHORT_LIST`` members are joined with themselves, so what they cost grows with the members. A longer list, of
 texts that have little but a passage in common, is not: its sets are cut by
-a hash into one part more than the elements in which two linked ones of their sizes can differ (:func:`levels`), so that linked ones have a part in common as
+a hash into one part more than the elements in which two linked ones of their level can differ, so that linked ones have a part in common as
 a whole, and members meet where such a part is the same. A part that is empty counts within one list only. No
 link is lost: a pair that stays unverified is in one component already.
 
@@ -237,30 +238,35 @@ def _set_batches(batches, k: int) -> Iterator[pa.RecordBatch]:
                                          names=["rep", "members"])
 
 
-def levels(rule: Rule, n: int) -> list[tuple[int, int]]:
-    """(level, parts) of a set of ``n``. Two sets that link have a level in common and, at the lower set's, fewer different elements than parts.
+def level_starts(rule: Rule, largest: int = 1 << 40) -> list[int]:
+    """The least size of every level. Levels are ranges of sizes such that a set's larger partners are in its own level or the next."""
+    starts = [1]
+    while starts[-1] <= largest:
+        starts.append(rule.den * starts[-1] // rule.num + 1)
+    return starts
 
-    Levels are ranges of sizes such that a set's larger partners are in its own level or the next; a set counts at its own and the one below.
-    """
-    number, low = 0, 1
-    while n > rule.den * low // rule.num:
-        number, low = number + 1, rule.den * low // rule.num + 1
+
+def levels(rule: Rule, n: int) -> list[tuple[int, int]]:
+    """(level, parts) of a set of ``n``, its own level and the one below. Two sets that link have a level in common and, there, fewer different
+    elements than parts."""
+    starts = level_starts(rule, n)
+    own = len(starts) - 2
     out = []
-    for level, least in ((number, low), (number - 1, None)):
-        if level < 0:
-            continue
-        if least is None:                                  # the level below: its largest size is one less than this level's least
-            most = low - 1
-        else:
-            most = rule.den * low // rule.num
+    for level in range(own, max(own - 2, -1), -1):
+        most = starts[level + 1] - 1
         differ = (rule.den - rule.num) * (most + rule.den * most // rule.num) // (rule.den + rule.num)
         out.append((level, differ + 1))
     return out
 
 
-def _parts(s: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
-    """(keys of the parts of a set, keys of those that are empty), at each of its levels."""
-    full, empty = [], []
+def _own_level(rule: Rule, n: str) -> F.Column:
+    starts = F.array(*[F.lit(x).cast("long") for x in level_starts(rule)])
+    return F.size(F.filter(starts, lambda x: x <= F.col(n))) - 1
+
+
+def _parts(s: np.ndarray, rule: Rule) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """(level, keys of the parts of a set, keys of those that are empty), for each of its levels."""
+    out = []
     for level, parts in levels(rule, len(s)):
         seed = np.uint64((level * 0x9E3779B97F4A7C15 + 0xD1B54A32D192ED03) & (1 << 64) - 1)
         mixed = _mixed(s ^ seed)
@@ -268,17 +274,17 @@ def _parts(s: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
         order = np.argsort(place, kind="stable")
         there, start = np.unique(place[order], return_index=True)
         sums = np.add.reduceat(_mixed(mixed[order] + PLACES[0]), start)
-        full.append(_mixed(sums ^ _mixed(there.astype(np.uint64) + seed)))
         gone = np.setdiff1d(np.arange(parts), there)
-        empty.append(_mixed(_mixed(gone.astype(np.uint64) + seed) + PLACES[1]))
-    return np.concatenate(full), np.concatenate(empty)
+        out.append((level, _mixed(sums ^ _mixed(there.astype(np.uint64) + seed)), _mixed(_mixed(gone.astype(np.uint64) + seed) + PLACES[1])))
+    return out
 
 
 def _part_batches(batches, rule: Rule) -> Iterator[pa.RecordBatch]:
     for ids, texts in _texts(batches):
-        found = [_parts(shingles(t, rule.words), rule) for t in texts]
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), _lists([f for f, _ in found]), _lists([e for _, e in found])],
-                                         names=["rep", "full", "empty"])
+        found = [(i, *part) for i, t in zip(ids, texts, strict=True) for part in _parts(shingles(t, rule.words), rule)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int32()),
+             _lists([f[2] for f in found]), _lists([f[3] for f in found])], names=["rep", "level", "full", "empty"])
 
 
 def _differ_little(rule: Rule, differ: F.Column) -> F.Column:
@@ -334,9 +340,9 @@ def near_components(df: DataFrame, id_col: str = "doc_id", text: str = "text", r
     classes = stored(signed.where("n > 0 AND id IS NOT NULL").groupBy("fp1", "fp2", "n")
                      .agg(F.min("id").alias("rep"), F.first("keys").alias("keys"), F.first("bits").alias("bits"),
                           F.first("folded").alias("folded")), "classes")
-    posted = classes.select("rep", F.explode("keys").alias("key"))
+    posted = classes.select("rep", "n", F.explode("keys").alias("key"))
     lists = posted.groupBy("key").agg(F.min("rep").alias("a"), F.max("rep").alias("last")).where("a < last").drop("last")
-    met = stored(posted.join(lists, "key").select("key", "a", F.col("rep").alias("b")), "lists")
+    met = stored(posted.join(lists, "key").select("key", "a", F.col("rep").alias("b"), "n"), "lists")
 
     def side(x):
         return classes.select(F.col("rep").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "bits", "folded")])
@@ -351,28 +357,35 @@ def near_components(df: DataFrame, id_col: str = "doc_id", text: str = "text", r
     same_id = member.groupBy("id").agg(F.min("rep").alias("v"), F.max("rep").alias("u")).where("u > v").select("u", "v")
     grown = stored(components(first.union(same_id)), "components")
 
-    placed = (met.select("key", F.col("b").alias("rep")).join(grown.withColumnRenamed("node", "rep"), "rep", "left")
+    placed = (met.select("key", F.col("b").alias("rep"), "n").join(grown.withColumnRenamed("node", "rep"), "rep", "left")
               .withColumn("component", F.coalesce("component", "rep")))
-    spans = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("members")) \
-        .where("lo < hi").select("key", (F.col("members") > SHORT_LIST).alias("long"))
-    open_lists = stored(placed.join(spans, "key"), "open-lists")
+    several = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
+    at_levels = stored(placed.join(several, "key").withColumn("own", _own_level(rule, "n")).select(
+        "key", "rep", "component", "own", F.explode(F.when(F.col("own") > 0, F.array("own", F.col("own") - 1)).otherwise(F.array("own"))).alias("level")), "spanning")
+    native = F.max(F.col("own") == F.col("level")).alias("native")                 # guests meet each other at their own level
+    spans = at_levels.groupBy("key", "level").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("members"), native) \
+        .where("lo < hi AND native").select("key", "level", (F.col("members") > SHORT_LIST).alias("long"))
+    open_lists = stored(at_levels.join(spans, ["key", "level"]), "open-lists")
     long_lists = open_lists.where("long")
-    places = long_lists.select("rep", "component").distinct()
+    places = long_lists.select("rep", "level", "own", "component").distinct()
     parts = stored(docs.join(places.select(F.col("rep").alias("id")), "id", "left_semi")
-                   .mapInArrow(lambda it: _part_batches(it, rule), "rep bigint, full array<bigint>, empty array<bigint>"), "parts")
-    empty = parts.select("rep", F.explode("empty").alias("part")).distinct().join(long_lists.select("rep", "key"), "rep") \
-        .select("rep", F.xxhash64("key", "part").alias("part"))
-    members = parts.select("rep", F.explode("full").alias("part")).union(empty).distinct().join(places, "rep")
-    shared = members.groupBy("part").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    meeting = members.join(shared.select("part"), "part", "left_semi").select("part", "rep", "component") \
-        .union(open_lists.where("NOT long").select("key", "rep", "component"))
+                   .mapInArrow(lambda it: _part_batches(it, rule), "rep bigint, level int, full array<bigint>, empty array<bigint>"), "parts") \
+        .join(places, ["rep", "level"])
+    lead = ["rep", "level", "own", "component"]
+    empty = parts.select(*lead, F.explode("empty").alias("part")).distinct().join(long_lists.select("rep", "level", "key"), ["rep", "level"]) \
+        .select(*lead, F.xxhash64("key", "part").alias("part"))
+    members = parts.select(*lead, F.explode("full").alias("part")).union(empty).distinct()
+    shared = members.groupBy("part").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), native).where("lo < hi AND native")
+    meeting = members.join(shared.select("part"), "part", "left_semi").select(*lead, "part") \
+        .union(open_lists.where("NOT long").select(*lead, F.xxhash64("key", "level").alias("part")))
     again = stored(meeting.join(classes.select("rep", "n", "folded"), "rep"), "meeting")
 
     def end(x):
-        return again.select("part", *[F.col(c).alias(f"{c}_{x}" if c != "rep" else x) for c in ("rep", "component", "n", "folded")])
+        return again.select("part", "level", *[F.col(c).alias(f"{c}_{x}" if c != "rep" else x) for c in ("rep", "component", "own", "n", "folded")])
 
-    across = (end("a").join(end("b"), "part")
-              .where((F.col("a") < F.col("b")) & (F.col("component_a") != F.col("component_b")) & _may_link(rule))
+    across = (end("a").join(end("b"), ["part", "level"])
+              .where((F.col("a") < F.col("b")) & (F.col("component_a") != F.col("component_b"))
+                     & (F.col("level") == F.least("own_a", "own_b")) & _may_link(rule))
               .select("a", "b").distinct())
     second = _verified(plausible(across), docs, rule)
     final = components(second.union(grown.select(F.col("node").alias("u"), F.col("component").alias("v"))))

@@ -119,7 +119,9 @@ def test_linked_sets_have_a_part_in_common(rule):
         a, b = np.unique(a), np.unique(np.concatenate([a[cut:], rng.integers(0, 1 << 63, more).astype(np.uint64)]))
         common = len(np.intersect1d(a, b))
         if len(b) and rule.den * common >= rule.num * (len(a) + len(b) - common):
-            (fa, ea), (fb, eb) = jaccard._parts(a, rule), jaccard._parts(b, rule)
+            at_a, at_b = ({level: rest for level, *rest in jaccard._parts(x, rule)} for x in (a, b))
+            level = min(max(at_a), max(at_b))                       # where the two meet
+            (fa, ea), (fb, eb) = at_a[level], at_b[level]
             assert len(np.intersect1d(fa, fb)) + len(np.intersect1d(ea, eb)), (len(a), len(b), common)
 
 
@@ -133,8 +135,16 @@ def test_levels_hold_all_partners():
                 assert n + m - 2 * least < low[common] == high[common]
 
 
-def test_texts_around_one_passage(spark):
-    """Many texts that share only a passage, near copies among them: components equal those of all pairs."""
+def test_own_level_in_columns(spark):
+    rule = Rule(4, 85, 100)
+    got = spark.range(1, 3000).select("id", jaccard._own_level(rule, "id").alias("own")).collect()
+    assert all(r.own == jaccard.levels(rule, r.id)[0][0] for r in got)
+
+
+@pytest.mark.parametrize("short", [0, 6, 32, 1000])
+def test_texts_around_one_passage(spark, monkeypatch, short):
+    """Many texts that share only a passage, near copies among them: components equal those of all pairs, by parts or by lists."""
+    monkeypatch.setattr(jaccard, "SHORT_LIST", short)
     rng = random.Random(8)
     passage = " ".join(f"p{i}" for i in range(40))
     rows = []
