@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import aggregates as A
+from ..operators import sketches as Q
 from ..sources.fixtures import FLIGHTS_SQL, WORDS_SQL, flights, retail, retail_sql, words
+from ..sources.materialize import checkpointed
 from ..sources.tables import read_table
 from .registry import plan
 
@@ -295,6 +297,34 @@ def exact_quantile(spark, sf):
     return r.groupBy("n_name").agg(F.percentile("l_quantity", [0.25, 0.5, 0.75]).alias("quartiles"))
 
 
+@plan("exact_quantile_spread", sql="SELECT o_orderstatus, list_transform(quantile_cont(o_totalprice, [0.01, 0.25, 0.5, 0.75, 0.99]), lambda q: round(q, 4)) AS quantiles "
+                                  "FROM orders GROUP BY o_orderstatus")
+def exact_quantile_spread(spark, sf):
+    """Exact quantiles per group of a nearly all-distinct column, by distributed selection: no group's values stand in one buffer."""
+    o = read_table(spark, sf, "orders", "o_orderstatus", "o_totalprice")
+    out = Q.exact_quantiles(o, ["o_orderstatus"], "o_totalprice", [0.01, 0.25, 0.5, 0.75, 0.99])
+    return out.select("o_orderstatus", F.transform("quantiles", lambda q: F.round(q, 4)).alias("quantiles"))
+
+
+@plan("quantile_sketch_merged", sql="SELECT 'priority' AS level, o_orderpriority, p, true AS rank_within FROM orders, (SELECT unnest([0.25, 0.5, 0.75]) AS p) GROUP BY ALL "
+                                   "UNION ALL SELECT 'total', NULL, unnest([0.25, 0.5, 0.75]), true")
+def quantile_sketch_merged(spark, sf):
+    """Quantile sketches per (priority, status), stored, then merged to each priority and to the total without the rows; every quartile
+    is held against the ranks that it really has in the table (within 0.02)."""
+    o = read_table(spark, sf, "orders", "o_orderpriority", "o_orderstatus", "o_totalprice")
+    fine = checkpointed(Q.quantile_sketches(o, ["o_orderpriority", "o_orderstatus"], "o_totalprice"))
+    both = (Q.merge_sketches(fine, ["o_orderpriority"], "double").select(F.lit("priority").alias("level"), "o_orderpriority", "sketch")
+            .union(Q.merge_sketches(fine, [], "double").select(F.lit("total"), F.lit(None).cast("string"), "sketch")))
+    asked = checkpointed(both.select("level", "o_orderpriority", F.explode(F.array(*[
+        F.struct(F.lit(p).alias("p"), Q.sketch_quantile("sketch", "double", p).alias("q")) for p in (0.25, 0.5, 0.75)])).alias("x")))
+    rows = o.select(F.explode(F.array(F.struct(F.lit("priority").alias("level"), F.col("o_orderpriority")),
+                                      F.struct(F.lit("total").alias("level"), F.lit(None).cast("string").alias("o_orderpriority")))).alias("at"), "o_totalprice")
+    held = rows.join(asked.select(F.struct("level", "o_orderpriority").alias("at"), "x"), "at").groupBy("at", "x.p").agg(
+        (F.count_if(F.col("o_totalprice") < F.col("x.q")) / F.count(F.lit(1))).alias("below"),
+        (F.count_if(F.col("o_totalprice") <= F.col("x.q")) / F.count(F.lit(1))).alias("upto"))
+    return held.select("at.level", "at.o_orderpriority", "p", ((F.col("below") <= F.col("p") + 0.02) & (F.col("upto") >= F.col("p") - 0.02)).alias("rank_within"))
+
+
 @plan("crosstab", sql=_r("l_partkey", "p_retailprice") +
       "SELECT l_partkey, p_retailprice, count(*) AS count FROM retail GROUP BY l_partkey, p_retailprice")
 def crosstab(spark, sf):

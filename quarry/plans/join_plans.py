@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import heavy as H
 from ..operators import joins as J
 from ..operators import keyvalue as KV
 from ..sources.fixtures import LETTERS_SQL, WORDS_SQL, WS, letters, words
@@ -24,6 +25,17 @@ def join_inner(spark, sf):
     return J.join(li, o, "l_orderkey", "inner")
 
 
+@plan("join_heavy_keys", sql="SELECT c_nationkey AS nationkey, c_mktsegment, count(*) AS pairs, count(*) FILTER (s_acctbal > c_acctbal) AS richer, "
+                             "min(s_suppkey) AS first_supplier FROM customer JOIN supplier ON s_nationkey = c_nationkey GROUP BY ALL")
+def join_heavy_keys(spark, sf):
+    """Customers and suppliers of one nation (few keys, each heavy on both sides), joined on grids: per nation and segment the pairs, and those
+    in which the supplier's balance is the larger one."""
+    c = read_table(spark, sf, "customer", "c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal").withColumnRenamed("c_nationkey", "nationkey")
+    s = read_table(spark, sf, "supplier", "s_suppkey", "s_nationkey", "s_acctbal").withColumnRenamed("s_nationkey", "nationkey")
+    return H.grid_join(c, s, "nationkey").groupBy("nationkey", "c_mktsegment").agg(
+        F.count(F.lit(1)).alias("pairs"), F.count_if(F.col("s_acctbal") > F.col("c_acctbal")).alias("richer"), F.min("s_suppkey").alias("first_supplier"))
+
+
 FINISHED = "(SELECT o_custkey, count(*) AS n_finished FROM orders WHERE o_orderstatus = 'F' GROUP BY o_custkey)"
 OPEN = "(SELECT o_custkey, count(*) AS n_open FROM orders WHERE o_orderstatus = 'O' GROUP BY o_custkey)"
 
