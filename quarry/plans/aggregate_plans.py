@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import aggregates as A
+from ..operators import metrics as MR
 from ..operators import sketches as Q
 from ..sources.fixtures import FLIGHTS_SQL, WORDS_SQL, flights, retail, retail_sql, words
 from ..sources.materialize import checkpointed
@@ -397,6 +398,14 @@ def metric_sum_even(spark, sf):
     return _side_metric(spark, flights(spark, sf), F.sum(F.when(F.col("cnt") % 2 == 0, F.col("cnt"))))
 
 
+@plan("metric_rows", sql=f"SELECT dest, CAST(sum(cnt) AS BIGINT) AS total, CAST(NULL AS BIGINT) AS even, CAST(NULL AS BIGINT) AS pairs FROM {FL_} GROUP BY dest "
+                         f"UNION ALL SELECT NULL, NULL, CAST(sum(cnt) FILTER (cnt % 2 = 0) AS BIGINT), count(*) FROM {FL_}")
+def metric_rows(spark, sf):
+    """Totals per destination and, from the same pass over the flights, a row of side metrics: the sum of even counts, and the pairs seen."""
+    seen = MR.with_metric_rows(flights(spark, sf), {"even": F.when(F.col("cnt") % 2 == 0, F.col("cnt")), "pairs": F.lit(1)})
+    return seen.groupBy("dest").agg(F.sum("cnt").alias("total"), F.sum("metric.even").alias("even"), F.sum("metric.pairs").alias("pairs"))
+
+
 _DESCRIBED = {"count": "count({c})", "mean": "avg({c})", "stddev": "stddev_samp({c})", "min": "min({c})", "max": "max({c})"}
 
 

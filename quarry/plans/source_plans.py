@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.trajectory import build_trajectories
-from ..sources import files, local
+from ..sources import files, local, sink
 from ..sources.fixtures import FLIGHTS_SQL, POSITIONS_SQL, flights, positions
 from ..sources.materialize import checkpointed
 from ..sources.tables import read_table
@@ -131,3 +131,10 @@ def checkpoint_table(spark, sf):
 def fetch(spark, sf):
     """First five flights under a total order (the rows `take(5)` brings back)."""
     return flights(spark, sf).orderBy(F.desc("cnt"), "dest", "origin").limit(5)
+
+
+@plan("foreach_partition", sql="SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate FROM orders")
+def foreach_partition(spark, sf):
+    """Orders through a writer per partition whose attempts count once, read back by the manifest of its commit."""
+    o = read_table(spark, sf, "orders", "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    return sink.read_once(spark, sink.write_once(o, files.scratch_path(spark, "once")), o.schema)

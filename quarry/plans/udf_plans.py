@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..functions import types as Y
 from ..functions import udfs as U
 from ..operators import merging as M
 from ..operators import nulls as N
 from ..operators import udaf
 from ..sources.fixtures import retail, retail_sql, retail_variants
+from ..sources.files import scratch_path
 from ..sources.tables import read_table
 from .registry import plan
 from .sqlutil import MS, discount_sql, truncate_sql
@@ -160,3 +162,27 @@ def opaque_column(spark, sf):
     p = read_table(spark, sf, "part", "p_partkey", "p_name")
     stored = p.select("p_partkey", S.to_bytes("p_name").alias("stored"))
     return stored.select("p_partkey", F.hex("stored").alias("stored_hex"), S.restore_text("stored").alias("restored"))
+
+
+@plan("instant_type_stored", sql=f"SELECT event_id, {MS('ts')} AS stored, make_timestamp({MS('ts')} * 1000) AS instant FROM events")
+def instant_type_stored(spark, sf):
+    """An instant as a type of its own, written to Parquet and read back as that type: what is stored, and the object restored."""
+    ev = read_table(spark, sf, "events", "event_id", "ts").select("event_id", Y.instant("ts").alias("instant"))
+    path = scratch_path(spark, "instants")
+    ev.write.parquet(path)
+    back = spark.read.parquet(path)
+    if not isinstance(back.schema["instant"].dataType, Y.InstantType):
+        raise TypeError("instant_type_stored: the type was not restored")
+    moment = F.udf(lambda t: t, "timestamp_ntz", useArrow=True)
+    return back.select("event_id", Y.stored_millis("instant").alias("stored"), moment("instant").alias("instant"))
+
+
+@plan("opaque_type_stored", sql="SELECT p_partkey, p_name, p_size FROM part")
+def opaque_type_stored(spark, sf):
+    """Objects in a type of its own, written to Parquet as bytes, read back as objects and asked for their fields."""
+    p = read_table(spark, sf, "part", "p_partkey", "p_name", "p_size")
+    path = scratch_path(spark, "objects")
+    p.select("p_partkey", Y.opaque("p_name", "p_size").alias("object")).write.parquet(path)
+    back = spark.read.parquet(path)
+    return back.select("p_partkey", Y.restored_field("object", "p_name", "string").alias("p_name"),
+                       Y.restored_field("object", "p_size", p.schema["p_size"].dataType).alias("p_size"))
