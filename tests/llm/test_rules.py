@@ -57,6 +57,34 @@ def test_cutoffs_hold_the_risk_under_repetition():
     assert chosen > 350 and over <= 0.05 * 400
 
 
+def test_joint_rejection_holds_the_risk_under_repetition():
+    """Two rules proposed on one half and loosened together on the other: the joint true risk is over the allowance in fewer than `error` of the draws."""
+    rng, over, chosen = np.random.default_rng(1), 0, 0
+    p_good, p_bad = np.array([0.9, 0.06, 0.025, 0.01, 0.005]), np.array([0.1, 0.1, 0.1, 0.2, 0.5])
+    for _ in range(300):
+        good, bad, held = (rng.choice(5, (n, 2), p=p) for n, p in ((300, p_good), (100, p_bad), (300, p_good)))
+        cuts = [rules.propose(np.bincount(good[:, j], minlength=5), np.bincount(bad[:, j], minlength=5), 0.025) for j in (0, 1)]
+        assert all(np.mean(good[:, j] > c) <= 0.025 for j, c in enumerate(cuts))
+        by = rules.settle(np.bincount(np.maximum(0, (held - cuts).max(axis=1)), minlength=5), 0, 0.05, 0.05)
+        if by is not None:
+            chosen += 1
+            keep = [p_good[:c + by + 1].sum() for c in cuts]
+            over += 1 - keep[0] * keep[1] > 0.05
+    assert chosen > 280 and over <= 0.05 * 300
+
+
+def test_small_strata_act_and_smaller_ones_do_not(spark):
+    """With some hundred good held-out rows a stratum has cutoffs; with a few it rejects nothing beyond the base rule."""
+    rows, labels = corpus(3000)
+    rows = [(i, t, "big" if i < 2200 else "middle" if i < 2960 else "few", k) for i, t, _, k, *_ in rows]
+    out = {r.doc_id: r for r in rules.apply_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, kind string"),
+                                                  spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
+    for lang in ("big", "middle"):
+        assert np.mean([out[i].kept for i, _, s, k in rows if s == lang and k in ("symbols", "caps")]) < 0.05
+        assert np.mean([out[i].kept for i, _, s, k in rows if s == lang and k == "good"]) > 0.97
+    assert all(out[i].kept != out[i].base_failed for i, _, s, _ in rows if s == "few")
+
+
 def corpus(n=9000):
     rng, rows, labels = random.Random(2), [], []
     for i in range(n):
