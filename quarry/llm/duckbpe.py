@@ -44,14 +44,17 @@ ORDER BY word, pos
 # For long words, many steps of one pair each would be quadratic. The next non-overlapping pairs
 # of the same rank would follow anyway until a fresh token makes a lower-ranked pair with a
 # neighbour, so all up to the first such place (`brake`) go in the same step; `safe` marks
-# tokens that never make one.
+# tokens that never make one. The state is one row per position, replaced by its step's result
+# (id -1: contracted away), so that a word takes memory for its bytes, not for its steps.
 ENCODE_LONG = """
-WITH RECURSIVE live(step, word, pos, stop, id) AS (
-    SELECT 0, word, pos, pos + 1, id FROM seed
-  UNION ALL
-    (WITH pair AS (
+WITH RECURSIVE live(pos, word, stop, id) USING KEY (pos) AS (
+    SELECT pos, word, pos + 1, id FROM seed
+  UNION
+    (WITH now AS (
+        SELECT * FROM recurring.live WHERE id >= 0
+     ), pair AS (
         SELECT a.word, a.pos, a.stop AS mid, b.stop, m.rank, m.safe
-        FROM live a JOIN live b ON b.pos = a.stop AND b.word = a.word
+        FROM now a JOIN now b ON b.pos = a.stop AND b.word = a.word
         JOIN merges m ON m.l = a.id AND m.r = b.id
      ), lowest AS (
         SELECT word, min(rank) AS rank FROM pair GROUP BY word
@@ -70,10 +73,10 @@ WITH RECURSIVE live(step, word, pos, stop, id) AS (
      ), beside AS (
         SELECT word, pos, rank, rank AS l, rank AS r FROM parity WHERE NOT safe
         UNION ALL
-        SELECT p.word, p.pos, p.rank, t.id, p.rank FROM parity p JOIN live t ON t.stop = p.pos AND t.word = p.word
+        SELECT p.word, p.pos, p.rank, t.id, p.rank FROM parity p JOIN now t ON t.stop = p.pos AND t.word = p.word
         WHERE NOT p.safe
         UNION ALL
-        SELECT p.word, p.pos, p.rank, p.rank, t.id FROM parity p JOIN live t ON t.pos = p.stop AND t.word = p.word
+        SELECT p.word, p.pos, p.rank, p.rank, t.id FROM parity p JOIN now t ON t.pos = p.stop AND t.word = p.word
         WHERE NOT p.safe
      ), brake AS (
         SELECT b.word, min(b.pos) AS limit_pos FROM beside b JOIN merges m USING (l, r)
@@ -84,14 +87,11 @@ WITH RECURSIVE live(step, word, pos, stop, id) AS (
         SELECT word, pos, mid, stop, rank FROM parity LEFT JOIN brake USING (word)
         WHERE odd = 1 AND (limit_pos IS NULL OR pos <= limit_pos)
      )
-     SELECT t.step + 1, t.word, t.pos, coalesce(c.stop, t.stop), coalesce(c.rank, t.id)
-     FROM live t
-     SEMI JOIN lowest ON lowest.word = t.word
-     LEFT JOIN chosen c ON c.pos = t.pos
-     ANTI JOIN chosen x ON x.mid = t.pos)
+     SELECT pos, word, stop, rank FROM chosen
+     UNION ALL
+     SELECT mid, word, mid, -1 FROM chosen)
 )
-SELECT word, id FROM live JOIN (SELECT word, max(step) AS step FROM live GROUP BY word) USING (word, step)
-ORDER BY word, pos
+SELECT word, id FROM live WHERE id >= 0 ORDER BY word, pos
 """
 
 DECODE = """
@@ -136,7 +136,7 @@ class DuckBPE:
         self.byte_id = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         self.known = np.zeros(max(ranks.values()) + 1, dtype=bool)
         self.known[list(ranks.values())] = True
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
         merges = merge_rows(ranks)  # noqa: F841  (read by name below)
         # one character per byte (U+0000..U+00FF), so that text aggregation joins bytes
         vocab = pa.table({"id": pa.array(ranks.values(), pa.int32()),  # noqa: F841

@@ -82,3 +82,22 @@ def test_unknown_id_raises(spark):
     df = spark.createDataFrame([(1, [50_300])], "k int, ids array<int>")
     with pytest.raises(Exception, match="vocabulary"):
         bpe.decode(df, "ids", PATH).select(F.length("decoded")).collect()
+
+
+def test_very_long_words_take_no_folder(tmp_path, monkeypatch):
+    """Words far beyond LONG_WORD: the library's ids, in the memory given, without a file beside the worker."""
+    import random
+
+    import public_tokenizers
+    import tiktoken
+
+    from quarry.llm import duckbpe
+    monkeypatch.chdir(tmp_path)
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    library = tiktoken.Encoding("x", pat_str=r"(?s).+", mergeable_ranks=duckbpe.read_ranks(path), special_tokens={})
+    rng = random.Random(4)
+    words = ["".join(rng.choice(letters) for _ in range(n)).encode() for letters, n in (
+        ("ab", 300), ("abcdefghij", 5000), ("é漢字ü", 700), ("=-_", 900), ("aeiou n", 66))] + [b"a" * 20_000, b"ha" * 3000]
+    got = duckbpe.DuckBPE(path).encode(words)
+    assert [list(g) for g in got] == [library._core_bpe.encode_single_piece(w) for w in words]
+    assert not list(tmp_path.iterdir())
