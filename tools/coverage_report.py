@@ -12,7 +12,6 @@ NOT_REGISTERED = {
     "local_source": "`sources/local.py: from_local` (tested in `tests/test_api.py`; reads no table)",
     "object_source": "`sources/local.py: from_records` (tested in `tests/test_api.py`; reads no table)",
     "describe_schema": "`sources/materialize.py: schema_table` (tested; metadata only)",
-    "foreach_partition": "`operators/partitioning.py: foreach_partition` (tested; an action without result)",
 }
 
 
