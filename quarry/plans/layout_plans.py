@@ -29,13 +29,16 @@ def num_partitions(spark, sf):
     return fl.select(F.spark_partition_id().alias("pid")).distinct().agg(F.count(F.lit(1)).alias("n_partitions"))
 
 
-@plan("repartition_n", sql=_r("l_orderkey") + "SELECT count(*) AS n_rows, 5 AS n_partitions, true AS even FROM retail")
+@plan("repartition_n", sql=_r("l_orderkey") + "SELECT f.*, layout.* FROM " + FL_ + " f CROSS JOIN "
+      "(SELECT count(*) AS n_rows, 5 AS n_partitions, true AS even FROM retail) layout")
 def repartition_n(spark, sf):
-    """Round-robin into 5 partitions: all rows, five partitions, each within a fifth of its even share."""
+    """Round-robin into 5 partitions: all rows of the flights and, beside each, the layout of the far longer lines of sale: all rows, five partitions,
+    each within a fifth of its even share."""
     sizes = R.with_partition_id(R.repartition_n(retail(spark, sf, "l_orderkey"), 5)).groupBy("pid").agg(F.count(F.lit(1)).alias("n"))
     share = F.sum("n") / 5
-    return sizes.agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).cast("int").alias("n_partitions"),
-                     ((F.min("n") >= 0.8 * share) & (F.max("n") <= 1.2 * share)).alias("even"))
+    layout = sizes.agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).cast("int").alias("n_partitions"),
+                       ((F.min("n") >= 0.8 * share) & (F.max("n") <= 1.2 * share)).alias("even"))
+    return R.repartition_n(flights(spark, sf), 5).crossJoin(layout)      # the layout is one row
 
 
 @plan("repartition_expr", sql=f"SELECT cnt % 10 AS bucket, count(*) AS n_rows, 1 AS n_partitions FROM {FL_} GROUP BY 1")
