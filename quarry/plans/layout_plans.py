@@ -57,13 +57,16 @@ def repartition_n_expr(spark, sf):
         "n_partitions", F.col("n_partitions").cast("int"))
 
 
-@plan("coalesce_n", sql=_r("l_orderkey") + "SELECT count(*) AS n_rows, 2 AS n_partitions, 0 AS torn FROM retail")
+@plan("coalesce_n", sql=_r("l_orderkey") + "SELECT f.*, layout.* FROM " + FL_ + " f CROSS JOIN "
+      "(SELECT count(*) AS n_rows, 2 AS n_partitions, 0 AS torn FROM retail) layout")
 def coalesce_n(spark, sf):
-    """Merge 8 partitions into 2 without a full shuffle: all rows, two partitions, and none of the eight torn apart."""
+    """Merge 8 partitions into 2 without a full shuffle: all rows of the flights and, beside each, the layout of the far longer lines of sale: all rows,
+    two partitions, and none of the eight torn apart."""
     eight = R.with_partition_id(R.repartition_n(retail(spark, sf, "l_orderkey"), 8), "was")
     moved = R.with_partition_id(R.coalesce_n(eight, 2)).groupBy("was").agg(F.count(F.lit(1)).alias("n"), F.collect_set("pid").alias("pids"))
-    return moved.agg(F.sum("n").alias("n_rows"), F.size(F.array_distinct(F.flatten(F.collect_list("pids")))).alias("n_partitions"),
-                     F.count_if(F.size("pids") > 1).cast("int").alias("torn"))
+    layout = moved.agg(F.sum("n").alias("n_rows"), F.size(F.array_distinct(F.flatten(F.collect_list("pids")))).alias("n_partitions"),
+                       F.count_if(F.size("pids") > 1).cast("int").alias("torn"))
+    return R.coalesce_n(R.repartition_n(flights(spark, sf), 8), 2).crossJoin(layout)      # the layout is one row
 
 
 @plan("nonempty_partitions", sql=f"SELECT count(DISTINCT cnt % 10) AS n_values, true AS at_most_a_partition_each FROM {FL_}")

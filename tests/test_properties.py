@@ -77,7 +77,7 @@ def test_layout_plans_return_every_row(spark, sf):
     def rows(df):
         return sorted(tuple(r) for r in df.collect())
     assert rows(PLANS["secondary_sort"].fn(spark, sf).select("mmsi", "ts")) == rows(positions(spark, sf).select("mmsi", "ts"))
-    for key in ("repartition_n",):
+    for key in ("repartition_n", "coalesce_n"):
         assert rows(PLANS[key].fn(spark, sf).select("dest", "origin", "cnt")) == rows(flights(spark, sf)), key
 
 
