@@ -88,13 +88,13 @@ def fit_posteriors(counts: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np
 
 def _score_batches(batches, text: str, base: np.ndarray, weights, names: list[str]) -> Iterator[pa.RecordBatch]:
     ngrams.new_task()
-    w = weights.value
+    w = weights.value.view(np.complex128)[:, 0]      # both domains beside plain text in one number, so that one sum adds up both
     for batch in by_volume(batches, text, ngrams.TEXT_PER_BATCH):
         out = np.empty((batch.num_rows, len(DOMAINS) + 1))
         for k, t in enumerate(batch.column(batch.schema.get_field_index(text)).cast(pa.binary()).to_pylist()):
             found, n = ngrams.features(t)
             s = base.copy()
-            s[1:] += w[found].sum(axis=0)
+            s[1:] += w.take(found).sum(keepdims=True).view(np.float64)
             e = np.exp(s - s.max())
             out[k, 0], out[k, 1:] = n, e / e.sum()
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out[:, 0].astype(np.int64)), *map(pa.array, out[:, 1:].T)],

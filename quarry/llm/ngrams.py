@@ -9,6 +9,7 @@ and long texts weigh no more than others. Pairs have buckets of their own, so th
 
 from __future__ import annotations
 
+import itertools
 import re
 from array import array
 
@@ -29,7 +30,7 @@ STEM = 5
 ECHOES = (1, 2, 3)
 ODD = 0x9E3779B97F4A7C15      # a pair hashes to ODD * first + second
 NONE = -1
-CACHED_TOKENS = 300_000
+CACHED_WORDS = 200_000
 TEXT_PER_BATCH = 4 << 20
 
 _piece = re.compile(r"\w+|[^\w\s]+")
@@ -59,9 +60,10 @@ def new_task() -> None:
     claim(_tokens)
 
 
-class _Tokens(dict):
-    """Tokens as they stand in texts, by number; under a number stand the token's hash in lower case, its bucket, its stem's (NONE if it has
-    none) and whether it is in capitals. Between texts, more than CACHED_TOKENS are forgotten."""
+class _Words(dict):
+    """Words (runs of bytes without ASCII white space) as they stand in texts, by number; under a number stand the first and the last of the word's
+    tokens, and for every token its hash in lower case, its stem's bucket (NONE if it has none) and whether it is in capitals. Between
+    texts, more than CACHED_WORDS are forgotten."""
 
     def __init__(self):
         super().__init__()
@@ -71,16 +73,36 @@ class _Tokens(dict):
     def clear(self) -> None:
         super().clear()
         self.stems.clear()
-        self.hashes, self.stem, self.capitals = array("Q"), array("i"), array("b")
-
-    def __missing__(self, token: str) -> int:
-        low = token.lower()
-        number = self[token] = len(self)
-        self.hashes.append(_digest(low))
-        self.stem.append(self.stems[low[:STEM]] if len(low) > STEM else NONE)
-        self.capitals.append(len(token) > 1 and token.isupper())
+        self.unseen: list[bytes] = []
+        self.first, self.hashes, self.stem, self.capitals = array("i", [0]), array("Q"), array("i"), array("b")
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        self.unseen.append(word)
         return number
 
+    def _cut(self) -> None:
+        """The tokens of the words that came in last."""
+        words = b" ".join(self.unseen).decode("utf-8", "replace").split(" ")
+        self.unseen.clear()
+        runs = [[w] if w.isalnum() else _piece.findall(w) for w in words]      # letters and digits alone are one token
+        tokens = [*itertools.chain.from_iterable(runs)]
+        lows = [t.lower() for t in tokens]
+        self.first.extend(itertools.islice(itertools.accumulate(map(len, runs), initial=len(self.hashes)), 1, None))
+        self.hashes.extend(map(_digest, lows))
+        self.stem.extend([self.stems[low[:STEM]] if len(low) > STEM else NONE for low in lows])
+        self.capitals.extend([len(t) > 1 and t.isupper() for t in tokens])
+
+    def tokens(self, words: list[bytes]) -> np.ndarray:
+        """The numbers of the words' tokens, in order."""
+        at = np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
+        if self.unseen:
+            self._cut()
+        first = np.frombuffer(self.first, dtype=np.int32)
+        start, n = first[at], first[at + 1] - first[at]
+        ends = n.cumsum(dtype=np.int64)
+        return np.arange(ends[-1]) + (start - ends + n).repeat(n)
+
 
 class _Stems(dict):
     def __missing__(self, stem: str) -> int:
@@ -88,18 +110,18 @@ class _Stems(dict):
         return found
 
 
-_tokens = _Tokens()
+_tokens = _Words()
 
 
 def features(text: bytes | None) -> tuple[np.ndarray, int]:
     """(distinct buckets in order, number of words) of a text in UTF-8."""
-    n = len((text or b"").split())
-    tokens = _piece.findall(text.decode("utf-8", "replace")) if n else []
-    if not tokens:
-        return np.empty(0, dtype=np.int32), n
-    if len(_tokens) > CACHED_TOKENS:
+    words = (text or b"").split()
+    n = len(words)
+    if len(_tokens) > CACHED_WORDS:
         _tokens.clear()
-    at = np.fromiter(map(_tokens.__getitem__, tokens), dtype=np.int64, count=len(tokens))
+    at = _tokens.tokens(words) if n else ()
+    if not len(at):
+        return np.empty(0, dtype=np.int32), n
     hashes, stems = np.frombuffer(_tokens.hashes, dtype=np.uint64)[at], np.frombuffer(_tokens.stem, dtype=np.int32)[at]
     pairs = np.uint64(ODD) * hashes[:-1] + hashes[1:]
     found = [(hashes >> np.uint64(SHIFT)).astype(np.int32), stems[stems != NONE],

@@ -139,3 +139,23 @@ def test_features_are_tokens_and_all_adjacent_pairs():
         ngrams._tokens.clear()
         again = [ngrams.features(t.encode())[0].tolist() for t in ("x y z", "y x", "z")[k:]]
         assert again == [ngrams.features(t.encode())[0].tolist() for t in ("x y z", "y x", "z")[k:]]
+
+
+def test_features_of_words_seen_before(monkeypatch):
+    """Words are cut into tokens once; features are those of the tokens of the whole text, whatever white space and signs."""
+    text = "Stop; it's SIMPLE\u00a0enough,caf\u00e9\u3000stra\u00dfe \x1cx_y\x85\u0130stanbul \U0001f600\U0001f600 (ABCdefg)"
+    for t in (text, "one"):
+        tokens = ngrams._piece.findall(t)
+        low = [x.lower() for x in tokens]
+        hashes = [ngrams._hash(x) for x in low]
+        expected = {h >> ngrams.SHIFT for h in hashes} | {ngrams.pair_bucket(a, b) for a, b in zip(hashes, hashes[1:], strict=False)}
+        expected |= {ngrams.bucket("\x00" + x[:ngrams.STEM]) for x in low if len(x) > ngrams.STEM}
+        expected |= {ngrams.CAPITALS} if any(len(x) > 1 and x.isupper() for x in tokens) else set()
+        assert ngrams.features(t.encode())[0].tolist() == sorted(expected)
+    first = ngrams.features(text.encode())[0].tolist()
+    monkeypatch.setattr(ngrams._Words, "_cut", lambda self: pytest.fail("a known word is cut again"))
+    assert ngrams.features(f"{text} one".encode())[1] == len(text.encode().split()) + 1
+    assert ngrams.features(text.encode())[0].tolist() == first
+    broken = b"ab\xff c\xc3"
+    monkeypatch.undo()
+    assert ngrams.features(broken)[0].tolist() == ngrams.features(broken.decode("utf-8", "replace").encode())[0].tolist()
