@@ -17,7 +17,9 @@ the symmetric difference) and are then verified on whole sets. To avoid all pair
 copies, every list first links its members to its smallest id; the components of the verified
 links are formed; and only the members of lists that still span several components are looked at again, between
 components. Such a list is first cut by ranges of sizes (:func:`levels`): a set stands at its own level and, as a guest, at the one below,
-so that linked sets have a level in common, and what spans one component only or holds only guests is settled. Lists of at most ``SHORT_LIST`` members are joined with themselves, so what they cost grows with the members. A longer list, of
+so that linked sets have a level in common, and what spans one component only or holds only guests is settled, and of several lists with the same members (the shingles of a passage that the
+same texts share) one stays. Lists of few members (:func:`_long`) are joined with themselves, so what they cost grows with the members, and a pair leaves the join only if
+its bitmaps of up to ``64 * WIDE`` bits allow a link. A longer list, of
 texts that have little but a passage in common, is not: its sets are cut by
 a hash into one part more than the elements in which two linked ones of their level can differ, so that linked ones have a part in common as
 a whole, and members meet where such a part is the same. A part that is empty counts within one list only. No
@@ -50,8 +52,9 @@ from .components import components
 SKETCH = 1 << 18
 BUCKET_SHIFT = np.uint64(64 - 18)
 LIGHT_LIMIT = 256               # sizes below this may be light
-SHORT_LIST = 32                 # members of an open list that is joined with itself
+SHORT_LIST, LONG_LIST = 32, 1000      # an open list is joined with itself up to the first, never beyond the second
 FOLDED = 4                      # 64-bit words of the short parity bitmap
+WIDE = 16                       # 64-bit words at most of the bitmap that members of open lists carry
 TEXT_PER_BATCH = 4 << 20
 CACHED_WORDS = 200_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -213,6 +216,13 @@ def _folded(bits: np.ndarray) -> np.ndarray:
     return np.bitwise_xor.reduce(bits.reshape(-1, FOLDED), axis=0)
 
 
+def _at_most(bits: str, words: int) -> F.Column:
+    """The bitmap column, folded to ``words`` 64-bit words if it has more."""
+    blocks = F.transform(F.sequence(F.lit(0), (F.size(bits) / words).cast("int") - 1), lambda k: F.slice(bits, k * words + 1, F.lit(words)))
+    folded = F.aggregate(blocks, F.array_repeat(F.lit(0).cast("long"), words), lambda x, y: F.zip_with(x, y, lambda p, q: p.bitwiseXOR(q)))
+    return F.when(F.size(bits) > words, folded).otherwise(F.col(bits))
+
+
 def _lists(values: list[np.ndarray]) -> pa.ListArray:
     offsets = np.cumsum([0] + [len(v) for v in values], dtype=np.int32)
     flat = np.concatenate(values).view(np.int64) if values else np.empty(0, dtype=np.int64)
@@ -253,12 +263,21 @@ def levels(rule: Rule, n: int) -> list[tuple[int, int]]:
     own = len(starts) - 2
     out = []
     for level in range(own, max(own - 2, -1), -1):
-        most = starts[level + 1] - 1
-        differ = (rule.den - rule.num) * (most + rule.den * most // rule.num) // (rule.den + rule.num)
-        out.append((level, differ + 1))
+        out.append((level, _n_parts(rule, starts[level + 1] - 1)))
     return out
 
 
+def _n_parts(rule: Rule, most: int) -> int:
+    """Parts of the sets of a level whose largest have ``most`` elements."""
+    return (rule.den - rule.num) * (most + rule.den * most // rule.num) // (rule.den + rule.num) + 1
+
+
+def _long(rule: Rule, level: str, members: str) -> F.Column:
+    """Whether a list is better cut into parts: joined with itself, a member meets half the others, cut, it makes as many rows as parts."""
+    pairs = F.array(*[F.lit(min(2 * _n_parts(rule, x - 1), LONG_LIST)) for x in level_starts(rule)[1:]])
+    return F.col(members) > F.greatest(F.lit(SHORT_LIST), F.get(pairs, F.col(level)))
+
+
 def _own_level(rule: Rule, n: str) -> F.Column:
     starts = F.array(*[F.lit(x).cast("long") for x in level_starts(rule)])
     return F.size(F.filter(starts, lambda x: x <= F.col(n))) - 1
@@ -363,8 +382,12 @@ def near_components(df: DataFrame, id_col: str = "doc_id", text: str = "text", r
     at_levels = stored(placed.join(several, "key").withColumn("own", _own_level(rule, "n")).select(
         "key", "rep", "component", "own", F.explode(F.when(F.col("own") > 0, F.array("own", F.col("own") - 1)).otherwise(F.array("own"))).alias("level")), "spanning")
     native = F.max(F.col("own") == F.col("level")).alias("native")                 # guests meet each other at their own level
-    spans = at_levels.groupBy("key", "level").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("members"), native) \
-        .where("lo < hi AND native").select("key", "level", (F.col("members") > SHORT_LIST).alias("long"))
+    one, other = F.xxhash64("rep", "own"), F.xxhash64("own", "rep")
+    mark = {"sum_high": F.sum(F.shiftrightunsigned(one, 32)).alias("sum_high"), "sum_low": F.sum(one.bitwiseAND(F.lit(0xFFFFFFFF))).alias("sum_low"),
+            "xor": F.bit_xor(other).alias("xor")}                                    # of a list's members in any order
+    spans = at_levels.groupBy("key", "level").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("members"), native, *mark.values()) \
+        .where("lo < hi AND native").groupBy("level", "members", *mark).agg(F.min("key").alias("key")) \
+        .select("key", "level", _long(rule, "level", "members").alias("long"))
     open_lists = stored(at_levels.join(spans, ["key", "level"]), "open-lists")
     long_lists = open_lists.where("long")
     places = long_lists.select("rep", "level", "own", "component").distinct()
@@ -378,14 +401,14 @@ def near_components(df: DataFrame, id_col: str = "doc_id", text: str = "text", r
     shared = members.groupBy("part").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), native).where("lo < hi AND native")
     meeting = members.join(shared.select("part"), "part", "left_semi").select(*lead, "part") \
         .union(open_lists.where("NOT long").select(*lead, F.xxhash64("key", "level").alias("part")))
-    again = stored(meeting.join(classes.select("rep", "n", "folded"), "rep"), "meeting")
+    again = stored(meeting.join(classes.select("rep", "n", "folded", _at_most("bits", WIDE).alias("bits")), "rep"), "meeting")
 
     def end(x):
-        return again.select("part", "level", *[F.col(c).alias(f"{c}_{x}" if c != "rep" else x) for c in ("rep", "component", "own", "n", "folded")])
+        return again.select("part", "level", *[F.col(c).alias(f"{c}_{x}" if c != "rep" else x) for c in ("rep", "component", "own", "n", "folded", "bits")])
 
     across = (end("a").join(end("b"), ["part", "level"])
               .where((F.col("a") < F.col("b")) & (F.col("component_a") != F.col("component_b"))
-                     & (F.col("level") == F.least("own_a", "own_b")) & _may_link(rule))
+                     & (F.col("level") == F.least("own_a", "own_b")) & _may_link(rule) & _may_link_by_bits(rule))
               .select("a", "b").distinct())
     second = _verified(plausible(across), docs, rule)
     final = components(second.union(grown.select(F.col("node").alias("u"), F.col("component").alias("v"))))

@@ -167,3 +167,31 @@ def test_texts_around_one_passage(spark, monkeypatch, short):
             a, b = sorted((top(i), top(j)))
             group[b] = a
     assert {r.doc_id: r.component_id for r in jaccard.near_components(df, rule=rule).collect()} == {i: top(i) for i in sets}
+
+
+def test_lists_with_the_same_members_are_looked_at_once(spark, monkeypatch):
+    """Texts around one passage, each of its shingles a list of the same members: one list a level is left, and no pair that cannot link is met."""
+    seen = {}
+
+    def kept(df, name, *a, _stored=jaccard.stored):
+        seen.setdefault(name, []).append(_stored(df, name, *a))
+        return seen[name][-1]
+    monkeypatch.setattr(jaccard, "stored", kept)
+    passage = [f"p{i}" for i in range(60)]
+    own = [[f"w{i}_{k}" for k in range(200)] for i in range(6)]
+    rows = [(i, " ".join([*passage, *part])) for i, part in enumerate(own)]
+    rows += [(10 + 10 * i + k, " ".join(part)) for i, part in enumerate(own) for k in range(10)]      # so the passage's shingles are the rarest
+    rule = Rule(4, 85, 100)
+    assert run(spark, rows, rule) == brute(rows, rule)
+    assert 0 < seen["meeting"][0].count() <= 3 * len(own)
+    assert seen["candidates"][1].count() == 0
+
+
+def test_folded_bitmaps_keep_their_parities(spark):
+    rng = np.random.default_rng(3)
+    sets = [rng.integers(0, 1 << 63, n).astype(np.uint64) for n in (3, 300, 1024, 1025, 5000)]
+    bits = [jaccard._parity(s) for s in sets]
+    df = spark.createDataFrame([(k, b.tolist()) for k, b in enumerate(bits)], "k int, bits array<bigint>")
+    for r in df.select("k", jaccard._at_most("bits", 16).alias("got")).collect():
+        whole = bits[r.k]
+        assert r.got == (np.bitwise_xor.reduce(whole.reshape(-1, 16), axis=0) if len(whole) > 16 else whole).tolist()
