@@ -32,7 +32,16 @@ WORDS_PER_QUERY = 20_000
 CACHED_WORDS = 400_000     # words a worker remembers; the memory is emptied when full
 IDS_PER_QUERY = 1 << 19    # ids that one DuckDB query decodes
 
-_seen: dict[tuple[str, str], dict[str, bytes]] = {}
+
+class _Known(dict):
+    """Ids of words. Emptied for another operator's cache, the worker's DuckDB goes with it."""
+
+    def clear(self) -> None:
+        super().clear()
+        duckbpe.worker.cache_clear()
+
+
+_seen: dict[tuple[str, str], _Known] = {}
 
 
 def _word_ids(words: set[str], path: str, known: dict[str, bytes]) -> None:
@@ -47,12 +56,12 @@ def _word_ids(words: set[str], path: str, known: dict[str, bytes]) -> None:
 def _encode_batches(batches: Iterator[pa.RecordBatch], text: str, out: str, path: str,
                     pattern: str) -> Iterator[pa.RecordBatch]:
     find = regex.compile(pattern).findall
-    known: dict[str, bytes] = claim(_seen.setdefault((path, pattern), {}))
+    known: dict[str, bytes] = claim(_seen.setdefault((path, pattern), _Known()))
     for batch in by_volume(batches, text, TEXT_PER_QUERY):
         at = batch.schema.get_field_index(text)
         words = [find(t or "") for t in batch.column(at).to_pylist()]
         if len(known) > CACHED_WORDS:
-            known.clear()
+            dict.clear(known)
         _word_ids({w for ws in words for w in ws}, path, known)
         ids = [b"".join(map(known.__getitem__, ws)) for ws in words]
         offsets = np.cumsum([0] + [len(b) // 4 for b in ids], dtype=np.int32)

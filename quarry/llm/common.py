@@ -65,7 +65,7 @@ def fresh(df: DataFrame, name: str) -> str:
 def by_volume(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """The batches cut so that ``column`` (text, binary or list) holds about ``limit`` units in each.
 
-    A single value above the limit is a batch of its own.
+    A single value above the limit is a batch of its own. At the end, the worker's freed memory goes back.
     """
     import pyarrow.compute as pc
     for batch in batches:
@@ -81,6 +81,8 @@ def by_volume(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Ite
             total += n
         if batch.num_rows > start:
             yield batch.slice(start)
+    batch = col = None
+    _give_back()             # the worker idles while stages without Python run
 
 
 _filled: list[dict] = []

@@ -4,6 +4,7 @@ import hashlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -101,3 +102,15 @@ def test_very_long_words_take_no_folder(tmp_path, monkeypatch):
     got = duckbpe.DuckBPE(path).encode(words)
     assert [list(g) for g in got] == [library._core_bpe.encode_single_piece(w) for w in words]
     assert not list(tmp_path.iterdir())
+
+
+def test_another_operators_cache_releases_the_database(spark):
+    """A worker that goes on to another operator holds neither the words nor DuckDB of this one."""
+    from quarry.llm.common import claim
+    batch = pa.RecordBatch.from_pydict({"text": ["some words", None]})
+    (got,) = bpe._encode_batches(iter([batch]), "text", "ids", PATH, bpe.public_tokenizers.PATTERN)
+    assert got.num_rows == 2 and duckbpe.worker.cache_info().currsize
+    claim({})
+    assert not duckbpe.worker.cache_info().currsize and not any(bpe._seen.values())
+    (again,) = bpe._encode_batches(iter([batch]), "text", "ids", PATH, bpe.public_tokenizers.PATTERN)
+    assert again.equals(got)
