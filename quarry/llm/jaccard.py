@@ -390,7 +390,7 @@ def near_components(df: DataFrame, id_col: str = "doc_id", text: str = "text", r
         .select("key", "level", _long(rule, "level", "members").alias("long"))
     open_lists = stored(at_levels.join(spans, ["key", "level"]), "open-lists")
     long_lists = open_lists.where("long")
-    places = long_lists.select("rep", "level", "own", "component").distinct()
+    places = stored(long_lists.select("rep", "level", "own", "component").distinct(), "places")     # its real size decides whether texts are shuffled
     parts = stored(docs.join(places.select(F.col("rep").alias("id")), "id", "left_semi")
                    .mapInArrow(lambda it: _part_batches(it, rule), "rep bigint, level int, full array<bigint>, empty array<bigint>"), "parts") \
         .join(places, ["rep", "level"])
