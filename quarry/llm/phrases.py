@@ -23,11 +23,11 @@ end with a piece, so memory grows with the longest piece only.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -44,7 +44,6 @@ UNKNOWN = "und"
 STEPS = (500_000, 60_000, 0)         # scores; the last must be 0
 WORD_BITS, PAIR_BITS = 20, 22
 TEXT_PER_BLOCK = 4 << 20
-CACHED_WORDS = 250_000               # of all languages, kept from block to block
 HELD = 400_000                       # distinct words a task holds before it gives them on
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -52,8 +51,8 @@ BREAK = b"\xff"                      # not a byte of UTF-8
 _plain = bytes(0xFF if b in b".,;:!?\n\x0b\x0c\r" else b for b in range(256)).lower()
 
 
-def token_blocks(texts: list[bytes]) -> Iterator[list[bytes]]:
-    """The words of all texts with BREAK between pieces, some megabytes at a time."""
+def _blocks(texts: list[bytes]) -> Iterator[bytes]:
+    """All texts in lower case with BREAK between pieces, a word by itself, some megabytes at a time."""
     data = BREAK.join(texts).translate(_plain)
     at = 0
     while at < len(data):
@@ -61,27 +60,62 @@ def token_blocks(texts: list[bytes]) -> Iterator[list[bytes]]:
         if end < len(data):
             found = data.rfind(BREAK, at, end)
             end = found + 1 if found >= 0 else data.find(BREAK, end) + 1 or len(data)
-        yield data[at:end].replace(BREAK, b" \xff ").split()
+        yield data[at:end].replace(BREAK, b" \xff ")
         at = end
 
 
-def _by_lang(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes]]]:
-    """(language, block of tokens) of rows (lang, text)."""
+def token_blocks(texts: list[bytes]) -> Iterator[list[bytes]]:
+    """The words of all texts with BREAK between pieces, some megabytes at a time."""
+    for block in _blocks(texts):
+        yield block.split()
+
+
+class Block:
+    """The tokens of a block, words and BREAK, each different one once: ``words``, and their numbers ``ids`` in order, from 1 on; 0 is BREAK."""
+
+    def __init__(self, lang: str, block: bytes):
+        tokens = pc.ascii_split_whitespace(pa.array([block], pa.binary()).view(pa.string())).flatten()
+        real = pc.greater(pc.binary_length(tokens), 0)           # white space at an end leaves an empty word there
+        tokens = (tokens if pc.all(real).as_py() else tokens.filter(real)).dictionary_encode()
+        self.lang, self.words = lang, tokens.dictionary
+        self.ids = tokens.indices.to_numpy().astype(np.int64) + 1
+        self.breaks = pc.index(self.words.view(pa.binary()), pa.scalar(BREAK)).as_py() + 1
+        if self.breaks:
+            self.ids[self.ids == self.breaks] = 0
+
+    def hashes(self) -> np.ndarray:
+        """The hash of every token, 0 of BREAK."""
+        lang = self.lang.encode() + b"\x00"
+        words = self.words.view(pa.binary()).to_numpy(zero_copy_only=False)
+        found = np.zeros(len(words) + 1, dtype=np.uint64)
+        found[1:] = np.fromiter(map(xxhash.xxh3_64_intdigest, [lang + w for w in words]), dtype=np.uint64, count=len(words))
+        return found[self.ids]
+
+    def counts(self) -> tuple[pa.Array, np.ndarray]:
+        """(different words, the number of each)."""
+        found = np.bincount(self.ids, minlength=len(self.words) + 1)[1:]
+        if not self.breaks:
+            return self.words, found
+        kept = np.flatnonzero(found)                             # BREAK was numbered and stands nowhere
+        return self.words.take(pa.array(kept)), found[kept]
+
+
+def _by_lang(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
+    """Blocks of rows (lang, text)."""
     for batch in by_volume(batches, "text", TEXT_PER_BLOCK):
         texts: dict[str, list[bytes]] = {}
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
             if text:
                 texts.setdefault(lang, []).append(text)
         for lang, found in texts.items():
-            for tokens in token_blocks(found):
-                yield lang, tokens
+            for block in _blocks(found):
+                yield Block(lang, block)
 
 
-def _rows(lang: str, size: int, phrases: list[bytes], counts) -> pa.RecordBatch:
+def _rows(lang: str, size: int, phrases: pa.Array, counts) -> pa.RecordBatch:
     n = len(phrases)
-    return pa.RecordBatch.from_arrays(
-        [pa.array([lang] * n, pa.string()), pa.array([size] * n, pa.int32()), pa.array(phrases, pa.binary()).cast(pa.string()),
-         pa.array(counts, pa.int64())], names=["lang", "size", "phrase", "f"])
+    return pa.RecordBatch.from_arrays([pa.array([lang] * n, pa.string()), pa.array([size] * n, pa.int32()), phrases, pa.array(counts, pa.int64())],
+                                      names=["lang", "size", "phrase", "f"])
 
 
 COUNTS = "lang string, size int, phrase string, f long"
@@ -89,17 +123,26 @@ COUNTS = "lang string, size int, phrase string, f long"
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     claim({})
-    held: dict[str, Counter] = {}
-    for lang, tokens in _by_lang(batches):
-        counts = held.setdefault(lang, Counter())
-        counts.update(tokens)
-        counts.pop(BREAK, None)
-        if sum(map(len, held.values())) > HELD:
-            for one, found in held.items():
-                yield _rows(one, 1, list(found), list(found.values()))
-            held.clear()
-    for one, found in held.items():
-        yield _rows(one, 1, list(found), list(found.values()))
+    held: dict[str, list[pa.Table]] = {}
+    for block in _by_lang(batches):
+        words, counts = block.counts()
+        held.setdefault(block.lang, []).append(pa.table({"phrase": words, "f": counts}))
+        if sum(t.num_rows for found in held.values() for t in found) > 2 * HELD:
+            held = {lang: [_merged(found)] for lang, found in held.items()}
+            if sum(t.num_rows for (t,) in held.values()) > HELD:
+                yield from _words_held(held)
+                held.clear()
+    yield from _words_held(held)
+
+
+def _merged(found: list[pa.Table]) -> pa.Table:
+    return pa.concat_tables(found).group_by("phrase", use_threads=False).aggregate([("f", "sum")]).select(["phrase", "f_sum"]).rename_columns(["phrase", "f"])
+
+
+def _words_held(held: dict[str, list[pa.Table]]) -> Iterator[pa.RecordBatch]:
+    for lang, found in held.items():
+        for part in _merged(found).to_batches():
+            yield _rows(lang, 1, part.column(0), part.column(1))
 
 
 def word_hash(lang: str, word: bytes) -> int:
@@ -147,48 +190,26 @@ def bounds(counts: DataFrame, bits: int) -> Bounds:
     return Bounds(bits, *(c.to_numpy() for c in found.columns))
 
 
-class _Words(dict):
-    """Words of a language by number; 0 is BREAK."""
-
-    def __init__(self, lang: str):
-        super().__init__({BREAK: 0})
-        self.lang, self.words, self.hashes = lang, [BREAK], [0]
-
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self.words)
-        self.words.append(word)
-        self.hashes.append(word_hash(self.lang, word))
-        return number
-
-
 def _scan(batches: Iterator[pa.RecordBatch], found_in) -> Iterator[pa.RecordBatch]:
     """Partial counts: ``found_in(ids, hashes)`` gives (size, word numbers by place) of the occurrences that a block has."""
     claim({})
-    known: dict[str, _Words] = {}
-    for lang, tokens in _by_lang(batches):
-        if sum(map(len, known.values())) > CACHED_WORDS:
-            known.clear()
-        if lang not in known:
-            known[lang] = _Words(lang)
-        words = known[lang]
-        ids = np.fromiter(map(words.__getitem__, tokens), dtype=np.int64, count=len(tokens))
-        hashes = np.array(words.hashes, dtype=np.uint64)[ids]
-        hashes[ids == 0] = 0
-        for size, occurrences in found_in(ids, hashes):
+    for block in _by_lang(batches):
+        for size, occurrences in found_in(block.ids, block.hashes()):
+            if not len(occurrences[0]):
+                continue
             # a phrase's number is that of its first words, then its last word: 64 bits hold both exactly
             number, parts = occurrences[0], []
-            for column in occurrences[1:]:
+            for column in occurrences[1:-1]:
                 keys, number = np.unique(number << 32 | column, return_inverse=True)
                 parts.append(keys)
-            if not len(number):
-                continue
-            counts = np.bincount(number)
-            phrases = [words.words[k] for k in (parts[0] >> 32).tolist()]
+            keys, counts = np.unique(number << 32 | occurrences[-1], return_counts=True)
+            parts.append(keys)
+            phrases = block.words.take(pa.array((parts[0] >> 32) - 1))
             for keys in parts:
                 if keys is not parts[0]:
-                    phrases = [phrases[k] for k in (keys >> 32).tolist()]
-                phrases = [p + b" " + words.words[k] for p, k in zip(phrases, (keys & 0xFFFFFFFF).tolist(), strict=True)]
-            yield _rows(lang, size, phrases, counts)
+                    phrases = phrases.take(pa.array(keys >> 32))
+                phrases = pc.binary_join_element_wise(phrases, block.words.take(pa.array((keys & 0xFFFFFFFF) - 1)), " ")
+            yield _rows(block.lang, size, phrases, counts)
 
 
 def _pairs_in(ids: np.ndarray, hashes: np.ndarray, words: Bounds):

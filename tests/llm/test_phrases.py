@@ -81,3 +81,24 @@ def test_blocks_end_with_pieces(monkeypatch):
     blocks = list(phrases.token_blocks([text, b"y z"]))
     assert len(blocks) > 2 and [t for b in blocks for t in b] == text.replace(b".", b" \xff ").replace(b",", b" \xff ").replace(b";", b" \xff ").split() + [b"\xff", b"y", b"z"]
     assert all(b[-1] == b"\xff" for b in blocks[:-1])
+
+
+def test_blocks_of_numbered_words(monkeypatch):
+    """A block knows its own words by number, each once, and keeps none for the next; words held across blocks are merged."""
+    import pyarrow as pa
+    (data,) = phrases._blocks([b" The cat.\tthe CAT", b"", b"\x1f!"])
+    block = phrases.Block("en", data)
+    words, counts = block.counts()
+    assert dict(zip(words.to_pylist(), counts.tolist(), strict=True)) == {"the": 2, "cat": 2, "\x1f": 1}
+    assert [k == 0 for k in block.ids] == [False, False, True, False, False, True, True, False, True]
+    assert block.hashes().tolist()[:2] == [phrases.word_hash("en", w) for w in (b"the", b"cat")] and block.hashes()[2] == 0
+    assert phrases.Block("en", b" \xff ").counts()[0].to_pylist() == []
+    monkeypatch.setattr(phrases, "HELD", 3)
+    monkeypatch.setattr(phrases, "TEXT_PER_BLOCK", 8)
+    texts = ["a b. c", "a a", "d e f g h. i", "a"]
+    batch = pa.RecordBatch.from_pydict({"lang": ["x", "y", "x", "x"], "text": texts})
+    found = Counter()
+    for out in phrases._count_words(iter([batch])):
+        for lang, word, f in zip(out.column(0).to_pylist(), out.column(2).to_pylist(), out.column(3).to_pylist(), strict=True):
+            found[lang, word] += f
+    assert found == Counter([("x", w) for w in "abcdefghia"] + [("y", "a")] * 2)
