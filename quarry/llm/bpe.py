@@ -46,11 +46,10 @@ _seen: dict[tuple[str, str], _Known] = {}
 
 def _word_ids(words: set[str], path: str, known: dict[str, bytes]) -> None:
     """Adds the ids (little-endian int32) of words that ``known`` lacks."""
-    new = [w for w in words if w not in known]
+    new = [*(words - known.keys())]
     for i in range(0, len(new), WORDS_PER_QUERY):
         part = new[i:i + WORDS_PER_QUERY]
-        for w, ids in zip(part, duckbpe.worker(path).encode([w.encode() for w in part]), strict=True):
-            known[w] = ids.tobytes()
+        known.update(zip(part, duckbpe.worker(path).packed([w.encode() for w in part]), strict=True))
 
 
 def _encode_batches(batches: Iterator[pa.RecordBatch], text: str, out: str, path: str,
@@ -62,8 +61,9 @@ def _encode_batches(batches: Iterator[pa.RecordBatch], text: str, out: str, path
         words = [find(t or "") for t in batch.column(at).to_pylist()]
         if len(known) > CACHED_WORDS:
             dict.clear(known)
-        _word_ids({w for ws in words for w in ws}, path, known)
+        _word_ids(set().union(*words), path, known)
         ids = [b"".join(map(known.__getitem__, ws)) for ws in words]
+        words = None
         offsets = np.cumsum([0] + [len(b) // 4 for b in ids], dtype=np.int32)
         column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), dtype=np.int32)))
         keep = [i for i, f in enumerate(batch.schema) if f.name not in (text, out)]

@@ -14,9 +14,11 @@ import functools
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 # Rows are (word, pos, stop, id): token `id` covers the bytes pos..stop of the batch's joined
-# words, so the right neighbour of a row is the row of the same word whose pos equals its stop.
+# words. Between two words one place is free, so the right neighbour of a row is the row whose pos
+# equals its stop.
 # Each step contracts every unfinished word's leftmost pair of smallest rank, in one number
 # (rank, then pos), until no pair of the word is a token.
 ENCODE = """
@@ -25,7 +27,7 @@ WITH RECURSIVE live(step, word, pos, stop, id) AS (
   UNION ALL
     (WITH pair AS (
         SELECT a.word, m.rank::BIGINT << 32 | a.pos AS best, a.stop AS mid, b.stop
-        FROM live a JOIN live b ON b.pos = a.stop AND b.word = a.word
+        FROM live a JOIN live b ON b.pos = a.stop
         JOIN merges m ON m.l = a.id AND m.r = b.id
      ), chosen AS (
         SELECT word, min(best) AS best, arg_min(mid, best) AS mid, arg_min(stop, best) AS stop
@@ -94,9 +96,9 @@ WITH RECURSIVE live(pos, word, stop, id) USING KEY (pos) AS (
 SELECT word, id FROM live WHERE id >= 0 ORDER BY word, pos
 """
 
+# One sort over all tokens; the pieces of a document then stand side by side.
 DECODE = """
-SELECT doc, string_agg(piece, '' ORDER BY pos) AS piece
-FROM tokens JOIN vocab USING (id) GROUP BY doc
+SELECT piece FROM tokens JOIN vocab USING (id) ORDER BY pos
 """
 
 LONG_WORD = 64  # bytes
@@ -153,27 +155,46 @@ class DuckBPE:
                 out[k] = ids
         return out
 
+    def packed(self, words: list[bytes]) -> list[bytes]:
+        """Token ids of each word as little-endian int32, without an array for each."""
+        out: list = [b""] * len(words)
+        for query, chosen in ((ENCODE, [k for k, w in enumerate(words) if len(w) <= LONG_WORD]),
+                              (ENCODE_LONG, [k for k, w in enumerate(words) if len(w) > LONG_WORD])):
+            if chosen:
+                ids, ends = self._ids([words[k] for k in chosen], query)
+                data, ends = ids.astype("<i4", copy=False).tobytes(), (4 * ends).tolist()
+                for k, start, end in zip(chosen, [0, *ends], ends):  # noqa: B905  (one start more)
+                    out[k] = data[start:end]
+        return out
+
     def _encode(self, words: list[bytes], query: str) -> list[np.ndarray]:
         if not words:
             return []
+        ids, ends = self._ids(words, query)
+        return np.split(ids, ends[:-1])
+
+    def _ids(self, words: list[bytes], query: str) -> tuple[np.ndarray, np.ndarray]:
+        """(token ids of all words, where each word's end)."""
         lengths = np.array([len(w) for w in words], dtype=np.int64)
         joined = np.frombuffer(b"".join(words), dtype=np.uint8)
-        seed = pa.table({"word": np.repeat(np.arange(len(words), dtype=np.int32), lengths),  # noqa: F841
-                         "pos": np.arange(len(joined), dtype=np.int32), "id": self.byte_id[joined]})
+        word = np.repeat(np.arange(len(words), dtype=np.int32), lengths)
+        seed = pa.table({"word": word, "pos": np.arange(len(joined), dtype=np.int32) + word,  # noqa: F841
+                         "id": self.byte_id[joined]})
         got = self.con.execute(query).fetchnumpy()
         counts = np.bincount(got["word"], minlength=len(words))
-        return np.split(got["id"].astype(np.int32), np.cumsum(counts)[:-1])
+        return got["id"].astype(np.int32), np.cumsum(counts)
 
     def decode(self, ids: np.ndarray, doc: np.ndarray, n_docs: int) -> list[bytes]:
-        """The bytes of each document, from its ids in order; ``doc`` numbers the documents."""
-        tokens = pa.table({"doc": doc, "pos": np.arange(len(ids), dtype=np.int32), "id": ids})  # noqa: F841
-        out = [b""] * n_docs
-        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.known) or not self.known[ids].all()):
+        """The bytes of each document, from its ids in order; ``doc`` numbers the documents, ascending."""
+        if not len(ids):
+            return [b""] * n_docs
+        tokens = pa.table({"pos": np.arange(len(ids), dtype=np.int32), "id": ids})  # noqa: F841
+        if ids.min() < 0 or ids.max() >= len(self.known) or not self.known[ids].all():
             raise ValueError("an id is not in the vocabulary")
-        got = self.con.sql(DECODE).to_arrow_table()
-        for k, piece in zip(got["doc"].to_pylist(), got["piece"].to_pylist(), strict=True):
-            out[k] = piece.encode("latin-1")
-        return out
+        pieces = self.con.sql(DECODE).to_arrow_table()["piece"].combine_chunks()
+        starts = pa.array(np.searchsorted(doc, np.arange(n_docs + 1)).astype(np.int32))
+        joined = pc.binary_join(pa.ListArray.from_arrays(starts, pieces), "")
+        return [piece.encode("latin-1") for piece in joined.to_pylist()]
 
 
 @functools.lru_cache(maxsize=2)

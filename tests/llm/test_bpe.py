@@ -114,3 +114,15 @@ def test_another_operators_cache_releases_the_database(spark):
     assert not duckbpe.worker.cache_info().currsize and not any(bpe._seen.values())
     (again,) = bpe._encode_batches(iter([batch]), "text", "ids", PATH, bpe.public_tokenizers.PATTERN)
     assert again.equals(got)
+
+
+def test_packed_words_and_documents_without_ids():
+    """Ids of many words come as bytes, without an array each; documents without ids stand between others when decoded in one sort."""
+    worker = duckbpe.worker(PATH)
+    words = [b"word", b"", "日本語".encode(), b"x" * 90, b" the", b"zqzqzq"]
+    assert worker.packed(words) == [ids.astype("<i4").tobytes() for ids in worker.encode(words)]
+    assert worker.packed([]) == []
+    ids = worker.encode(words)
+    doc = np.repeat(np.array([1, 2, 4, 5, 8, 9], dtype=np.int32), [len(i) for i in ids])
+    assert worker.decode(np.concatenate(ids), doc, 11) == [b"", words[0], b"", b"", words[2], words[3], b"", b"", words[4], words[5], b""]
+    assert worker.decode(np.empty(0, dtype=np.int32), np.empty(0, dtype=np.int32), 2) == [b"", b""]
