@@ -51,11 +51,12 @@ def _domain() -> Column:
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ngrams.new_task()
-    counts = np.zeros((len(DOMAINS), ngrams.BUCKETS), dtype=np.int32)
+    counts = np.zeros(len(DOMAINS) * ngrams.BUCKETS, dtype=np.int32)
     for batch in by_volume(batches, "text", ngrams.TEXT_PER_BATCH):
-        for text, domain in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            counts[domain, ngrams.features(text)[0]] += 1
-    yield ngrams.count_rows(list(counts))
+        found, bounds, _ = ngrams.features_of(batch.column(0))
+        domain = np.array(batch.column(1).to_pylist(), dtype=np.int64).repeat(np.diff(bounds))
+        np.add.at(counts, domain * ngrams.BUCKETS + found, 1)
+    yield ngrams.count_rows([counts])
 
 
 def fit_posteriors(counts: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -90,14 +91,12 @@ def _score_batches(batches, text: str, base: np.ndarray, weights, names: list[st
     ngrams.new_task()
     w = weights.value.view(np.complex128)[:, 0]      # both domains beside plain text in one number, so that one sum adds up both
     for batch in by_volume(batches, text, ngrams.TEXT_PER_BATCH):
-        out = np.empty((batch.num_rows, len(DOMAINS) + 1))
-        for k, t in enumerate(batch.column(batch.schema.get_field_index(text)).cast(pa.binary()).to_pylist()):
-            found, n = ngrams.features(t)
-            s = base.copy()
-            s[1:] += w.take(found).sum(keepdims=True).view(np.float64)
-            e = np.exp(s - s.max())
-            out[k, 0], out[k, 1:] = n, e / e.sum()
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out[:, 0].astype(np.int64)), *map(pa.array, out[:, 1:].T)],
+        found, bounds, n = ngrams.features_of(batch.column(batch.schema.get_field_index(text)))
+        s = np.tile(base, (batch.num_rows, 1))
+        s[:, 1:] += ngrams.sums(w.take(found), bounds).view(np.float64).reshape(-1, len(DOMAINS) - 1)
+        e = np.exp(s - s.max(axis=1, keepdims=True))
+        p = e / e.sum(axis=1, keepdims=True)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n), *map(pa.array, p.T)],
                                          names=[*batch.schema.names, *names])
 
 

@@ -12,9 +12,11 @@ from __future__ import annotations
 import itertools
 import re
 from array import array
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +26,7 @@ from .common import claim
 TOKEN_BITS, PAIR_BITS = 18, 20      # tokens have the first buckets, pairs the rest: a long text has thousands of rare pairs
 TOKENS = 1 << TOKEN_BITS
 BUCKETS = TOKENS + (1 << PAIR_BITS)
+BUCKET_BITS = BUCKETS.bit_length()
 SHIFT, PAIR_SHIFT = 64 - TOKEN_BITS, 64 - PAIR_BITS
 PART = 1 << 14           # counts travel in parts of this many buckets
 STEM = 5
@@ -31,9 +34,10 @@ ECHOES = (1, 2, 3)
 ODD = 0x9E3779B97F4A7C15      # a pair hashes to ODD * first + second
 NONE = -1
 CACHED_WORDS = 200_000
-TEXT_PER_BATCH = 4 << 20
+TEXT_PER_BATCH = 1 << 20  # bytes of text cut at once
 
-_piece = re.compile(r"\w+|[^\w\s]+")
+END = "\n"               # of a word, between words
+_piece = re.compile(r"\w+|[^\w\s]+|\n")
 _digest = xxhash.xxh3_64_intdigest
 
 
@@ -60,48 +64,75 @@ def new_task() -> None:
     claim(_tokens)
 
 
-class _Words(dict):
-    """Words (runs of bytes without ASCII white space) as they stand in texts, by number; under a number stand the first and the last of the word's
-    tokens, and for every token its hash in lower case, its stem's bucket (NONE if it has none) and whether it is in capitals. Between
-    texts, more than CACHED_WORDS are forgotten."""
+class _Numbers(defaultdict):
+    """Numbers of what is looked up, in the order of its first time."""
 
     def __init__(self):
         super().__init__()
-        self.stems = _Stems()
         self.clear()
 
     def clear(self) -> None:
         super().clear()
-        self.stems.clear()
-        self.unseen: list[bytes] = []
-        self.first, self.hashes, self.stem, self.capitals = array("i", [0]), array("Q"), array("i"), array("b")
+        self.default_factory = itertools.count().__next__
 
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self)
-        self.unseen.append(word)
-        return number
+    def after(self, n: int) -> list:
+        """All but the first ``n``."""
+        return [*itertools.islice(self, n, None)]
 
-    def _cut(self) -> None:
-        """The tokens of the words that came in last."""
-        words = b" ".join(self.unseen).decode("utf-8", "replace").split(" ")
-        self.unseen.clear()
-        runs = [[w] if w.isalnum() else _piece.findall(w) for w in words]      # letters and digits alone are one token
-        tokens = [*itertools.chain.from_iterable(runs)]
-        lows = [t.lower() for t in tokens]
-        self.first.extend(itertools.islice(itertools.accumulate(map(len, runs), initial=len(self.hashes)), 1, None))
+
+class _Tokens(_Numbers):
+    """Tokens as they stand in words, by number: under a number stand the token's hash in lower case, its stem's bucket (NONE if it has none)
+    and whether it is in capitals. 0 is the end of a word."""
+
+    def clear(self) -> None:
+        super().clear()
+        self.stems = _Stems()
+        self.hashes, self.stem, self.capitals = array("Q", [0]), array("i", [NONE]), array("b", [self[END]])
+
+    def learn(self) -> None:
+        """What stands under the numbers that came in last."""
+        tokens = self.after(len(self.hashes))
+        lows = [*map(str.lower, tokens)]
         self.hashes.extend(map(_digest, lows))
-        self.stem.extend([self.stems[low[:STEM]] if len(low) > STEM else NONE for low in lows])
-        self.capitals.extend([len(t) > 1 and t.isupper() for t in tokens])
+        stem = np.full(len(lows), NONE, dtype=np.int32)
+        long = np.fromiter(map(len, lows), dtype=np.int64, count=len(lows)) > STEM
+        stem[long] = [*map(self.stems.__getitem__, [low[:STEM] for low in lows if len(low) > STEM])]
+        self.stem.frombytes(stem.tobytes())
+        capitals = np.fromiter(map(str.isupper, tokens), dtype=np.int8, count=len(lows))
+        for k in np.flatnonzero(capitals).tolist():
+            capitals[k] = len(tokens[k]) > 1
+        self.capitals.frombytes(capitals.tobytes())
+
+
+class _Words(_Numbers):
+    """Words (runs of bytes without ASCII white space) as they stand in texts, by number; under a number stand the first and the last of the word's
+    tokens, which have numbers of their own. Between texts, more than CACHED_WORDS are forgotten."""
 
-    def tokens(self, words: list[bytes]) -> np.ndarray:
-        """The numbers of the words' tokens, in order."""
+    def clear(self) -> None:
+        super().clear()
+        self.known = _Tokens()
+        self.first, self.token = array("i", [0]), array("i")
+
+    def _cut(self) -> None:
+        """The tokens of the words that came in last."""
+        unseen = [*self.after(len(self.first) - 1), b""]
+        found = _piece.findall(END.encode().join(unseen).decode("utf-8", "replace"))          # no word holds END
+        numbers = np.fromiter(map(self.known.__getitem__, found), dtype=np.int32, count=len(found))
+        self.known.learn()
+        ends = np.flatnonzero(numbers == 0)
+        self.first.frombytes((ends - np.arange(len(ends)) + len(self.token)).astype(np.int32).tobytes())
+        self.token.frombytes(numbers[numbers != 0].tobytes())
+
+    def tokens(self, words: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(the numbers of the tokens of the ``words`` at ``places``, in order, the number of each word's)."""
         at = np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
-        if self.unseen:
+        if len(self) >= len(self.first):
             self._cut()
-        first = np.frombuffer(self.first, dtype=np.int32)
-        start, n = first[at], first[at + 1] - first[at]
-        ends = n.cumsum(dtype=np.int64)
-        return np.arange(ends[-1]) + (start - ends + n).repeat(n)
+        first, at = np.frombuffer(self.first, dtype=np.int32), at[places]
+        start, sizes = first[at], first[at + 1] - first[at]
+        ends = sizes.cumsum(dtype=np.int64)
+        inner = np.arange(ends[-1] if len(ends) else 0) + (start - ends + sizes).repeat(sizes)
+        return np.frombuffer(self.token, dtype=np.int32)[inner], sizes
 
 
 class _Stems(dict):
@@ -113,32 +144,57 @@ class _Stems(dict):
 _tokens = _Words()
 
 
-def features(text: bytes | None) -> tuple[np.ndarray, int]:
-    """(distinct buckets in order, number of words) of a text in UTF-8."""
-    words = (text or b"").split()
-    n = len(words)
+def features_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of texts: (their distinct buckets, one text after the other and in order, bounds of each text's, number of words of each)."""
+    cut = pc.ascii_split_whitespace(texts.view(pa.string()))
+    words, doc = cut.flatten(), pc.list_parent_indices(cut).to_numpy().astype(np.int64)
+    real = pc.binary_length(words).to_numpy() > 0               # beside white space at the ends stand empty words
+    if not real.all():
+        words, doc = words.filter(pa.array(real)), doc[real]
+    n = np.bincount(doc, minlength=len(texts))
+    words = words.dictionary_encode()
     if len(_tokens) > CACHED_WORDS:
         _tokens.clear()
-    at = _tokens.tokens(words) if n else ()
-    if not len(at):
-        return np.empty(0, dtype=np.int32), n
-    hashes, stems = np.frombuffer(_tokens.hashes, dtype=np.uint64)[at], np.frombuffer(_tokens.stem, dtype=np.int32)[at]
+    distinct = words.dictionary.view(pa.binary()).to_numpy(zero_copy_only=False)
+    at, sizes = _tokens.tokens(distinct, words.indices.to_numpy())
+    doc = doc.repeat(sizes)
+    known = _tokens.known
+    hashes, stems = np.frombuffer(known.hashes, dtype=np.uint64)[at], np.frombuffer(known.stem, dtype=np.int32)[at]
+    capitals = np.zeros(len(texts), dtype=bool)
+    capitals[doc[np.frombuffer(known.capitals, dtype=np.int8)[at] != 0]] = True
     pairs = np.uint64(ODD) * hashes[:-1] + hashes[1:]
-    found = [(hashes >> np.uint64(SHIFT)).astype(np.int32), stems[stems != NONE],
-             (pairs >> np.uint64(PAIR_SHIFT)).astype(np.int32) + np.int32(TOKENS)]
-    if np.frombuffer(_tokens.capitals, dtype=np.int8)[at].any():
-        found.append(np.array([CAPITALS], dtype=np.int32))
+    mark = doc << BUCKET_BITS                         # a text's buckets stand together when sorted
+    whole, stemmed = doc[:-1] == doc[1:], stems != NONE
+    found = [mark | (hashes >> np.uint64(SHIFT)).astype(np.int64), mark[stemmed] | stems[stemmed],
+             mark[:-1][whole] | ((pairs[whole] >> np.uint64(PAIR_SHIFT)).astype(np.int64) + TOKENS),
+             np.flatnonzero(capitals) << BUCKET_BITS | CAPITALS]
     nearer = np.zeros(len(pairs), dtype=bool)
     for k in ECHOES:
-        again = (pairs[k:] == pairs[:-k]) & ~nearer[k:]
+        again = (pairs[k:] == pairs[:-k]) & ~nearer[k:] & (doc[:-k - 1] == doc[k + 1:])
         nearer[k:] |= again
-        echoes = int(np.count_nonzero(again))
-        found.append(ECHO[k][echoes.bit_length():][:echoes > 0])
-    every = np.concatenate(found, dtype=np.int32)
+        echoes = np.bincount(doc[k + 1:][again], minlength=len(texts))
+        some = np.flatnonzero(echoes)
+        found.append(some << BUCKET_BITS | ECHO[k][np.frexp(echoes[some])[1]])            # the exponent: binary digits
+    every = np.concatenate(found)
     every.sort()
-    new = np.empty(len(every), dtype=bool)
-    new[0], new[1:] = True, every[1:] != every[:-1]
-    return every[new], n
+    every = every[np.diff(every, prepend=-1) != 0]
+    bounds = np.searchsorted(every, np.arange(len(texts) + 1, dtype=np.int64) << BUCKET_BITS)
+    return (every & ((1 << BUCKET_BITS) - 1)).astype(np.int32), bounds, n
+
+
+def features(text: bytes | None) -> tuple[np.ndarray, int]:
+    """(distinct buckets in order, number of words) of a text in UTF-8."""
+    found, _, n = features_of(pa.array([text], pa.binary()))
+    return found, int(n[0])
+
+
+def sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The sum of ``values`` between each two bounds."""
+    total = np.zeros(len(bounds) - 1, dtype=values.dtype)
+    some = np.flatnonzero(np.diff(bounds))
+    if len(some):
+        total[some] = np.add.reduceat(values, bounds[some])
+    return total
 
 
 def weigh_pairs(weights: np.ndarray) -> np.ndarray:

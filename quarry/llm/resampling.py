@@ -44,11 +44,9 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     ngrams.new_task()
     raw, target = np.zeros(ngrams.BUCKETS, dtype=np.int32), np.zeros(ngrams.BUCKETS, dtype=np.int32)
     for batch in by_volume(batches, "text", ngrams.TEXT_PER_BATCH):
-        for text, is_target in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            found, _ = ngrams.features(text)
-            raw[found] += 1
-            if is_target:
-                target[found] += 1
+        found, bounds, _ = ngrams.features_of(batch.column(0))
+        np.add.at(raw, found, 1)
+        np.add.at(target, found[np.array(batch.column(1).to_pylist(), dtype=bool).repeat(np.diff(bounds))], 1)
     yield ngrams.count_rows([raw, target])
 
 
@@ -72,11 +70,9 @@ def _weigh_batches(batches, text: str, out: str, weights, base: int) -> Iterator
     ngrams.new_task()
     w = weights.value
     for batch in by_volume(batches, text, ngrams.TEXT_PER_BATCH):
-        values = []
-        for t in batch.column(batch.schema.get_field_index(text)).cast(pa.binary()).to_pylist():
-            found, n = ngrams.features(t)
-            values.append((base + int(w[found].sum(dtype=np.int64))) / SCALE if n else None)
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, pa.float64())],
+        found, bounds, n = ngrams.features_of(batch.column(batch.schema.get_field_index(text)))
+        values = (base + ngrams.sums(w[found].astype(np.int64), bounds)) / SCALE
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, pa.float64(), mask=n == 0)],
                                          names=[*batch.schema.names, out])
 
 

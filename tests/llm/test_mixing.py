@@ -89,3 +89,33 @@ def test_word_order_tells(spark):
     df, lab = spark.createDataFrame(rows, "doc_id long, text string, kind string"), spark.createDataFrame(labels, LABELS)
     p = {r.kind: r.p for r in mixing.mix(df, lab).where("doc_id % 3 = 0").groupBy("kind").agg(F.avg("p_plain").alias("p")).collect()}
     assert p["good"] > 0.75 and p["bad"] < 0.05, p          # four fifths of the labels are plain; a missing pair says nothing
+
+
+def test_features_of_many_texts_are_those_of_each():
+    """Texts cut together have the features that each has by definition; nothing runs over from a text to the next."""
+    import pyarrow as pa
+
+    from quarry.llm import ngrams
+    texts = [None, b"", b" \t ", b"a b", b"b a b a b a", "İSTANBUL ΑΣ'Α ΣΑΣ, ok\x1cb c_d  A".encode(), b"\xff\xfe w w w w", b"w w", b"x, longer-words! X AND MORE", b"\x1c \x1d"]
+
+    def plain(text):
+        found, pairs = set(), []
+        tokens = [t for w in (text or b"").split() for t in ngrams.re.findall(r"\w+|[^\w\s]+", w.decode("utf-8", "replace"))]
+        low = [t.lower() for t in tokens]
+        hashes = [ngrams._hash(t) for t in low]
+        pairs = [(ngrams.ODD * a + b) & (1 << 64) - 1 for a, b in zip(hashes, hashes[1:], strict=False)]
+        found |= {h >> ngrams.SHIFT for h in hashes} | {ngrams.pair_bucket(a, b) for a, b in zip(hashes, hashes[1:], strict=False)}
+        found |= {ngrams.bucket("\x00" + t[:ngrams.STEM]) for t in low if len(t) > ngrams.STEM}
+        found |= {ngrams.CAPITALS for t in tokens if len(t) > 1 and t.isupper()}
+        nearer = set()
+        for k in ngrams.ECHOES:
+            again = {i for i in range(k, len(pairs)) if pairs[i] == pairs[i - k]} - nearer
+            nearer |= again
+            found |= {int(ngrams.ECHO[k][len(again).bit_length()])} if again else set()
+        return sorted(found)
+    ngrams._tokens.clear()
+    for many in (texts, texts[::-1], texts * 3):
+        found, bounds, n = ngrams.features_of(pa.array(many, pa.binary()))
+        assert n.tolist() == [len((t or b"").split()) for t in many]
+        assert [found[a:b].tolist() for a, b in zip(bounds, bounds[1:], strict=False)] == [plain(t) for t in many]
+    assert ngrams.sums(np.array([1, 2, 3]), np.array([0, 0, 2, 2, 3, 3])).tolist() == [0, 3, 0, 3, 0]
