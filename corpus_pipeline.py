@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import bpe, jaccard, lines, mixing, resampling
-from quarry.llm.common import fresh, stored, table
+from quarry.llm.common import bound_batches, fresh, stored, table
 from quarry.session import ship_package
 
 #: what is left of junk after the quality stage may stay at one part in a hundred; toxic text has no share
@@ -29,10 +29,11 @@ HAS_WORD = r"[^\x20\x09-\x0D]"
 
 
 def _stage(fn):
-    """The stage with the package sent to the executors first, so that it can be called on its own."""
+    """The stage with the package sent to the executors and batches bounded first, so that it can be called on its own."""
     @functools.wraps(fn)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         ship_package(spark)
+        bound_batches(spark)
         return fn(spark, docs, sf_dir)
     return run_stage
 

@@ -21,6 +21,9 @@ SQL: dict[str, str] = {}
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+
+
 def query(name: str, sql: str | None = None):
     """Register ``fn(spark, sf_dir)`` as a query, with its DuckDB SQL where SQL can state it."""
     def deco(fn):
@@ -54,6 +57,13 @@ def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Rows go to Python workers in batches of ``BATCH_BYTES``, unless the session says how many bytes: by Spark's own setting 10,000 whole
+    texts are one batch, which JVM and worker hold at once."""
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have."""
     taken = {c.lower() for c in df.columns}
@@ -65,7 +75,8 @@ def fresh(df: DataFrame, name: str) -> str:
 def by_volume(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """The batches cut so that ``column`` (text, binary or list) holds about ``limit`` units in each.
 
-    A single value above the limit is a batch of its own. At the end, the worker's freed memory goes back.
+    A single value above the limit is a batch of its own. What is cut off has its own memory, so that a batch from Spark is gone
+    before the next one is read. At the end, the worker's freed memory goes back.
     """
     import pyarrow.compute as pc
     for batch in batches:
@@ -76,15 +87,22 @@ def by_volume(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Ite
         for k, n in enumerate(length.to_pylist()):
             n = n or 0
             if total and total + n > limit:
-                yield batch.slice(start, k - start)
+                yield _own(batch.slice(start, k - start))
                 total, start = 0, k
             total += n
-        if batch.num_rows > start:
-            yield batch.slice(start)
-    batch = col = None
+        rest = _own(batch.slice(start)) if batch.num_rows > start else None
+        batch = col = length = None
+        if rest is not None:
+            yield rest
+        rest = None
     _give_back()             # the worker idles while stages without Python run
 
 
+def _own(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """A copy that does not hold the batch it is cut from."""
+    return batch.take(pa.array(range(batch.num_rows), pa.int64()))
+
+
 _filled: list[dict] = []
 
 

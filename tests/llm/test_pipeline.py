@@ -4,6 +4,7 @@ import hashlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -115,3 +116,28 @@ def test_every_stage_takes_odd_rows_and_empty_tables(spark, sf):
 def test_registered(spark):
     import __spark_entry__ as E
     assert E.queries()["pipeline"] is P.run
+
+
+def test_batches_of_long_texts_are_bounded(spark):
+    """A stage bounds the bytes that go to a Python worker at once, unless the session has its own bound, and what is cut off a batch does not hold it."""
+    from quarry.llm import common
+    own = spark.conf.get(common.BATCH_SETTING, None)
+    try:
+        spark.conf.unset(common.BATCH_SETTING)
+        long = spark.range(0, 6000, 1, 1).selectExpr("id AS doc_id", "repeat('word ', 1000) AS text")
+
+        def sizes(batches):
+            for b in batches:
+                yield pa.RecordBatch.from_pydict({"n": [b.nbytes]})
+        common.bound_batches(spark)
+        found = [r.n for r in long.mapInArrow(sizes, "n long").collect()]
+        assert sum(found) > 30_000_000 and max(found) < 2 * common.BATCH_BYTES
+        spark.conf.set(common.BATCH_SETTING, "1000000")
+        common.bound_batches(spark)
+        assert spark.conf.get(common.BATCH_SETTING) == "1000000"
+    finally:
+        spark.conf.unset(common.BATCH_SETTING) if own is None else spark.conf.set(common.BATCH_SETTING, own)
+    batch = pa.RecordBatch.from_pydict({"text": ["x" * 1000] * 1000})
+    parts = [*common.by_volume(iter([batch]), "text", 10_000)]
+    assert len(parts) == 100 and all(p.column(0).get_total_buffer_size() < 50_000 for p in parts)
+    assert pa.Table.from_batches(parts).equals(pa.Table.from_batches([batch]))
