@@ -28,9 +28,9 @@ from .common import by_volume, claim, query, table
 
 MULTI_50K = "byte_bpe_multi_50k.tiktoken"
 TEXT_PER_QUERY = 1 << 20   # bytes of text whose new words go to one DuckDB query
-WORDS_PER_QUERY = 20_000
-CACHED_WORDS = 400_000     # words a worker remembers; the memory is emptied when full
-IDS_PER_QUERY = 1 << 19    # ids that one DuckDB query decodes
+WORDS_PER_QUERY = 8_000
+CACHED_WORDS = 150_000     # words a worker remembers; when full, only those of the text at hand stay
+IDS_PER_QUERY = 1 << 17    # ids that one DuckDB query decodes
 
 
 class _Known(dict):
@@ -59,11 +59,14 @@ def _encode_batches(batches: Iterator[pa.RecordBatch], text: str, out: str, path
     for batch in by_volume(batches, text, TEXT_PER_QUERY):
         at = batch.schema.get_field_index(text)
         words = [find(t or "") for t in batch.column(at).to_pylist()]
+        wanted = set().union(*words)
         if len(known) > CACHED_WORDS:
+            stay = {w: known[w] for w in wanted & known.keys()}
             dict.clear(known)
-        _word_ids(set().union(*words), path, known)
+            known.update(stay)
+        _word_ids(wanted, path, known)
         ids = [b"".join(map(known.__getitem__, ws)) for ws in words]
-        words = None
+        words = wanted = None
         offsets = np.cumsum([0] + [len(b) // 4 for b in ids], dtype=np.int32)
         column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), dtype=np.int32)))
         keep = [i for i, f in enumerate(batch.schema) if f.name not in (text, out)]

@@ -21,7 +21,7 @@ SQL: dict[str, str] = {}
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 1 << 20
 
 
 def query(name: str, sql: str | None = None):
@@ -59,7 +59,7 @@ def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
 
 def bound_batches(spark: SparkSession) -> None:
     """Rows go to Python workers in batches of ``BATCH_BYTES``, unless the session says how many bytes: by Spark's own setting 10,000 whole
-    texts are one batch, which JVM and worker hold at once."""
+    texts are one batch, which JVM and worker hold at once. Larger buffers also stay longer in the memory that the JVM's C library keeps."""
     if spark.conf.get(BATCH_SETTING, None) is None:
         spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
 

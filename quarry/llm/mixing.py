@@ -56,7 +56,7 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         found, bounds, _ = ngrams.features_of(batch.column(0))
         domain = np.array(batch.column(1).to_pylist(), dtype=np.int64).repeat(np.diff(bounds))
         np.add.at(counts, domain * ngrams.BUCKETS + found, 1)
-    yield ngrams.count_rows([counts])
+    yield from ngrams.count_rows(counts)
 
 
 def fit_posteriors(counts: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -13,6 +13,7 @@ import itertools
 import re
 from array import array
 from collections import defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,12 +30,13 @@ BUCKETS = TOKENS + (1 << PAIR_BITS)
 BUCKET_BITS = BUCKETS.bit_length()
 SHIFT, PAIR_SHIFT = 64 - TOKEN_BITS, 64 - PAIR_BITS
 PART = 1 << 14           # counts travel in parts of this many buckets
+PARTS_PER_BATCH = 8      # of which so many go to the JVM at once
 STEM = 5
 ECHOES = (1, 2, 3)
 ODD = 0x9E3779B97F4A7C15      # a pair hashes to ODD * first + second
 NONE = -1
-CACHED_WORDS = 200_000
-TEXT_PER_BATCH = 1 << 20  # bytes of text cut at once
+CACHED_WORDS = 100_000
+TEXT_PER_BATCH = 1 << 19  # bytes of text cut at once
 
 END = "\n"               # of a word, between words
 _piece = re.compile(r"\w+|[^\w\s]+|\n")
@@ -220,14 +222,15 @@ def label_sample(labels: DataFrame, rows: int) -> DataFrame:
             .select(F.col("doc_id").alias("label_id"), "quality", "toxic", (F.pmod(order, F.lit(5)) == 0).alias("holdout")))
 
 
-def count_rows(arrays: list[np.ndarray]) -> pa.RecordBatch:
-    """Arrays of BUCKETS counts, stacked, in parts: (part, counts)."""
-    flat = np.concatenate(arrays, dtype=np.int64)
-    parts = [flat[i:i + PART] for i in range(0, len(flat), PART)]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(range(len(parts)), pa.int32()),
-         pa.ListArray.from_arrays(pa.array(np.arange(len(parts) + 1, dtype=np.int32) * PART), pa.array(flat))],
-        names=["part", "counts"])
+def count_rows(counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Stacked arrays of BUCKETS counts in parts, a few in each batch: (part, counts)."""
+    for first in range(0, len(counts) // PART, PARTS_PER_BATCH):
+        flat = counts[first * PART:(first + PARTS_PER_BATCH) * PART].astype(np.int64)
+        n = len(flat) // PART
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(range(first, first + n), pa.int32()),
+             pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * PART), pa.array(flat))],
+            names=["part", "counts"])
 
 
 COUNT_SCHEMA = "part int, counts array<bigint>"

@@ -42,12 +42,13 @@ BINS = 4096
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ngrams.new_task()
-    raw, target = np.zeros(ngrams.BUCKETS, dtype=np.int32), np.zeros(ngrams.BUCKETS, dtype=np.int32)
+    counts = np.zeros(2 * ngrams.BUCKETS, dtype=np.int32)
+    raw, target = np.split(counts, 2)
     for batch in by_volume(batches, "text", ngrams.TEXT_PER_BATCH):
         found, bounds, _ = ngrams.features_of(batch.column(0))
         np.add.at(raw, found, 1)
         np.add.at(target, found[np.array(batch.column(1).to_pylist(), dtype=bool).repeat(np.diff(bounds))], 1)
-    yield ngrams.count_rows([raw, target])
+    yield from ngrams.count_rows(counts)
 
 
 def fit_weights(raw: np.ndarray, target: np.ndarray, n_raw: int, n_target: int) -> tuple[np.ndarray, int]:

@@ -141,3 +141,29 @@ def test_batches_of_long_texts_are_bounded(spark):
     parts = [*common.by_volume(iter([batch]), "text", 10_000)]
     assert len(parts) == 100 and all(p.column(0).get_total_buffer_size() < 50_000 for p in parts)
     assert pa.Table.from_batches(parts).equals(pa.Table.from_batches([batch]))
+
+
+def test_workers_hold_little_at_once(spark):
+    """Counts leave a worker in small batches; a batch to a worker, what one query decodes and what caches keep are bounded, and the ids do not depend on it."""
+    from quarry.llm import common
+    counts = np.arange(3 * ngrams.BUCKETS, dtype=np.int32)
+    batches = [*ngrams.count_rows(counts)]
+    assert max(b.nbytes for b in batches) < 2 << 20
+    rows = pa.Table.from_batches(batches).to_pydict()
+    assert rows["part"] == [*range(len(counts) // ngrams.PART)] and np.array_equal(np.concatenate(rows["counts"]), counts)
+    assert common.BATCH_BYTES <= 1 << 20 and bpe.IDS_PER_QUERY <= 1 << 17 and max(bpe.CACHED_WORDS, ngrams.CACHED_WORDS) <= 150_000
+
+
+def test_ids_are_the_same_when_the_cache_is_full(monkeypatch):
+    path = public_tokenizers.path(bpe.MULTI_50K)
+    texts = ["the same words", "other words here", "the same words again", None, "", "last words"] * 3
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string())})
+
+    def ids():
+        return pa.Table.from_batches(bpe._encode_batches(iter([batch]), "text", "ids", path, public_tokenizers.PATTERN))["ids"].to_pylist()
+    whole = ids()
+    monkeypatch.setattr(bpe, "_seen", {})
+    monkeypatch.setattr(bpe, "CACHED_WORDS", 3)
+    monkeypatch.setattr(bpe, "TEXT_PER_QUERY", 20)
+    monkeypatch.setattr(bpe, "WORDS_PER_QUERY", 2)
+    assert ids() == whole and len(next(iter(bpe._seen.values()))) < 10
